@@ -1,45 +1,89 @@
-"""Distributed exclusive prefix sums in a total order.
-
-``row_number``/running ``sum`` over a whole partition key puts every row of
-that key into one task; one shard may hold a third of the data. Instead the
-order key is cut into buckets of at most ``fanout`` consecutive keys, the
-buckets into super-buckets of at most ``fanout`` buckets, and only the
-super-bucket totals (``keys / fanout**2`` rows per group) meet in one window.
-Each window therefore holds at most ``fanout`` rows per partition key, and
-the per-level tables shrink by ``fanout`` each step.
+"""Distributed exclusive prefix aggregates in a total order.
+
+A running ``sum``/``min``/``lag`` over a whole partition key puts every row of
+that key into one task, and one shard or run may hold a third of the data.
+Instead the order key is cut into buckets of at most ``fanout`` consecutive
+keys and the buckets into super-buckets of at most ``fanout`` buckets. Windows
+then hold at most ``fanout`` rows per partition key; only the super-bucket
+summaries (``keys / fanout**2`` rows per group) meet in the top window, and
+each level's table is ``fanout`` times smaller than the one below.
+
+Supported aggregates are associative: ``sum``, ``min``, ``max`` and ``last``
+(the value of the nearest preceding row, i.e. ``lag`` — kept as the maximum
+of ``struct(key, value)``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 FANOUT = 4096
 
+_AGG = {"sum": F.sum, "min": F.min, "max": F.max, "last": F.max}
+
+
+def _combine(agg: str, a: Column, b: Column) -> Column:
+    if agg == "sum":
+        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+    if agg == "min":
+        return F.least(a, b)
+    return F.greatest(a, b)  # max, last (struct order = key order)
 
-def exclusive_prefix(df: DataFrame, value: str, group: list[str], major: list[str],
-                     key: str, out: str = "offset", fanout: int = FANOUT) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over rows of the same ``group`` that come
-    before this row in ``(major..., key)`` order.
 
-    ``key`` must be an integer column unique within ``group + major``.
+def prefix_aggregates(df: DataFrame, specs: list[tuple[str, str, Column | str]],
+                      group: list[str], major: list[str], key: str,
+                      fanout: int = FANOUT) -> DataFrame:
+    """Add, per ``(out, agg, value)`` in ``specs``, the aggregate of ``value``
+    over rows of the same ``group`` that precede this row in ``(major..., key)``
+    order. ``key`` is an integer column unique within ``group + major``.
+
+    Empty prefixes give 0 for ``sum`` and NULL otherwise.
     """
     g, m = list(group), list(major)
     d = (df.withColumn("_b1", F.floor(F.col(key) / fanout).cast("long"))
            .withColumn("_b2", F.floor(F.col("_b1") / fanout).cast("long")))
+    vals = []
+    for i, (out, agg, value) in enumerate(specs):
+        v = value if isinstance(value, Column) else F.col(value)
+        if agg == "last":
+            v = F.struct(F.col(key).alias("k"), v.alias("v"))
+        d = d.withColumn(f"_v{i}", v)
+        vals.append((i, out, agg))
     before = (Window.unboundedPreceding, -1)
+
     w1 = Window.partitionBy(*g, *m, "_b1").orderBy(key).rowsBetween(*before)
-    d = d.withColumn("_e1", F.coalesce(F.sum(value).over(w1), F.lit(0)).cast("long"))
+    for i, _, agg in vals:
+        d = d.withColumn(f"_e1_{i}", _AGG[agg](f"_v{i}").over(w1))
 
-    t1 = d.groupBy(*g, *m, "_b2", "_b1").agg(F.sum(value).cast("long").alias("_t1"))
+    t1 = d.groupBy(*g, *m, "_b2", "_b1").agg(
+        *[_AGG[agg](f"_v{i}").alias(f"_t1_{i}") for i, _, agg in vals])
     w2 = Window.partitionBy(*g, *m, "_b2").orderBy("_b1").rowsBetween(*before)
-    t1 = t1.withColumn("_e2", F.coalesce(F.sum("_t1").over(w2), F.lit(0)).cast("long"))
+    for i, _, agg in vals:
+        t1 = t1.withColumn(f"_e2_{i}", _AGG[agg](f"_t1_{i}").over(w2))
 
-    t2 = t1.groupBy(*g, *m, "_b2").agg(F.sum("_t1").cast("long").alias("_t2"))
+    t2 = t1.groupBy(*g, *m, "_b2").agg(
+        *[_AGG[agg](f"_t1_{i}").alias(f"_t2_{i}") for i, _, agg in vals])
     w3 = Window.partitionBy(*g).orderBy(*m, "_b2").rowsBetween(*before)
-    t2 = t2.withColumn("_e3", F.coalesce(F.sum("_t2").over(w3), F.lit(0)).cast("long"))
+    t2 = t2.select(*g, *m, "_b2", *[_AGG[agg](f"_t2_{i}").over(w3).alias(f"_e3_{i}")
+                                    for i, _, agg in vals])
+
+    boff = t1.join(t2, on=[*g, *m, "_b2"]).select(
+        *g, *m, "_b1",
+        *[_combine(agg, F.col(f"_e3_{i}"), F.col(f"_e2_{i}")).alias(f"_o_{i}") for i, _, agg in vals])
+    out = d.join(boff, on=[*g, *m, "_b1"])
+    for i, name, agg in vals:
+        r = _combine(agg, F.col(f"_o_{i}"), F.col(f"_e1_{i}"))
+        if agg == "last":
+            r = r["v"]
+        elif agg == "sum":
+            r = r.cast("long") if dict(out.dtypes).get(f"_v{i}") in ("int", "bigint") else r
+        out = out.withColumn(name, r)
+    drop = ["_b1", "_b2"] + [c for i, _, _ in vals
+                             for c in (f"_v{i}", f"_e1_{i}", f"_o_{i}")]
+    return out.drop(*drop)
 
-    boff = (t1.join(t2.select(*g, *m, "_b2", "_e3"), on=[*g, *m, "_b2"])
-              .select(*g, *m, "_b1", (F.col("_e2") + F.col("_e3")).alias("_boff")))
-    return (d.join(boff, on=[*g, *m, "_b1"])
-             .withColumn(out, F.col("_boff") + F.col("_e1"))
-             .drop("_b1", "_b2", "_e1", "_boff"))
+
+def exclusive_prefix(df: DataFrame, value: str, group: list[str], major: list[str],
+                     key: str, out: str = "offset", fanout: int = FANOUT) -> DataFrame:
+    """Sum of ``value`` over the preceding rows (0 for the first row)."""
+    return prefix_aggregates(df, [(out, "sum", value)], group, major, key, fanout)

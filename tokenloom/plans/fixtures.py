@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.logs import CHECKPOINT_FILES
 from ..sources.corpus import corpus_from_documents, shard_name, with_split
 from ..sources.tables import read_table
 
@@ -35,6 +36,8 @@ WORLD_SIZE = 8
 VOCAB_BYTES = 105          # vocab of the pre-tokenized byte shards
 EVAL_INTERVAL = 200
 STOP_BYTE = 10             # newline ends a generated sequence
+TEMPERATURE = 0.8
+USABLE_BELOW = 1.0
 MISSING_MOD, MISSING_REM = 7, 3
 SHORT_MOD, SHORT_REM = 5, 4
 
@@ -89,7 +92,7 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(run, step, loss, ts)`` from events."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"])
     return ev.select(F.col("event_type").alias("run"), F.col("event_id").alias("step"),
-                     F.col("value").alias("loss"), "ts")
+                     F.col("value").alias("loss"), F.col("ts").cast("timestamp").alias("ts"))
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,3 +110,20 @@ def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
     return u.join(a, ["conv_id", "turn"]).select(
         "conv_id", "turn", "prompt", F.concat("prompt", "reply").alias("text"))
+
+
+def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(run, file, priority, usable)``: per run, the three checkpoint files in
+    fixed priority; a file is usable when some row of the run written to it
+    (``user_id % 3`` = its priority) has a finite loss below ``USABLE_BELOW``."""
+    ev = read_table(spark, sf_dir, "events", ["event_type", "user_id", "value"])
+    names = F.array(*[F.lit(n) for n in CHECKPOINT_FILES])
+    pr = (F.col("user_id") % 3).cast("int")
+    return (ev.select(F.col("event_type").alias("run"), pr.alias("priority"),
+                      (~F.isnan("value") & (F.col("value") < USABLE_BELOW)).alias("ok"))
+              .groupBy("run", "priority").agg(F.bool_or("ok").alias("usable"))
+              .select("run", F.get(names, F.col("priority")).alias("file"), "priority", "usable"))
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "pages", ["page_id", "url"])

@@ -43,6 +43,11 @@ tokens AS (
   FROM (SELECT split, pos, unnest(l) AS b, generate_subscripts(l, 1) AS i FROM tok_lists))"""
 
 
+def R6(expr: str) -> str:
+    """Same 6-decimal rounding as ``functions.numeric.round6``."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), 6) AS DOUBLE)"
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
@@ -114,3 +119,210 @@ SELECT split, step, b, start, array_to_string(l[1:{B}], ',') AS x,
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# --- manifest ----------------------------------------------------------------
+
+def _required_sql(num_train=fx.NUM_TRAIN, val_percent=fx.VAL_PERCENT, val_start=fx.VAL_START):
+    num_val = max(1, round(num_train * val_percent / 100))
+    return f"""
+required AS (
+  SELECT printf('data%02d.bin', id) AS file, CAST(id AS INTEGER) AS shard_id, 'train' AS split,
+         CAST(id + 1 AS INTEGER) AS ordinal FROM range(0, {num_train}) AS r(id)
+  UNION ALL
+  SELECT printf('data%02d.bin', id), CAST(id AS INTEGER), 'val',
+         CAST(id - {val_start} + {num_train} + 1 AS INTEGER) FROM range({val_start}, {val_start + num_val}) AS r(id))"""
+
+
+MANIFEST = CORPUS + f""",
+expected_src AS (
+  SELECT printf('data%02d.bin', shard_id) AS file, CAST(shard_id AS BIGINT) AS sid,
+         CAST(sum(n_tok) AS BIGINT) AS size FROM corpus_all GROUP BY shard_id),
+lines AS (
+  SELECT sid + 2 AS line_no, '-rw-r--r-- user/group ' || CAST(size AS VARCHAR)
+         || ' 2024-01-01 00:00 tok105/' || file AS line FROM expected_src
+  UNION ALL SELECT 0, 'drwxr-xr-x user/group 0 2024-01-01 00:00 tok105/'
+  UNION ALL SELECT 1, '-rw-r--r-- user/group ' || CAST((SELECT sum(size) FROM expected_src) AS VARCHAR)
+         || ' 2024-01-01 00:00 tok105/all.txt'),
+parts AS (SELECT line_no, string_split_regex(trim(line), '\\s+') AS f FROM lines),
+parsed AS (SELECT line_no, f[3] AS size_s, f[-1] AS path FROM parts),
+expected AS (
+  SELECT regexp_extract(path, '([^/]*)$', 1) AS file,
+         arg_max(TRY_CAST(size_s AS BIGINT), line_no) AS size
+  FROM parsed WHERE starts_with(path, 'tok105/') AND ends_with(path, '.bin')
+  GROUP BY regexp_extract(path, '([^/]*)$', 1)),
+existing AS (
+  SELECT file, CASE WHEN sid % {fx.SHORT_MOD} = {fx.SHORT_REM} THEN size - 1 ELSE size END AS size
+  FROM expected_src WHERE sid % {fx.MISSING_MOD} <> {fx.MISSING_REM}),"""
+
+VERIFIED = _required_sql() + """,
+verified AS (
+  SELECT r.file, r.shard_id, r.split, r.ordinal, e.size AS expected_size, x.size AS actual_size,
+         CASE WHEN x.size IS NULL THEN 'missing'
+              WHEN e.size IS NULL THEN 'not_in_archive'
+              WHEN x.size <> e.size THEN 'size_mismatch'
+              ELSE 'verified' END AS status
+  FROM required r LEFT JOIN existing x USING (file) LEFT JOIN expected e USING (file)),
+plan_a AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY ordinal) AS INTEGER) AS extract_order
+  FROM verified WHERE status <> 'verified')"""
+
+ORACLE["parse_listing"] = "WITH " + MANIFEST.rstrip(",") + " SELECT file, size FROM expected"
+ORACLE["required_shards"] = "WITH " + MANIFEST + _required_sql() + """
+SELECT r.file, r.shard_id, r.split, r.ordinal, e.size AS expected_size
+FROM required r LEFT JOIN expected e USING (file)"""
+ORACLE["union_required"] = "WITH " + _required_sql() + " SELECT * FROM required"
+ORACLE["split_train_val"] = _with(CORPUS) + " SELECT doc_id, shard_id, split FROM corpus_split"
+ORACLE["limit_shards"] = _with(CORPUS) + f"""
+SELECT split, count(*) AS n_docs, CAST(sum(n_tok) AS BIGINT) AS n_tokens FROM (
+  SELECT n_tok, CASE WHEN shard_id >= 0 AND shard_id < 4 THEN 'train'
+                     WHEN shard_id >= {fx.VAL_START} AND shard_id < {fx.VAL_START} + 1 THEN 'val'
+                     ELSE 'unused' END AS split FROM corpus_all)
+WHERE split <> 'unused' GROUP BY split"""
+ORACLE["ordered_shards"] = _with(CORPUS) + """
+SELECT shard, shard_id, n_docs, CAST(row_number() OVER (ORDER BY shard_id) AS INTEGER) AS order_rank
+FROM (SELECT shard, shard_id, count(*) AS n_docs FROM corpus GROUP BY shard, shard_id)"""
+ORACLE["verify_shards"] = "WITH " + MANIFEST + VERIFIED + " SELECT * EXCLUDE (extract_order) FROM plan_a WHERE false UNION ALL SELECT * FROM verified"
+ORACLE["shards_to_extract"] = "WITH " + MANIFEST + VERIFIED + """
+SELECT file, status, extract_order,
+       CAST(row_number() OVER (ORDER BY CASE WHEN status = 'missing' THEN 0 ELSE 1 END, ordinal)
+            AS INTEGER) AS extract_order_b
+FROM plan_a"""
+ORACLE["not_in_archive"] = "WITH " + MANIFEST + _required_sql(10, 10, 45) + """
+SELECT r.* FROM required r ANTI JOIN expected e USING (file)"""
+ORACLE["pending_files"] = "WITH " + MANIFEST + _required_sql() + """
+SELECT r.* FROM required r ANTI JOIN existing e USING (file)"""
+ORACLE["expected_bytes"] = "WITH " + MANIFEST + _required_sql() + """
+SELECT CAST(coalesce(sum(e.size), 0) AS BIGINT) AS expected_bytes, count(*) AS n_files
+FROM required r JOIN expected e USING (file)"""
+ORACLE["all_verified"] = "WITH " + MANIFEST + VERIFIED + """
+SELECT coalesce(bool_and(status = 'verified'), true) AS all_verified FROM verified"""
+ORACLE["verify_summary"] = "WITH " + MANIFEST + VERIFIED + """
+SELECT status, count(*) AS n_files FROM verified GROUP BY status"""
+ORACLE["archive_count_check"] = "WITH " + MANIFEST.rstrip(",") + """
+SELECT 'tok105.tar.gz' AS archive, count(*) AS n_listed,
+       count(*) FILTER (WHERE TRY_CAST(f[3] AS BIGINT) IS NOT NULL AND len(f) >= 4) AS n_members,
+       (count(*) = count(*) FILTER (WHERE TRY_CAST(f[3] AS BIGINT) IS NOT NULL AND len(f) >= 4)
+        AND count(*) > 0) AS ok
+FROM parts"""
+ORACLE["extract_progress"] = "WITH " + MANIFEST + VERIFIED + """
+SELECT file, CAST(row_number() OVER w AS INTEGER) AS i, CAST(count(*) OVER () AS INTEGER) AS n,
+       CAST(coalesce(sum(coalesce(expected_size, 0)) OVER (ORDER BY extract_order
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS done_bytes,
+       CAST(sum(coalesce(expected_size, 0)) OVER () AS BIGINT) AS total_bytes,
+       CAST(floor(coalesce(sum(coalesce(expected_size, 0)) OVER (ORDER BY extract_order
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 100
+            / sum(coalesce(expected_size, 0)) OVER ()) AS BIGINT) AS percent,
+       """ + R6("""coalesce(sum(coalesce(expected_size, 0)) OVER (ORDER BY extract_order
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 100.0
+            / sum(coalesce(expected_size, 0)) OVER ()""") + """ AS percent_exact
+FROM plan_a WINDOW w AS (ORDER BY extract_order)"""
+
+# --- text clean-up -------------------------------------------------------------
+
+from ..functions import text as _T  # noqa: E402
+
+WS = _T.WS_CLASS
+GEN = """
+gen AS (
+  SELECT u.conv_id, u.turn, u.text AS prompt, u.text || a.text AS text
+  FROM conversations u JOIN conversations a
+    ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+  WHERE u.role = 'user')"""
+
+
+def _sq(s: str) -> str:
+    return s.replace("'", "''")
+
+
+def _rx(expr, pattern, repl=""):
+    return f"regexp_replace({expr}, '{_sq(pattern)}', '{repl}', 'g')"
+
+
+def _clean_sql(text="text", prompt="prompt"):
+    t = _rx(f"replace({text}, '{_sq(_T.ESCAPE_LITERAL)}', '')", _T.ESCAPE_TRIPLE)
+    n = f"length({prompt})"
+    ctx = f"substring({t}, 1, {n})"
+    gen = f"substring({t}, {n} + 1)"
+    g = _rx(_rx(gen, WS + "+"), _T.PUNCT, "\\1 ")
+    g = _rx(_rx(g, WS + "+", " "), "^" + WS + "+|" + WS + "+$")
+    return _rx(f"({ctx} || {g})", _T.CONTROL)
+
+
+def _gen_sql(expr):
+    return "WITH " + GEN + f" SELECT conv_id, turn, {expr} AS out FROM gen"
+
+
+ORACLE["clean_generated"] = _gen_sql(_clean_sql())
+ORACLE["strip_literal"] = _gen_sql(f"replace(text, '{_sq(_T.ESCAPE_LITERAL)}', '')")
+ORACLE["strip_escapes"] = _gen_sql(_rx("text", _T.ESCAPE_TRIPLE))
+ORACLE["split_prefix"] = "WITH " + GEN + """
+SELECT conv_id, turn, substring(text, 1, length(prompt)) AS context,
+       substring(text, length(prompt) + 1) AS generated FROM gen"""
+ORACLE["drop_whitespace"] = _gen_sql(_rx("text", WS + "+"))
+ORACLE["space_after_punct"] = _gen_sql(_rx("text", _T.PUNCT, "\\1 "))
+ORACLE["collapse_trim"] = _gen_sql(_rx(_rx("text", WS + "+", " "), "^" + WS + "+|" + WS + "+$"))
+ORACLE["strip_control"] = _gen_sql(_rx("text", _T.CONTROL))
+ORACLE["file_basename"] = "SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS basename FROM pages"
+ORACLE["zero_pad_name"] = _with(CORPUS) + """
+SELECT DISTINCT shard_id, printf('data%02d.bin', shard_id) AS file,
+       printf('data%02d.bin', shard_id * 1000) AS wide_file FROM corpus_all"""
+ORACLE["percent_done"] = _with(CORPUS, """
+per AS (SELECT split, shard_id, CAST(sum(n_tok) AS BIGINT) AS n FROM corpus GROUP BY split, shard_id),
+run AS (SELECT split, shard_id, sum(n) OVER (PARTITION BY split ORDER BY shard_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS r, sum(n) OVER (PARTITION BY split) AS t
+        FROM per)""") + """
+SELECT split, shard_id, CASE WHEN t = 0 THEN NULL ELSE CAST(floor(r * 100 / t) AS BIGINT) END AS percent
+FROM run"""
+
+# --- training log ----------------------------------------------------------------
+
+LOG = """
+log AS (SELECT event_type AS run, event_id AS step, value AS loss, ts FROM events)"""
+
+ORACLE["periodic_rows"] = "WITH " + LOG + f" SELECT run, step, loss FROM log WHERE step % {fx.EVAL_INTERVAL} = 0"
+ORACLE["eval_loss"] = "WITH " + LOG + f"""
+SELECT run, step - step % {fx.EVAL_INTERVAL} AS eval_step, {R6('avg(loss)')} AS mean_loss,
+       count(*) AS n_batches
+FROM log GROUP BY run, step - step % {fx.EVAL_INTERVAL}"""
+ORACLE["best_summary"] = "WITH " + LOG + """
+SELECT run, max(step) AS final_step, arg_max(loss, step) AS final_loss,
+       min(CASE WHEN isnan(loss) THEN NULL ELSE loss END) AS best_loss, count(*) AS n_steps,
+       (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS total_seconds
+FROM log GROUP BY run"""
+ORACLE["running_best"] = "WITH " + LOG + """,
+p AS (SELECT *, least(coalesce(min(CASE WHEN isnan(loss) THEN NULL ELSE loss END) OVER (
+          PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+          'inf'::DOUBLE), 'inf'::DOUBLE) AS prev FROM log)
+SELECT run, step, coalesce(loss < prev, false) AS is_best,
+       CASE WHEN coalesce(loss < prev, false) THEN loss ELSE prev END AS best_so_far FROM p"""
+ORACLE["running_avg_loss"] = "WITH " + LOG + """
+SELECT run, step, """ + R6("""avg(loss) OVER (PARTITION BY run ORDER BY step
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""") + """ AS running_avg FROM log"""
+ORACLE["step_timing"] = "WITH " + LOG + """
+SELECT run, step,
+       (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY run))) / 1e6 AS elapsed_s,
+       (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY run ORDER BY step))) / 1e6 AS dt_s,
+       """ + R6("""CASE WHEN max(step) OVER (PARTITION BY run) > 0
+             THEN step * 100.0 / max(step) OVER (PARTITION BY run) END""") + """ AS pct_done
+FROM log"""
+ORACLE["checkpoint_pick"] = f"""
+WITH c AS (
+  SELECT event_type AS run, CAST(user_id % 3 AS INTEGER) AS priority,
+         bool_or(NOT isnan(value) AND value < {fx.USABLE_BELOW}) AS usable
+  FROM events GROUP BY event_type, user_id % 3),
+f AS (SELECT run, (['model_best.pt', 'checkpoint.pt', 'model.pt'])[priority + 1] AS file,
+             priority, usable FROM c),
+p AS (SELECT run, arg_min(file, priority) AS file, min(priority) AS priority
+      FROM f WHERE usable GROUP BY run)
+SELECT r.run, p.file, p.priority FROM (SELECT DISTINCT run FROM f) r LEFT JOIN p USING (run)"""
+ORACLE["softmax_sample"] = f"""
+WITH c AS (SELECT user_id AS grp, event_id AS item, value / {fx.TEMPERATURE} AS z FROM events),
+e AS (SELECT grp, item, exp(z - max(z) OVER (PARTITION BY grp)) AS e FROM c),
+s AS (SELECT grp, item, e, sum(e) OVER (PARTITION BY grp) AS zt, count(*) OVER (PARTITION BY grp) AS n_items,
+             coalesce(sum(e) OVER (PARTITION BY grp ORDER BY item
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+             ('0x' || substr(md5('{fx.SEED}:' || CAST(grp AS VARCHAR)), 1, 15))::BIGINT / {float(2 ** 60)} AS u
+      FROM e)
+SELECT grp, arg_max(item, item) AS item, {R6('arg_max(e / zt, item)')} AS prob, n_items
+FROM s WHERE before <= u * zt GROUP BY grp, n_items"""

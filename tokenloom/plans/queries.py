@@ -13,7 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.tokens import bytes_csv, bytes_to_ids, ids_csv, token_sum
-from ..operators import stream
+from ..functions import text as T
+from ..functions.numeric import round6
+from ..operators import clean, logs, manifest as M, sampling, stream
+from ..sources.corpus import split_of, with_split, corpus_from_documents
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,5 +85,226 @@ def sample_windows(spark, sf_dir):
                     bytes_csv("y").alias("y"))
 
 
+# --- manifest ---------------------------------------------------------------
+
+def _required(spark, num_train=fx.NUM_TRAIN, val_percent=fx.VAL_PERCENT, val_start=fx.VAL_START):
+    return M.required_shards(spark, num_train, val_percent, val_start)
+
+
+def _expected(spark, sf_dir):
+    return M.parse_listing(fx.listing_lines(spark, sf_dir))
+
+
+def _verified(spark, sf_dir):
+    return M.verify_shards(_required(spark), fx.existing_files(spark, sf_dir),
+                           _expected(spark, sf_dir))
+
+
+@query
+def parse_listing(spark, sf_dir):
+    return _expected(spark, sf_dir)
+
+
+@query
+def required_shards(spark, sf_dir):
+    return _required(spark).join(
+        _expected(spark, sf_dir).withColumnRenamed("size", "expected_size"), "file", "left")
+
+
+@query
+def union_required(spark, sf_dir):
+    return _required(spark)
+
+
+@query
+def split_train_val(spark, sf_dir):
+    c = corpus_from_documents(fx.documents(spark, sf_dir))
+    num_val = max(1, round(fx.NUM_TRAIN * fx.VAL_PERCENT / 100))
+    return c.select("doc_id", "shard_id",
+                    split_of("shard_id", fx.NUM_TRAIN, num_val, fx.VAL_START).alias("split"))
+
+
+@query
+def limit_shards(spark, sf_dir):
+    c = with_split(corpus_from_documents(fx.documents(spark, sf_dir)), 4, 25, fx.VAL_START)
+    return c.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"),
+                                  F.sum(F.octet_length("data")).cast("long").alias("n_tokens"))
+
+
+@query
+def ordered_shards(spark, sf_dir):
+    per = fx.corpus(spark, sf_dir).groupBy("shard", "shard_id").agg(
+        F.count(F.lit(1)).alias("n_docs"))
+    from pyspark.sql import Window
+    return per.withColumn("order_rank", F.row_number().over(Window.orderBy("shard_id")).cast("int"))
+
+
+@query
+def verify_shards(spark, sf_dir):
+    return _verified(spark, sf_dir)
+
+
+@query
+def shards_to_extract(spark, sf_dir):
+    v = _verified(spark, sf_dir)
+    a = M.shards_to_extract(v, "A").select("file", "status", "extract_order")
+    b = M.shards_to_extract(v, "B").select("file", F.col("extract_order").alias("extract_order_b"))
+    return a.join(b, "file")
+
+
+@query
+def not_in_archive(spark, sf_dir):
+    # the reference's default layout (10 train, validation from id 45) against this archive
+    return M.not_in_archive(_required(spark, 10, 10, 45), _expected(spark, sf_dir))
+
+
+@query
+def pending_files(spark, sf_dir):
+    return M.pending_files(_required(spark), fx.existing_files(spark, sf_dir))
+
+
+@query
+def expected_bytes(spark, sf_dir):
+    return M.expected_bytes(_required(spark), _expected(spark, sf_dir))
+
+
+@query
+def all_verified(spark, sf_dir):
+    return M.all_verified(_verified(spark, sf_dir))
+
+
+@query
+def verify_summary(spark, sf_dir):
+    return M.verify_summary(_verified(spark, sf_dir))
+
+
+@query
+def archive_count_check(spark, sf_dir):
+    return M.archive_count_check(fx.listing_lines(spark, sf_dir), "tok105.tar.gz")
+
+
+@query
+def extract_progress(spark, sf_dir):
+    return M.extract_progress(M.shards_to_extract(_verified(spark, sf_dir), "A"))
+
+
+# --- text clean-up -----------------------------------------------------------
+
+def _gen(spark, sf_dir, out):
+    g = fx.generated(spark, sf_dir)
+    return g.select("conv_id", "turn", out(g).alias("out"))
+
+
+@query
+def clean_generated(spark, sf_dir):
+    return _gen(spark, sf_dir, lambda g: clean.clean_generated_col(g.text, g.prompt))
+
+
+@query
+def strip_literal(spark, sf_dir):
+    return _gen(spark, sf_dir, lambda g: T.strip_literal(g.text))
+
+
+@query
+def strip_escapes(spark, sf_dir):
+    return _gen(spark, sf_dir, lambda g: T.strip_escapes(g.text))
+
+
+@query
+def split_prefix(spark, sf_dir):
+    g = fx.generated(spark, sf_dir)
+    ctx, gen = T.split_prefix(g.text, g.prompt)
+    return g.select("conv_id", "turn", ctx.alias("context"), gen.alias("generated"))
+
+
+@query
+def drop_whitespace(spark, sf_dir):
+    return _gen(spark, sf_dir, lambda g: T.drop_whitespace(g.text))
+
+
+@query
+def space_after_punct(spark, sf_dir):
+    return _gen(spark, sf_dir, lambda g: T.space_after_punct(g.text))
+
+
+@query
+def collapse_trim(spark, sf_dir):
+    return _gen(spark, sf_dir, lambda g: T.collapse_trim(g.text))
+
+
+@query
+def strip_control(spark, sf_dir):
+    return _gen(spark, sf_dir, lambda g: T.strip_control(g.text))
+
+
+@query
+def file_basename(spark, sf_dir):
+    p = fx.pages(spark, sf_dir)
+    return p.select("page_id", T.file_basename(p.url).alias("basename"))
+
+
+@query
+def zero_pad_name(spark, sf_dir):
+    c = fx.corpus(spark, sf_dir, keep_unused=True)
+    return c.select("shard_id").distinct().select(
+        "shard_id", T.zero_pad_name(F.col("shard_id")).alias("file"),
+        T.zero_pad_name(F.col("shard_id") * 1000).alias("wide_file"))
+
+
+@query
+def percent_done(spark, sf_dir):
+    s = stream.shard_token_counts(fx.corpus(spark, sf_dir))
+    return s.select("split", "shard_id",
+                    T.percent_done(F.col("running_tokens"), F.col("split_tokens")).alias("percent"))
+
+
+# --- training log ------------------------------------------------------------
+
+@query
+def periodic_rows(spark, sf_dir):
+    return logs.periodic_rows(fx.train_log(spark, sf_dir), fx.EVAL_INTERVAL).select(
+        "run", "step", "loss")
+
+
+@query
+def eval_loss(spark, sf_dir):
+    return logs.eval_loss(fx.train_log(spark, sf_dir), fx.EVAL_INTERVAL).select(
+        "run", "eval_step", round6("mean_loss").alias("mean_loss"), "n_batches")
+
+
+@query
+def best_summary(spark, sf_dir):
+    return logs.best_summary(fx.train_log(spark, sf_dir))
+
+
+@query
+def running_best(spark, sf_dir):
+    return logs.running_best(fx.train_log(spark, sf_dir)).select(
+        "run", "step", "is_best", "best_so_far")
+
+
+@query
+def running_avg_loss(spark, sf_dir):
+    return logs.running_avg_loss(fx.train_log(spark, sf_dir)).select(
+        "run", "step", round6("running_avg").alias("running_avg"))
+
+
+@query
+def step_timing(spark, sf_dir):
+    return logs.step_timing(fx.train_log(spark, sf_dir)).select(
+        "run", "step", "elapsed_s", "dt_s", round6("pct_done").alias("pct_done"))
+
+
+@query
+def checkpoint_pick(spark, sf_dir):
+    return logs.checkpoint_pick(fx.checkpoints(spark, sf_dir))
+
+
+@query
+def softmax_sample(spark, sf_dir):
+    s = sampling.softmax_sample(fx.candidates(spark, sf_dir), fx.TEMPERATURE, fx.SEED)
+    return s.select("grp", "item", round6("prob").alias("prob"), "n_items")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
