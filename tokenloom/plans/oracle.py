@@ -117,10 +117,6 @@ SELECT split, step, b, start, array_to_string(l[1:{B}], ',') AS x,
        array_to_string(l[2:{B + 1}], ',') AS y FROM w"""
 
 
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
-
-
 # --- manifest ----------------------------------------------------------------
 
 def _required_sql(num_train=fx.NUM_TRAIN, val_percent=fx.VAL_PERCENT, val_start=fx.VAL_START):
@@ -326,3 +322,90 @@ s AS (SELECT grp, item, e, sum(e) OVER (PARTITION BY grp) AS zt, count(*) OVER (
       FROM e)
 SELECT grp, arg_max(item, item) AS item, {R6('arg_max(e / zt, item)')} AS prob, n_items
 FROM s WHERE before <= u * zt GROUP BY grp, n_items"""
+
+
+# --- token stream, continued ------------------------------------------------------
+
+TOT = """
+tot AS (SELECT split, CAST(sum(n_tok) AS BIGINT) AS n FROM corpus GROUP BY split),
+firsts AS (SELECT t.split, t.p // %d AS block, t.b AS first FROM tokens t JOIN tot USING (split)
+           WHERE t.p %% %d = 0 AND t.p + %d <= tot.n - 1)""" % (B, B, B)
+
+ORACLE["rank_shards"] = _with(CORPUS, TOKENS, TOT) + f"""
+SELECT split, CAST(block % {fx.WORLD_SIZE} AS INTEGER) AS rank, count(*) AS n_blocks,
+       CAST(sum(block) AS BIGINT) AS block_sum, CAST(sum(first) AS BIGINT) AS x_first_sum
+FROM firsts GROUP BY split, block % {fx.WORLD_SIZE}"""
+
+ORACLE["batch_rows"] = _with(CORPUS, TOKENS, TOT) + f"""
+SELECT split, block // {fx.BATCH_SIZE} AS batch, count(*) AS n_rows,
+       min(block) AS first_block, max(block) AS last_block
+FROM firsts GROUP BY split, block // {fx.BATCH_SIZE}"""
+
+DOC_BYTES = f"""
+db AS (SELECT doc_id, shard_id, {BYTES('text')} AS l FROM corpus_all)"""
+
+ORACLE["tail_context"] = _with(CORPUS, DOC_BYTES) + f"""
+SELECT doc_id, array_to_string(l[greatest(len(l) - {B - 1}, 1):], ',') AS ids FROM db"""
+
+ORACLE["truncate_at_stop"] = _with(CORPUS, DOC_BYTES) + f"""
+SELECT doc_id, array_to_string(CASE WHEN coalesce(list_position(l, {fx.STOP_BYTE}), 0) > 0
+       THEN l[1:list_position(l, {fx.STOP_BYTE})] ELSE l END, ',') AS ids FROM db"""
+
+ORACLE["vocab_range_check"] = _with(CORPUS, DOC_BYTES) + f"""
+SELECT shard_id, CAST(sum(len(list_filter(l, lambda x: x < 0 OR x >= {fx.VOCAB_BYTES}))) AS BIGINT)
+       AS n_out_of_range FROM db GROUP BY shard_id"""
+
+ORACLE["explode_tokens"] = _with(CORPUS, TOKENS) + " SELECT split, p AS pos, b AS tok FROM tokens"
+
+ORACLE["next_token_pairs"] = _with(CORPUS, TOKENS) + """
+SELECT split, tok, next_tok, count(*) AS n FROM (
+  SELECT split, b AS tok, lead(b) OVER (PARTITION BY split ORDER BY p) AS next_tok FROM tokens)
+WHERE next_tok IS NOT NULL GROUP BY split, tok, next_tok"""
+
+ORACLE["corpus_loss"] = _with(CORPUS, f"""
+dl AS (SELECT split, {BYTES('text')} AS l FROM corpus),
+bi AS (SELECT split, a, b, count(*) AS n FROM (
+         SELECT split, unnest(l[1:len(l) - 1]) AS a, unnest(l[2:len(l)]) AS b FROM dl)
+       GROUP BY split, a, b),
+tr AS (SELECT a, b, n AS c_ab FROM bi WHERE split = 'train'),
+rw AS (SELECT a, sum(c_ab) AS c_a FROM tr GROUP BY a),
+ev AS (SELECT a, b, n AS m FROM bi WHERE split = 'val')""") + """
+SELECT CAST(sum(m) AS BIGINT) AS n_targets,
+       """ + R6("sum(-ln((coalesce(c_ab, 0) + 1) / (coalesce(c_a, 0) + 256)) * m) / sum(m)") + """ AS loss
+FROM ev LEFT JOIN tr USING (a, b) LEFT JOIN rw USING (a)"""
+
+# --- tokenizer ----------------------------------------------------------------------
+# RE2 has no look-ahead. The whitespace run that GPT-2's \s+(?!\S) leaves
+# behind is its last character before a non-space; we mark that character with
+# \x01 (absent from the corpus) and let an optional marker start the tokens.
+
+_WSC = WS[1:-1]
+PRETOKEN_RE2 = (r"'s|'t|'re|'ve|'m|'ll|'d|\x01? ?\p{L}+|\x01? ?\p{N}+"
+                rf"|\x01? ?[^{_WSC}\p{{L}}\p{{N}}\x01]+|\x01?[{_WSC}]+")
+MARK = f"regexp_replace(text, '([{_WSC}])([^{_WSC}])', chr(1) || '\\1\\2', 'g')"
+
+WORDS = f"""
+train_text AS (SELECT text FROM documents
+               WHERE CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) < {fx.NUM_TRAIN}),
+marked AS (SELECT {MARK} AS t FROM train_text),
+wc AS (SELECT word, count(*) AS n FROM (
+         SELECT replace(unnest(regexp_extract_all(t, '{_sq(PRETOKEN_RE2)}')), chr(1), '') AS word
+         FROM marked) GROUP BY word),
+wb AS (SELECT {BYTES('word')} AS l, n FROM wc),
+pc AS (SELECT pl AS l, pr AS r, CAST(sum(n) AS BIGINT) AS n FROM (
+         SELECT unnest(l[1:len(l) - 1]) AS pl, unnest(l[2:len(l)]) AS pr, n FROM wb)
+       GROUP BY pl, pr HAVING sum(n) >= 2)"""
+
+ORACLE["pretoken_counts"] = _with(WORDS) + " SELECT word, n FROM wc"
+ORACLE["bpe_pair_counts"] = _with(WORDS) + " SELECT l, r, n FROM pc"
+ORACLE["top_pair"] = _with(WORDS) + " SELECT l, r, n FROM pc ORDER BY n DESC, l, r LIMIT 1"
+ORACLE["special_tokens"] = """
+SELECT CAST(i AS INTEGER) AS id, printf('%02X', i) AS token_hex, false AS special FROM range(0, 256) AS r(i)
+UNION ALL SELECT 272, hex(encode('<|endoftext|>')), true"""
+ORACLE["decode_tokens"] = """
+SELECT doc_id, md5(coalesce(text, '')) AS text_md5, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars
+FROM documents"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLE)

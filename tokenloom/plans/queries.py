@@ -12,10 +12,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.tokens import bytes_csv, bytes_to_ids, ids_csv, token_sum
+from ..functions.tokens import bytes_csv, bytes_to_ids, ids_csv, token_sum, utf8_bytes
 from ..functions import text as T
 from ..functions.numeric import round6
-from ..operators import clean, logs, manifest as M, sampling, stream
+from ..operators import bigram, bpe, clean, logs, manifest as M, sampling, stream
+from ..functions import tokens as tk
+from ..functions.tokens import decode_utf8, ids_to_bytes, out_of_range
 from ..sources.corpus import split_of, with_split, corpus_from_documents
 from . import fixtures as fx
 
@@ -306,5 +308,144 @@ def softmax_sample(spark, sf_dir):
     return s.select("grp", "item", round6("prob").alias("prob"), "n_items")
 
 
+# --- token stream, continued ---------------------------------------------------
+
+def _blocks(spark, sf_dir):
+    return stream.pack_sequences(stream.positions(fx.corpus(spark, sf_dir)), fx.BLOCK_SIZE)
+
+
+@query
+def rank_shards(spark, sf_dir):
+    r = stream.assign_ranks(_blocks(spark, sf_dir), fx.WORLD_SIZE)
+    return r.groupBy("split", "rank").agg(
+        F.count(F.lit(1)).alias("n_blocks"), F.sum("block").cast("long").alias("block_sum"),
+        F.sum(F.get(bytes_to_ids(F.substring("x", 1, 1)), 0)).cast("long").alias("x_first_sum"))
+
+
+@query
+def batch_rows(spark, sf_dir):
+    r = stream.assign_ranks(_blocks(spark, sf_dir), 1, fx.BATCH_SIZE)
+    return r.groupBy("split", "batch").agg(F.count(F.lit(1)).alias("n_rows"),
+                                           F.min("block").alias("first_block"),
+                                           F.max("block").alias("last_block"))
+
+
+def _doc_ids(spark, sf_dir):
+    return stream.doc_ids(fx.corpus(spark, sf_dir, keep_unused=True))
+
+
+@query
+def tail_context(spark, sf_dir):
+    d = _doc_ids(spark, sf_dir)
+    return d.select("doc_id", ids_csv(tk.tail_context(F.col("ids"), fx.BLOCK_SIZE)).alias("ids"))
+
+
+@query
+def truncate_at_stop(spark, sf_dir):
+    d = _doc_ids(spark, sf_dir)
+    return d.select("doc_id", ids_csv(tk.truncate_at_stop(F.col("ids"), fx.STOP_BYTE)).alias("ids"))
+
+
+@query
+def vocab_range_check(spark, sf_dir):
+    d = _doc_ids(spark, sf_dir)
+    return d.groupBy("shard_id").agg(
+        F.sum(out_of_range(F.col("ids"), fx.VOCAB_BYTES)).cast("long").alias("n_out_of_range"))
+
+
+@query
+def explode_tokens(spark, sf_dir):
+    return stream.explode_tokens(stream.positions(fx.corpus(spark, sf_dir)))
+
+
+@query
+def next_token_pairs(spark, sf_dir):
+    return stream.next_token_pairs(stream.positions(fx.corpus(spark, sf_dir)))
+
+
+@query
+def corpus_loss(spark, sf_dir):
+    l = bigram.corpus_loss(bigram.bigram_counts(fx.corpus(spark, sf_dir)), 256)
+    return l.select("n_targets", round6("loss").alias("loss"))
+
+
+# --- tokenizer ------------------------------------------------------------------
+
+BPE_MERGES = 16
+BPE_VOCAB = 256 + BPE_MERGES + 1
+
+
+def _train_text(spark, sf_dir):
+    docs = fx.documents(spark, sf_dir, ("doc_id", "text", "source"))
+    c = docs.withColumn("shard_id", F.regexp_extract("source", r"(\d+)$", 1).cast("int"))
+    return c.filter(F.col("shard_id") < fx.NUM_TRAIN)
+
+
+@query
+def pretoken_counts(spark, sf_dir):
+    return bpe.pretoken_counts(_train_text(spark, sf_dir))
+
+
+@query
+def bpe_pair_counts(spark, sf_dir):
+    return bpe.pair_counts(bpe.words_table(bpe.pretoken_counts(_train_text(spark, sf_dir))))
+
+
+def _model(spark, sf_dir):
+    return bpe.train_bpe(spark, bpe.pretoken_counts(_train_text(spark, sf_dir)), BPE_VOCAB)
+
+
+@query
+def bpe_train(spark, sf_dir):
+    return _model(spark, sf_dir).merges
+
+
+@query
+def top_pair(spark, sf_dir):
+    return bpe.top_pair(bpe_pair_counts(spark, sf_dir))
+
+
+@query
+def special_tokens(spark, sf_dir):
+    v = _model(spark, sf_dir).vocab
+    return v.filter((F.col("id") < 256) | F.col("special")).select(
+        "id", F.hex("token").alias("token_hex"), "special")
+
+
+@query
+def bpe_encode(spark, sf_dir):
+    m = bpe.merges_list(_model(spark, sf_dir))
+    docs = fx.documents(spark, sf_dir, ("doc_id", "text"))
+    e = bpe.encode_documents(docs, m)
+    return e.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
+                    F.md5(ids_csv(F.col("ids"))).alias("ids_md5"))
+
+
+@query
+def encode_corpus(spark, sf_dir):
+    m = bpe.merges_list(_model(spark, sf_dir))
+    c = fx.corpus(spark, sf_dir)
+    e = bpe.encode_documents(c.select("doc_id", decode_utf8(F.col("data")).alias("text")), m)
+    stream2 = c.select("split", "shard_id", "doc_id").join(e, "doc_id").select(
+        "split", "shard_id", "doc_id", ids_to_bytes(F.col("ids"), 2).alias("data"))
+    return stream.shard_token_counts(stream2.withColumn("shard", F.col("shard_id").cast("string")),
+                                     width=2)
+
+
+@query
+def token_to_id(spark, sf_dir):
+    model = _model(spark, sf_dir)
+    words = bpe.pretoken_counts(_train_text(spark, sf_dir)).select(
+        "word", utf8_bytes(F.col("word")).alias("token"))
+    return bpe.token_to_id(words, model.vocab).select("word", "id")
+
+
+@query
+def decode_tokens(spark, sf_dir):
+    c = fx.corpus(spark, sf_dir, keep_unused=True)
+    back = decode_utf8(ids_to_bytes(bytes_to_ids("data")))
+    return c.select("doc_id", F.md5(back).alias("text_md5"), F.length(back).cast("long").alias("n_chars"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
