@@ -103,55 +103,38 @@ def train_bpe(spark: SparkSession, counts: DataFrame, vocab_size: int,
     """K2: repeat (best pair -> merge everywhere) until the vocabulary is full
     or no pair reaches ``min_frequency``.
 
-    One Spark job per merge over the distinct-word table; only the winning
-    pair (one row) comes to the driver. Pair counts are updated
-    incrementally: only words that contain the merged pair are re-counted
-    (their old pairs subtracted, new pairs added). Lineage is cut with a
-    reliable checkpoint in the shared checkpoint folder every
-    ``checkpoint_every`` merges.
+    One Spark job per merge: pair counts over the distinct-word table (map-side
+    combined), of which only the winning pair (one row) reaches the driver.
+    Merges made since the last checkpoint are applied as a chain of literal
+    ``replace`` calls that Catalyst collapses into one projection; every
+    ``checkpoint_every`` merges the merged words are written as a reliable
+    checkpoint in the shared folder, which cuts the lineage and resets the
+    chain.
     """
     n_merges = vocab_size - 256 - len(specials)
     if n_merges < 0:
         raise ValueError("vocab_size too small for bytes and special tokens")
     checkpoint_dir(spark)
-    words = words_table(counts).persist(StorageLevel.MEMORY_AND_DISK)
-    words.count()
-    pairs = pair_counts(words, 1).persist(StorageLevel.MEMORY_AND_DISK)
+    base = words_table(counts).select("n", "s").persist(StorageLevel.MEMORY_AND_DISK)
+    held = [base]
+    s = F.col("s")
     merges, tokens = [], {i: bytes([i]) for i in range(256)}
     for rank in range(n_merges):
-        best = top_pair(pairs.filter(F.col("n") >= min_frequency)).collect()
+        words = base.select("n", s.alias("s"))
+        best = top_pair(pair_counts(words, min_frequency)).collect()
         if not best:
             break
         l, r, freq = best[0]["l"], best[0]["r"], int(best[0]["n"])
         new = 256 + rank
         merges.append((rank, l, r, new, freq))
         tokens[new] = tokens[l] + tokens[r]
-        pat = f"[{l}][{r}]"
-        hit = F.col("s").contains(pat)
-        changed = words.filter(hit)
-        delta = (changed.select(F.col("n").alias("w"), F.explode(_pairs(bracket_to_ids(F.col("s")))).alias("p"))
-                 .select("p.l", "p.r", (-F.col("w")).alias("n"))
-                 .unionByName(
-                     changed.select(F.col("n").alias("w"),
-                                    F.explode(_pairs(bracket_to_ids(_merge_expr(F.col("s"), l, r, new)))).alias("p"))
-                     .select("p.l", "p.r", F.col("w").alias("n"))))
-        new_pairs = (pairs.unionByName(delta).groupBy("l", "r")
-                     .agg(F.sum("n").cast("long").alias("n")).filter(F.col("n") > 0))
-        new_words = words.withColumn("s", F.when(hit, _merge_expr(F.col("s"), l, r, new))
-                                     .otherwise(F.col("s")))
+        s = _merge_expr(s, l, r, new)
         if (rank + 1) % checkpoint_every == 0:
-            new_words, new_pairs = new_words.checkpoint(), new_pairs.checkpoint()
-        else:
-            # materialise before the parents are released
-            new_words = new_words.persist(StorageLevel.MEMORY_AND_DISK)
-            new_pairs = new_pairs.persist(StorageLevel.MEMORY_AND_DISK)
-            new_pairs.count()
-            new_words.count()
-        words.unpersist()
-        pairs.unpersist()
-        words, pairs = new_words, new_pairs
-    words.unpersist()
-    pairs.unpersist()
+            base = base.select("n", s.alias("s")).checkpoint()
+            held.append(base)
+            s = F.col("s")
+    for h in held:
+        h.unpersist()
     n_done = len(merges)
     for i, sp in enumerate(specials):
         tokens[256 + n_done + i] = sp.encode("utf-8")

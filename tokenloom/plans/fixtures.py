@@ -127,3 +127,36 @@ def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "pages", ["page_id", "url"])
+
+
+def _scratch(spark: SparkSession, kind: str) -> str:
+    import uuid
+    from ..session import scratch_path
+    return scratch_path(spark, f"{kind}-{uuid.uuid4().hex[:12]}")
+
+
+def shard_text_files(spark: SparkSession, sf_dir: str, docs_per_file: int = 4096) -> str:
+    """Write the corpus as raw text files, one folder per shard (``shard=srcN``),
+    each file holding at most ``docs_per_file`` documents (one per line), and
+    return the folder. Files are derived from ``documents`` by Spark."""
+    out = _scratch(spark, "shardfiles")
+    d = documents(spark, sf_dir).select(F.col("source").alias("shard"), "doc_id", "text")
+    # sorted by (shard, doc_id) so the partitioned writer keeps document order
+    (d.repartition("shard", F.floor(F.col("doc_id") / docs_per_file))
+      .sortWithinPartitions("shard", "doc_id").select("shard", "text")
+      .write.partitionBy("shard").text(out))
+    return out
+
+
+def corpus_files(spark: SparkSession, sf_dir: str) -> str:
+    """The split corpus written as Parquet partitioned by shard (stream input)."""
+    out = _scratch(spark, "corpus")
+    corpus(spark, sf_dir).write.partitionBy("shard_id").parquet(out)
+    return out
+
+
+def log_files(spark: SparkSession, sf_dir: str) -> str:
+    """The training log written as Parquet partitioned by run (stream input)."""
+    out = _scratch(spark, "trainlog")
+    train_log(spark, sf_dir).write.partitionBy("run").parquet(out)
+    return out

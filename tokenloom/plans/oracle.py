@@ -409,3 +409,25 @@ FROM documents"""
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+# --- file sources, sinks and streams ---------------------------------------------------
+
+ORACLE["shard_files_scan"] = _with(CORPUS) + f"""
+SELECT shard, CAST(sum(n_tok + 1) AS BIGINT) AS n_tokens,
+       CAST(sum(coalesce(list_sum({BYTES('text')}), 0) + 10) AS BIGINT) AS token_sum
+FROM corpus_all GROUP BY shard"""
+ORACLE["text_scan"] = """
+SELECT source AS shard, CAST(sum(length(coalesce(text, '')) + 1) AS BIGINT) AS n_chars
+FROM documents GROUP BY source"""
+ORACLE["list_dir"] = _with(CORPUS) + """
+SELECT shard, CAST(sum(n_tok + 1) AS BIGINT) AS size FROM corpus_all GROUP BY shard"""
+ORACLE["token_sink"] = _with(CORPUS) + """
+SELECT split, count(*) AS n_docs, CAST(sum(n_tok) AS BIGINT) AS n_tokens FROM corpus GROUP BY split"""
+ORACLE["stream_ingest_shards"] = _with(CORPUS) + """
+SELECT shard_id, count(*) AS n_docs, CAST(sum(n_tok) AS BIGINT) AS n_tokens FROM corpus GROUP BY shard_id"""
+ORACLE["stream_token_totals"] = ORACLE["token_sink"].replace(
+    "count(*) AS n_docs, CAST(sum(n_tok) AS BIGINT) AS n_tokens",
+    "CAST(sum(n_tok) AS BIGINT) AS n_tokens, count(*) AS n_docs")
+ORACLE["stream_best_loss"] = """
+SELECT event_type AS run, min(CASE WHEN isnan(value) THEN NULL ELSE value END) AS best_loss,
+       count(*) AS n_rows FROM events GROUP BY event_type"""

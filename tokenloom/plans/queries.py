@@ -18,7 +18,9 @@ from ..functions.numeric import round6
 from ..operators import bigram, bpe, clean, logs, manifest as M, sampling, stream
 from ..functions import tokens as tk
 from ..functions.tokens import decode_utf8, ids_to_bytes, out_of_range
+from ..sources import files as FS
 from ..sources.corpus import split_of, with_split, corpus_from_documents
+from ..streaming import ingest as X
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -447,5 +449,108 @@ def decode_tokens(spark, sf_dir):
     return c.select("doc_id", F.md5(back).alias("text_md5"), F.length(back).cast("long").alias("n_chars"))
 
 
+# --- file sources and sinks -----------------------------------------------------
+
+def _shard_of_path(path_col):
+    return F.regexp_extract(path_col, r"shard=([^/]+)", 1)
+
+
+@query
+def shard_files_scan(spark, sf_dir):
+    """S1 through real files: every file under ``shard=srcN/`` read as binary."""
+    root = fx.shard_text_files(spark, sf_dir)
+    df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt")
+          .option("recursiveFileLookup", "true").load(root)
+          .select(_shard_of_path(F.col("path")).alias("shard"), F.col("content").alias("data")))
+    return df.groupBy("shard").agg(F.sum(F.octet_length("data")).cast("long").alias("n_tokens"),
+                                   F.sum(token_sum("data")).cast("long").alias("token_sum"))
+
+
+@query
+def text_scan(spark, sf_dir):
+    """Whole-file text records."""
+    root = fx.shard_text_files(spark, sf_dir)
+    df = (spark.read.option("recursiveFileLookup", "true")
+          .option("pathGlobFilter", "*.txt").text(root, wholetext=True)
+          .select(_shard_of_path(F.input_file_name()).alias("shard"), F.col("value").alias("text")))
+    return df.groupBy("shard").agg(F.sum(F.length("text")).cast("long").alias("n_chars"))
+
+
+@query
+def list_dir(spark, sf_dir):
+    """Listing with sizes, content never read."""
+    root = fx.shard_text_files(spark, sf_dir)
+    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+          .option("pathGlobFilter", "*.txt").load(root)
+          .select(_shard_of_path(F.col("path")).alias("shard"), "length"))
+    return df.groupBy("shard").agg(F.sum("length").cast("long").alias("size"))
+
+
+@query
+def token_sink(spark, sf_dir):
+    """Persist each split once, read back with partition pruning."""
+    out = fx._scratch(spark, "tokens")
+    FS.write_tokens(fx.corpus(spark, sf_dir).select("split", "shard_id", "doc_id", "data"), out)
+    back = FS.read_tokens(spark, out)
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"),
+                                     F.sum(F.octet_length("data")).cast("long").alias("n_tokens"))
+
+
+@query
+def tokenizer_tables(spark, sf_dir):
+    """Save and load vocabulary and merges."""
+    out = fx._scratch(spark, "tokenizer")
+    FS.save_tokenizer(_model(spark, sf_dir), out)
+    m = FS.load_tokenizer(spark, out)
+    return m.vocab.join(m.merges.select("id", "rank", "l", "r"), "id", "left").select(
+        "id", F.hex("token").alias("token_hex"), "special", "rank", "l", "r")
+
+
+# --- streaming --------------------------------------------------------------------
+
+def _stream_name(kind):
+    import uuid
+    return f"{kind}_{uuid.uuid4().hex[:10]}"
+
+
+@query
+def stream_ingest_shards(spark, sf_dir):
+    """Each new shard file decoded once into a Parquet sink."""
+    src = fx.corpus_files(spark, sf_dir)
+    sink, ck = fx._scratch(spark, "ingested"), fx._scratch(spark, "ingest-ck")
+    schema = spark.read.parquet(src).schema
+    s = (spark.readStream.schema(schema).parquet(src)
+         .withColumn("n_tok", F.octet_length("data").cast("long")))
+    q = (s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return (spark.read.parquet(sink).groupBy("shard_id")
+            .agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tok").cast("long").alias("n_tokens")))
+
+
+@query
+def stream_token_totals(spark, sf_dir):
+    """Token totals per split as shard files arrive (complete mode)."""
+    src = fx.corpus_files(spark, sf_dir)
+    schema = spark.read.parquet(src).schema
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(src)
+    num_val = max(1, round(fx.NUM_TRAIN * fx.VAL_PERCENT / 100))
+    agg = X.token_totals(s.drop("split"), fx.NUM_TRAIN, num_val, fx.VAL_START)
+    name = _stream_name("token_totals")
+    X.run_complete(agg, name, fx._scratch(spark, "totals-ck")).awaitTermination()
+    return spark.table(name)
+
+
+@query
+def stream_best_loss(spark, sf_dir):
+    """Best loss per run as log files arrive (complete mode)."""
+    src = fx.log_files(spark, sf_dir)
+    schema = spark.read.parquet(src).schema
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+    name = _stream_name("best_loss")
+    X.run_complete(X.best_loss(s), name, fx._scratch(spark, "best-ck")).awaitTermination()
+    return spark.table(name)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
