@@ -406,6 +406,15 @@ ORACLE["decode_tokens"] = """
 SELECT doc_id, md5(coalesce(text, '')) AS text_md5, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars
 FROM documents"""
 
+ORACLE["append_tokens"] = _with(CORPUS, DOC_BYTES) + f"""
+SELECT doc_id, array_to_string(list_append(l[greatest(len(l) - {B - 2}, 1):],
+       CAST((('0x' || substr(md5('{fx.SEED}:' || CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT % 256) AS INTEGER)),
+       ',') AS ids FROM db"""
+ORACLE["name_filter"] = "WITH " + MANIFEST.rstrip(",") + """
+SELECT line_no, f[-1] AS path FROM parts
+WHERE starts_with(f[-1], 'tok105/') AND ends_with(f[-1], '.bin')
+  AND regexp_extract(f[-1], '([^/]*)$', 1) <> 'data00.bin'"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -109,6 +109,16 @@ def parse_listing(spark, sf_dir):
     return _expected(spark, sf_dir)
 
 
+@query
+def name_filter(spark, sf_dir):
+    """Members under ``tok105/`` ending in ``.bin``, minus an exclude list."""
+    parts = F.split(F.trim(F.col("line")), r"\s+")
+    paths = fx.listing_lines(spark, sf_dir).select("line_no", F.element_at(parts, -1).alias("path"))
+    keep = (F.col("path").startswith("tok105/") & F.col("path").endswith(".bin")
+            & ~T.file_basename(F.col("path")).isin("data00.bin"))
+    return paths.filter(keep)
+
+
 @query
 def required_shards(spark, sf_dir):
     return _required(spark).join(
@@ -316,6 +326,17 @@ def _blocks(spark, sf_dir):
     return stream.pack_sequences(stream.positions(fx.corpus(spark, sf_dir)), fx.BLOCK_SIZE)
 
 
+@query
+def append_tokens(spark, sf_dir):
+    """T4: append one drawn id (md5 of seed:doc_id, mod 256) to each document's
+    last ``block_size - 1`` tokens."""
+    from ..functions.hashing import md5_int60
+    d = _doc_ids(spark, sf_dir)
+    tok = (md5_int60(F.lit(fx.SEED), F.col("doc_id")) % 256).cast("int")
+    return d.select("doc_id", ids_csv(tk.append_token(tk.tail_context(F.col("ids"), fx.BLOCK_SIZE - 1),
+                                                      tok)).alias("ids"))
+
+
 @query
 def rank_shards(spark, sf_dir):
     r = stream.assign_ranks(_blocks(spark, sf_dir), fx.WORLD_SIZE)

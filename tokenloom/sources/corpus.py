@@ -14,12 +14,13 @@ from ..functions.tokens import utf8_bytes
 
 
 def shard_id_of(source) -> "F.Column":
-    """Numeric shard id from a name ending in digits (``src12`` -> 12).
+    """Numeric shard id: the digits that end the name's stem (``src12`` -> 12,
+    ``data07.bin`` -> 7); NULL when there are none.
 
     Names sort as text (``src0, src1, src10``); the numeric id is the order key.
     """
-    return F.regexp_extract(F.col(source) if isinstance(source, str) else source,
-                            r"(\d+)$", 1).cast("int")
+    c = F.col(source) if isinstance(source, str) else source
+    return F.regexp_extract(c, r"(\d+)(\.[^./]*)?$", 1).try_cast("int")
 
 
 def shard_name(shard_id) -> "F.Column":

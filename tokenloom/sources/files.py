@@ -11,7 +11,11 @@ from .corpus import shard_id_of
 
 def list_dir(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``(file, size)`` of the files in a folder. Only metadata is read:
-    ``content`` is pruned, so files of any size are listed."""
+    ``content`` is pruned, so files of any size are listed.
+
+    Spark's file scan skips zero-length files, so an empty file is not listed
+    (for verification it then counts as missing rather than short; both mean
+    "extract again")."""
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -25,7 +29,8 @@ def read_shards(spark: SparkSession, path: str, glob: str = "data*.bin",
     file is one document (``doc_id = 0``) of its shard. With ``required``
     (a ``file`` column), a required file that is absent fails the job.
 
-    A file is read whole into one row (binaryFile's per-file limit applies).
+    A file is read whole into one row (binaryFile's per-file limit applies);
+    zero-length files are skipped by the scan (they hold no tokens).
     """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
           .select(file_basename(F.col("path")).alias("shard"), F.col("content").alias("data")))

@@ -19,9 +19,14 @@ from ..sources.corpus import shard_id_of, split_of
 from ..functions.tokens import token_count
 
 
+# The binaryFile source's fixed schema (a stream source must be given one).
+BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
 def shard_stream(spark: SparkSession, path: str, glob: str = "data*.bin",
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
+    r = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+         .option("pathGlobFilter", glob))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.load(path)
