@@ -21,9 +21,9 @@ stream_ingest_shards stream_token_totals stream_best_loss
 
 def test_entry_runs_on_smoke_data(spark):
     df = E.entry(spark)
-    assert df.columns == ["split", "block", "x", "y"]
+    assert df.columns == ["split", "block", "x_hex", "y_hex"]
     rows = df.limit(3).collect()
-    assert rows and all(len(r.x.split(",")) == 256 for r in rows)
+    assert rows and all(len(r.x_hex) == 2 * 256 and r.x_hex[2:] == r.y_hex[:-2] for r in rows)
 
 
 def test_every_inventory_key_is_registered():

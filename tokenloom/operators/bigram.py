@@ -8,13 +8,27 @@ table here is bounded by ``V**2`` rows, so the joins are small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.tokens import bytes_to_ids
 
 
 def bigram_counts(corpus: DataFrame, width: int = 1) -> DataFrame:
-    """``(split, a, b, n)``: adjacent id pairs inside documents (map-side combined)."""
+    """``(split, a, b, n)``: adjacent id pairs inside documents (map-side combined).
+
+    For byte tokens the pairs are formed on the Latin-1 view of the bytes
+    (one character per byte) with native ``split``/``arrays_zip`` only, and
+    turned into ids on the aggregated table (at most 65,536 rows per split).
+    """
+    if width == 1:
+        ch = F.split(F.decode("data", "ISO-8859-1"), "")
+        n = F.size("c")
+        pairs = corpus.select("split", ch.alias("c")).select(
+            "split", F.explode(F.arrays_zip(F.slice("c", 1, n - 1).alias("a"),
+                                            F.slice("c", 2, n - 1).alias("b"))).alias("p"))
+        agg = pairs.groupBy("split", F.col("p.a").alias("ca"), F.col("p.b").alias("cb")).agg(
+            F.count(F.lit(1)).alias("n"))
+        return agg.select("split", F.ascii("ca").alias("a"), F.ascii("cb").alias("b"), "n")
     a = bytes_to_ids("data", width)
     pairs = corpus.select("split", a.alias("ids")).select(
         "split", F.explode(F.zip_with(F.slice("ids", 1, F.size("ids") - 1),
@@ -26,11 +40,15 @@ def bigram_counts(corpus: DataFrame, width: int = 1) -> DataFrame:
 
 def corpus_loss(counts: DataFrame, vocab_size: int = 256, train: str = "train",
                 evaluate: str = "val") -> DataFrame:
-    tr = counts.filter(F.col("split") == train).select("a", "b", F.col("n").alias("c_ab"))
-    row = tr.groupBy("a").agg(F.sum("c_ab").alias("c_a"))
-    ev = counts.filter(F.col("split") == evaluate).select("a", "b", F.col("n").alias("m"))
-    p = ((F.coalesce("c_ab", F.lit(0)) + 1) / (F.coalesce("c_a", F.lit(0)) + vocab_size))
-    scored = ev.join(tr, ["a", "b"], "left").join(row, "a", "left").select(
-        "m", (-F.log(p) * F.col("m")).alias("nll"))
-    return scored.agg(F.sum("m").cast("long").alias("n_targets"),
-                      (F.sum("nll") / F.sum("m")).alias("loss"))
+    """One pass over the pair counts: train and evaluation counts side by side
+    per pair, the train row total by a window over ``a`` (the table has at
+    most ``V**2`` rows), then the mean negative log-likelihood."""
+    split = F.col("split")
+    pv = counts.groupBy("a", "b").agg(
+        F.sum(F.when(split == train, F.col("n")).otherwise(0)).alias("c_ab"),
+        F.sum(F.when(split == evaluate, F.col("n")).otherwise(0)).alias("m"))
+    pv = pv.withColumn("c_a", F.sum("c_ab").over(Window.partitionBy("a")))
+    p = (F.col("c_ab") + 1) / (F.col("c_a") + vocab_size)
+    return pv.filter(F.col("m") > 0).agg(
+        F.sum("m").cast("long").alias("n_targets"),
+        (F.sum(-F.log(p) * F.col("m")) / F.sum("m")).alias("loss"))

@@ -59,14 +59,17 @@ def bracket_ids(data) -> Column:
 
 
 def bracket_to_ids(s) -> Column:
+    """``[104][101]`` -> ``[104, 101]`` with native split and cast (no lambda)."""
     c = s if isinstance(s, Column) else F.col(s)
-    return F.transform(F.regexp_extract_all(c, F.lit(r"\[(\d+)\]"), 1), lambda x: x.cast("int"))
+    inner = F.substring(c, F.lit(2), F.length(c) - 2)
+    return F.when(F.length(c) == 0, F.array().cast("array<int>")).otherwise(
+        F.split(inner, r"\]\[").cast("array<int>"))
 
 
 def _pairs(ids: Column) -> Column:
+    """Adjacent ``(l, r)`` structs of an id array (native ``arrays_zip``)."""
     n = F.size(ids)
-    return F.zip_with(F.slice(ids, 1, n - 1), F.slice(ids, 2, n - 1),
-                      lambda a, b: F.struct(a.alias("l"), b.alias("r")))
+    return F.arrays_zip(F.slice(ids, 1, n - 1).alias("l"), F.slice(ids, 2, n - 1).alias("r"))
 
 
 def words_table(counts: DataFrame) -> DataFrame:

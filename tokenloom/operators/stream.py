@@ -35,20 +35,36 @@ def shard_token_counts(corpus: DataFrame, width: int = 1) -> DataFrame:
                .withColumn("split_tokens", F.sum("n_tokens").over(tot).cast("long")))
 
 
-def positions(corpus: DataFrame, width: int = 1, keep_data: bool = True) -> DataFrame:
-    """Each document's start offset ``pos`` and length ``n_tok`` in its split stream.
+def doc_offsets(corpus: DataFrame, width: int = 1) -> DataFrame:
+    """T2 on metadata: ``(split, shard_id, doc_id, n_tok, pos)``.
 
-    With ``keep_data=False`` only metadata is shuffled (for operators that
-    fetch a few documents' bytes later).
+    The per-document lengths are computed in one scan and written as a
+    reliable checkpoint (one small row per document) in the shared folder;
+    the bucketed prefix sum then reads that instead of rescanning the texts
+    for each of its levels, and a lost executor does not force a rescan.
     """
-    cols = ["split", "shard_id", "doc_id", token_count("data", width).alias("n_tok")]
-    if keep_data:
-        cols.append("data")
-    meta = corpus.select(*cols)
+    from ..session import checkpoint_dir
+    checkpoint_dir(corpus.sparkSession)
+    meta = corpus.select("split", "shard_id", "doc_id",
+                         token_count("data", width).alias("n_tok")).checkpoint()
     return exclusive_prefix(meta, "n_tok", group=["split"], major=["shard_id"],
                             key="doc_id", out="pos")
 
 
+def positions(corpus: DataFrame, width: int = 1, keep_data: bool = True) -> DataFrame:
+    """Each document's start offset ``pos`` and length ``n_tok`` in its split stream.
+
+    Offsets come from :func:`doc_offsets`; with ``keep_data`` they are joined
+    back to the documents by key (AQE broadcasts the offsets when they are
+    small, otherwise a sort-merge join on the unique document key: no skew).
+    """
+    off = doc_offsets(corpus, width)
+    if not keep_data:
+        return off
+    return corpus.select("split", "shard_id", "doc_id", "data").join(
+        off, ["split", "shard_id", "doc_id"])
+
+
 def _pieces(pos_df: DataFrame, unit: int, need: int, width: int, key: str) -> DataFrame:
     """Cut each document into the pieces that fall into windows ``[k*unit, k*unit+need)``.
 

@@ -43,6 +43,11 @@ tokens AS (
   FROM (SELECT split, pos, unnest(l) AS b, generate_subscripts(l, 1) AS i FROM tok_lists))"""
 
 
+def HEX(lst: str) -> str:
+    """Upper-case hex of a list of byte values (Spark's ``hex(binary)``)."""
+    return f"array_to_string(list_transform({lst}, lambda v: printf('%02X', v)), '')"
+
+
 def R6(expr: str) -> str:
     """Same 6-decimal rounding as ``functions.numeric.round6``."""
     return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), 6) AS DOUBLE)"
@@ -97,8 +102,8 @@ m AS (SELECT split, p // {B} AS block, p, b FROM tokens
       SELECT split, p // {B} - 1 AS block, p, b FROM tokens WHERE p % {B} = 0 AND p >= {B}),
 blk AS (SELECT split, block, list(b ORDER BY p) AS t FROM m GROUP BY split, block
         HAVING count(*) = {B + 1})""") + f"""
-SELECT split, CAST(block AS BIGINT) AS block, array_to_string(t[1:{B}], ',') AS x,
-       array_to_string(t[2:{B + 1}], ',') AS y FROM blk"""
+SELECT split, CAST(block AS BIGINT) AS block, {HEX('t[1:%d]' % B)} AS x_hex,
+       {HEX('t[2:%d]' % (B + 1))} AS y_hex FROM blk"""
 
 ORACLE["sample_windows"] = _with(CORPUS, TOKENS, f"""
 tot AS (SELECT split, CAST(sum(n_tok) AS BIGINT) AS n FROM corpus WHERE split = 'train' GROUP BY split),
@@ -113,8 +118,8 @@ w AS (SELECT sk.split, sk.step, sk.b, sk.start, list(t.b ORDER BY t.p) AS l
       FROM sk JOIN tokens t ON t.split = sk.split AND t.p // {B} = sk.k
       WHERE t.p BETWEEN sk.start AND sk.start + {B}
       GROUP BY sk.split, sk.step, sk.b, sk.start)""") + f"""
-SELECT split, step, b, start, array_to_string(l[1:{B}], ',') AS x,
-       array_to_string(l[2:{B + 1}], ',') AS y FROM w"""
+SELECT split, step, b, start, {HEX('l[1:%d]' % B)} AS x_hex,
+       {HEX('l[2:%d]' % (B + 1))} AS y_hex FROM w"""
 
 
 # --- manifest ----------------------------------------------------------------

