@@ -4,10 +4,13 @@ encoding and decoding.
 Id layout: bytes 0-255, then one id per merge in rank order, special tokens
 last (``n_merges = vocab_size - 256 - n_special``).
 
-A word's ids are kept as a bracketed string (``[104][101][108]``) while
-merging: a merge of ``(l, r)`` into ``n`` is the literal, left-to-right,
-non-overlapping ``replace('[l][r]', '[n]')`` — exactly BPE's merge rule —
-and it runs inside the JVM with no UDF.
+Token sequences are strings with one code point per token: a byte is its
+ISO-8859-1 character (U+0000-00FF) and merge ``k`` is U+0100+k, i.e. the
+code point equals the token id. A merge of ``(l, r)`` into ``n`` is then the
+literal, left-to-right, non-overlapping ``replace(chr(l)+chr(r), chr(n))`` —
+exactly BPE's merge rule — and ``encode(s, 'UTF-16LE')`` is the uint16 token
+stream. Pre-token boundaries inside a document are U+FFFF, which no pattern
+contains, so no merge crosses them. Everything runs in the JVM, no UDF.
 """
 
 from __future__ import annotations
@@ -34,6 +37,14 @@ MIN_FREQUENCY = 2
 # -----------------------------------------------------------------------------
 
 _LATIN1 = "ISO-8859-1"
+SEP = "\uffff"
+MAX_ID = 0xD7FF          # ids must be BMP code points below the surrogates
+
+
+def _tok(i: int) -> str:
+    if not 0 <= i <= MAX_ID:
+        raise ValueError(f"token id {i} outside 0..{MAX_ID}")
+    return chr(i)
 
 
 def pretokens(text) -> Column:
@@ -49,40 +60,44 @@ def pretoken_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
-def bracket_ids(data) -> Column:
-    """BINARY bytes -> ``[b0][b1]...`` with the byte values."""
-    b = data if isinstance(data, Column) else F.col(data)
-    chars = F.split(F.decode(b, _LATIN1), "")
-    return F.when(F.octet_length(b) == 0, F.lit("")).otherwise(
-        F.array_join(F.transform(chars, lambda c: F.concat(F.lit("["), F.ascii(c).cast("string"),
-                                                           F.lit("]"))), ""))
+def byte_chars(text) -> Column:
+    """A string's UTF-8 bytes as one ISO-8859-1 character each (token = byte)."""
+    t = text if isinstance(text, Column) else F.col(text)
+    return F.decode(utf8_bytes(t), _LATIN1)
 
 
-def bracket_to_ids(s) -> Column:
-    """``[104][101]`` -> ``[104, 101]`` with native split and cast (no lambda)."""
+def token_ids(s) -> Column:
+    """Token string -> ARRAY<INT> (each code point is an id)."""
     c = s if isinstance(s, Column) else F.col(s)
-    inner = F.substring(c, F.lit(2), F.length(c) - 2)
     return F.when(F.length(c) == 0, F.array().cast("array<int>")).otherwise(
-        F.split(inner, r"\]\[").cast("array<int>"))
+        F.transform(F.split(c, ""), lambda x: F.ascii(x)))
 
 
-def _pairs(ids: Column) -> Column:
-    """Adjacent ``(l, r)`` structs of an id array (native ``arrays_zip``)."""
-    n = F.size(ids)
-    return F.arrays_zip(F.slice(ids, 1, n - 1).alias("l"), F.slice(ids, 2, n - 1).alias("r"))
+def token_stream(s) -> Column:
+    """Token string -> BINARY little-endian uint16 stream (width 2)."""
+    c = s if isinstance(s, Column) else F.col(s)
+    return F.encode(c, "UTF-16LE")
 
 
 def words_table(counts: DataFrame) -> DataFrame:
-    """``(word, n, s)`` with ``s`` the bracketed byte ids of the word."""
-    return counts.select("word", "n", bracket_ids(utf8_bytes(F.col("word"))).alias("s"))
+    """``(word, n, s)`` with ``s`` the word's byte tokens."""
+    return counts.select("word", "n", byte_chars(F.col("word")).alias("s"))
 
 
 def pair_counts(words: DataFrame, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
-    """K1: adjacent-pair frequency weighted by word count, ``n >= min_frequency``."""
-    p = (words.select("n", F.explode(_pairs(bracket_to_ids(F.col("s")))).alias("p"))
-              .groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r"))
+    """K1: adjacent-pair frequency weighted by word count, ``n >= min_frequency``.
+
+    Pairs are formed with native ``split``/``arrays_zip`` on the token string
+    and turned into ids only on the aggregated pair table."""
+    ch = F.split(F.col("s"), "")
+    n = F.size("c")
+    p = (words.select("n", ch.alias("c"))
+              .select("n", F.explode(F.arrays_zip(F.slice("c", 1, n - 1).alias("a"),
+                                                  F.slice("c", 2, n - 1).alias("b"))).alias("p"))
+              .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
               .agg(F.sum("n").cast("long").alias("n")))
-    return p.filter(F.col("n") >= min_frequency)
+    return p.filter(F.col("n") >= min_frequency).select(
+        F.ascii("a").alias("l"), F.ascii("b").alias("r"), "n")
 
 
 def top_pair(pairs: DataFrame) -> DataFrame:
@@ -97,7 +112,7 @@ class BpeModel:
 
 
 def _merge_expr(s: Column, l: int, r: int, new: int) -> Column:
-    return F.replace(s, F.lit(f"[{l}][{r}]"), F.lit(f"[{new}]"))
+    return F.replace(s, F.lit(_tok(l) + _tok(r)), F.lit(_tok(new)))
 
 
 def train_bpe(spark: SparkSession, counts: DataFrame, vocab_size: int,
@@ -117,6 +132,8 @@ def train_bpe(spark: SparkSession, counts: DataFrame, vocab_size: int,
     n_merges = vocab_size - 256 - len(specials)
     if n_merges < 0:
         raise ValueError("vocab_size too small for bytes and special tokens")
+    if vocab_size - 1 > MAX_ID:
+        raise ValueError(f"vocab_size above {MAX_ID + 1} is not supported")
     checkpoint_dir(spark)
     base = words_table(counts).select("n", "s").persist(StorageLevel.MEMORY_AND_DISK)
     held = [base]
@@ -154,44 +171,49 @@ def merges_list(model: BpeModel) -> list[tuple[int, int, int]]:
     return [(r["l"], r["r"], r["id"]) for r in model.merges.orderBy("rank").collect()]
 
 
+CHAIN_LIMIT = 256
+
+
 def apply_merges(s: Column, merges: list[tuple[int, int, int]]) -> Column:
-    """Fold the ordered merges over a bracketed id string.
+    """Apply the ordered merges to a token string.
 
     Applying every merge in rank order equals BPE's "lowest-rank pair first"
-    loop: a pair created by merge k can only have a rank above k.
+    loop: a pair created by merge k can only have a rank above k. Up to
+    ``CHAIN_LIMIT`` merges are a chain of native ``replace`` calls; longer
+    lists fold over literal arrays of ``CHAIN_LIMIT`` merges each.
     """
-    if not merges:
+    if len(merges) <= CHAIN_LIMIT:
+        for l, r, n in merges:
+            s = _merge_expr(s, l, r, n)
         return s
-    arr = F.array(*[F.struct(F.lit(f"[{l}][{r}]").alias("pat"), F.lit(f"[{n}]").alias("rep"))
-                    for l, r, n in merges])
-    return F.aggregate(arr, s, lambda acc, m: F.replace(acc, m["pat"], m["rep"]))
+    for i in range(0, len(merges), CHAIN_LIMIT):
+        part = merges[i:i + CHAIN_LIMIT]
+        arr = F.array(*[F.struct(F.lit(_tok(l) + _tok(r)).alias("pat"), F.lit(_tok(n)).alias("rep"))
+                        for l, r, n in part])
+        s = F.aggregate(arr, s, lambda acc, m: F.replace(acc, m["pat"], m["rep"]))
+    return s
 
 
-def encode_words(words: DataFrame, merges: list[tuple[int, int, int]], word: str = "word",
-                 batch: int = 256) -> DataFrame:
-    """K3 on distinct words: ``(word, ids ARRAY<INT>)``. Long merge lists are
-    applied in batches of ``batch`` (one fold per batch)."""
-    s = bracket_ids(utf8_bytes(F.col(word)))
-    for i in range(0, max(len(merges), 1), batch):
-        s = apply_merges(s, merges[i:i + batch])
-    return words.select(word, bracket_to_ids(s).alias("ids"))
+def encode_text(text, merges: list[tuple[int, int, int]]) -> Column:
+    """K3 as one expression: text -> token string (code point = id).
 
+    Pre-tokens are joined with U+FFFF so no merge crosses a boundary; the
+    separators are dropped after the merges."""
+    words = F.transform(pretokens(text), lambda w: byte_chars(w))
+    s = apply_merges(F.array_join(words, SEP), merges)
+    return F.replace(s, F.lit(SEP), F.lit(""))
 
-def encode_documents(docs: DataFrame, merges: list[tuple[int, int, int]], key: str = "doc_id",
-                     text: str = "text") -> DataFrame:
-    """K3: text -> ids per document.
 
-    Pre-tokens are encoded once per distinct word and joined back (AQE splits
-    a hot word's join partition), then re-assembled per document in order.
-    """
-    occ = docs.select(key, F.posexplode(pretokens(text)).alias("wpos", "word"))
-    enc = encode_words(occ.select("word").distinct(), merges)
-    joined = occ.join(enc, "word")
-    ordered = F.array_sort(F.collect_list(F.struct("wpos", "ids")))
-    per_doc = joined.groupBy(key).agg(F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
-    # documents without any pre-token keep an empty array
-    return (docs.select(key).join(per_doc, key, "left")
-                .select(key, F.coalesce("ids", F.array().cast("array<int>")).alias("ids")))
+def encode_documents(docs: DataFrame, merges: list[tuple[int, int, int]], key: str = "doc_id",
+                     text: str = "text", as_arrays: bool = True) -> DataFrame:
+    """K3: text -> ids per document, row by row (no shuffle).
+
+    ``as_arrays`` gives ``ids ARRAY<INT>``; otherwise ``data`` is the uint16
+    little-endian stream (the format a training loader reads)."""
+    enc = encode_text(F.col(text), merges)
+    if as_arrays:
+        return docs.select(key, token_ids(enc).alias("ids"))
+    return docs.select(key, token_stream(enc).alias("data"))
 
 
 def token_to_id(tokens: DataFrame, vocab: DataFrame, token: str = "token") -> DataFrame:

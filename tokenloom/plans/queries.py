@@ -449,18 +449,18 @@ def special_tokens(spark, sf_dir):
 def bpe_encode(spark, sf_dir):
     m = bpe.merges_list(_model(spark, sf_dir))
     docs = fx.documents(spark, sf_dir, ("doc_id", "text"))
-    e = bpe.encode_documents(docs, m)
-    return e.select("doc_id", F.size("ids").cast("long").alias("n_ids"),
-                    F.md5(ids_csv(F.col("ids"))).alias("ids_md5"))
+    e = bpe.encode_documents(docs, m, as_arrays=False)
+    # data: uint16 little-endian ids; digest of the stream bytes
+    return e.select("doc_id", (F.octet_length("data") / 2).cast("long").alias("n_ids"),
+                    F.md5("data").alias("ids_md5"))
 
 
 @query
 def encode_corpus(spark, sf_dir):
     m = bpe.merges_list(_model(spark, sf_dir))
     c = fx.corpus(spark, sf_dir)
-    e = bpe.encode_documents(c.select("doc_id", decode_utf8(F.col("data")).alias("text")), m)
-    stream2 = c.select("split", "shard_id", "doc_id").join(e, "doc_id").select(
-        "split", "shard_id", "doc_id", ids_to_bytes(F.col("ids"), 2).alias("data"))
+    stream2 = c.select("split", "shard_id", "doc_id",
+                       bpe.token_stream(bpe.encode_text(decode_utf8(F.col("data")), m)).alias("data"))
     return stream.shard_token_counts(stream2.withColumn("shard", F.col("shard_id").cast("string")),
                                      width=2)
 
