@@ -14,6 +14,12 @@ from .prefix import prefix_aggregates
 INF = float("inf")
 
 
+def _seconds_between(start, end):
+    """Seconds from ``start`` to ``end``; works for TIMESTAMP and TIMESTAMP_NTZ
+    without going through the session time zone."""
+    return F.timestamp_diff("MICROSECOND", start, end) / 1e6
+
+
 def _finite_or_null(c):
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
 
@@ -38,7 +44,7 @@ def best_summary(log: DataFrame) -> DataFrame:
         F.max_by("loss", "step").alias("final_loss"),
         F.min(_finite_or_null(F.col("loss"))).alias("best_loss"),
         F.count(F.lit(1)).alias("n_steps"),
-        ((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / 1e6).alias("total_seconds"),
+        _seconds_between(F.min("ts"), F.max("ts")).alias("total_seconds"),
     )
 
 
@@ -71,8 +77,8 @@ def step_timing(log: DataFrame, max_steps: int | None = None) -> DataFrame:
                           group=["run"], major=[], key="step")
     total = F.lit(max_steps) if max_steps else F.col("_smax")
     return (d.join(runs, "run")
-             .withColumn("elapsed_s", (F.unix_micros("ts") - F.unix_micros("_t0")) / 1e6)
-             .withColumn("dt_s", (F.unix_micros("ts") - F.unix_micros("_prev_ts")) / 1e6)
+             .withColumn("elapsed_s", _seconds_between(F.col("_t0"), F.col("ts")))
+             .withColumn("dt_s", _seconds_between(F.col("_prev_ts"), F.col("ts")))
              .withColumn("pct_done", F.when(total > 0, F.col("step") * 100.0 / total))
              .drop("_t0", "_smax", "_prev_ts"))
 

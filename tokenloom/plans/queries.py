@@ -564,7 +564,7 @@ def stream_token_totals(spark, sf_dir):
     """Token totals per split as shard files arrive (complete mode)."""
     src = fx.corpus_files(spark, sf_dir)
     schema = spark.read.parquet(src).schema
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(src)
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(src)
     num_val = max(1, round(fx.NUM_TRAIN * fx.VAL_PERCENT / 100))
     agg = X.token_totals(s.drop("split"), fx.NUM_TRAIN, num_val, fx.VAL_START)
     name = _stream_name("token_totals")
@@ -577,7 +577,7 @@ def stream_best_loss(spark, sf_dir):
     """Best loss per run as log files arrive (complete mode)."""
     src = fx.log_files(spark, sf_dir)
     schema = spark.read.parquet(src).schema
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src)
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(src)
     name = _stream_name("best_loss")
     X.run_complete(X.best_loss(s), name, fx._scratch(spark, "best-ck")).awaitTermination()
     return spark.table(name)
