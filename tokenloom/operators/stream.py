@@ -139,59 +139,69 @@ def split_totals(pos_df: DataFrame) -> DataFrame:
     return pos_df.groupBy("split").agg(F.sum("n_tok").cast("long").alias("n_total"))
 
 
+# Largest side we broadcast after measuring it (rows x estimated row bytes).
+BROADCAST_LIMIT_BYTES = 64 << 20
+
+
 def sample_windows(corpus: DataFrame, block_size: int, batch_size: int, steps: int,
                    seed: int = 0, split: str = "train", width: int = 1,
                    as_arrays: bool = False, bucket: int = 1 << 16) -> DataFrame:
     """``batch_size`` random windows per step, uniform with replacement.
 
-    Start ``i`` = md5(seed:split:step:b) as a 60-bit integer modulo ``N - B``;
-    ``x = stream[i, i+B)``, ``y = stream[i+1, i+B+1)``. Documents are matched
-    to windows by an equi-join on a coarse position bucket (a range join made
-    equi), on metadata only; then just the matched documents' bytes are read.
-    The sample table is bounded by ``steps * batch_size``.
+    Start ``i`` = md5(seed:split:step:b) as a 60-bit integer modulo ``N - B``
+    (``N`` from a scalar subquery); ``x = stream[i, i+B)``,
+    ``y = stream[i+1, i+B+1)``. Windows are matched to documents by an
+    equi-join on a coarse position bucket (a range join made equi) over
+    metadata only; the window side (at most two rows per sample) is
+    broadcast. The matched pieces are checkpointed and counted; they are
+    broadcast to the corpus scan only when that measured size is under
+    ``BROADCAST_LIMIT_BYTES`` (otherwise a shuffle join), so only the matched
+    documents' bytes are read and the corpus is not shuffled.
     """
     B = block_size
+    need = B + 1
+    if bucket < need:
+        raise ValueError("bucket must be at least block_size + 1")
     spark = corpus.sparkSession
     corpus = corpus.filter(F.col("split") == split)
     meta = positions(corpus, width, keep_data=False)
-    tot = split_totals(meta)
-    samples = (spark.range(steps * batch_size)
-               .select(F.lit(split).alias("split"),
-                       F.expr(f"id div {batch_size}").alias("step"),
-                       F.expr(f"id % {batch_size}").alias("b"))
-               .join(tot, "split")
-               .withColumn("start", F.when(F.col("n_total") > B,
-                                           md5_int60(F.lit(seed), F.col("split"), F.col("step"),
-                                                     F.col("b")) % (F.col("n_total") - B))
-                           .otherwise(F.raise_error(F.lit("sample space is empty: N <= block_size"))))
-               .select("split", "step", "b", "start",
-                       F.explode(F.sequence(F.expr(f"start div {bucket}"),
-                                            F.expr(f"(start + {B}) div {bucket}"))).alias("bk")))
+    n_total = split_totals(meta).select("n_total").scalar()
+    starts = spark.range(steps * batch_size).select(
+        F.lit(split).alias("split"),
+        F.expr(f"id div {batch_size}").alias("step"),
+        F.expr(f"id % {batch_size}").alias("b"),
+        F.when(n_total > B, md5_int60(F.lit(seed), F.lit(split), F.expr(f"id div {batch_size}"),
+                                      F.expr(f"id % {batch_size}")) % (n_total - B))
+         .otherwise(F.raise_error(F.lit("sample space is empty: N <= block_size"))).alias("start"))
+    # at most two buckets per window (bucket > B): bounded by 2 * steps * batch_size rows
+    wins = starts.select("*", F.explode(F.sequence(
+        F.expr(f"start div {bucket}"), F.expr(f"(start + {B}) div {bucket}"))).alias("bk"))
     docs = (meta.filter(F.col("n_tok") > 0)
             .select("split", "shard_id", "doc_id", "pos", "n_tok",
                     F.explode(F.sequence(F.expr(f"pos div {bucket}"),
                                          F.expr(f"(pos + n_tok - 1) div {bucket}"))).alias("bk")))
-    need = B + 1
-    hit = (samples.join(docs, ["split", "bk"])
-           .filter((F.col("pos") < F.col("start") + need)
-                   & (F.col("pos") + F.col("n_tok") > F.col("start")))
-           .dropDuplicates(["split", "step", "b", "shard_id", "doc_id"]))
-    lo = F.greatest(F.col("pos"), F.col("start"))
-    hi = F.least(F.col("pos") + F.col("n_tok"), F.col("start") + need)
-    pieces = (hit.select("split", "step", "b", "shard_id", "doc_id", "pos",
-                         lo.alias("lo"), hi.alias("hi"))
+    pos, n, st = F.col("pos"), F.col("n_tok"), F.col("start")
+    lo = F.greatest(pos, st)
+    hi = F.least(pos + n, st + need)
+    hits = (docs.join(F.broadcast(wins), ["split", "bk"])
+            # overlapping, and counted once: in the bucket where the overlap starts
+            .filter((pos < st + need) & (pos + n > st)
+                    & (F.col("bk") == F.floor(lo / bucket)))
+            .select("split", "step", "b", "start", "shard_id", "doc_id", "pos",
+                    lo.alias("lo"), hi.alias("hi"))
+            .checkpoint())
+    small = hits.count() * 80 <= BROADCAST_LIMIT_BYTES
+    pieces = ((F.broadcast(hits) if small else hits)
               .join(corpus.select("split", "shard_id", "doc_id", "data"),
                     ["split", "shard_id", "doc_id"])
-              .select("split", "step", "b", "lo",
-                      F.col("data").substr(((F.col("lo") - F.col("pos")) * width + 1).cast("int"),
+              .select("split", "step", "b", "start", "lo",
+                      F.col("data").substr(((F.col("lo") - pos) * width + 1).cast("int"),
                                            ((F.col("hi") - F.col("lo")) * width).cast("int"))
                       .alias("piece")))
-    win = _assemble(pieces, ["split", "step", "b"])
-    starts = samples.select("split", "step", "b", "start").dropDuplicates()
-    out = (win.join(starts, ["split", "step", "b"])
-           .select("split", "step", "b", "start",
-                   F.col("buf").substr(1, B * width).alias("x"),
-                   F.col("buf").substr(width + 1, B * width).alias("y")))
+    win = _assemble(pieces, ["split", "step", "b", "start"])
+    out = win.select("split", "step", "b", "start",
+                     F.col("buf").substr(1, B * width).alias("x"),
+                     F.col("buf").substr(width + 1, B * width).alias("y"))
     if as_arrays:
         out = out.select("split", "step", "b", "start", bytes_to_ids("x", width).alias("x"),
                          bytes_to_ids("y", width).alias("y"))
