@@ -146,3 +146,9 @@ def test_no_pair_left_stops_early(spark):
     m = bpe.train_bpe(spark, counts, 256 + 10 + 1)
     assert m.merges.count() == 0
     assert {r.id for r in m.vocab.filter("special").collect()} == {256}
+
+
+def test_decode_specials_and_cut_characters(spark, model):
+    seqs = spark.createDataFrame([(1, [104, 105, 268]), (2, [195]), (3, [])], "doc_id BIGINT, ids ARRAY<INT>")
+    got = {r.doc_id: r.text for r in bpe.decode_ids(seqs, model.vocab).collect()}
+    assert got == {1: "hi<|endoftext|>", 2: "�", 3: ""}

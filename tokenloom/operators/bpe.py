@@ -222,12 +222,25 @@ def token_to_id(tokens: DataFrame, vocab: DataFrame, token: str = "token") -> Da
 
 
 def decode_ids(seqs: DataFrame, vocab: DataFrame, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """Ids -> text in order, through the vocabulary; a cut multi-byte
-    character becomes U+FFFD instead of failing."""
-    ex = seqs.select(key, F.posexplode(ids).alias("i", "id"))
-    joined = ex.join(F.broadcast(vocab.select("id", "token")), "id")
-    ordered = F.array_sort(F.collect_list(F.struct("i", F.decode("token", _LATIN1).alias("t"))))
-    buf = F.encode(F.array_join(F.transform(ordered, lambda x: x["t"]), ""), _LATIN1)
-    out = joined.groupBy(key).agg(F.make_valid_utf8(buf.cast("string")).alias("text"))
-    return (seqs.select(key).join(out, key, "left")
-                .select(key, F.coalesce("text", F.lit("")).alias("text")))
+    """Ids -> text in order, row by row (no explode, no shuffle).
+
+    The ids become a string with one code point per id (their uint16 stream
+    read as UTF-16LE); every id above 255 is expanded to its bytes by a
+    literal ``replace`` (the vocabulary is bounded by its size and is
+    collected once); the bytes are read back as UTF-8, where a cut multi-byte
+    character becomes U+FFFD instead of failing.
+    """
+    from ..functions.tokens import ids_to_bytes
+    expand = [(r["id"], bytes(r["token"])) for r in vocab.filter(F.col("id") > 255).collect()]
+    s = F.decode(ids_to_bytes(F.col(ids), 2), "UTF-16LE")
+    for i in range(0, len(expand), CHAIN_LIMIT):
+        part = expand[i:i + CHAIN_LIMIT]
+        if len(expand) <= CHAIN_LIMIT:
+            for tid, tok in part:
+                s = F.replace(s, F.lit(_tok(tid)), F.lit(tok.decode(_LATIN1)))
+        else:
+            arr = F.array(*[F.struct(F.lit(_tok(t)).alias("pat"), F.lit(b.decode(_LATIN1)).alias("rep"))
+                            for t, b in part])
+            s = F.aggregate(arr, s, lambda acc, m: F.replace(acc, m["pat"], m["rep"]))
+    text = F.make_valid_utf8(F.encode(s, _LATIN1).cast("string"))
+    return seqs.select(key, F.coalesce(text, F.lit("")).alias("text"))
