@@ -141,3 +141,28 @@ def test_assign_ranks_and_batches(spark):
     for x in r:
         assert x.rank == x.block % 4 and x.local == x.block // 4
         assert x.batch == x.local // 2 and x.row == x.local % 2
+
+
+@pytest.mark.parametrize("fanout", [2, 5])
+def test_exclusive_prefix_with_major_level(spark, fanout):
+    from tokenloom.operators.prefix import exclusive_prefix
+    rnd = random.Random(fanout)
+    rows = [("s", sh, d, rnd.randint(0, 9)) for sh in (3, 1, 2) for d in rnd.sample(range(100), 25)]
+    df = spark.createDataFrame(rows, "g STRING, sh INT, d BIGINT, v BIGINT")
+    got = {(r.sh, r.d): r.off for r in
+           exclusive_prefix(df, "v", group=["g"], major=["sh"], key="d", out="off", fanout=fanout).collect()}
+    acc = 0
+    for _, sh, d, v in sorted(rows, key=lambda r: (r[1], r[2])):
+        assert got[(sh, d)] == acc
+        acc += v
+
+
+def test_pack_u16_stream(spark):
+    ids = {0: [1, 300, 65535, 7], 1: [], 2: [9, 8, 7, 6, 5, 4, 3]}
+    data = [("train", 0, k, bytearray(b"".join(i.to_bytes(2, "little") for i in v))) for k, v in ids.items()]
+    c = spark.createDataFrame(data, "split STRING, shard_id INT, doc_id BIGINT, data BINARY")
+    pos = stream.positions(c, width=2)
+    got = {r.block: (r.x, r.y) for r in stream.pack_sequences(pos, 3, width=2, as_arrays=True).collect()}
+    s = [t for k in sorted(ids) for t in ids[k]]
+    want = {k: (s[3 * k:3 * k + 3], s[3 * k + 1:3 * k + 4]) for k in range((len(s) - 1) // 3)}
+    assert got == want
