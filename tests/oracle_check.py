@@ -82,8 +82,15 @@ def main(argv):
     names = [a for a in argv[1:] if not a.startswith("/")]
     import __spark_entry__ as E
     from tokenloom.session import get_spark
-    spark = get_spark("local[8]", conf={"spark.sql.shuffle.partitions": "8",
-                                        "spark.driver.memory": "16g"})
+    if os.environ.get("PLAIN_SESSION"):
+        # a session without this library's defaults (as another driver may build it)
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.sql.session.timeZone", os.environ.get("PLAIN_TZ", "America/New_York"))
+                 .getOrCreate())
+    else:
+        spark = get_spark("local[8]", conf={"spark.sql.shuffle.partitions": "8",
+                                            "spark.driver.memory": "16g"})
     con = duck(sf_dir)
     qs, ors = E.queries(), E.oracle_sql()
     bad = 0

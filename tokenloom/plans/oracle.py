@@ -389,13 +389,15 @@ PRETOKEN_RE2 = (r"'s|'t|'re|'ve|'m|'ll|'d|\x01? ?\p{L}+|\x01? ?\p{N}+"
                 rf"|\x01? ?[^{_WSC}\p{{L}}\p{{N}}\x01]+|\x01?[{_WSC}]+")
 MARK = f"regexp_replace(text, '([{_WSC}])([^{_WSC}])', chr(1) || '\\1\\2', 'g')"
 
-WORDS = f"""
+WORDS_WC = f"""
 train_text AS (SELECT text FROM documents
                WHERE CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) < {fx.NUM_TRAIN}),
 marked AS (SELECT {MARK} AS t FROM train_text),
 wc AS (SELECT word, count(*) AS n FROM (
          SELECT replace(unnest(regexp_extract_all(t, '{_sq(PRETOKEN_RE2)}')), chr(1), '') AS word
-         FROM marked) GROUP BY word),
+         FROM marked) GROUP BY word)"""
+
+WORDS = WORDS_WC + f""",
 wb AS (SELECT {BYTES('word')} AS l, n FROM wc),
 pc AS (SELECT pl AS l, pr AS r, CAST(sum(n) AS BIGINT) AS n FROM (
          SELECT unnest(l[1:len(l) - 1]) AS pl, unnest(l[2:len(l)]) AS pr, n FROM wb)
@@ -421,6 +423,105 @@ WHERE starts_with(f[-1], 'tok105/') AND ends_with(f[-1], '.bin')
   AND regexp_extract(f[-1], '([^/]*)$', 1) <> 'data00.bin'"""
 
 
+# --- BPE training, unrolled -------------------------------------------------------
+# Same representation as the Spark code: one code point per token (byte b is
+# chr(b), merge k is chr(256 + k)), a merge is a literal replace. Each level
+# is materialised so the unrolled chain stays linear.
+
+NOMATCH = "chr(65534) || chr(65534)"
+
+
+def _chars(expr: str) -> str:
+    return f"array_to_string(list_transform({BYTES(expr)}, lambda b: chr(b)), '')"
+
+
+def _pat(k: int) -> str:
+    return f"coalesce((SELECT p FROM best_{k}), {NOMATCH})"
+
+
+def _bpe_ctes(n_merges: int) -> str:
+    parts = [WORDS_WC, f"""
+w_0 AS MATERIALIZED (SELECT n, {_chars('word')} AS s FROM wc)"""]
+    for k in range(n_merges):
+        parts.append(f"""
+pc_{k} AS MATERIALIZED (
+  SELECT p, sum(n) AS n FROM (
+    SELECT n, unnest(list_transform(range(1, length(s)), lambda i: substr(s, i, 2))) AS p FROM w_{k})
+  GROUP BY p),
+best_{k} AS MATERIALIZED (
+  SELECT p, CAST(n AS BIGINT) AS freq, unicode(substr(p, 1, 1)) AS l, unicode(substr(p, 2, 1)) AS r
+  FROM pc_{k} WHERE n >= 2 ORDER BY n DESC, l, r LIMIT 1),
+w_{k + 1} AS MATERIALIZED (SELECT n, replace(s, {_pat(k)}, chr({256 + k})) AS s FROM w_{k})""")
+    parts.append("""
+merges AS (""" + "\n  UNION ALL ".join(
+        f"SELECT {k} AS rank, l, r, {256 + k} AS id, freq FROM best_{k}" for k in range(n_merges)) + ")")
+    return ",".join(parts)
+
+
+def _encode_sql(text: str, n_merges: int) -> str:
+    """Encoded token string of ``text`` (pre-tokens joined by U+FFFF while merging)."""
+    marked = f"regexp_replace({text}, '([{_WSC}])([^{_WSC}])', chr(1) || '\\1\\2', 'g')"
+    words = (f"list_transform(regexp_extract_all({marked}, '{_sq(PRETOKEN_RE2)}'), "
+             f"lambda w: replace(w, chr(1), ''))")
+    s = f"array_to_string(list_transform({words}, lambda w: {_chars('w')}), chr(65535))"
+    for k in range(n_merges):
+        s = f"replace({s}, {_pat(k)}, chr({256 + k}))"
+    return f"replace({s}, chr(65535), '')"
+
+
+_NM = 16   # merges of the registered tokenizer (queries.BPE_MERGES)
+BPE = _bpe_ctes(_NM)
+
+ORACLE["bpe_train"] = "WITH " + BPE + """
+SELECT CAST(rank AS INTEGER) AS rank, CAST(l AS INTEGER) AS l, CAST(r AS INTEGER) AS r,
+       CAST(id AS INTEGER) AS id, freq FROM merges"""
+
+ORACLE["bpe_encode"] = "WITH " + BPE + f""",
+de AS (SELECT doc_id, {_encode_sql("coalesce(text, '')", _NM)} AS t FROM documents)
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n_ids,
+       CASE WHEN t = '' THEN md5('') ELSE md5(unhex(array_to_string(list_transform(string_split(t, ''),
+            lambda c: printf('%02X%02X', unicode(c) % 256, unicode(c) // 256)), ''))) END AS ids_md5
+FROM de"""
+
+ORACLE["encode_corpus"] = "WITH " + BPE + "," + CORPUS + f""",
+de AS (SELECT split, shard_id, doc_id, {_encode_sql('text', _NM)} AS t FROM corpus),
+per AS (SELECT split, shard_id, CAST(shard_id AS VARCHAR) AS shard, count(*) AS n_docs,
+               CAST(sum(length(t)) AS BIGINT) AS n_tokens FROM de GROUP BY split, shard_id)
+SELECT split, shard_id, shard, n_docs, n_tokens,
+  CAST(sum(n_tokens) OVER (PARTITION BY split ORDER BY shard_id
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_tokens,
+  CAST(sum(n_tokens) OVER (PARTITION BY split) AS BIGINT) AS split_tokens
+FROM per"""
+
+
+def _vocab_hex_ctes(n_merges: int) -> str:
+    parts = ["""
+hx_0 AS MATERIALIZED (SELECT CAST(i AS INTEGER) AS id, printf('%02X', i) AS hx FROM range(0, 256) AS t(i))"""]
+    for k in range(n_merges):
+        parts.append(f"""
+hx_{k + 1} AS MATERIALIZED (
+  SELECT * FROM hx_{k}
+  UNION ALL
+  SELECT {256 + k}, (SELECT hx FROM hx_{k} WHERE id = b.l) || (SELECT hx FROM hx_{k} WHERE id = b.r)
+  FROM best_{k} b)""")
+    return ",".join(parts)
+
+
+ORACLE["tokenizer_tables"] = "WITH " + BPE + "," + _vocab_hex_ctes(_NM) + f""",
+vocab AS (
+  SELECT id, hx AS token_hex, false AS special FROM hx_{_NM}
+  UNION ALL SELECT CAST(256 + (SELECT count(*) FROM merges) AS INTEGER), hex(encode('<|endoftext|>')), true)
+SELECT v.id, v.token_hex, v.special, CAST(m.rank AS INTEGER) AS rank, CAST(m.l AS INTEGER) AS l,
+       CAST(m.r AS INTEGER) AS r
+FROM vocab v LEFT JOIN merges m USING (id)"""
+
+ORACLE["token_to_id"] = "WITH " + BPE + "," + _vocab_hex_ctes(_NM) + f""",
+vocab AS (
+  SELECT id, hx AS token_hex FROM hx_{_NM}
+  UNION ALL SELECT CAST(256 + (SELECT count(*) FROM merges) AS INTEGER), hex(encode('<|endoftext|>')))
+SELECT w.word, v.id FROM wc w JOIN vocab v ON hex(encode(w.word)) = v.token_hex"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 
