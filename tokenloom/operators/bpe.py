@@ -88,16 +88,16 @@ def pair_counts(words: DataFrame, min_frequency: int = MIN_FREQUENCY) -> DataFra
     """K1: adjacent-pair frequency weighted by word count, ``n >= min_frequency``.
 
     Pairs are formed with native ``split``/``arrays_zip`` on the token string
-    and turned into ids only on the aggregated pair table."""
+    and grouped on one BIGINT key ``l * 65536 + r`` (map-side combined)."""
     ch = F.split(F.col("s"), "")
     n = F.size("c")
     p = (words.select("n", ch.alias("c"))
               .select("n", F.explode(F.arrays_zip(F.slice("c", 1, n - 1).alias("a"),
                                                   F.slice("c", 2, n - 1).alias("b"))).alias("p"))
-              .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-              .agg(F.sum("n").cast("long").alias("n")))
+              .select("n", (F.ascii("p.a").cast("long") * 65536 + F.ascii("p.b")).alias("k"))
+              .groupBy("k").agg(F.sum("n").cast("long").alias("n")))
     return p.filter(F.col("n") >= min_frequency).select(
-        F.ascii("a").alias("l"), F.ascii("b").alias("r"), "n")
+        F.expr("k div 65536").cast("int").alias("l"), (F.col("k") % 65536).cast("int").alias("r"), "n")
 
 
 def top_pair(pairs: DataFrame) -> DataFrame:
