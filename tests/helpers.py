@@ -1,7 +1,5 @@
 """Small frames and brute-force references shared by the tests."""
 
-from pyspark.sql import functions as F
-
 from tokenloom.sources.corpus import corpus_from_documents, with_split
 
 # Edge rows: empty text, 1 byte, shorter than a block, many blocks, emoji, U+00A0.
@@ -41,7 +39,3 @@ def brute_streams(rows=TINY_DOCS, num_train=3, val_start=3, num_val=1):
 
 def csv(b: bytes) -> str:
     return ",".join(str(x) for x in b)
-
-
-def col_bytes(c):
-    return F.col(c)

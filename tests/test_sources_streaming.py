@@ -76,3 +76,16 @@ def test_stream_totals_and_best_loss_equal_batch(spark, tmp_path):
     X.run_complete(X.best_loss(ls), "bl_test", str(tmp_path / "ck3")).awaitTermination()
     got = {r.run: (r.best_loss, r.n_rows) for r in spark.table("bl_test").collect()}
     assert got == {"a": (1.5, 3), "b": (7.0, 1)}
+
+
+def test_read_table_rebalances_only_small_inputs(spark, tmp_path, monkeypatch):
+    from tokenloom.sources import tables
+    d = str(tmp_path / "t")
+    spark.range(1000).coalesce(1).write.parquet(f"{d}/x.parquet")
+    par = spark.sparkContext.defaultParallelism
+    small = tables.read_table(spark, d, "x")
+    assert small.rdd.getNumPartitions() == par and small.count() == 1000
+    monkeypatch.setattr(tables, "REBALANCE_BYTES_PER_TASK", 0)   # as if the input were large
+    tables._size_cache.clear()
+    big = tables.read_table(spark, d, "x")
+    assert "Exchange" not in big._jdf.queryExecution().executedPlan().toString()

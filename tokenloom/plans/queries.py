@@ -12,14 +12,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.tokens import bytes_csv, bytes_to_ids, ids_csv, token_sum, utf8_bytes
 from ..functions import text as T
+from ..functions import tokens as tk
 from ..functions.numeric import round6
+from ..functions.tokens import (bytes_to_ids, decode_utf8, ids_csv, ids_to_bytes, out_of_range,
+                                token_sum, utf8_bytes)
 from ..operators import bigram, bpe, clean, logs, manifest as M, sampling, stream
-from ..functions import tokens as tk
-from ..functions.tokens import decode_utf8, ids_to_bytes, out_of_range
 from ..sources import files as FS
-from ..sources.corpus import split_of, with_split, corpus_from_documents
+from ..sources.corpus import corpus_from_documents, split_of, with_split
 from ..streaming import ingest as X
 from . import fixtures as fx
 
