@@ -51,8 +51,9 @@ def best_summary(log: DataFrame) -> DataFrame:
 def running_best(log: DataFrame, init_best: float = INF) -> DataFrame:
     """``is_best = loss < best so far`` (strict: a tie is not best; NaN never
     is); best starts at ``init_best`` (+inf, or a resumed value)."""
-    d = prefix_aggregates(log, [("_prev_min", "min", _finite_or_null(F.col("loss")))],
-                          group=["run"], major=[], key="step")
+    d = prefix_aggregates(log,
+                          [("_prev_min", "min", _finite_or_null(F.col("loss")))],
+                          group=["run"], major=[], key="step", materialize=True)
     prev = F.least(F.coalesce(F.col("_prev_min"), F.lit(INF)), F.lit(init_best))
     is_best = F.coalesce(F.col("loss") < prev, F.lit(False))
     return (d.withColumn("is_best", is_best)
@@ -62,9 +63,9 @@ def running_best(log: DataFrame, init_best: float = INF) -> DataFrame:
 
 def running_avg_loss(log: DataFrame) -> DataFrame:
     """Mean of the losses from the first step to this one."""
-    d = prefix_aggregates(log, [("_s", "sum", F.col("loss")),
-                                ("_n", "sum", F.lit(1).cast("long"))],
-                          group=["run"], major=[], key="step")
+    d = prefix_aggregates(log,
+                          [("_s", "sum", F.col("loss")), ("_n", "sum", F.lit(1).cast("long"))],
+                          group=["run"], major=[], key="step", materialize=True)
     return (d.withColumn("running_avg", (F.col("_s") + F.col("loss")) / (F.col("_n") + 1))
              .drop("_s", "_n"))
 
@@ -72,9 +73,12 @@ def running_avg_loss(log: DataFrame) -> DataFrame:
 def step_timing(log: DataFrame, max_steps: int | None = None) -> DataFrame:
     """Seconds since the run's first row, since the previous row, and
     percent of ``max_steps`` (default: the run's last step)."""
-    runs = log.groupBy("run").agg(F.min("ts").alias("_t0"), F.max("step").alias("_smax"))
+    from ..session import checkpoint_dir
+    checkpoint_dir(log.sparkSession)
+    log = log.checkpoint()     # read by the prefix levels and the per-run totals
     d = prefix_aggregates(log, [("_prev_ts", "last", F.col("ts"))],
                           group=["run"], major=[], key="step")
+    runs = log.groupBy("run").agg(F.min("ts").alias("_t0"), F.max("step").alias("_smax"))
     total = F.lit(max_steps) if max_steps else F.col("_smax")
     return (d.join(runs, "run")
              .withColumn("elapsed_s", _seconds_between(F.col("_t0"), F.col("ts")))

@@ -32,14 +32,20 @@ def _combine(agg: str, a: Column, b: Column) -> Column:
 
 def prefix_aggregates(df: DataFrame, specs: list[tuple[str, str, Column | str]],
                       group: list[str], major: list[str], key: str,
-                      fanout: int = FANOUT) -> DataFrame:
+                      fanout: int = FANOUT, materialize: bool = False) -> DataFrame:
     """Add, per ``(out, agg, value)`` in ``specs``, the aggregate of ``value``
     over rows of the same ``group`` that precede this row in ``(major..., key)``
     order. ``key`` is an integer column unique within ``group + major``.
 
-    Empty prefixes give 0 for ``sum`` and NULL otherwise.
+    Empty prefixes give 0 for ``sum`` and NULL otherwise. The input feeds two
+    branches (the row level and the bucket levels); with ``materialize`` it is
+    first written as a reliable checkpoint so it is computed once.
     """
     g, m = list(group), list(major)
+    if materialize:
+        from ..session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint()
     d = (df.withColumn("_b1", F.floor(F.col(key) / fanout).cast("long"))
            .withColumn("_b2", F.floor(F.col("_b1") / fanout).cast("long")))
     vals = []
@@ -84,6 +90,7 @@ def prefix_aggregates(df: DataFrame, specs: list[tuple[str, str, Column | str]],
 
 
 def exclusive_prefix(df: DataFrame, value: str, group: list[str], major: list[str],
-                     key: str, out: str = "offset", fanout: int = FANOUT) -> DataFrame:
+                     key: str, out: str = "offset", fanout: int = FANOUT,
+                     materialize: bool = False) -> DataFrame:
     """Sum of ``value`` over the preceding rows (0 for the first row)."""
-    return prefix_aggregates(df, [(out, "sum", value)], group, major, key, fanout)
+    return prefix_aggregates(df, [(out, "sum", value)], group, major, key, fanout, materialize)

@@ -18,9 +18,13 @@ from .prefix import exclusive_prefix
 def softmax_sample(cands: DataFrame, temperature: float = 1.0, seed: int = 0) -> DataFrame:
     if temperature <= 0:
         raise ValueError("temperature must be positive")
+    from ..session import checkpoint_dir
+    checkpoint_dir(cands.sparkSession)
     z = F.col("score") / F.lit(temperature)
     gmax = cands.groupBy("grp").agg(F.max(z).alias("_m"))
-    e = cands.join(gmax, "grp").withColumn("_e", F.exp(z - F.col("_m")))
+    # the weights feed three branches (totals and two prefix levels): write once
+    e = (cands.join(gmax, "grp").select("grp", "item", F.exp(z - F.col("_m")).alias("_e"))
+         .checkpoint())
     tot = e.groupBy("grp").agg(F.sum("_e").alias("_z"), F.count(F.lit(1)).alias("n_items"))
     cum = exclusive_prefix(e, "_e", group=["grp"], major=[], key="item", out="_before")
     u = md5_unit(F.lit(seed), F.col("grp"))

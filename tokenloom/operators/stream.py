@@ -234,22 +234,37 @@ def explode_tokens(pos_df: DataFrame, width: int = 1) -> DataFrame:
 
 
 def next_token_pairs(pos_df: DataFrame, width: int = 1) -> DataFrame:
-    """Counts of (token, following token) over each split stream.
-
-    Pairs inside a document come from its id array; pairs across a document
-    boundary come from an equi-join of each document's end position with the
-    next non-empty document's start position (no window over the stream).
+    """Counts of (token, following token) over each split stream, in one
+    pass over the documents and without a join.
+
+    Each document emits its inner pairs plus two boundary halves: its last
+    token keyed by its end position and its first token keyed by its start
+    position (keys stored negative so they never clash with token ids). A
+    first aggregation counts inner pairs and pairs up the halves of each
+    boundary; a second one adds the completed boundary pairs to the counts.
     """
-    ids = pos_df.filter(F.col("n_tok") > 0).select(
-        "split", "pos", "n_tok", bytes_to_ids("data", width).alias("a"))
-    inner = ids.select("split", F.explode(F.zip_with(
-        F.slice("a", 1, F.col("n_tok").cast("int") - 1),
-        F.slice("a", 2, F.col("n_tok").cast("int") - 1),
-        lambda p, q: F.struct(p.alias("tok"), q.alias("next_tok")))).alias("p")
-    ).select("split", "p.tok", "p.next_tok")
-    ends = ids.select("split", (F.col("pos") + F.col("n_tok")).alias("at"),
-                      F.element_at("a", -1).alias("tok"))
-    starts = ids.select("split", F.col("pos").alias("at"), F.element_at("a", 1).alias("next_tok"))
-    across = ends.join(starts, ["split", "at"]).select("split", "tok", "next_tok")
-    return (inner.unionByName(across).groupBy("split", "tok", "next_tok")
-            .agg(F.count(F.lit(1)).alias("n")))
+    ids = bytes_to_ids("data", width)
+    n = F.col("n_tok").cast("int")
+    def row(k1, k2, tok):
+        return F.struct(k1.cast("long").alias("k1"), k2.cast("long").alias("k2"),
+                        tok.cast("int").alias("t"))
+    inner = F.zip_with(F.slice("a", 1, n - 1), F.slice("a", 2, n - 1),
+                       lambda x, y: row(x, y, F.lit(None)))
+    halves = F.array(row(-(F.col("pos") + F.col("n_tok")) - 1, F.lit(-1), F.element_at("a", -1)),
+                     row(-F.col("pos") - 1, F.lit(-2), F.element_at("a", 1)))
+    rows = (pos_df.filter(F.col("n_tok") > 0)
+            .select("split", "pos", "n_tok", ids.alias("a"))
+            .select("split", F.explode(F.concat(inner, halves)).alias("r")))
+    first = (rows.groupBy("split", F.col("r.k1").alias("k1"),
+                          F.when(F.col("r.k1") >= 0, F.col("r.k2")).alias("k2"))
+             .agg(F.count(F.lit(1)).alias("c"),
+                  F.max(F.when(F.col("r.k2") == -1, F.col("r.t"))).alias("last"),
+                  F.max(F.when(F.col("r.k2") == -2, F.col("r.t"))).alias("first")))
+    inner_row = F.col("k1") >= 0
+    paired = first.select(
+        "split",
+        F.when(inner_row, F.col("k1").cast("int")).otherwise(F.col("last")).alias("tok"),
+        F.when(inner_row, F.col("k2").cast("int")).otherwise(F.col("first")).alias("next_tok"),
+        F.when(inner_row, F.col("c")).otherwise(F.lit(1)).alias("c"))
+    return (paired.filter(F.col("tok").isNotNull() & F.col("next_tok").isNotNull())
+                  .groupBy("split", "tok", "next_tok").agg(F.sum("c").alias("n")))
