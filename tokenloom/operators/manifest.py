@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import round6
 from ..functions.text import file_basename, percent_done
-from ..sources.corpus import num_val_files, shard_name
+from ..sources.corpus import (DEFAULT_VAL_START, MEMBER_PREFIX, MEMBER_SUFFIX, num_val_files,
+                              shard_name)
 
 MISSING, MISMATCH, VERIFIED, NOT_IN_ARCHIVE = "missing", "size_mismatch", "verified", "not_in_archive"
 
 
 def required_shards(spark: SparkSession, num_train: int, val_percent: float,
-                    val_start: int = 45) -> DataFrame:
+                    val_start: int = DEFAULT_VAL_START) -> DataFrame:
     """P1 + O4: train ids ``0..num_train-1`` then val ids ``val_start..``, in that order.
 
     ``num_val = max(1, round(num_train * val_percent / 100))`` (half to even).
@@ -38,7 +39,8 @@ def required_shards(spark: SparkSession, num_train: int, val_percent: float,
                                          "shard_id", "split", "ordinal")
 
 
-def parse_listing(lines: DataFrame, prefix: str = "tok105/", suffix: str = ".bin") -> DataFrame:
+def parse_listing(lines: DataFrame, prefix: str = MEMBER_PREFIX,
+                  suffix: str = MEMBER_SUFFIX) -> DataFrame:
     """S3: ``tar -tvf`` lines ``(line_no, line)`` -> manifest ``(file, size)``.
 
     Fields split on whitespace; field 3 is the size, the last field the path.

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.hashing import md5_int60
 from ..functions.tokens import bytes_to_ids, token_count
+from ..sources.corpus import DEFAULT_CHUNK_SIZE
 from .prefix import exclusive_prefix
 
 _LATIN1 = "ISO-8859-1"
@@ -115,7 +116,7 @@ def pack_sequences(pos_df: DataFrame, block_size: int, shift: int = 1, width: in
     return out
 
 
-def stream_chunks(pos_df: DataFrame, chunk_size: int = 10_000_000) -> DataFrame:
+def stream_chunks(pos_df: DataFrame, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
     """Cut each split stream into ``chunk_size``-token chunks, last one short.
 
     Output ``(split, chunk, n_tokens, cum_tokens)``. Only document lengths are

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.logs import CHECKPOINT_FILES
-from ..sources.corpus import corpus_from_documents, shard_name, with_split
+from ..sources.corpus import MEMBER_PREFIX, corpus_from_documents, shard_name, with_split
 from ..sources.tables import read_table
 
 # Fixed parameters of the registered queries.
@@ -76,14 +76,14 @@ def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = e.select(
         (sid + 2).alias("line_no"),
         F.concat(F.lit("-rw-r--r-- user/group "), F.col("size").cast("string"),
-                 F.lit(" 2024-01-01 00:00 tok105/"), F.col("file")).alias("line"))
+                 F.lit(" 2024-01-01 00:00 " + MEMBER_PREFIX), F.col("file")).alias("line"))
     extra = e.groupBy().agg(F.sum("size").alias("t")).select(
         F.explode(F.array(
             F.struct(F.lit(0).cast("long").alias("line_no"),
-                     F.lit("drwxr-xr-x user/group 0 2024-01-01 00:00 tok105/").alias("line")),
+                     F.lit("drwxr-xr-x user/group 0 2024-01-01 00:00 " + MEMBER_PREFIX).alias("line")),
             F.struct(F.lit(1).cast("long").alias("line_no"),
                      F.concat(F.lit("-rw-r--r-- user/group "), F.col("t").cast("string"),
-                              F.lit(" 2024-01-01 00:00 tok105/all.txt")).alias("line")))).alias("r")
+                              F.lit(" 2024-01-01 00:00 " + MEMBER_PREFIX + "all.txt")).alias("line")))).alias("r")
     ).select("r.line_no", "r.line")
     return lines.unionByName(extra)
 

@@ -19,7 +19,8 @@ from ..functions.tokens import (bytes_to_ids, decode_utf8, ids_csv, ids_to_bytes
                                 token_sum, utf8_bytes)
 from ..operators import bigram, bpe, clean, logs, manifest as M, sampling, stream
 from ..sources import files as FS
-from ..sources.corpus import corpus_from_documents, split_of, with_split
+from ..sources.corpus import (MEMBER_PREFIX, MEMBER_SUFFIX, corpus_from_documents, split_of,
+                              with_split)
 from ..streaming import ingest as X
 from . import fixtures as fx
 
@@ -115,7 +116,7 @@ def name_filter(spark, sf_dir):
     """Members under ``tok105/`` ending in ``.bin``, minus an exclude list."""
     parts = F.split(F.trim(F.col("line")), r"\s+")
     paths = fx.listing_lines(spark, sf_dir).select("line_no", F.element_at(parts, -1).alias("path"))
-    keep = (F.col("path").startswith("tok105/") & F.col("path").endswith(".bin")
+    keep = (F.col("path").startswith(MEMBER_PREFIX) & F.col("path").endswith(MEMBER_SUFFIX)
             & ~T.file_basename(F.col("path")).isin("data00.bin"))
     return paths.filter(keep)
 

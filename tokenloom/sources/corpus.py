@@ -12,6 +12,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.tokens import utf8_bytes
 
+# ---- fixed values (the shard archive layout) ---------------------------------
+# Archive members kept: paths under MEMBER_PREFIX ending in MEMBER_SUFFIX.
+MEMBER_PREFIX = "tok105/"
+MEMBER_SUFFIX = ".bin"
+# Shard file name: "data" + id zero-padded to two digits + ".bin".
+SHARD_NAME_FORMAT = "data%02d.bin"
+# First validation shard id.
+DEFAULT_VAL_START = 45
+# Tokens per conversion chunk.
+DEFAULT_CHUNK_SIZE = 10_000_000
+# -------------------------------------------------------------------------------
+
 
 def shard_id_of(source) -> "F.Column":
     """Numeric shard id: the digits that end the name's stem (``src12`` -> 12,
@@ -26,7 +38,7 @@ def shard_id_of(source) -> "F.Column":
 def shard_name(shard_id) -> "F.Column":
     """Zero-padded shard file name, ``data07.bin`` (3+ digit ids keep all digits)."""
     c = F.col(shard_id) if isinstance(shard_id, str) else shard_id
-    return F.format_string("data%02d.bin", c)
+    return F.format_string(SHARD_NAME_FORMAT, c)
 
 
 def corpus_from_documents(docs: DataFrame, text_col: str = "text",
@@ -54,7 +66,7 @@ def num_val_files(num_train: int, val_percent: float) -> int:
 
 
 def with_split(corpus: DataFrame, num_train: int, val_percent: float,
-               val_start: int = 45, keep_unused: bool = False) -> DataFrame:
+               val_start: int = DEFAULT_VAL_START, keep_unused: bool = False) -> DataFrame:
     """Label each document's split from its shard id (no join, prunable)."""
     num_val = num_val_files(num_train, val_percent)
     if num_train > val_start:
