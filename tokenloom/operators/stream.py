@@ -36,6 +36,20 @@ def shard_token_counts(corpus: DataFrame, width: int = 1) -> DataFrame:
                .withColumn("split_tokens", F.sum("n_tokens").over(tot).cast("long")))
 
 
+# Largest side we broadcast after measuring it (rows x estimated row bytes).
+BROADCAST_LIMIT_BYTES = 64 << 20
+
+
+def _offsets(corpus: DataFrame, width: int) -> tuple[DataFrame, int]:
+    from ..session import checkpoint_dir
+    checkpoint_dir(corpus.sparkSession)
+    meta = corpus.select("split", "shard_id", "doc_id",
+                         token_count("data", width).alias("n_tok")).checkpoint()
+    off = exclusive_prefix(meta, "n_tok", group=["split"], major=["shard_id"],
+                           key="doc_id", out="pos")
+    return off, meta.count()
+
+
 def doc_offsets(corpus: DataFrame, width: int = 1) -> DataFrame:
     """T2 on metadata: ``(split, shard_id, doc_id, n_tok, pos)``.
 
@@ -44,24 +58,23 @@ def doc_offsets(corpus: DataFrame, width: int = 1) -> DataFrame:
     the bucketed prefix sum then reads that instead of rescanning the texts
     for each of its levels, and a lost executor does not force a rescan.
     """
-    from ..session import checkpoint_dir
-    checkpoint_dir(corpus.sparkSession)
-    meta = corpus.select("split", "shard_id", "doc_id",
-                         token_count("data", width).alias("n_tok")).checkpoint()
-    return exclusive_prefix(meta, "n_tok", group=["split"], major=["shard_id"],
-                            key="doc_id", out="pos")
+    return _offsets(corpus, width)[0]
 
 
 def positions(corpus: DataFrame, width: int = 1, keep_data: bool = True) -> DataFrame:
     """Each document's start offset ``pos`` and length ``n_tok`` in its split stream.
 
     Offsets come from :func:`doc_offsets`; with ``keep_data`` they are joined
-    back to the documents by key (AQE broadcasts the offsets when they are
-    small, otherwise a sort-merge join on the unique document key: no skew).
+    back to the documents by their unique key. The offsets' row count is
+    measured on the checkpoint: under ``BROADCAST_LIMIT_BYTES`` they are
+    broadcast (the documents are not shuffled), otherwise it is a sort-merge
+    join on a unique key (no hot key).
     """
-    off = doc_offsets(corpus, width)
+    off, n_docs = _offsets(corpus, width)
     if not keep_data:
         return off
+    if n_docs * 48 <= BROADCAST_LIMIT_BYTES:
+        off = F.broadcast(off)
     return corpus.select("split", "shard_id", "doc_id", "data").join(
         off, ["split", "shard_id", "doc_id"])
 
@@ -140,10 +153,6 @@ def split_totals(pos_df: DataFrame) -> DataFrame:
     return pos_df.groupBy("split").agg(F.sum("n_tok").cast("long").alias("n_total"))
 
 
-# Largest side we broadcast after measuring it (rows x estimated row bytes).
-BROADCAST_LIMIT_BYTES = 64 << 20
-
-
 def sample_windows(corpus: DataFrame, block_size: int, batch_size: int, steps: int,
                    seed: int = 0, split: str = "train", width: int = 1,
                    as_arrays: bool = False, bucket: int = 1 << 16) -> DataFrame:
