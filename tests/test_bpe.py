@@ -152,3 +152,27 @@ def test_decode_specials_and_cut_characters(spark, model):
     seqs = spark.createDataFrame([(1, [104, 105, 268]), (2, [195]), (3, [])], "doc_id BIGINT, ids ARRAY<INT>")
     got = {r.doc_id: r.text for r in bpe.decode_ids(seqs, model.vocab).collect()}
     assert got == {1: "hi<|endoftext|>", 2: "�", 3: ""}
+
+
+def test_long_merge_lists_fold_in_batches(spark):
+    import random
+    rnd = random.Random(5)
+    ids = list(range(97, 101))               # bytes of 'abcd'
+    merges = []
+    for k in range(300):                     # more than CHAIN_LIMIT merges
+        l, r = rnd.choice(ids), rnd.choice(ids)
+        merges.append((l, r, 256 + k))
+        ids.append(256 + k)
+    texts = ["".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 60))) for _ in range(20)]
+    naive = [(l, r, n, 0) for l, r, n in merges]
+    docs_df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r.ids for r in bpe.encode_documents(docs_df, merges).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == naive_encode(t, naive)
+    tokens = {i: bytes([i]) for i in range(256)}
+    for l, r, n in merges:
+        tokens[n] = tokens[l] + tokens[r]
+    vocab = spark.createDataFrame([(i, bytearray(b), False) for i, b in tokens.items()],
+                                  "id INT, token BINARY, special BOOLEAN")
+    enc = bpe.encode_documents(docs_df, merges)
+    assert {r.doc_id: r.text for r in bpe.decode_ids(enc, vocab).collect()} == dict(enumerate(texts))
