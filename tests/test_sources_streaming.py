@@ -89,3 +89,13 @@ def test_read_table_rebalances_only_small_inputs(spark, tmp_path, monkeypatch):
     tables._size_cache.clear()
     big = tables.read_table(spark, d, "x")
     assert "Exchange" not in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_write_blocks_one_folder_per_rank(spark, tmp_path):
+    blocks = spark.createDataFrame([("train", k, bytearray([k])) for k in range(10)],
+                                   "split STRING, block BIGINT, x BINARY")
+    out = str(tmp_path / "blocks")
+    FS.write_blocks(blocks, out, 4)
+    assert sorted(os.listdir(os.path.join(out, "split=train"))) == [f"rank={r}" for r in range(4)]
+    r1 = spark.read.parquet(out).filter("rank = 1").collect()
+    assert sorted(r.block for r in r1) == [1, 5, 9] and all(r.local == r.block // 4 for r in r1)

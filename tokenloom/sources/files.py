@@ -65,6 +65,15 @@ def write_tokens(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).partitionBy("split").parquet(path)
 
 
+def write_blocks(blocks: DataFrame, path: str, world_size: int, mode: str = "overwrite") -> None:
+    """T7 sink: packed blocks written one folder per split and data-parallel
+    rank (block ``k`` -> rank ``k % world_size``), so each worker reads only
+    its own folder (partition pruning)."""
+    from ..operators.stream import assign_ranks
+    (assign_ranks(blocks, world_size).write.mode(mode)
+        .partitionBy("split", "rank").parquet(path))
+
+
 def read_tokens(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.filter(F.col("split") == split) if split else df
