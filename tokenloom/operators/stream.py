@@ -40,14 +40,14 @@ def shard_token_counts(corpus: DataFrame, width: int = 1) -> DataFrame:
 BROADCAST_LIMIT_BYTES = 64 << 20
 
 
-def _offsets(corpus: DataFrame, width: int) -> tuple[DataFrame, int]:
+def _offsets(corpus: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     from ..session import checkpoint_dir
     checkpoint_dir(corpus.sparkSession)
     meta = corpus.select("split", "shard_id", "doc_id",
                          token_count("data", width).alias("n_tok")).checkpoint()
     off = exclusive_prefix(meta, "n_tok", group=["split"], major=["shard_id"],
                            key="doc_id", out="pos")
-    return off, meta.count()
+    return off, meta
 
 
 def doc_offsets(corpus: DataFrame, width: int = 1) -> DataFrame:
@@ -70,10 +70,10 @@ def positions(corpus: DataFrame, width: int = 1, keep_data: bool = True) -> Data
     broadcast (the documents are not shuffled), otherwise it is a sort-merge
     join on a unique key (no hot key).
     """
-    off, n_docs = _offsets(corpus, width)
+    off, meta = _offsets(corpus, width)
     if not keep_data:
         return off
-    if n_docs * 48 <= BROADCAST_LIMIT_BYTES:
+    if meta.count() * 48 <= BROADCAST_LIMIT_BYTES:     # counted on the checkpoint
         off = F.broadcast(off)
     return corpus.select("split", "shard_id", "doc_id", "data").join(
         off, ["split", "shard_id", "doc_id"])
