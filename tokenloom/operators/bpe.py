@@ -149,7 +149,7 @@ def train_bpe(spark: SparkSession, counts: DataFrame, vocab_size: int,
         merges.append((rank, l, r, new, freq))
         tokens[new] = tokens[l] + tokens[r]
         s = _merge_expr(s, l, r, new)
-        if (rank + 1) % checkpoint_every == 0:
+        if (rank + 1) % checkpoint_every == 0 and rank + 1 < n_merges:
             base = base.select("n", s.alias("s")).checkpoint()
             held.append(base)
             s = F.col("s")
