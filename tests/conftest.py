@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,8 +12,9 @@ def spark():
     s = get_spark("local[4]", app="tokenloom-tests", conf={
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "4g",
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tokenloom-test-ckpt-"),
     })
+    # the shared checkpoint folder comes from the session (spark.checkpoint.dir);
+    # tokenloom.session.checkpoint_dir makes a fresh one only when it is unset
     yield s
     s.stop()
 
