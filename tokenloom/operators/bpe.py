@@ -135,7 +135,10 @@ def train_bpe(spark: SparkSession, counts: DataFrame, vocab_size: int,
     if vocab_size - 1 > MAX_ID:
         raise ValueError(f"vocab_size above {MAX_ID + 1} is not supported")
     checkpoint_dir(spark)
-    base = words_table(counts).select("n", "s").persist(StorageLevel.MEMORY_AND_DISK)
+    # scanned once per merge: one partition per core, so each round is one task wave
+    base = (words_table(counts).select("n", "s")
+            .repartition(spark.sparkContext.defaultParallelism)
+            .persist(StorageLevel.MEMORY_AND_DISK))
     held = [base]
     s = F.col("s")
     merges, tokens = [], {i: bytes([i]) for i in range(256)}
