@@ -98,3 +98,16 @@ def test_name_functions(spark):
                     percent_done("d", "t").alias("pc")).collect()
     assert [(r.b, r.z, r.pc) for r in got] == [("c.bin", "data07.bin", 25), ("c.bin", "data123.bin", None),
                                                 ("", "data01.bin", 33)]
+
+
+def test_split_labels_and_overlap_guard(spark):
+    from tokenloom.sources.corpus import corpus_from_documents, num_val_files, with_split
+    docs = spark.createDataFrame([(i, "t", f"src{i}") for i in range(50)],
+                                 "doc_id BIGINT, text STRING, source STRING")
+    c = with_split(corpus_from_documents(docs), 10, 10, keep_unused=True)
+    got = {r.shard_id: r.split for r in c.collect()}
+    assert num_val_files(10, 10) == 1
+    assert [s for s in range(50) if got[s] == "train"] == list(range(10))
+    assert [s for s in range(50) if got[s] == "val"] == [45]
+    with pytest.raises(ValueError):
+        with_split(corpus_from_documents(docs), 46, 10)

@@ -1,0 +1 @@
+"""Structured Streaming jobs: process only what is new."""
