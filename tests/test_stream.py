@@ -166,3 +166,22 @@ def test_pack_u16_stream(spark):
     s = [t for k in sorted(ids) for t in ids[k]]
     want = {k: (s[3 * k:3 * k + 3], s[3 * k + 1:3 * k + 4]) for k in range((len(s) - 1) // 3)}
     assert got == want
+
+
+def test_pack_random_corpora_equal_brute_force(spark):
+    rnd = random.Random(2024)
+    for trial in range(6):
+        rows, doc_id = [], 0
+        for shard in rnd.sample(range(0, 6), rnd.randint(1, 4)):
+            for _ in range(rnd.randint(1, 6)):
+                n = rnd.choice([0, 1, 2, rnd.randint(3, 40), rnd.randint(40, 120)])
+                rows.append(("train", shard, doc_id, bytearray(rnd.randrange(256) for _ in range(n))))
+                doc_id += rnd.randint(1, 3)
+        c = spark.createDataFrame(rows, "split STRING, shard_id INT, doc_id BIGINT, data BINARY")
+        s = b"".join(bytes(d) for _, _, _, d in sorted(rows, key=lambda r: (r[1], r[2])))
+        B, shift = rnd.randint(1, 17), rnd.choice([0, 1])
+        got = {r.block: (bytes(r.x), bytes(r.y))
+               for r in stream.pack_sequences(stream.positions(c), B, shift=shift).collect()}
+        want = {k: (s[k * B:k * B + B], s[k * B + shift:k * B + shift + B])
+                for k in range((len(s) - shift) // B) if k * B + B + shift <= len(s)}
+        assert got == want, (trial, B, shift)
