@@ -185,3 +185,20 @@ def test_pack_random_corpora_equal_brute_force(spark):
         want = {k: (s[k * B:k * B + B], s[k * B + shift:k * B + shift + B])
                 for k in range((len(s) - shift) // B) if k * B + B + shift <= len(s)}
         assert got == want, (trial, B, shift)
+
+
+def test_sample_windows_random_corpora(spark):
+    rnd = random.Random(77)
+    for trial in range(4):
+        rows = [("train", rnd.randint(0, 3), d, bytearray(rnd.randrange(256) for _ in range(rnd.randint(0, 50))))
+                for d in range(rnd.randint(3, 15))]
+        s = b"".join(bytes(r[3]) for r in sorted(rows, key=lambda r: (r[1], r[2])))
+        B = rnd.randint(1, 12)
+        if len(s) <= B:
+            continue
+        c = spark.createDataFrame(rows, "split STRING, shard_id INT, doc_id BIGINT, data BINARY")
+        seed = rnd.randint(0, 999)
+        for r in stream.sample_windows(c, B, 3, 2, seed=seed, bucket=B + 1 + rnd.randint(0, 20)).collect():
+            h = int(hashlib.md5(f"{seed}:train:{r.step}:{r.b}".encode()).hexdigest()[:15], 16)
+            assert r.start == h % (len(s) - B)
+            assert bytes(r.x) == s[r.start:r.start + B] and bytes(r.y) == s[r.start + 1:r.start + B + 1]
