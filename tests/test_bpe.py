@@ -176,3 +176,14 @@ def test_long_merge_lists_fold_in_batches(spark):
                                   "id INT, token BINARY, special BOOLEAN")
     enc = bpe.encode_documents(docs_df, merges)
     assert {r.doc_id: r.text for r in bpe.decode_ids(enc, vocab).collect()} == dict(enumerate(texts))
+
+
+def test_train_random_corpora_equal_naive(spark):
+    import random
+    rnd = random.Random(9)
+    for trial in range(3):
+        texts = [" ".join("".join(rnd.choice("abc") for _ in range(rnd.randint(1, 5)))
+                          for _ in range(rnd.randint(1, 8))) for _ in range(rnd.randint(2, 6))]
+        m = bpe.train_bpe(spark, bpe.pretoken_counts(docs(spark, texts)), 256 + 8 + 1, checkpoint_every=3)
+        got = [(r.l, r.r, r.id, r.freq) for r in m.merges.orderBy("rank").collect()]
+        assert got == naive_train(texts, 8), (trial, texts)
