@@ -187,3 +187,15 @@ def test_train_random_corpora_equal_naive(spark):
         m = bpe.train_bpe(spark, bpe.pretoken_counts(docs(spark, texts)), 256 + 8 + 1, checkpoint_every=3)
         got = [(r.l, r.r, r.id, r.freq) for r in m.merges.orderBy("rank").collect()]
         assert got == naive_train(texts, 8), (trial, texts)
+
+
+def test_pretokens_random_strings_equal_python(spark):
+    import random
+    rnd = random.Random(13)
+    alphabet = list("ab Z9'sdtlmrve.,!?-") + ["'s", "'ll", " ", "  ", "\n", "\t", "\xa0", " ",
+                                               "\x1c", "é", "ß", "\U0001F600", "٣"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r.w for r in df.select("doc_id", bpe.pretokens("text").alias("w")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == PY_PAT.findall(t), t
