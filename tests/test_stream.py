@@ -202,3 +202,22 @@ def test_sample_windows_random_corpora(spark):
             h = int(hashlib.md5(f"{seed}:train:{r.step}:{r.b}".encode()).hexdigest()[:15], 16)
             assert r.start == h % (len(s) - B)
             assert bytes(r.x) == s[r.start:r.start + B] and bytes(r.y) == s[r.start + 1:r.start + B + 1]
+
+
+def test_corpus_loss_equals_brute_force(spark):
+    import math
+    from tokenloom.operators import bigram
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["train", "train", "val"]), 0, d,
+             bytearray(rnd.choice(b"abcde") for _ in range(rnd.randint(0, 30)))) for d in range(40)]
+    c = spark.createDataFrame(rows, "split STRING, shard_id INT, doc_id BIGINT, data BINARY")
+    got = bigram.corpus_loss(bigram.bigram_counts(c), 256).first()
+    tr, ev = Counter(), Counter()
+    for split, _, _, d in rows:
+        (tr if split == "train" else ev).update(zip(d, d[1:]))
+    row = Counter()
+    for (a, _), n in tr.items():
+        row[a] += n
+    m = sum(ev.values())
+    nll = sum(n * -math.log((tr[(a, b)] + 1) / (row[a] + 256)) for (a, b), n in ev.items())
+    assert got.n_targets == m and got.loss == pytest.approx(nll / m)
