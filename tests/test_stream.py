@@ -221,3 +221,20 @@ def test_corpus_loss_equals_brute_force(spark):
     m = sum(ev.values())
     nll = sum(n * -math.log((tr[(a, b)] + 1) / (row[a] + 256)) for (a, b), n in ev.items())
     assert got.n_targets == m and got.loss == pytest.approx(nll / m)
+
+
+def test_next_token_pairs_random_with_empty_documents(spark):
+    rnd = random.Random(21)
+    rows = [(rnd.choice(["train", "val"]), rnd.randint(0, 3), d,
+             bytearray(rnd.randrange(6) for _ in range(rnd.choice([0, 0, 1, rnd.randint(2, 9)]))))
+            for d in range(60)]
+    c = spark.createDataFrame(rows, "split STRING, shard_id INT, doc_id BIGINT, data BINARY")
+    got = {(r.split, r.tok, r.next_tok): r.n
+           for r in stream.next_token_pairs(stream.positions(c)).collect()}
+    want = Counter()
+    for split in ("train", "val"):
+        s = b"".join(bytes(r[3]) for r in sorted((r for r in rows if r[0] == split),
+                                                 key=lambda r: (r[1], r[2])))
+        for a, b in zip(s, s[1:]):
+            want[(split, a, b)] += 1
+    assert got == dict(want)
