@@ -85,3 +85,20 @@ def test_softmax_sample_equals_brute_force(spark):
         assert got[g][0] == want[g][0] and got[g][2] == want[g][2]
         assert got[g][1] == pytest.approx(want[g][1])
     assert got[102][0] == 1 and math.isclose(got[102][1], 1.0)
+
+
+def test_running_best_random_logs(spark):
+    import random
+    rnd = random.Random(3)
+    vals = [NAN, INF, -INF, 1.0, 2.0, 2.0, 3.5, 0.5]
+    rows = [(run, s, rnd.choice(vals)) for run in ("x", "y", "z") for s in rnd.sample(range(500), 40)]
+    for init in (INF, 2.0):
+        got = {(r.run, r.step): (r.is_best, r.best_so_far)
+               for r in logs.running_best(log(spark, rows), init).collect()}
+        for run in ("x", "y", "z"):
+            best = init
+            for _, s, l in sorted((x for x in rows if x[0] == run), key=lambda x: x[1]):
+                is_best = l < best
+                if is_best:
+                    best = l
+                assert got[(run, s)] == (is_best, best)
