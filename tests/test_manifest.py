@@ -111,3 +111,34 @@ def test_split_labels_and_overlap_guard(spark):
     assert [s for s in range(50) if got[s] == "val"] == [45]
     with pytest.raises(ValueError):
         with_split(corpus_from_documents(docs), 46, 10)
+
+
+def test_listing_and_verify_random_against_python(spark):
+    import random
+    rnd = random.Random(8)
+    names = [f"data{i:02d}.bin" for i in range(12)]
+    listing = []
+    for _ in range(40):
+        pre = rnd.choice(["tok105/", "tok105/", "other/"])
+        suf = rnd.choice([".bin", ".bin", ".txt"])
+        name = rnd.choice(names).replace(".bin", suf)
+        listing.append(f"-rw-r--r-- u/g {rnd.randint(1, 99)} 2024-01-01 00:00 {pre}{name}")
+    expected = {}
+    for line in listing:                                   # last duplicate wins
+        parts = line.split()
+        if parts[-1].startswith("tok105/") and parts[-1].endswith(".bin"):
+            expected[parts[-1].split("/")[-1]] = int(parts[2])
+    existing = {n: rnd.choice([expected.get(n, 5), expected.get(n, 5) + 1])
+                for n in names if rnd.random() < 0.7}
+    got_exp = {r.file: r.size for r in M.parse_listing(lines(spark, listing)).collect()}
+    assert got_exp == expected
+    req = M.required_shards(spark, 5, 20, 8)              # data00-04, data08
+    ex = spark.createDataFrame(list(existing.items()), "file STRING, size BIGINT")
+    got = {r.file: r.status for r in M.verify_shards(req, ex, M.parse_listing(lines(spark, listing))).collect()}
+    for f in [f"data{i:02d}.bin" for i in (0, 1, 2, 3, 4, 8)]:
+        if f not in existing:
+            assert got[f] == "missing"
+        elif f not in expected:
+            assert got[f] == "not_in_archive"
+        else:
+            assert got[f] == ("verified" if existing[f] == expected[f] else "size_mismatch")
