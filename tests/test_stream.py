@@ -238,3 +238,16 @@ def test_next_token_pairs_random_with_empty_documents(spark):
         for a, b in zip(s, s[1:]):
             want[(split, a, b)] += 1
     assert got == dict(want)
+
+
+def test_stream_chunks_random(spark):
+    rnd = random.Random(12)
+    rows = [("train", rnd.randint(0, 4), d, bytearray(rnd.randint(0, 40))) for d in range(50)]
+    c = spark.createDataFrame(rows, "split STRING, shard_id INT, doc_id BIGINT, data BINARY")
+    pos = stream.positions(c, keep_data=False)
+    total = sum(len(r[3]) for r in rows)
+    for size in (1, 7, 64, total, total + 5):
+        got = {r.chunk: (r.n_tokens, r.cum_tokens) for r in stream.stream_chunks(pos, size).collect()}
+        want = {k: (min(size, total - k * size), min((k + 1) * size, total))
+                for k in range((total + size - 1) // size)}
+        assert got == want, size
