@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -63,3 +66,30 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sorted_groups(batches, n_keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """(key, rows) per run of equal values in the first ``n_keys`` integer columns.
+
+    For use in mapInArrow over rows that were repartitioned and sorted by those
+    columns; many small groups cost one slice each, and only the group that is
+    open at the end of a batch is carried over.
+    """
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else b
+        keys = [np.asarray(rows.column(i)) for i in range(n_keys)]
+        new = np.zeros(rows.num_rows - 1, dtype=bool)
+        for k in keys:
+            new |= k[1:] != k[:-1]
+        ends = np.flatnonzero(new) + 1
+        at = 0
+        for e in ends.tolist():
+            yield tuple(int(k[at]) for k in keys), rows.slice(at, e - at)
+            at = e
+        held = [rows.slice(at)]
+    for rows in held:
+        yield tuple(rows.column(i)[0].as_py() for i in range(n_keys)), rows
