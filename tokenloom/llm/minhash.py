@@ -42,7 +42,6 @@ MINIMA, ROWS = 128, 4
 BANDS = MINIMA // ROWS
 SURE = 0.60  # an estimate below this rules 0.75 out: four standard deviations of 128 minima
 BLOCK = 1024
-MEMO = 1 << 20
 CHUNK = 1 << 15
 
 _rng = np.random.default_rng(20240601)
@@ -51,34 +50,25 @@ ADD = _rng.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
 POSITION = _rng.integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class WordHashes(dict):
-    """64-bit hash per distinct word, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_hashes(text: bytes, memo: WordHashes) -> np.ndarray:
+def shingle_hashes(text: bytes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
     w = text.lower().split()  # bytes: A-Z and ASCII white space only
     if not w:
         return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(memo.__getitem__, w), dtype=np.uint64, count=len(w))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, w), dtype=np.uint64, count=len(w))
     k = min(WORDS, len(w))
     n = len(w) - k + 1
     s = np.full(n, k, dtype=np.uint64)
     for i in range(k):
         s += h[i:i + n] * POSITION[i]
-    return np.unique(_mix(s))
+    s = np.sort(_mix(s))
+    return s[np.concatenate(([True], s[1:] != s[:-1]))]
 
 
 def minima(sets: list[np.ndarray]) -> np.ndarray:
@@ -96,7 +86,6 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
 
 def _sign(batches):
     """(id, th, text binary) -> (id, th, n, fp, sig)."""
-    memo = WordHashes()
     for b in batches:
         ids, th = b.column(0), b.column(1)
         n, fp, sig = [], [], []
@@ -111,7 +100,7 @@ def _sign(batches):
                 size = 0
 
         for t in b.column(2):
-            s = shingle_hashes(t.as_py() or b"", memo)
+            s = shingle_hashes(t.as_py() or b"")
             n.append(len(s))
             if not len(s):
                 flush()

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm import chat, quality_rules, url_filter
 from tokenloom.llm.chat import op8_chat_format
+from tokenloom.llm.embedding_dedup import op1_embedding_pq
+from tokenloom.llm.minhash import op6_minhash
 from tokenloom.llm.mixing import op9_pareto_mix
+from tokenloom.llm.packing import op3_hilbert_packing
 from tokenloom.llm.quality_rules import op7_quality_rules
 from tokenloom.llm.sharding import op4_histogram_sort
 from tokenloom.llm.url_filter import op10_url_filter
@@ -16,7 +19,10 @@ from tokenloom.llm.url_filter import op10_url_filter
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_embedding_pq": op1_embedding_pq,
+        "op3_hilbert_packing": op3_hilbert_packing,
         "op4_histogram_sort": op4_histogram_sort,
+        "op6_minhash": op6_minhash,
         "op7_quality_rules": op7_quality_rules,
         "op8_chat_format": op8_chat_format,
         "op9_pareto_mix": op9_pareto_mix,
