@@ -7,30 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm import chat, quality_rules, url_filter
-from tokenloom.llm.chat import op8_chat_format
 from tokenloom.llm.embedding_dedup import op1_embedding_pq
 from tokenloom.llm.minhash import op6_minhash
 from tokenloom.llm.mixing import op9_pareto_mix
 from tokenloom.llm.packing import op3_hilbert_packing
-from tokenloom.llm.quality_rules import op7_quality_rules
+from tokenloom.llm.quality_classifier import op5_cotraining
 from tokenloom.llm.sharding import op4_histogram_sort
-from tokenloom.llm.url_filter import op10_url_filter
+from tokenloom.llm.toxicity import op2_zstd_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_embedding_pq": op1_embedding_pq,
+        "op2_zstd_toxicity": op2_zstd_toxicity,
         "op3_hilbert_packing": op3_hilbert_packing,
         "op4_histogram_sort": op4_histogram_sort,
+        "op5_cotraining": op5_cotraining,
         "op6_minhash": op6_minhash,
-        "op7_quality_rules": op7_quality_rules,
-        "op8_chat_format": op8_chat_format,
+        "op7_quality_rules": quality_rules.op7_quality_rules,
+        "op8_chat_format": chat.op8_chat_format,
         "op9_pareto_mix": op9_pareto_mix,
-        "op10_url_filter": op10_url_filter,
+        "op10_url_filter": url_filter.op10_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL where SQL can express the operator; the others are tested against brute force."""
     return {
         "op7_quality_rules": quality_rules.oracle(),
         "op8_chat_format": chat.oracle(),
