@@ -68,6 +68,13 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(batches, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, to bound what a worker holds of long texts."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def sorted_groups(batches, n_keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
     """(key, rows) per run of equal values in the first ``n_keys`` integer columns.
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tokenloom.llm.common import sorted_groups, table, write_scratch
+from tokenloom.llm.common import small, sorted_groups, table, write_scratch
 from tokenloom.llm.components import connected_components
 
 WORDS = 5
@@ -86,7 +86,7 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
 
 def _sign(batches):
     """(id, th, text binary) -> (id, th, n, fp, sig)."""
-    for b in batches:
+    for b in small(batches):
         ids, th = b.column(0), b.column(1)
         n, fp, sig = [], [], []
         waiting: list[np.ndarray] = []
@@ -155,7 +155,7 @@ def _similar(batches):
             last[key] = set(zip(*(w[i:] for i in range(WORDS)))) if len(w) >= WORDS else {tuple(w)} if w else set()
         return last[key]
 
-    for batch in batches:
+    for batch in small(batches):
         out = []
         for a, b, ha, hb, ta, tb in zip(*(c.to_pylist() for c in batch.columns)):
             x, y = shingles((a, ha), ta), shingles((b, hb), tb)

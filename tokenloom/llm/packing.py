@@ -29,14 +29,14 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tokenloom.llm.common import table, write_scratch
+from tokenloom.llm.common import small, table, write_scratch
 
 TOKENIZER = "word_bpe_49k.json"
 LENGTH = 2048
 END_ID = 1
 DIMS, BITS = 4, 8
 SAMPLE = 5_000
-MEMO = 1 << 19
+MEMO = 1 << 18
 SEED = 77
 _END = np.array([END_ID], dtype="<u4").tobytes()
 
@@ -135,7 +135,7 @@ def _projector(path: str | None):
     """(doc_id, h, t) -> (h, coordinates): for the sample."""
     def run(batches):
         memo, dirs = load_tokenizer(path), directions()
-        for b in batches:
+        for b in small(batches):
             pts = np.array([project(token_ids(t, memo), dirs) for t in b.column(2).to_pylist()],
                            dtype=np.float32).reshape(-1, DIMS)
             yield pa.RecordBatch.from_arrays([b.column(1), *(pa.array(pts[:, d]) for d in range(DIMS))],
@@ -147,7 +147,7 @@ def _keyer(path: str | None, cuts: np.ndarray, ends: np.ndarray):
     """(doc_id, h, t) -> (range, key, doc_id, n, ids as uint16 or uint32 bytes)."""
     def run(batches):
         memo, dirs = load_tokenizer(path), directions()
-        for b in batches:
+        for b in small(batches):
             ids = [token_ids(t, memo) for t in b.column(2).to_pylist()]
             pts = np.array([project(i, dirs) for i in ids], dtype=np.float32).reshape(-1, DIMS)
             key = (hilbert(cell(pts, cuts)) << 31) | (np.asarray(b.column(1)) & 0x7FFFFFFF)
@@ -170,7 +170,7 @@ def _unpack(raw: bytes, n: int) -> np.ndarray:
 def _pieces(length: int, with_ids: bool):
     """(doc_id, n, place on the curve, ids) -> one row per piece."""
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             out: list[list] = [[] for _ in range(8)]
             for doc, n, at, raw in zip(*(c.to_pylist() for c in b.columns)):
                 ids, start = _unpack(raw, n), 0

@@ -32,7 +32,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tokenloom.llm.common import table
+from tokenloom.llm.common import small, table
 from tokenloom.llm.logistic import Logistic
 
 MAX_TOXIC, MAX_ORDINARY, MAX_CHARS = 3000, 6000, 50_000
@@ -155,7 +155,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
 def _score(ordinary: bytes, toxic: bytes, constant: float, coefficients: list[float]):
     def run(batches):
         gains, c = Gains(ordinary, toxic), np.array(coefficients)
-        for b in batches:
+        for b in small(batches):
             x = np.array([gains.features(t) for t in b.column(1).to_pylist()])
             z = np.clip(constant + x @ c, -30, 30)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-z)))], names=["doc_id", "score"])
