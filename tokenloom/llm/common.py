@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import sys
 import uuid
 from collections.abc import Iterator
 
@@ -68,6 +69,14 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_process(name: str, make):
+    """What ``make`` returns, kept in this Python worker for the tasks that follow."""
+    kept = sys.__dict__.setdefault("_tokenloom_kept", {})
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def small(batches, rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, to bound what a worker holds of long texts."""
     for b in batches:

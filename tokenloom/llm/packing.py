@@ -29,7 +29,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tokenloom.llm.common import small, table, write_scratch
+from tokenloom.llm.common import per_process, small, table, write_scratch
 
 TOKENIZER = "word_bpe_49k.json"
 LENGTH = 2048
@@ -42,7 +42,7 @@ _END = np.array([END_ID], dtype="<u4").tobytes()
 
 
 class WordIds(dict):
-    """uint32 ids, as bytes, of each distinct white-space word; remembered up to a bound.
+    """uint32 ids, as bytes, of each distinct white-space word; at most 2 x MEMO are remembered.
 
     The tokenizer's pre-tokenizer splits at white space, and between a letter
     and the punctuation after it, and its normalizer changes no character
@@ -54,17 +54,29 @@ class WordIds(dict):
     # a word that ends in a letter (ASCII or Latin-1), then punctuation other than the apostrophe
     _tail = re.compile(rb"(.*(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf]))([.,;:!?#$%&*|)]+)", re.DOTALL)
 
+    # a word of ASCII and Latin-1 letters, composed: one piece, which only has to be put in lower case
+    _latin = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\x9e\xa0-\xb6\xb8-\xbf])+")
+
     def __init__(self, tokenizer):
-        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        letters = [chr(c) for c in range(0xE0, 0x100) if c != 0xF7]
+        self.spelt = {ord(c): tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}  # as the model sees it
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MEMO:
+        if len(self) >= MEMO:  # the words of this generation stay at hand during the next
+            self.old = dict(self)
             self.clear()
+        ids = self.old.get(word)
+        if ids is not None:
+            self[word] = ids
+            return ids
         if word.isalpha():  # of ASCII letters: neither normalizer nor pre-tokenizer has anything to do
             raw = [t.id for t in self.model.tokenize(word.decode())]
         elif m := self._tail.fullmatch(word):
             self[word] = ids = self[m[1]] + self[m[2]]
             return ids
+        elif self._latin.fullmatch(word):
+            raw = [t.id for t in self.model.tokenize(word.decode().lower().translate(self.spelt))]
         else:
             raw = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
         self[word] = ids = np.array(raw, dtype="<u4").tobytes()
@@ -74,9 +86,14 @@ class WordIds(dict):
 def load_tokenizer(path: str | None = None) -> WordIds:
     """The tokenizer at ``path``; strings of its special tokens are ordinary text."""
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
-    t.encode_special_tokens = True
-    return WordIds(t)
+    path = path or public_tokenizers.path(TOKENIZER)
+
+    def make() -> WordIds:
+        t = Tokenizer.from_file(path)
+        t.encode_special_tokens = True
+        return WordIds(t)
+
+    return per_process(f"word ids of {path}", make)
 
 
 def token_ids(text: bytes | None, memo: WordIds) -> np.ndarray:
@@ -85,12 +102,14 @@ def token_ids(text: bytes | None, memo: WordIds) -> np.ndarray:
 
 
 def directions(buckets: int = 1 << 16) -> np.ndarray:
-    return np.random.default_rng(SEED).standard_normal((buckets, DIMS)).astype(np.float32)
+    """DIMS rows: the random direction of each hashed token id, by dimension."""
+    return np.random.default_rng(SEED).standard_normal((DIMS, buckets)).astype(np.float32)
 
 
-def project(ids: np.ndarray, table_: np.ndarray) -> np.ndarray:
+def project(ids: np.ndarray, dirs: np.ndarray) -> list[float]:
     """Few-dimensional projection of the hashed bag of token ids."""
-    return table_[ids & (len(table_) - 1)].sum(axis=0) / np.sqrt(len(ids))
+    at = (ids & (dirs.shape[1] - 1)).astype(np.int64)
+    return [float(d.take(at).sum()) / len(ids) ** 0.5 for d in dirs]
 
 
 def hilbert(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
