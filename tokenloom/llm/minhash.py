@@ -11,8 +11,9 @@ bucket:
    members), by signature and then on full shingle sets; the links found are
    joined into components;
 2. in buckets whose members still lie in different components, members are
-   compared by signature in blocks of ``BLOCK``; only pairs of different
-   components whose estimate leaves 0.75 possible go on to the full sets. A
+   compared by signature in tiles of two blocks of ``BLOCK``; tiles that hold a
+   pair of different components whose estimate leaves 0.75 possible get the
+   texts of its members, decide such pairs on full sets and return stars. A
    pair is compared in the first band it shares only.
 
 A pair inside one component need not be verified: it cannot change the result.
@@ -29,6 +30,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -41,7 +43,8 @@ PERCENT = 75
 MINIMA, ROWS = 128, 4
 BANDS = MINIMA // ROWS
 SURE = 0.60  # an estimate below this rules 0.75 out: four standard deviations of 128 minima
-BLOCK = 1024
+BLOCK = 512
+FILTER_BITS = 23
 CHUNK = 1 << 15
 
 _rng = np.random.default_rng(20240601)
@@ -143,6 +146,16 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
             .mapInArrow(_sign, "id long, th long, n long, fp binary, sig binary"))
 
 
+def _shingles(t: bytes | None) -> set:
+    w = (t or b"").lower().split()
+    return set(zip(*(w[i:] for i in range(WORDS)))) if len(w) >= WORDS else {tuple(w)} if w else set()
+
+
+def _linked(x: set, y: set) -> bool:
+    both = len(x & y)
+    return bool(x and y) and 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 def _similar(batches):
     """(a, b, ta, tb) -> (u, v) where the full shingle sets are similar enough."""
     last: dict = {}
@@ -151,25 +164,45 @@ def _similar(batches):
         if key not in last:
             if len(last) >= 16:
                 last.clear()
-            w = (t or b"").lower().split()
-            last[key] = set(zip(*(w[i:] for i in range(WORDS)))) if len(w) >= WORDS else {tuple(w)} if w else set()
+            last[key] = _shingles(t)
         return last[key]
 
     for batch in small(batches):
-        out = []
-        for a, b, ha, hb, ta, tb in zip(*(c.to_pylist() for c in batch.columns)):
-            x, y = shingles((a, ha), ta), shingles((b, hb), tb)
-            both = len(x & y)
-            if x and y and 100 * both >= PERCENT * (len(x) + len(y) - both):
-                out.append((a, b))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], names=["u", "v"])
+        out = [(a, b) for a, b, ha, hb, ta, tb in zip(*(c.to_pylist() for c in batch.columns))
+               if _linked(shingles((a, ha), ta), shingles((b, hb), tb))]
+        yield _edges(out)
+
+
+def _edges(pairs: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
+                                      names=["u", "v"])
+
+
+def _might_hold(ids: DataFrame):
+    """A filter of fixed size that every one of the ids passes, and few others while they are few."""
+    place = F.pmod(F.xxhash64("id", F.lit(99)), F.lit(1 << FILTER_BITS))
+    got = (ids.select(place.alias("h")).groupBy(F.shiftright("h", 6).alias("at"))
+           .agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63 AS INT))")).alias("bits")).toPandas())  # at most 2^FILTER_BITS / 64 rows
+    held = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    held[got["at"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+
+    @F.pandas_udf("boolean")
+    def holds(h: pd.Series) -> pd.Series:
+        x = h.to_numpy()
+        return pd.Series((held[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return holds(place)
+
+
+def texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts (id, th, t) of some ids; most others are dropped before the shuffle."""
+    need = ids.select("id").distinct()
+    return write_scratch(texts.filter(_might_hold(need)).join(need, "id", "left_semi"), "mh-texts")
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full texts are similar. texts: (id, th, t binary)."""
-    need = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    held = write_scratch(texts.join(need, "id", "left_semi"), "mh-texts")
+    held = texts_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), texts)
     left = held.select(F.col("id").alias("a"), F.col("th").alias("ha"), F.col("t").alias("ta"))
     right = held.select(F.col("id").alias("b"), F.col("th").alias("hb"), F.col("t").alias("tb"))
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb", "ta", "tb")
@@ -189,31 +222,66 @@ def _agree(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
 
-def _block_pairs(batches):
-    """Pairs of a block that may be similar, lie in different components and share no earlier band."""
-    for (_, k, i, j), rows in sorted_groups(batches, 4):
-        ids, label, n, blk, lead = (np.asarray(rows.column(c)) for c in ("id", "label", "n", "blk", "lead"))
-        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), dtype=np.uint32).reshape(len(ids), MINIMA)
-        right = np.flatnonzero((blk == j) & (ids != lead))  # the first pass compared the least id with all
-        a, b = [], []
-        for r in np.flatnonzero((blk == i) & (ids != lead)):
-            c = right[(label[right] != label[r])
-                      & (100 * np.minimum(n[right], n[r]) >= PERCENT * np.maximum(n[right], n[r]))]
-            if i == j:
-                c = c[ids[c] > ids[r]]
-            if not len(c):
-                continue
+def _candidates(k: int, i: int, j: int, rows: pa.RecordBatch):
+    """Per member of block i the members of block j that may be similar, lie in another component and share no earlier band."""
+    ids, label, n, blk, lead = (np.asarray(rows.column(c)) for c in ("id", "label", "n", "blk", "lead"))
+    sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), dtype=np.uint32).reshape(len(ids), MINIMA)
+    right = np.flatnonzero((blk == j) & (ids != lead))  # the first pass compared the least id with all
+    for r in np.flatnonzero((blk == i) & (ids != lead)):
+        c = right[(label[right] != label[r])
+                  & (100 * np.minimum(n[right], n[r]) >= PERCENT * np.maximum(n[right], n[r]))]
+        if i == j:
+            c = c[ids[c] > ids[r]]
+        if len(c):
             same = sig[c] == sig[r]
             sure = same.mean(axis=1) >= SURE
             first = same[sure].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
-            for x in ids[c[sure][first == k]]:
-                a.append(min(ids[r], x))
-                b.append(max(ids[r], x))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            c = c[sure][first == k]
+        if len(c):
+            yield int(r), c.tolist()
 
 
-def _mixed_pairs(bands: DataFrame, buckets: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
-    """Second pass: candidate pairs between components that meet in a bucket (of two, all is compared)."""
+def _busy(batches):
+    """The members of a tile that have a candidate there."""
+    for (_, k, i, j), rows in sorted_groups(batches, 4):
+        used = sorted({x for r, c in _candidates(k, i, j, rows) for x in (r, *c)})
+        if used:
+            yield rows.take(pa.array(used))
+
+
+def _tile_links(batches):
+    """Stars (u, v) of the linked members of a tile, decided on full shingle sets."""
+    for (_, k, i, j), rows in sorted_groups(batches, 4):
+        ids, text = rows.column("id").to_pylist(), rows.column("t")
+        hashed: dict = {}
+        root = list(range(len(ids)))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        def hashes(x: int) -> np.ndarray:
+            if x not in hashed:
+                hashed[x] = shingle_hashes(text[x].as_py() or b"")
+            return hashed[x]
+
+        for r, near in _candidates(k, i, j, rows):
+            for c in near:
+                if find(r) == find(c):
+                    continue
+                x, y = hashes(r), hashes(c)
+                both = len(x) + len(y) - len(np.union1d(x, y))
+                if (100 * both >= PERCENT * (len(x) + len(y) - both)
+                        and _linked(_shingles(text[r].as_py()), _shingles(text[c].as_py()))):
+                    a, b = sorted((find(r), find(c)), key=lambda x: ids[x])
+                    root[b] = a
+        yield _edges([(ids[x], ids[find(x)]) for x in range(len(ids)) if find(x) != x])
+
+
+def _mixed_links(bands: DataFrame, buckets: DataFrame, reps: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Second pass: links between components that meet in a bucket (of two, the first pass compared all)."""
     named = (bands.join(buckets.filter(F.col("size") > 2), "band").join(labels, "id", "left")
              .withColumn("label", F.coalesce("component", "id")).drop("component"))
     mixed = (named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"))
@@ -224,8 +292,11 @@ def _mixed_pairs(bands: DataFrame, buckets: DataFrame, reps: DataFrame, labels:
               .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
               .withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")))
     keys = ("band", "k", "i", "j")
-    return (member.select(*keys, "id", "label", "n", "blk", "lead", "sig").repartition(*keys)
-            .sortWithinPartitions(*keys).mapInArrow(_block_pairs, "a long, b long"))
+    columns = "band long, k int, i int, j int, id long, label long, n long, blk int, lead long, sig binary"
+    busy = write_scratch(member.select(*keys, "id", "label", "n", "blk", "lead", "sig").repartition(*keys)
+                         .sortWithinPartitions(*keys).mapInArrow(_busy, columns), "mh-busy")
+    return (busy.join(texts_of(busy, texts).select("id", "t"), "id").select(*busy.columns, "t")
+            .repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_tile_links, "u long, v long"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -246,8 +317,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     likely = write_scratch(starred.join(two, "b").join(one, "a").filter(_possible(F.col("na"), F.col("nb")))
                            .select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long"), "mh-likely")
     first = connected_components(verify(likely, texts)).select("id", "component")
-    rest = write_scratch(_mixed_pairs(bands, buckets, reps, first), "mh-rest")
-    more = verify(rest.distinct(), texts)
+    more = write_scratch(_mixed_links(bands, buckets, reps, first, texts), "mh-links")
     label = first.select(F.col("id").alias("x"), "component")
     links = (more.join(label, more["u"] == label["x"], "left").select(F.coalesce("component", "u").alias("u"), "v")
              .join(label, F.col("v") == label["x"], "left").select("u", F.coalesce("component", "v").alias("v")))
