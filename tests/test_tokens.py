@@ -48,3 +48,14 @@ def test_decode_cut_character_is_replaced(spark):
     cut = "\u00e9a".encode()[:1] + b"a"
     got = _one(spark, T.decode_utf8(F.col("b")), (bytearray(cut),), "b BINARY")
     assert got == cut.decode("utf-8", errors="replace")
+
+
+def test_uint16_streams_empty_and_odd(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from tokenloom.functions.tokens import bytes_to_ids
+    df = spark.createDataFrame([(bytearray(b""),), (bytearray(b"\x01\x02\xff\xff"),)], "b BINARY")
+    assert [r.x for r in df.select(bytes_to_ids(F.col("b"), 2).alias("x")).collect()] == [[], [513, 65535]]
+    odd = spark.createDataFrame([(bytearray(b"\x01"),)], "b BINARY")
+    with pytest.raises(Exception, match="odd number of bytes"):
+        odd.select(bytes_to_ids(F.col("b"), 2).alias("x")).collect()

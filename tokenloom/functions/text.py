@@ -77,5 +77,5 @@ def zero_pad_name(c, prefix: str = "data", width: int = 2, suffix: str = ".bin")
 def percent_done(done, total) -> Column:
     """C11: integer percent ``done*100 // total`` (NULL when total is 0)."""
     d, t = as_col(done), as_col(total)
-    return F.when(t == 0, F.lit(None).cast("long")).otherwise(
-        F.floor(d * 100 / t).cast("long"))
+    wide = (d.cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)")) / t.cast("decimal(20,0)")  # done * 100 may exceed a long
+    return F.when(t == 0, F.lit(None).cast("long")).otherwise(F.floor(wide).cast("long"))

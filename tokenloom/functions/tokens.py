@@ -25,7 +25,10 @@ def _latin1(b: Column) -> Column:
 
 
 def bytes_to_ids(data, width: int = 1) -> Column:
-    """BINARY token stream -> ARRAY<INT> of token ids."""
+    """BINARY token stream -> ARRAY<INT> of token ids; empty for an empty stream.
+
+    With ``width=2`` a stream of an odd number of bytes is an error.
+    """
     b = as_col(data)
     one = F.when(F.octet_length(b) == 0, F.array().cast("array<int>")).otherwise(
         F.transform(F.split(_latin1(b), ""), lambda c: F.ascii(c)))
@@ -33,10 +36,13 @@ def bytes_to_ids(data, width: int = 1) -> Column:
         return one
     if width != 2:
         raise ValueError("width must be 1 or 2")
-    return F.transform(
+    pairs = F.transform(
         F.sequence(F.lit(0), F.floor(F.size(one) / 2).cast("int") - 1),
         lambda i: F.get(one, i * 2) + F.get(one, i * 2 + 1) * 256,
-    ).alias("ids")
+    )
+    odd = F.raise_error(F.lit("a uint16 token stream has an odd number of bytes")).cast("array<int>")
+    return (F.when(F.octet_length(b) == 0, F.array().cast("array<int>"))
+            .when(F.octet_length(b) % 2 == 1, odd).otherwise(pairs).alias("ids"))
 
 
 def ids_to_bytes(ids, width: int = 1) -> Column:

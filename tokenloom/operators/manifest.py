@@ -162,4 +162,4 @@ def extract_progress(plan: DataFrame) -> DataFrame:
              .withColumn("total_bytes", F.sum(size).over(Window.partitionBy()).cast("long")))
     return p.select("file", "i", "n", "done_bytes", "total_bytes",
                     percent_done("done_bytes", "total_bytes").alias("percent"),
-                    round6(F.col("done_bytes") * 100.0 / F.col("total_bytes")).alias("percent_exact"))
+                    round6(F.try_divide(F.col("done_bytes") * 100.0, F.col("total_bytes"))).alias("percent_exact"))
