@@ -49,13 +49,9 @@ THRESHOLDS = (
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _window_hashes(h: Column, n: Column) -> Column:
-    """Hash of every 8-word window, by doubling 1 -> 2 -> 4 -> 8 words."""
-    for step in (1, 2, 4):
-        h = F.zip_with(h, F.slice(h, F.lit(step + 1), F.greatest(n, F.lit(1))),
-                       lambda a, b: F.xxhash64(a, b))
-    return F.when(n >= WINDOW, F.slice(h, F.lit(1), n - (WINDOW - 1))).otherwise(
-        F.array().cast("array<bigint>"))
+def _joined(h: str, step: int, n: Column) -> Column:
+    """Hash of each element with the one ``step`` places on."""
+    return F.zip_with(h, F.slice(h, F.lit(step + 1), F.greatest(n, F.lit(1))), lambda a, b: F.xxhash64(a, b))
 
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -68,7 +64,10 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     size = F.size("__w")
     df = docs.withColumn("__t", t).withColumn("__w", words(F.col("__t")))
     df = df.withColumn("__h", F.transform("__w", lambda w: F.xxhash64(w)))
-    df = df.withColumn("__win", _window_hashes(F.col("__h"), size))
+    for step in (1, 2, 4):  # one column each, so that none is computed twice: 2, 4, then 8 words
+        df = df.withColumn("__h", _joined("__h", step, size))
+    df = df.withColumn("__win", F.when(size >= WINDOW, F.slice("__h", F.lit(1), size - (WINDOW - 1))).otherwise(
+        F.array().cast("array<bigint>")))
     repeated = F.size(F.array_distinct("__win")) < F.size("__win")
     by_hash = F.sort_array(F.transform("__win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     df = df.withColumn("__s", F.when(repeated, by_hash))
