@@ -151,15 +151,64 @@ def test_no_pair_left_stops_early(spark):
 def test_decode_specials_and_cut_characters(spark, model):
     seqs = spark.createDataFrame([(1, [104, 105, 268]), (2, [195]), (3, [])], "doc_id BIGINT, ids ARRAY<INT>")
     got = {r.doc_id: r.text for r in bpe.decode_ids(seqs, model.vocab).collect()}
-    assert got == {1: "hi<|endoftext|>", 2: "�", 3: ""}
+    assert got == {1: "hi", 2: "�", 3: ""}
+    shown = {r.doc_id: r.text for r in bpe.decode_ids(seqs, model.vocab, skip_special=False).collect()}
+    assert shown == {1: "hi<|endoftext|>", 2: "�", 3: ""}
+    unknown = spark.createDataFrame([(1, [104, 9999, 105])], "doc_id BIGINT, ids ARRAY<INT>")
+    assert bpe.decode_ids(unknown, model.vocab).first().text == "hi"
 
 
-def test_long_merge_lists_fold_in_batches(spark):
+def test_special_tokens_are_one_id(spark, model):
+    df = docs(spark, ["hello<|endoftext|>", "<|endoftext|><|endoftext|>a <|endoftext|> b", "<|endoftext|", ""])
+    merges = bpe.merges_list(model)
+    got = {r.doc_id: r.ids for r in bpe.encode_documents(df, merges, specials={"<|endoftext|>": 268}).collect()}
+    part = lambda t: naive_encode(t, [(l, r, n, 0) for l, r, n in merges])
+    assert got == {0: part("hello") + [268], 1: [268, 268] + part("a ") + [268] + part(" b"),
+                   2: part("<|endoftext|"), 3: []}
+
+
+def test_lowest_rank_first_on_random_words():
+    """merge_word against a loop that looks for the earliest merge anywhere in the word, step by step."""
+    import random
+    rnd = random.Random(3)
+    for _ in range(200):
+        ids, merges = [97, 98, 99], {}
+        for k in range(12):
+            merges.setdefault((rnd.choice(ids), rnd.choice(ids)), 256 + k)
+            ids.append(256 + k)
+        word = [rnd.choice([97, 98, 99]) for _ in range(rnd.randint(0, 14))]
+        s = list(word)
+        while True:
+            found = [(merges[p], i) for i, p in enumerate(zip(s, s[1:])) if p in merges]
+            if not found:
+                break
+            new, i = min(found)
+            s[i:i + 2] = [new]
+        assert bpe.merge_word(list(word), merges) == s
+
+
+def test_token_to_id_keeps_unknown_tokens(spark, model):
+    t = spark.createDataFrame([(bytearray(b"no such token"),)], "token BINARY")
+    assert [r.id for r in bpe.token_to_id(t, model.vocab).collect()] == [None]
+
+
+def test_many_merges_in_few_jobs_equal_naive(spark):
+    import random
+    rnd = random.Random(21)
+    texts = [" ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(1, 6))) for _ in range(40))
+             for _ in range(12)]
+    for look_ahead in (128, 3):
+        m = bpe.train_bpe(spark, bpe.pretoken_counts(docs(spark, texts)), 256 + 40 + 1, look_ahead=look_ahead)
+        got = [(r.l, r.r, r.id, r.freq) for r in m.merges.orderBy("rank").collect()]
+        assert got == naive_train(texts, 40)
+
+
+def test_long_merge_lists(spark):
     import random
     rnd = random.Random(5)
     ids = list(range(97, 101))               # bytes of 'abcd'
     merges = []
-    for k in range(300):                     # more than CHAIN_LIMIT merges
+    for k in range(300):                     # a long list
         l, r = rnd.choice(ids), rnd.choice(ids)
         merges.append((l, r, 256 + k))
         ids.append(256 + k)

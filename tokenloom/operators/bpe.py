@@ -8,20 +8,23 @@ Token sequences are strings with one code point per token: a byte is its
 ISO-8859-1 character (U+0000-00FF) and merge ``k`` is U+0100+k, i.e. the
 code point equals the token id. A merge of ``(l, r)`` into ``n`` is then the
 literal, left-to-right, non-overlapping ``replace(chr(l)+chr(r), chr(n))`` —
-exactly BPE's merge rule — and ``encode(s, 'UTF-16LE')`` is the uint16 token
-stream. Pre-token boundaries inside a document are U+FFFF, which no pattern
-contains, so no merge crosses them. Everything runs in the JVM, no UDF.
+exactly BPE's merge rule. Training runs in the JVM. Encoding and decoding are
+Arrow-batched functions: a word's merges are a loop that SQL functions can only
+express as one pass per merge over the whole text.
 """
 
 from __future__ import annotations
 
+import struct
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import WS_CLASS
-from ..functions.tokens import utf8_bytes
+from ..functions.tokens import bytes_to_ids, utf8_bytes
 from ..session import checkpoint_dir
 
 # ---- fixed values -----------------------------------------------------------
@@ -38,7 +41,8 @@ MIN_FREQUENCY = 2
 
 _LATIN1 = "ISO-8859-1"
 SEP = "\uffff"
-MAX_ID = 0xD7FF          # ids must be BMP code points below the surrogates
+MAX_ID = 0xD7FF          # training: ids must be BMP code points below the surrogates
+MAX_STREAM_ID = 0xFFFF   # uint16 streams
 
 
 def _tok(i: int) -> str:
@@ -66,19 +70,6 @@ def byte_chars(text) -> Column:
     return F.decode(utf8_bytes(t), _LATIN1)
 
 
-def token_ids(s) -> Column:
-    """Token string -> ARRAY<INT> (each code point is an id)."""
-    c = s if isinstance(s, Column) else F.col(s)
-    return F.when(F.length(c) == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.split(c, ""), lambda x: F.ascii(x)))
-
-
-def token_stream(s) -> Column:
-    """Token string -> BINARY little-endian uint16 stream (width 2)."""
-    c = s if isinstance(s, Column) else F.col(s)
-    return F.encode(c, "UTF-16LE")
-
-
 def words_table(counts: DataFrame) -> DataFrame:
     """``(word, n, s)`` with ``s`` the word's byte tokens."""
     return counts.select("word", "n", byte_chars(F.col("word")).alias("s"))
@@ -115,14 +106,40 @@ def _merge_expr(s: Column, l: int, r: int, new: int) -> Column:
     return F.replace(s, F.lit(_tok(l) + _tok(r)), F.lit(_tok(new)))
 
 
+def independent_merges(pairs: list[tuple[int, int, int]], complete: bool) -> int:
+    """How many of the first ``pairs`` (l, r, n; best first) can be merged from one count.
+
+    Merging ``(a, b)`` only changes pairs that end in ``a`` or begin with
+    ``b``, and a pair it creates is no more frequent than the one of these that
+    it replaces. So the next pair is still the best one, with its count
+    unchanged, as long as no pair that is at least as frequent ends in such an
+    ``a`` or begins with such a ``b``. ``complete``: there are no pairs beyond
+    these; otherwise a pair as rare as the last one may have unseen equals.
+    """
+    ends, starts, seen = set(), set(), 0
+    for i, (l, r, n) in enumerate(pairs):
+        if i and not complete and n == pairs[-1][2]:
+            return i
+        seen = max(seen, i)
+        while seen < len(pairs) and pairs[seen][2] >= n:
+            seen += 1
+        if i and any(p[1] in ends or p[0] in starts for p in pairs[:seen]):
+            return i
+        ends.add(l)
+        starts.add(r)
+    return len(pairs)
+
+
 def train_bpe(spark: SparkSession, counts: DataFrame, vocab_size: int,
               min_frequency: int = MIN_FREQUENCY, specials=(END_OF_TEXT,),
-              checkpoint_every: int = 8) -> BpeModel:
+              checkpoint_every: int = 8, look_ahead: int = 128) -> BpeModel:
     """K2: repeat (best pair -> merge everywhere) until the vocabulary is full
     or no pair reaches ``min_frequency``.
 
-    One Spark job per merge: pair counts over the distinct-word table (map-side
-    combined), of which only the winning pair (one row) reaches the driver.
+    Each Spark job counts the pairs of the distinct-word table (map-side
+    combined); the best ``look_ahead`` reach the driver, and as many merges are
+    made of them as would provably be made one by one
+    (:func:`independent_merges`).
     Merges made since the last checkpoint are applied as a chain of literal
     ``replace`` calls that Catalyst collapses into one projection; every
     ``checkpoint_every`` merges the merged words are written as a reliable
@@ -142,20 +159,24 @@ def train_bpe(spark: SparkSession, counts: DataFrame, vocab_size: int,
     held = [base]
     s = F.col("s")
     merges, tokens = [], {i: bytes([i]) for i in range(256)}
-    for rank in range(n_merges):
+    pending = 0
+    while len(merges) < n_merges:
         words = base.select("n", s.alias("s"))
-        best = top_pair(pair_counts(words, min_frequency)).collect()
+        best = [(r["l"], r["r"], int(r["n"])) for r in
+                pair_counts(words, min_frequency).orderBy(F.desc("n"), "l", "r").limit(look_ahead).collect()]
         if not best:
             break
-        l, r, freq = best[0]["l"], best[0]["r"], int(best[0]["n"])
-        new = 256 + rank
-        merges.append((rank, l, r, new, freq))
-        tokens[new] = tokens[l] + tokens[r]
-        s = _merge_expr(s, l, r, new)
-        if (rank + 1) % checkpoint_every == 0 and rank + 1 < n_merges:
+        take = min(independent_merges(best, len(best) < look_ahead), n_merges - len(merges))
+        for l, r, freq in best[:take]:
+            new = 256 + len(merges)
+            merges.append((len(merges), l, r, new, freq))
+            tokens[new] = tokens[l] + tokens[r]
+            s = _merge_expr(s, l, r, new)
+        pending += take
+        if pending >= checkpoint_every and len(merges) < n_merges:
             base = base.select("n", s.alias("s")).checkpoint()
             held.append(base)
-            s = F.col("s")
+            s, pending = F.col("s"), 0
     for h in held:
         h.unpersist()
     n_done = len(merges)
@@ -174,76 +195,101 @@ def merges_list(model: BpeModel) -> list[tuple[int, int, int]]:
     return [(r["l"], r["r"], r["id"]) for r in model.merges.orderBy("rank").collect()]
 
 
-CHAIN_LIMIT = 256
+MEMO_WORDS = 1 << 18     # distinct words a task remembers; beyond it the memory starts anew
 
 
-def apply_merges(s: Column, merges: list[tuple[int, int, int]]) -> Column:
-    """Apply the ordered merges to a token string.
+def merge_word(ids: list[int], ranks: dict[tuple[int, int], int]) -> list[int]:
+    """BPE of one word: merge the pair of the lowest id until none is left."""
+    while len(ids) > 1:
+        pair = min(zip(ids, ids[1:]), key=lambda p: ranks.get(p, MAX_STREAM_ID + 1))
+        new = ranks.get(pair)
+        if new is None:
+            break
+        out, i = [], 0
+        while i < len(ids):
+            if ids[i] == pair[0] and i + 1 < len(ids) and ids[i + 1] == pair[1]:
+                out.append(new)
+                i += 2
+            else:
+                out.append(ids[i])
+                i += 1
+        ids = out
+    return ids
+
+
+def _word_pieces(text, specials: dict[str, int]) -> Column:
+    """Pre-tokens of a text; a special token's string is a piece of its own."""
+    if not specials:
+        return pretokens(text)
+    t = text if isinstance(text, Column) else F.col(text)
+    names = list(specials)
+    either = "|".join(r"\Q" + n + r"\E" for n in sorted(names, key=len, reverse=True))
+    parts = F.split(F.regexp_replace(t, f"({either})", SEP + "$1" + SEP), SEP, -1)
+    return F.flatten(F.transform(parts, lambda p: F.when(p.isin(names), F.array(p)).otherwise(pretokens(p))))
+
+
+def encode_stream(text, merges: list[tuple[int, int, int]], specials: dict[str, int] | None = None) -> Column:
+    """K3 as one column: text -> BINARY little-endian uint16 ids; null stays null.
 
-    Applying every merge in rank order equals BPE's "lowest-rank pair first"
-    loop: a pair created by merge k can only have a rank above k. Up to
-    ``CHAIN_LIMIT`` merges are a chain of native ``replace`` calls; longer
-    lists fold over literal arrays of ``CHAIN_LIMIT`` merges each.
+    Pre-tokens are cut in the JVM. The words arrive in Arrow batches, and each
+    distinct word is merged once per task, so the time hardly grows with the
+    number of merges and nothing is shuffled. The merges and ``specials``
+    (string -> id) are bounded by the vocabulary.
     """
-    if len(merges) <= CHAIN_LIMIT:
-        for l, r, n in merges:
-            s = _merge_expr(s, l, r, n)
-        return s
-    for i in range(0, len(merges), CHAIN_LIMIT):
-        part = merges[i:i + CHAIN_LIMIT]
-        arr = F.array(*[F.struct(F.lit(_tok(l) + _tok(r)).alias("pat"), F.lit(_tok(n)).alias("rep"))
-                        for l, r, n in part])
-        s = F.aggregate(arr, s, lambda acc, m: F.replace(acc, m["pat"], m["rep"]))
-    return s
+    ranks, fixed = {}, {k: struct.pack("<H", v) for k, v in (specials or {}).items()}
+    for l, r, n in merges:
+        ranks.setdefault((l, r), n)
 
+    @F.pandas_udf("binary")
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memo = dict(fixed)
 
-def encode_text(text, merges: list[tuple[int, int, int]]) -> Column:
-    """K3 as one expression: text -> token string (code point = id).
+        def ids_of(word: str) -> bytes:
+            got = memo.get(word)
+            if got is None:
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                    memo.update(fixed)
+                ids = merge_word(list(word.encode("utf-8")), ranks)
+                got = memo[word] = struct.pack(f"<{len(ids)}H", *ids)
+            return got
 
-    Pre-tokens are joined with U+FFFF so no merge crosses a boundary; the
-    separators are dropped after the merges."""
-    words = F.transform(pretokens(text), lambda w: byte_chars(w))
-    s = apply_merges(F.array_join(words, SEP), merges)
-    return F.replace(s, F.lit(SEP), F.lit(""))
+        for words in batches:
+            yield words.map(lambda w: None if w is None else b"".join(map(ids_of, w)))
+
+    return encoded(_word_pieces(text, specials or {}))
 
 
 def encode_documents(docs: DataFrame, merges: list[tuple[int, int, int]], key: str = "doc_id",
-                     text: str = "text", as_arrays: bool = True) -> DataFrame:
+                     text: str = "text", as_arrays: bool = True,
+                     specials: dict[str, int] | None = None) -> DataFrame:
     """K3: text -> ids per document, row by row (no shuffle).
 
     ``as_arrays`` gives ``ids ARRAY<INT>``; otherwise ``data`` is the uint16
     little-endian stream (the format a training loader reads)."""
-    enc = encode_text(F.col(text), merges)
+    enc = encode_stream(F.col(text), merges, specials)
     if as_arrays:
-        return docs.select(key, token_ids(enc).alias("ids"))
-    return docs.select(key, token_stream(enc).alias("data"))
+        return docs.select(key, enc.alias("data")).select(key, bytes_to_ids("data", 2).alias("ids"))
+    return docs.select(key, enc.alias("data"))
 
 
 def token_to_id(tokens: DataFrame, vocab: DataFrame, token: str = "token") -> DataFrame:
-    """Token bytes -> id by an equi-join with the (bounded) vocabulary."""
-    return tokens.join(F.broadcast(vocab.select(F.col("token").alias(token), "id")), token)
+    """Token bytes -> id by an equi-join with the (bounded) vocabulary; null for an unknown token."""
+    return tokens.join(F.broadcast(vocab.select(F.col("token").alias(token), "id")), token, "left")
 
 
-def decode_ids(seqs: DataFrame, vocab: DataFrame, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+def decode_ids(seqs: DataFrame, vocab: DataFrame, key: str = "doc_id", ids: str = "ids",
+               skip_special: bool = True) -> DataFrame:
     """Ids -> text in order, row by row (no explode, no shuffle).
 
-    The ids become a string with one code point per id (their uint16 stream
-    read as UTF-16LE); every id above 255 is expanded to its bytes by a
-    literal ``replace`` (the vocabulary is bounded by its size and is
-    collected once); the bytes are read back as UTF-8, where a cut multi-byte
-    character becomes U+FFFD instead of failing.
+    The vocabulary (bounded by its size) is collected once. Special tokens are
+    left out unless ``skip_special`` is false; ids outside the vocabulary have
+    no text. A cut multi-byte character becomes U+FFFD.
     """
-    from ..functions.tokens import ids_to_bytes
-    expand = [(r["id"], bytes(r["token"])) for r in vocab.filter(F.col("id") > 255).collect()]
-    s = F.decode(ids_to_bytes(F.col(ids), 2), "UTF-16LE")
-    for i in range(0, len(expand), CHAIN_LIMIT):
-        part = expand[i:i + CHAIN_LIMIT]
-        if len(expand) <= CHAIN_LIMIT:
-            for tid, tok in part:
-                s = F.replace(s, F.lit(_tok(tid)), F.lit(tok.decode(_LATIN1)))
-        else:
-            arr = F.array(*[F.struct(F.lit(_tok(t)).alias("pat"), F.lit(b.decode(_LATIN1)).alias("rep"))
-                            for t, b in part])
-            s = F.aggregate(arr, s, lambda acc, m: F.replace(acc, m["pat"], m["rep"]))
-    text = F.make_valid_utf8(F.encode(s, _LATIN1).cast("string"))
-    return seqs.select(key, F.coalesce(text, F.lit("")).alias("text"))
+    known = {r["id"]: bytes(r["token"]) for r in vocab.collect() if not (skip_special and r["special"])}
+
+    @F.pandas_udf("binary")
+    def joined(seq: pd.Series) -> pd.Series:
+        return seq.map(lambda s: b"" if s is None else b"".join(known.get(i, b"") for i in s))
+
+    return seqs.select(key, F.make_valid_utf8(joined(F.col(ids)).cast("string")).alias("text"))

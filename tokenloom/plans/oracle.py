@@ -519,7 +519,7 @@ ORACLE["token_to_id"] = "WITH " + BPE + "," + _vocab_hex_ctes(_NM) + f""",
 vocab AS (
   SELECT id, hx AS token_hex FROM hx_{_NM}
   UNION ALL SELECT CAST(256 + (SELECT count(*) FROM merges) AS INTEGER), hex(encode('<|endoftext|>')))
-SELECT w.word, v.id FROM wc w JOIN vocab v ON hex(encode(w.word)) = v.token_hex"""
+SELECT w.word, v.id FROM wc w LEFT JOIN vocab v ON hex(encode(w.word)) = v.token_hex"""
 
 
 def oracle_sql() -> dict[str, str]:

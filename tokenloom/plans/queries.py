@@ -416,22 +416,32 @@ def bpe_pair_counts(spark, sf_dir):
     return bpe.pair_counts(bpe.words_table(bpe.pretoken_counts(_train_text(spark, sf_dir))))
 
 
-_MODELS: dict = {}
+_SAVED: dict = {}
 
 
-def _model(spark, sf_dir, fresh: bool = False):
-    """The tokenizer trained on this corpus. Encoding-side queries reuse the one
-    trained earlier in the same session (a tokenizer is trained once, then
-    applied); its tables are bounded by the vocabulary size."""
-    key = (spark.sparkContext.applicationId, sf_dir, BPE_VOCAB)
-    if fresh or key not in _MODELS:
-        _MODELS[key] = bpe.train_bpe(spark, bpe.pretoken_counts(_train_text(spark, sf_dir)), BPE_VOCAB)
-    return _MODELS[key]
+def _train(spark, sf_dir):
+    return bpe.train_bpe(spark, bpe.pretoken_counts(_train_text(spark, sf_dir)), BPE_VOCAB)
+
+
+def _model(spark, sf_dir):
+    """The tokenizer of this corpus, saved once (S6) per state of the documents' files and loaded from there."""
+    files = (spark.read.format("binaryFile").load(f"{sf_dir}/documents.parquet")
+             .agg(F.xxhash64(F.sort_array(F.collect_list(F.struct("path", "length", "modificationTime")))).alias("h")))
+    key = (spark.sparkContext.applicationId, sf_dir, BPE_VOCAB, files.first()["h"])
+    if key not in _SAVED:
+        out = fx._scratch(spark, "tokenizer")
+        FS.save_tokenizer(_train(spark, sf_dir), out)
+        _SAVED[key] = out
+    return FS.load_tokenizer(spark, _SAVED[key])
+
+
+def _specials(model):
+    return {bytes(r["token"]).decode(): r["id"] for r in model.vocab.filter("special").collect()}
 
 
 @query
 def bpe_train(spark, sf_dir):
-    return _model(spark, sf_dir, fresh=True).merges
+    return _train(spark, sf_dir).merges
 
 
 @query
@@ -448,9 +458,9 @@ def special_tokens(spark, sf_dir):
 
 @query
 def bpe_encode(spark, sf_dir):
-    m = bpe.merges_list(_model(spark, sf_dir))
+    model = _model(spark, sf_dir)
     docs = fx.documents(spark, sf_dir, ("doc_id", "text"))
-    e = bpe.encode_documents(docs, m, as_arrays=False)
+    e = bpe.encode_documents(docs, bpe.merges_list(model), as_arrays=False, specials=_specials(model))
     # data: uint16 little-endian ids; digest of the stream bytes
     return e.select("doc_id", (F.octet_length("data") / 2).cast("long").alias("n_ids"),
                     F.md5("data").alias("ids_md5"))
@@ -458,12 +468,12 @@ def bpe_encode(spark, sf_dir):
 
 @query
 def encode_corpus(spark, sf_dir):
-    m = bpe.merges_list(_model(spark, sf_dir))
+    model = _model(spark, sf_dir)
     c = fx.corpus(spark, sf_dir)
-    stream2 = c.select("split", "shard_id", "doc_id",
-                       bpe.token_stream(bpe.encode_text(decode_utf8(F.col("data")), m)).alias("data"))
-    return stream.shard_token_counts(stream2.withColumn("shard", F.col("shard_id").cast("string")),
-                                     width=2)
+    stream2 = c.select("split", "shard_id", F.col("shard_id").cast("string").alias("shard"), "doc_id",
+                       bpe.encode_stream(decode_utf8(F.col("data")), bpe.merges_list(model),
+                                         _specials(model)).alias("data"))
+    return stream.shard_token_counts(stream2, width=2)
 
 
 @query
@@ -476,9 +486,14 @@ def token_to_id(spark, sf_dir):
 
 @query
 def decode_tokens(spark, sf_dir):
-    c = fx.corpus(spark, sf_dir, keep_unused=True)
-    back = decode_utf8(ids_to_bytes(bytes_to_ids("data")))
-    return c.select("doc_id", F.md5(back).alias("text_md5"), F.length(back).cast("long").alias("n_chars"))
+    """Every document, with the separator after it, encoded and decoded without it."""
+    model = _model(spark, sf_dir)
+    docs = fx.documents(spark, sf_dir, ("doc_id", "text")).select(
+        "doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(bpe.END_OF_TEXT)).alias("text"))
+    e = bpe.encode_documents(docs, bpe.merges_list(model), specials=_specials(model))
+    d = bpe.decode_ids(e, model.vocab)
+    return d.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"),
+                    F.length("text").cast("long").alias("n_chars"))
 
 
 # --- file sources and sinks -----------------------------------------------------
