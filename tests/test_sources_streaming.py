@@ -78,17 +78,27 @@ def test_stream_totals_and_best_loss_equal_batch(spark, tmp_path):
     assert got == {"a": (1.5, 3), "b": (7.0, 1)}
 
 
-def test_read_table_rebalances_only_small_inputs(spark, tmp_path, monkeypatch):
+def test_read_table_is_dealt_out_only_on_request(spark, tmp_path):
     from tokenloom.sources import tables
     d = str(tmp_path / "t")
     spark.range(1000).coalesce(1).write.parquet(f"{d}/x.parquet")
-    par = spark.sparkContext.defaultParallelism
-    small = tables.read_table(spark, d, "x")
-    assert small.rdd.getNumPartitions() == par and small.count() == 1000
-    monkeypatch.setattr(tables, "REBALANCE_BYTES_PER_TASK", 0)   # as if the input were large
-    tables._size_cache.clear()
-    big = tables.read_table(spark, d, "x")
-    assert "Exchange" not in big._jdf.queryExecution().executedPlan().toString()
+    asked = spark.conf.get(tables.SCAN_PARTITIONS, None)
+    try:
+        spark.conf.unset(tables.SCAN_PARTITIONS)
+        assert "Exchange" not in tables.read_table(spark, d, "x")._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set(tables.SCAN_PARTITIONS, "5")
+        dealt = tables.read_table(spark, d, "x")
+        assert dealt.rdd.getNumPartitions() == 5 and dealt.count() == 1000
+    finally:
+        spark.conf.unset(tables.SCAN_PARTITIONS) if asked is None else spark.conf.set(tables.SCAN_PARTITIONS, asked)
+
+
+def test_shard_without_a_number_is_an_error(spark):
+    from tokenloom.sources.corpus import corpus_from_documents
+    for source in ("nodigits", None):
+        df = spark.createDataFrame([(1, "a", "src0"), (2, "b", source)], "doc_id BIGINT, text STRING, source STRING")
+        with pytest.raises(Exception, match="shard without a number"):
+            corpus_from_documents(df).collect()
 
 
 def test_write_blocks_one_folder_per_rank(spark, tmp_path):

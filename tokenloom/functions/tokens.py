@@ -36,10 +36,9 @@ def bytes_to_ids(data, width: int = 1) -> Column:
         return one
     if width != 2:
         raise ValueError("width must be 1 or 2")
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size(one) / 2).cast("int") - 1),
-        lambda i: F.get(one, i * 2) + F.get(one, i * 2 + 1) * 256,
-    )
+    # two bytes are four hex digits, the low byte first
+    pairs = F.transform(F.regexp_extract_all(F.hex(b), F.lit("[0-9A-F]{4}"), 0),
+                        lambda x: F.conv(F.concat(F.substring(x, 3, 2), F.substring(x, 1, 2)), 16, 10).cast("int"))
     odd = F.raise_error(F.lit("a uint16 token stream has an odd number of bytes")).cast("array<int>")
     return (F.when(F.octet_length(b) == 0, F.array().cast("array<int>"))
             .when(F.octet_length(b) % 2 == 1, odd).otherwise(pairs).alias("ids"))

@@ -9,6 +9,8 @@ cut per (document, block).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.hashing import md5_int60
@@ -36,18 +38,12 @@ def shard_token_counts(corpus: DataFrame, width: int = 1) -> DataFrame:
                .withColumn("split_tokens", F.sum("n_tokens").over(tot).cast("long")))
 
 
-# Largest side we broadcast after measuring it (rows x estimated row bytes).
-BROADCAST_LIMIT_BYTES = 64 << 20
-
-
-def _offsets(corpus: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    from ..session import checkpoint_dir
-    checkpoint_dir(corpus.sparkSession)
-    meta = corpus.select("split", "shard_id", "doc_id",
-                         token_count("data", width).alias("n_tok")).checkpoint()
-    off = exclusive_prefix(meta, "n_tok", group=["split"], major=["shard_id"],
-                           key="doc_id", out="pos")
-    return off, meta
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table to the shared folder and read it: its size is then known to the planner."""
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def doc_offsets(corpus: DataFrame, width: int = 1) -> DataFrame:
@@ -58,25 +54,27 @@ def doc_offsets(corpus: DataFrame, width: int = 1) -> DataFrame:
     the bucketed prefix sum then reads that instead of rescanning the texts
     for each of its levels, and a lost executor does not force a rescan.
     """
-    return _offsets(corpus, width)[0]
+    from ..session import checkpoint_dir
+    checkpoint_dir(corpus.sparkSession)
+    meta = corpus.select("split", "shard_id", "doc_id",
+                         token_count("data", width).alias("n_tok")).checkpoint()
+    return exclusive_prefix(meta, "n_tok", group=["split"], major=["shard_id"],
+                            key="doc_id", out="pos")
 
 
 def positions(corpus: DataFrame, width: int = 1, keep_data: bool = True) -> DataFrame:
     """Each document's start offset ``pos`` and length ``n_tok`` in its split stream.
 
-    Offsets come from :func:`doc_offsets`; with ``keep_data`` they are joined
-    back to the documents by their unique key. The offsets' row count is
-    measured on the checkpoint: under ``BROADCAST_LIMIT_BYTES`` they are
-    broadcast (the documents are not shuffled), otherwise it is a sort-merge
-    join on a unique key (no hot key).
+    Offsets come from :func:`doc_offsets`; with ``keep_data`` they are written
+    and joined back to the documents by their unique key (no hot key). The
+    planner knows the size of the written table and broadcasts it only below
+    ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    off, meta = _offsets(corpus, width)
+    off = doc_offsets(corpus, width)
     if not keep_data:
         return off
-    if meta.count() * 48 <= BROADCAST_LIMIT_BYTES:     # counted on the checkpoint
-        off = F.broadcast(off)
     return corpus.select("split", "shard_id", "doc_id", "data").join(
-        off, ["split", "shard_id", "doc_id"])
+        _written(off, "offsets"), ["split", "shard_id", "doc_id"])
 
 
 def _pieces(pos_df: DataFrame, unit: int, need: int, width: int, key: str) -> DataFrame:
@@ -162,11 +160,10 @@ def sample_windows(corpus: DataFrame, block_size: int, batch_size: int, steps: i
     (``N`` from a scalar subquery); ``x = stream[i, i+B)``,
     ``y = stream[i+1, i+B+1)``. Windows are matched to documents by an
     equi-join on a coarse position bucket (a range join made equi) over
-    metadata only; the window side (at most two rows per sample) is
-    broadcast. The matched pieces are checkpointed and counted; they are
-    broadcast to the corpus scan only when that measured size is under
-    ``BROADCAST_LIMIT_BYTES`` (otherwise a shuffle join), so only the matched
-    documents' bytes are read and the corpus is not shuffled.
+    metadata only. The windows (at most two rows per sample) and the matched
+    pieces are written, so that the planner knows their sizes and broadcasts
+    them only below ``spark.sql.autoBroadcastJoinThreshold``; then only the
+    matched documents' bytes are read and the corpus is not shuffled.
     """
     B = block_size
     need = B + 1
@@ -184,8 +181,8 @@ def sample_windows(corpus: DataFrame, block_size: int, batch_size: int, steps: i
                                       F.expr(f"id % {batch_size}")) % (n_total - B))
          .otherwise(F.raise_error(F.lit("sample space is empty: N <= block_size"))).alias("start"))
     # at most two buckets per window (bucket > B): bounded by 2 * steps * batch_size rows
-    wins = starts.select("*", F.explode(F.sequence(
-        F.expr(f"start div {bucket}"), F.expr(f"(start + {B}) div {bucket}"))).alias("bk"))
+    wins = _written(starts.select("*", F.explode(F.sequence(
+        F.expr(f"start div {bucket}"), F.expr(f"(start + {B}) div {bucket}"))).alias("bk")), "windows")
     docs = (meta.filter(F.col("n_tok") > 0)
             .select("split", "shard_id", "doc_id", "pos", "n_tok",
                     F.explode(F.sequence(F.expr(f"pos div {bucket}"),
@@ -193,15 +190,13 @@ def sample_windows(corpus: DataFrame, block_size: int, batch_size: int, steps: i
     pos, n, st = F.col("pos"), F.col("n_tok"), F.col("start")
     lo = F.greatest(pos, st)
     hi = F.least(pos + n, st + need)
-    hits = (docs.join(F.broadcast(wins), ["split", "bk"])
+    hits = (docs.join(wins, ["split", "bk"])
             # overlapping, and counted once: in the bucket where the overlap starts
             .filter((pos < st + need) & (pos + n > st)
                     & (F.col("bk") == F.floor(lo / bucket)))
             .select("split", "step", "b", "start", "shard_id", "doc_id", "pos",
-                    lo.alias("lo"), hi.alias("hi"))
-            .checkpoint())
-    small = hits.count() * 80 <= BROADCAST_LIMIT_BYTES
-    pieces = ((F.broadcast(hits) if small else hits)
+                    lo.alias("lo"), hi.alias("hi")))
+    pieces = (_written(hits, "hits")
               .join(corpus.select("split", "shard_id", "doc_id", "data"),
                     ["split", "shard_id", "doc_id"])
               .select("split", "step", "b", "start", "lo",

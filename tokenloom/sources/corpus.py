@@ -43,10 +43,14 @@ def shard_name(shard_id) -> "F.Column":
 
 def corpus_from_documents(docs: DataFrame, text_col: str = "text",
                           source_col: str = "source") -> DataFrame:
-    """documents(doc_id, text, source, ...) -> corpus(shard, shard_id, doc_id, data)."""
+    """documents(doc_id, text, source, ...) -> corpus(shard, shard_id, doc_id, data).
+
+    A source without a number (or null) has no place in the stream: an error."""
+    unnumbered = F.raise_error(F.concat(F.lit("shard without a number: "),
+                                        F.coalesce(F.col(source_col), F.lit("null")))).cast("int")
     return docs.select(
         F.col(source_col).alias("shard"),
-        shard_id_of(source_col).alias("shard_id"),
+        F.coalesce(shard_id_of(source_col), unnumbered).alias("shard_id"),
         F.col("doc_id"),
         utf8_bytes(F.coalesce(F.col(text_col), F.lit(""))).alias("data"),
     )

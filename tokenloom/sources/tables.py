@@ -1,41 +1,24 @@
-"""Parquet table scans with a size-checked rebalance for small inputs.
+"""Parquet table scans.
 
-A small file with a single row group is read by a single task, so CPU-heavy
-per-row work (regex, byte decoding) after the scan would run on one core. When
-the files behind a scan are small in total (below ``parallelism x
-REBALANCE_BYTES_PER_TASK``) we repartition right after the scan; the shuffle
-is then bounded by that threshold. Large inputs are never rebalanced: they
-already arrive in many row groups and an extra shuffle would only cost.
+A file with a single row group is read by a single task, so CPU-heavy per-row
+work after the scan would run on one core. A session that reads such files may
+set ``spark.tokenloom.scanPartitions``: every table is then dealt out to that
+many partitions right after its scan. It is unset by default, and the plan
+never depends on the size of the input.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-REBALANCE_BYTES_PER_TASK = 32 * 1024 * 1024
+SCAN_PARTITIONS = "spark.tokenloom.scanPartitions"
 
-_size_cache: dict[str, int] = {}
 
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files at ``path`` (metadata only: content is not read)."""
-    if path not in _size_cache:
-        row = (spark.read.format("binaryFile").load(path)
-               .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first())
-        _size_cache[path] = int(row["n"])
-    return _size_cache[path]
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None,
-               rebalance: bool = True) -> DataFrame:
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     if columns:
         df = df.select(*columns)
-    if rebalance:
-        par = spark.sparkContext.defaultParallelism
-        if input_bytes(spark, path) < par * REBALANCE_BYTES_PER_TASK:
-            df = df.repartition(par)
-    return df
+    n = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
