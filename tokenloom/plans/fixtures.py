@@ -102,6 +102,11 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("value").alias("score"))
 
 
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(conv_id, turn, text)``: every row of the conversations."""
+    return read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"])
+
+
 def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(conv_id, turn, prompt, text)``: text = prompt followed by the reply.
 

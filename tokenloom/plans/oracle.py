@@ -254,16 +254,23 @@ def _gen_sql(expr):
     return "WITH " + GEN + f" SELECT conv_id, turn, {expr} AS out FROM gen"
 
 
+def _turn_sql(expr):
+    return r"""
+WITH turns AS (
+  SELECT conv_id, turn, text || ' \342\201\207,\101\102\103 \12!' || chr(7) || ' end ' AS text FROM conversations)
+""" + f"SELECT conv_id, turn, {expr} AS out FROM turns"
+
+
 ORACLE["clean_generated"] = _gen_sql(_clean_sql())
-ORACLE["strip_literal"] = _gen_sql(f"replace(text, '{_sq(_T.ESCAPE_LITERAL)}', '')")
-ORACLE["strip_escapes"] = _gen_sql(_rx("text", _T.ESCAPE_TRIPLE))
+ORACLE["strip_literal"] = _turn_sql(f"replace(text, '{_sq(_T.ESCAPE_LITERAL)}', '')")
+ORACLE["strip_escapes"] = _turn_sql(_rx("text", _T.ESCAPE_TRIPLE))
 ORACLE["split_prefix"] = "WITH " + GEN + """
 SELECT conv_id, turn, substring(text, 1, length(prompt)) AS context,
        substring(text, length(prompt) + 1) AS generated FROM gen"""
-ORACLE["drop_whitespace"] = _gen_sql(_rx("text", WS + "+"))
-ORACLE["space_after_punct"] = _gen_sql(_rx("text", _T.PUNCT, "\\1 "))
-ORACLE["collapse_trim"] = _gen_sql(_rx(_rx("text", WS + "+", " "), "^" + WS + "+|" + WS + "+$"))
-ORACLE["strip_control"] = _gen_sql(_rx("text", _T.CONTROL))
+ORACLE["drop_whitespace"] = _turn_sql(_rx("text", WS + "+"))
+ORACLE["space_after_punct"] = _turn_sql(_rx("text", _T.PUNCT, "\\1 "))
+ORACLE["collapse_trim"] = _turn_sql(_rx(_rx("text", WS + "+", " "), "^" + WS + "+|" + WS + "+$"))
+ORACLE["strip_control"] = _turn_sql(_rx("text", _T.CONTROL))
 ORACLE["file_basename"] = "SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS basename FROM pages"
 ORACLE["zero_pad_name"] = _with(CORPUS) + """
 SELECT DISTINCT shard_id, printf('data%02d.bin', shard_id) AS file,

@@ -211,6 +211,15 @@ def _gen(spark, sf_dir, out):
     return g.select("conv_id", "turn", out(g).alias("out"))
 
 
+#: Added to every turn, so that the escape rules have something to remove.
+ESCAPES = " \\342\\201\\207,\\101\\102\\103 \\12!\u0007 end "
+
+
+def _turns(spark, sf_dir, out):
+    c = fx.turns(spark, sf_dir).select("conv_id", "turn", F.concat("text", F.lit(ESCAPES)).alias("text"))
+    return c.select("conv_id", "turn", out(F.col("text")).alias("out"))
+
+
 @query
 def clean_generated(spark, sf_dir):
     return _gen(spark, sf_dir, lambda g: clean.clean_generated_col(g.text, g.prompt))
@@ -218,12 +227,12 @@ def clean_generated(spark, sf_dir):
 
 @query
 def strip_literal(spark, sf_dir):
-    return _gen(spark, sf_dir, lambda g: T.strip_literal(g.text))
+    return _turns(spark, sf_dir, T.strip_literal)
 
 
 @query
 def strip_escapes(spark, sf_dir):
-    return _gen(spark, sf_dir, lambda g: T.strip_escapes(g.text))
+    return _turns(spark, sf_dir, T.strip_escapes)
 
 
 @query
@@ -235,22 +244,22 @@ def split_prefix(spark, sf_dir):
 
 @query
 def drop_whitespace(spark, sf_dir):
-    return _gen(spark, sf_dir, lambda g: T.drop_whitespace(g.text))
+    return _turns(spark, sf_dir, T.drop_whitespace)
 
 
 @query
 def space_after_punct(spark, sf_dir):
-    return _gen(spark, sf_dir, lambda g: T.space_after_punct(g.text))
+    return _turns(spark, sf_dir, T.space_after_punct)
 
 
 @query
 def collapse_trim(spark, sf_dir):
-    return _gen(spark, sf_dir, lambda g: T.collapse_trim(g.text))
+    return _turns(spark, sf_dir, T.collapse_trim)
 
 
 @query
 def strip_control(spark, sf_dir):
-    return _gen(spark, sf_dir, lambda g: T.strip_control(g.text))
+    return _turns(spark, sf_dir, T.strip_control)
 
 
 @query
