@@ -5,6 +5,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tokenloom.llm import (chat, components, embedding_dedup, minhash, mixing, packing, quality_classifier,
@@ -141,6 +143,20 @@ def test_embedding_links_reach_brute_force(spark):
     assert got[5003].component_id == got[3].component_id == 3 and not got[5003].kept
 
 
+def test_embedding_links_of_a_hot_group_are_whole(spark, tmp_path):
+    # 30,000 vectors, a third of them near copies of one whose cosines reach from below to above 0.9
+    rng = np.random.default_rng(12)
+    centre = rng.standard_normal(64)
+    vec = np.concatenate([centre + 0.31 * rng.standard_normal((10_000, 64)), rng.standard_normal((20_000, 64))])
+    vec = vec[rng.permutation(len(vec))]
+    pq.write_table(pa.table({"vec_id": np.arange(len(vec)), "embedding": pa.array(list(vec), pa.list_(pa.float64()))}), f"{tmp_path}/e.parquet")
+    got = embedding_dedup.embedding_links(spark.read.parquet(f"{tmp_path}/e.parquet")).toPandas().sort_values("vec_id")
+    x = vec / np.linalg.norm(vec, axis=1, keepdims=True)
+    want = np.concatenate([(x[s:s + 2000] @ x.T >= 0.9).sum(axis=1) - 1 for s in range(0, len(x), 2000)])
+    assert want.sum() > 10_000 * 4_000 and (got.n_links.to_numpy() == want).all()
+    assert got[want > 0].component_id.nunique() == 1
+
+
 def test_quality_rules_counts(docs, rows):
     def brute(t):
         t = t or ""

@@ -1,22 +1,29 @@
 """Embedding near-dedup by product quantisation over coarse inverted lists.
 
 Equal vectors are folded into one representative with a count. A coarse
-quantiser (k-means on a bounded sample) gives every representative a home list
-and ``PROBES`` nearest lists; its residual is coded in ``SUBSPACES`` subspaces
-of 256 words. In each list the vectors that probe it are compared with its
-members by asymmetric table lookups. The lookup distance is exact up to the
-member's own coding error, which is stored with it, so the filter ``distance <=
-radius + error`` loses no pair inside the probed lists; the pairs it lets
-through are decided by exact cosine in double precision.
-
-A pair is looked at when either vector probes the other's home list, and
-counted in one list only. Pairs are not emitted: each tile of at most
-``TILE`` x ``TILE`` rows of a list returns, per vector, its number of links and
-the least id of its linked vectors in the tile; these stars give the
-components. A hot list is cut into many tiles.
-
-Recall against brute force is measured in tests/llm (over 0.99 there); the
-bounds are ``SAMPLE_ROWS``/``SAMPLE_BYTES`` for fitting and ``MAX_LISTS``.
+quantiser (k-means on a bounded sample) gives every representative a home list;
+its residual is coded in ``SUBSPACES`` subspaces of 256 words.
+
+Which lists are compared follows from a bound, not from a count: a vector at
+home in ``h`` can only link with one at home in ``c`` if the plane half-way
+between the two centres lies within the link radius of it, as the other one is
+beyond that plane: ``d(q,c)^2 - d(q,h)^2 <= 2 d(h,c) radius``. So no link is
+lost, whatever the number of lists. Neighbouring lists form blocks of at most
+``TILE_VALUES`` numbers (a larger list is cut by a hash of the id), and a tile
+of two blocks gets those vectors of each that reach a list of the other.
+
+In a tile, asymmetric table lookups give the distance to the decoded vector,
+which is exact up to the coding error stored with it; the filter ``distance <=
+radius + error`` loses no pair, and the pairs it lets through are decided by
+exact cosine in double precision. Pairs are not emitted: a tile returns, per
+vector, its number of links and the least id it is connected with there; these
+stars give the components.
+
+The result equals brute force (tests/llm). The price is paid where the bound
+excludes little: on vectors without clusters nearly all blocks meet, and the
+work and the copies of the vectors grow with the square of the table and with
+the number of blocks. ``SAMPLE_ROWS``/``SAMPLE_BYTES`` bound the fitting and
+``MAX_LISTS`` the lists.
 
 Defined results: a vector that is null, empty, zero or holds a null or
 non-finite component links with nothing, as do rows without id; vectors of
@@ -36,12 +43,14 @@ from tokenloom.llm.common import sorted_groups, table, write_scratch
 from tokenloom.llm.components import connected_components
 
 COSINE = 0.9
+RADIUS = np.sqrt(2 - 2 * COSINE)
 LIST = 256
 MAX_LISTS = 4096
-PROBES = 10
 SUBSPACES = 8
 WORDS = 256
-TILE = 2048
+TILE_VALUES = 1 << 19
+MAX_TILE = 8192
+CHUNK = 256
 SAMPLE_ROWS = 16_384
 SAMPLE_BYTES = 64 << 20
 SEED = 5
@@ -113,9 +122,14 @@ class Index:
         self.centres, self.words, self.dim = centres, words, centres.shape[1]
         self.cuts = subspaces(self.dim)
 
-    def probes(self, x: np.ndarray) -> np.ndarray:
-        """The nearest lists, the home list first."""
-        return np.argsort(-_nearness(x, self.centres), axis=1, kind="stable")[:, :PROBES].astype("<i4")
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        """Squared distances to all centres."""
+        return (x * x).sum(axis=1, keepdims=True) - 2 * _nearness(x, self.centres)
+
+    def reach(self, x: np.ndarray, home: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+        """Whether a vector within the radius may be at home in a list; ``gaps``: distances between the centres."""
+        d = self.distances(x)
+        return d - d[np.arange(len(x)), home][:, None] <= 2 * RADIUS * gaps[home] + 1e-9
 
     def encode(self, x: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(codes, length of the coding error) of vectors in their home lists."""
@@ -124,85 +138,129 @@ class Index:
         left = np.concatenate([r[:, a:z] - w[codes[:, s]] for s, ((a, z), w) in enumerate(zip(self.cuts, self.words))], axis=1)
         return codes.astype(np.uint8), np.sqrt((left * left).sum(axis=1))
 
-    def lookup(self, x: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
-        """Distances from vectors to the decoded members of list ``at``, by table lookups."""
-        r = x - self.centres[at]
-        d = np.zeros((len(x), len(codes)))
+    def offsets(self, home: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What a decoded member adds to its squared distance from any vector, besides that of its centre."""
+        add = np.zeros(len(codes))
+        for s, ((a, z), w) in enumerate(zip(self.cuts, self.words)):
+            got = w[codes[:, s]]
+            add += (got * (got + 2 * self.centres[home, a:z])).sum(axis=1)
+        return add
+
+    def lookup(self, x: np.ndarray, home: np.ndarray, codes: np.ndarray, add: np.ndarray) -> np.ndarray:
+        """Squared distances (members x vectors) of vectors to decoded members, by table lookups."""
+        d = np.ascontiguousarray(self.distances(x).T, dtype=np.float32)[home]
+        d += add.astype(np.float32)[:, None]
         for s, ((a, z), w) in enumerate(zip(self.cuts, self.words)):
-            part = r[:, a:z]
-            t = (part * part).sum(axis=1, keepdims=True) - 2 * _nearness(part, w)
-            d += t[:, codes[:, s]]
-        return np.sqrt(np.maximum(d, 0))
+            d += (-2 * (w @ x[:, a:z].T)).astype(np.float32)[codes[:, s]]
+        return d
+
+
+def _gaps(centres: np.ndarray) -> np.ndarray:
+    square = (centres * centres).sum(axis=1)
+    return np.sqrt(np.maximum(square[:, None] + square[None, :] - 2 * centres @ centres.T, 0))
+
+
+def blocks(sizes: np.ndarray, gaps: np.ndarray, tile: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cell of each list, first block of each cell, blocks of each cell): lists near each other share a cell."""
+    cell, first, count = np.zeros(len(sizes), dtype=np.int64), [], []
+    open_, at, held = np.ones(len(sizes), dtype=bool), 0, 0
+    for _ in range(len(sizes)):
+        open_[at] = False
+        if not first or held + sizes[at] > tile:
+            first.append(first[-1] + count[-1] if first else 0)
+            count.append(1)
+            held = 0
+        held += sizes[at]
+        count[-1] = max(1, -(-int(held) // tile))
+        cell[at] = len(first) - 1
+        at = int(np.where(open_, gaps[at], np.inf).argmin())
+    return cell, np.array(first), np.array(count)
 
 
 def _assign(index):
-    """(id, w, vec) -> with probes, codes and coding error."""
+    """(id, w, vec) -> with home list, codes and coding error."""
     def run(batches):
         ix = Index(*index.value)
         for b in batches:
             x = unit(b.column(2).to_pylist(), ix.dim)
-            probes = ix.probes(x)
-            codes, err = ix.encode(x, probes[:, 0])
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(list(probes), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()),
-                 pa.array(err)], names=["id", "w", "vec", "probes", "code", "err"])
+            home = _nearness(x, ix.centres).argmax(axis=1)
+            codes, err = ix.encode(x, home)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(home.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()),
+                                              pa.array(err)], names=["id", "w", "vec", "home", "code", "err"])
+    return run
+
+
+def _deal(index, cell, first, count):
+    """(id, w, vec, home, code, err, part) -> one row per tile (i, j), i <= j, of the vector's block and one it reaches."""
+    order = np.argsort(cell, kind="stable")
+    starts = np.flatnonzero(np.diff(cell[order], prepend=-1))
+    cell_of = np.repeat(np.arange(len(count)), count)  # of each block
+
+    def run(batches):
+        ix = Index(*index.value)
+        gaps = _gaps(ix.centres)
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK):
+                b = batch.slice(at, CHUNK)
+                home, part = np.asarray(b.column(3)), np.asarray(b.column(6))
+                reach = ix.reach(unit(b.column(2).to_pylist(), ix.dim), home, gaps)
+                met = np.logical_or.reduceat(reach[:, order], starts, axis=1)
+                own = first[cell[home]] + part % count[cell[home]]
+                row, other = np.nonzero(met[:, cell_of])
+                i, j = np.minimum(own[row], other), np.maximum(own[row], other)
+                rows = b.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array((own[row] != i).astype(np.int32)), *rows.columns[:6]],
+                                                 names=["i", "j", "side", "id", "w", "vec", "home", "code", "err"])
     return run
 
 
-def _components(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Least id reachable in a tile, for each of its nodes."""
-    label = ids.copy()
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (least node of each component) after nodes ``a`` and ``b`` are linked."""
+    a, b = label[a], label[b]
+    at = np.arange(len(label))
     while True:
-        new = label.copy()
-        np.minimum.at(new, a, label[b])
+        new = at.copy()
+        np.minimum.at(new, a, at[b])
         np.minimum.at(new, b, new[a])
-        if (new == label).all():
-            return label
-        label = new
+        new = new[new]
+        if (new == at).all():
+            return new[label]
+        at = new
 
 
 def _compare(index):
-    """Tiles (list, q, m | side, id, w, vec, probes, code, err) -> (id, links, comp)."""
-    radius = np.sqrt(2 - 2 * COSINE)
-
+    """Tiles (i, j | side, id, w, vec, home, code, err) -> (id, links, comp)."""
     def run(batches):
         ix = Index(*index.value)
-        for (at, _, _), rows in sorted_groups(batches, 3):
-            side, ids, w, err = (np.asarray(rows.column(c)) for c in ("side", "id", "w", "err"))
-            q, m = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        for (i, j), rows in sorted_groups(batches, 2):
+            rows = rows.take(pa.array(np.argsort(np.asarray(rows.column("id")), kind="stable")))
+            side, ids, w, home, err = (np.asarray(rows.column(c)) for c in ("side", "id", "w", "home", "err"))
+            q, m = (np.arange(len(ids)),) * 2 if i == j else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
             if not len(q) or not len(m):
                 continue
             x = unit(rows.column("vec").to_pylist(), ix.dim)
-            probes = np.asarray(rows.column("probes").flatten()).reshape(len(ids), -1)
             codes = np.frombuffer(b"".join(rows.column("code").take(pa.array(m)).to_pylist()), dtype=np.uint8).reshape(len(m), -1)
-            home = probes[:, 0]
-            left, right = [], []
-            for s in range(0, len(q), 256):
-                part = q[s:s + 256]
-                near = ix.lookup(x[part], at, codes) <= radius + err[m][None, :] + 1e-9
-                same_list = home[part] == at
-                # inside a list each pair once; between lists in the lower of the two that see it
-                near &= np.where(same_list[:, None], ids[part][:, None] < ids[m][None, :], ids[part][:, None] != ids[m][None, :])
-                i, j = np.nonzero(near)
-                if not len(i):
+            add, far = ix.offsets(home[m], codes), ((RADIUS + err[m]) ** 2 + 1e-4).astype(np.float32)
+            links, label = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+            for s in range(0, len(q), CHUNK):
+                part = q[s:s + CHUNK]
+                near = ix.lookup(x[part], home[m], codes, add) <= far[:, None]
+                near &= (ids[m][:, None] > ids[part]) if i == j else (ids[m][:, None] != ids[part])
+                some = np.flatnonzero(near.any(axis=1))
+                if not len(some):
                     continue
-                other = home[part][i]
-                seen = (probes[m[j]] == other[:, None]).any(axis=1) & (other < at)
-                i, j = i[~seen], j[~seen]
-                for c in range(0, len(i), 1 << 16):
-                    a, b = part[i[c:c + (1 << 16)]], m[j[c:c + (1 << 16)]]
-                    ok = (x[a] * x[b]).sum(axis=1) >= COSINE
-                    left.append(a[ok])
-                    right.append(b[ok])
-            if not left:
-                continue
-            a, b = np.concatenate(left), np.concatenate(right)
-            links = np.zeros(len(ids), dtype=np.int64)
-            np.add.at(links, a, w[b])
-            np.add.at(links, b, w[a])
-            label = _components(a, b, ids)
+                mm, near = m[some], near[some]
+                cos = x[mm] @ x[part].T
+                ok = near & (cos >= COSINE)
+                r, c = np.nonzero(near & (np.abs(cos - COSINE) < 1e-12))  # the same sum, whatever the tile
+                ok[r, c] = (x[mm[r]] * x[part[c]]).sum(axis=1) >= COSINE
+                links[part] += w[mm] @ ok
+                links[mm] += ok @ w[part]
+                r, c = np.nonzero(ok & (label[mm][:, None] != label[part]))
+                if len(r):
+                    label = _joined(label, mm[r], part[c])
             hit = np.flatnonzero(links)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(links[hit]), pa.array(label[hit])],
+            yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(links[hit]), pa.array(ids[label[hit]])],
                                              names=["id", "links", "comp"])
     return run
 
@@ -217,23 +275,16 @@ def _links(reps: DataFrame, dim: int, n: int) -> DataFrame:
         raw = [r["vec"] for r in reps.select("vec").limit(want).collect()]
     index = spark.sparkContext.broadcast(fit(unit([bytes(r) for r in raw], dim), n))  # at most MAX_LISTS centres
     base = write_scratch(reps.select("id", "w", "vec").mapInArrow(
-        _assign(index), "id long, w long, vec binary, probes array<int>, code binary, err double"), "pq-coded")
-    # per list: its members, and all vectors that probe it (members included)
-    size = (base.select(F.posexplode("probes").alias("k", "list")).groupBy("list")
-            .agg(F.count("*").alias("q"), F.sum((F.col("k") == 0).cast("long")).alias("m")))
-    blocks = size.select("list", F.ceil(F.col("q") / TILE).cast("int").alias("nq"), F.ceil(F.col("m") / TILE).cast("int").alias("nm"))
-    near = (base.withColumn("list", F.explode("probes")).join(F.broadcast(blocks), "list")  # at most MAX_LISTS rows
-            .filter(F.col("nm") > 0))
+        _assign(index), "id long, w long, vec binary, home int, code binary, err double"), "pq-coded")
+    centres = index.value[0]
+    sizes = np.zeros(len(centres), dtype=np.int64)
+    for r in base.groupBy("home").count().collect():  # at most MAX_LISTS rows
+        sizes[r["home"]] = r["count"]
+    dealt = blocks(sizes, _gaps(centres), max(CHUNK, min(MAX_TILE, TILE_VALUES // dim)))
     own = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 30))
-    queries = (near.withColumn("m", F.explode(F.sequence(F.lit(0), F.col("nm") - 1)))
-               .select("list", (own % F.col("nq")).cast("int").alias("q"), "m", F.lit(0).alias("side"),
-                       "id", "w", "vec", "probes", F.lit(None).cast("binary").alias("code"), "err"))
-    members = (near.filter(F.col("list") == F.col("probes")[0])
-               .withColumn("q", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)))
-               .select("list", "q", (own % F.col("nm")).cast("int").alias("m"), F.lit(1).alias("side"),
-                       "id", "w", "vec", "probes", "code", "err"))
-    keys = ("list", "q", "m")
-    return (queries.unionByName(members).repartition(*keys).sortWithinPartitions(*keys)
+    return (base.withColumn("part", own)
+            .mapInArrow(_deal(index, *dealt), "i long, j long, side int, id long, w long, vec binary, home int, code binary, err double")
+            .repartition("i", "j").sortWithinPartitions("i", "j")
             .mapInArrow(_compare(index), "id long, links long, comp long"))
 
 
