@@ -297,6 +297,18 @@ def test_word_ids_equal_whole_texts():
         assert packing.token_ids(s.encode(), memo).tolist() == memo.tokenizer.encode(s, add_special_tokens=False).ids + [1]
 
 
+def test_added_strings_have_the_ids_of_the_unaltered_tokenizer():
+    from tokenizers import Tokenizer
+    import public_tokenizers
+    plain, memo = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER)), packing.load_tokenizer()
+    assert plain.encode("a <|endoftext|> b", add_special_tokens=False).ids == [320, 49407, 321]
+    rng = random.Random(5)
+    bits = ["a", "B", "É", "'s", " ", "\n", ".", "́", "<|", "|>", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|<|endoftext|>|>"]
+    for _ in range(3000):
+        s = "".join(rng.choice(bits) for _ in range(rng.randint(0, 14)))
+        assert packing.token_ids(s.encode(), memo).tolist() == plain.encode(s, add_special_tokens=False).ids + [1], s
+
+
 def test_hilbert_neighbours_touch():
     cells = np.array([(x, y, z) for x in range(8) for y in range(8) for z in range(8)])
     key = packing.hilbert(cells, bits=3)

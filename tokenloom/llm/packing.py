@@ -48,7 +48,9 @@ class WordIds(dict):
     and the punctuation after it, and its normalizer changes no character
     across these; so a text's ids are those of its parts one after another (a
     test compares whole texts). Words are keyed with A-Z in lower case, as the
-    normalizer would make them.
+    normalizer would make them. The tokenizer's added strings are cut out of the
+    text before (``added``), in their own spelling only; a word that becomes one
+    of them in lower case is ordinary text, so words are encoded by ``ordinary``.
     """
 
     # a word that ends in a letter (ASCII or Latin-1), then punctuation other than the apostrophe
@@ -59,6 +61,11 @@ class WordIds(dict):
 
     def __init__(self, tokenizer):
         self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        self.ordinary = type(tokenizer).from_str(tokenizer.to_str())
+        self.ordinary.encode_special_tokens = True
+        added = {t.content.encode(): i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.added = {t: np.array([i], dtype="<u4").tobytes() for t, i in added.items()}
+        self.cut = re.compile(b"(" + b"|".join(map(re.escape, sorted(added, key=len, reverse=True))) + b")") if added else None
         letters = [chr(c) for c in range(0xE0, 0x100) if c != 0xF7]
         self.spelt = {ord(c): tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}  # as the model sees it
 
@@ -78,27 +85,29 @@ class WordIds(dict):
         elif self._latin.fullmatch(word):
             raw = [t.id for t in self.model.tokenize(word.decode().lower().translate(self.spelt))]
         else:
-            raw = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
+            raw = self.ordinary.encode(word.decode("utf-8"), add_special_tokens=False).ids
         self[word] = ids = np.array(raw, dtype="<u4").tobytes()
         return ids
 
 
 def load_tokenizer(path: str | None = None) -> WordIds:
-    """The tokenizer at ``path``; strings of its special tokens are ordinary text."""
+    """The tokenizer at ``path`` and the ids of words it has seen."""
     from tokenizers import Tokenizer
     path = path or public_tokenizers.path(TOKENIZER)
 
-    def make() -> WordIds:
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        return WordIds(t)
-
-    return per_process(f"word ids of {path}", make)
+    return per_process(f"word ids of {path}", lambda: WordIds(Tokenizer.from_file(path)))
 
 
 def token_ids(text: bytes | None, memo: WordIds) -> np.ndarray:
     """Ids of a text and the end id."""
-    return np.frombuffer(b"".join([*map(memo.__getitem__, (text or b"").lower().split()), _END]), dtype="<u4")
+    text, ids = text or b"", []
+    parts = memo.cut.split(text) if memo.cut and any(t in text for t in memo.added) else [text]
+    for i, part in enumerate(parts):
+        if i % 2:
+            ids.append(memo.added[part])
+        else:
+            ids.extend(map(memo.__getitem__, part.lower().split()))
+    return np.frombuffer(b"".join([*ids, _END]), dtype="<u4")
 
 
 def directions(buckets: int = 1 << 16) -> np.ndarray:
