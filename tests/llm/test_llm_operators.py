@@ -95,6 +95,17 @@ def test_minhash_second_pass_links_what_the_least_id_does_not(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_minhash_estimate_loses_less_than_the_bands():
+    from math import comb
+    sig = np.arange(minhash.MINIMA, dtype=np.uint32)
+    pair = lambda k: pa.RecordBatch.from_arrays(  # noqa: E731  k equal minima
+        [pa.array([1]), pa.array([2]), pa.array([sig.tobytes()]), pa.array([np.where(sig < k, sig, sig + 1000).astype(np.uint32).tobytes()])],
+        names=["a", "b", "sa", "sb"])
+    kept = [next(minhash._agree([pair(k)])).num_rows for k in range(minhash.MINIMA + 1)]
+    lost = sum(comb(128, k) * 0.75 ** k * 0.25 ** (128 - k) for k in range(kept.index(1)))
+    assert kept == sorted(kept) and lost < 0.2 * (1 - 0.75 ** minhash.ROWS) ** minhash.BANDS
+
+
 def test_dedup_keeps_one_row_per_group_and_all_columns(docs, rows):
     got = minhash.dedup(docs)
     assert got.columns == docs.columns
