@@ -392,6 +392,58 @@ def test_pipeline_stages_keep_columns_and_agree_with_brute_force(spark, docs, tm
     assert sum(1 for r in last if r.start == 0) == len(mixed)
 
 
+def test_pipeline_stages_reject_and_repeat_the_right_documents(spark, tmp_path):
+    import corpus_pipeline as p
+    rng = random.Random(21)
+    rows, labels = [], []
+    for i in range(600):  # good and bad ones, then short ones, repeating ones and near copies of good ones
+        good = i % 5 != 0
+        t = sentence(rng, 60) if good else " ".join(w.upper() + "!!" for w in sentence(rng, 60).split())
+        rows.append((i, t, "en", f"s{i % 2}" if good else "s2", len(t), "x", "y", "z"))
+        labels.append((i, int(good), 0))
+    extra = [(1000 + i, sentence(rng, 12)) for i in range(10)] + [(1100 + i, sentence(rng, 10) + " a b c d e f g h" * 6) for i in range(10)]
+    extra += [(1200 + i, rows[5 * i + 1][1] + f" tail{i}") for i in range(40)]
+    rows += [(i, t, "en", f"s{i % 2}", len(t), "x", "y", "z") for i, t in extra]
+    spark.createDataFrame(labels[:400], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    at = spark.createDataFrame(rows, SCHEMA)
+    text, source = {r[0]: r[1] for r in rows}, {r[0]: r[3] for r in rows}
+    ids = []
+    for _, stage in p.STAGES[:4]:
+        at = stage(spark, at, str(tmp_path))
+        ids.append(sorted(r.doc_id for r in at.select("doc_id").collect()))
+    first, ruled, single, mixed = ids
+    bad = {i for i in range(600) if i % 5 == 0}
+    assert len(bad & set(first)) <= 0.03 * len(bad) and len(set(range(600)) - bad - set(first)) <= 0.03 * 480
+
+    def breaks(t):
+        w = t.split()
+        seen = {}
+        for i in range(len(w) - 7):
+            seen.setdefault(tuple(w[i:i + 8]), []).append(i)
+        covered = {k for s in seen.values() if len(s) > 1 for i in s for k in range(i, i + 8)}
+        return (len(w) < 20 or 100 * len(covered) > 30 * len(w) or t.count("!") > 0.5 * len(w)
+                or sum(x in ("the", "a") for x in w) < 0.01 * len(w))
+
+    assert ruled == [i for i in first if not breaks(text[i])] and len(ruled) < len(first)
+    comp = brute_components({i: shingles(text[i]) for i in ruled})
+    assert single == sorted(set(comp.values())) and len(single) < len(ruled)
+    words = {i: len(text[i].split()) for i in single}
+    names = sorted({source[i] for i in single})
+    size = {s: sum(n for i, n in words.items() if source[i] == s) for s in names}
+    want, rest, open_ = {}, 1.5 * sum(size.values()), dict(zip(names, (5, 2, 1)))
+    while over := [s for s in open_ if rest * open_[s] / sum(open_.values()) > 2 * size[s]]:
+        total = sum(open_.values())
+        over = [s for s in over if rest * open_[s] / total > 2 * size[s]]
+        want |= {s: 2 * size[s] for s in over}
+        rest -= sum(2 * size[s] for s in over)
+        open_ = {s: w for s, w in open_.items() if s not in over}
+    want |= {s: rest * w / sum(open_.values()) for s, w in open_.items()}
+    copies = {i: mixed.count(i) for i in single}
+    assert set(mixed) <= set(single) and max(copies.values()) == 2
+    for s in names:
+        assert abs(sum(copies[i] * words[i] for i in single if source[i] == s) - want[s]) <= max(words.values()) / 2 + 1e-6
+
+
 def test_chat_digest_matches_python(spark):
     df = spark.createDataFrame([(1, 0, "user", "hé"), (1, 1, "assistant", "ok")], "conv_id long, turn long, role string, text string")
     out = chat.format_turns(chat.canonical_turns(df)).select(chat.F.sha2(chat.loss_text(chat.F.col("pieces")), 256).alias("h")).first()

@@ -32,7 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL where SQL can express the operator; the others are tested against brute force."""
+    """DuckDB SQL where SQL can express the operator; what the others are tested against is in README."""
     return {
         "op7_quality_rules": quality_rules.oracle(),
         "op8_chat_format": chat.oracle(),
