@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm import chat, quality_rules, url_filter
+from tokenloom.llm.bin_packing import op12_min_bin_slack
 from tokenloom.llm.embedding_dedup import op1_embedding_pq
 from tokenloom.llm.minhash import op6_minhash
 from tokenloom.llm.mixing import op9_pareto_mix
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_format": chat.op8_chat_format,
         "op9_pareto_mix": op9_pareto_mix,
         "op10_url_filter": url_filter.op10_url_filter,
+        "op12_min_bin_slack": op12_min_bin_slack,
     }
 
 
