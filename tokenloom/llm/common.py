@@ -109,3 +109,13 @@ def sorted_groups(batches, n_keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]
         held = [rows.slice(at)]
     for rows in held:
         yield tuple(rows.column(i)[0].as_py() for i in range(n_keys)), rows
+
+
+#: DuckDB: one row, ``t`` the 256 values of CRC-32 by byte.
+CRC_TABLE_SQL = ("SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda c, k: "
+                 "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS v FROM range(256) r(i))")
+
+
+def crc32_sql(octets: str, table: str) -> str:
+    """DuckDB: the unsigned CRC-32 of a list of byte values, given the table of CRC_TABLE_SQL."""
+    return (f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)")
