@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import chat, prefix_trie, quality_rules, url_filter
+from tokenloom.llm import chat, prefix_trie, quality_rules, spelling, url_filter
 from tokenloom.llm.bin_packing import op12_min_bin_slack
 from tokenloom.llm.embedding_dedup import op1_embedding_pq
 from tokenloom.llm.minhash import op6_minhash
@@ -29,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_format": chat.op8_chat_format,
         "op9_pareto_mix": op9_pareto_mix,
         "op10_url_filter": url_filter.op10_url_filter,
+        "op11_spelling": spelling.op11_spelling,
         "op12_min_bin_slack": op12_min_bin_slack,
         "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     }
@@ -40,5 +41,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_quality_rules": quality_rules.oracle(),
         "op8_chat_format": chat.oracle(),
         "op10_url_filter": url_filter.oracle(),
+        "op11_spelling": spelling.oracle(),
         "op13_prefix_trie": prefix_trie.oracle(),
     }
