@@ -41,14 +41,19 @@ def word_count(text: Column) -> Column:
     return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, SPACE_RUN))).cast("long")
 
 
-def _remove_written() -> None:
+def _delete(path: str) -> None:
     jvm = SparkContext._jvm
-    if jvm is None:
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(SparkSession.getActiveSession()._jsparkSession.sparkContext().hadoopConfiguration()
+                    if SparkSession.getActiveSession() else jvm.org.apache.hadoop.conf.Configuration()).delete(p, True)
+
+
+def _remove_written() -> None:
+    if SparkContext._jvm is None:
         return
     for path in _written:
         try:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(p, True)
+            _delete(path)
         except Exception:  # the JVM or the folder is gone: nothing left to remove
             return
 
@@ -60,13 +65,38 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table under the shared checkpoint folder and read it.
 
     This cuts lineage like checkpoint(), survives lost executors, and lets later
-    steps read single columns. The table is removed when the application ends.
+    steps read single columns. The table is removed by ``drop_scratch``, else
+    when the application ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
     _written.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def scratch_paths() -> list[str]:
+    """The scratch tables that are there now."""
+    return list(_written)
+
+
+def drop_scratch(*tables: DataFrame | str) -> None:
+    """Remove scratch tables (frames that write_scratch returned, or paths) that no frame still to be read needs."""
+    for t in tables:
+        path = t if isinstance(t, str) else t._scratch_path
+        if path in _written:
+            _written.remove(path)
+            _delete(path)
+
+
+def unused_prefix(columns: list[str]) -> str:
+    """A beginning for column names that none of ``columns`` has."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
 
 
 def per_process(name: str, make):

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tokenloom.llm.common import write_scratch
+from tokenloom.llm.common import drop_scratch, write_scratch
 
 MAX_ROUNDS = 100
 
@@ -48,7 +48,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if not state["n"]:
             break
         large = write_scratch(_distinct(_large_star(e)), "cc-large")
-        e = write_scratch(_distinct(_small_star(large)), "cc")
+        last, e = e, write_scratch(_distinct(_small_star(large)), "cc")
+        drop_scratch(last, large)
         before, state = state, _state(e)
         if before == state:
             break

@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tokenloom.llm.common import small, sorted_groups, table, write_scratch
+from tokenloom.llm.common import drop_scratch, small, sorted_groups, table, unused_prefix, write_scratch
 from tokenloom.llm.components import connected_components
 
 WORDS = 5
@@ -204,12 +204,14 @@ def texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose full texts are similar. texts: (id, th, t binary)."""
+    """The pairs (a, b) whose full texts are similar, as written (u, v). texts: (id, th, t binary)."""
     held = texts_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), texts)
     left = held.select(F.col("id").alias("a"), F.col("th").alias("ha"), F.col("t").alias("ta"))
     right = held.select(F.col("id").alias("b"), F.col("th").alias("hb"), F.col("t").alias("tb"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb", "ta", "tb")
-            .mapInArrow(_similar, "u long, v long"))
+    links = write_scratch(pairs.join(right, "b").join(left, "a").select("a", "b", "ha", "hb", "ta", "tb")
+                          .mapInArrow(_similar, "u long, v long"), "mh-verified")
+    drop_scratch(held)
+    return links
 
 
 def _possible(n1: Column, n2: Column) -> Column:
@@ -298,17 +300,22 @@ def _mixed_links(bands: DataFrame, buckets: DataFrame, reps: DataFrame, labels:
     columns = "band long, k int, i int, j int, id long, label long, n long, blk int, lead long, sig binary"
     busy = write_scratch(member.select(*keys, "id", "label", "n", "blk", "lead", "sig").repartition(*keys)
                          .sortWithinPartitions(*keys).mapInArrow(_busy, columns), "mh-busy")
-    return (busy.join(texts_of(busy, texts).select("id", "t"), "id").select(*busy.columns, "t")
-            .repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_tile_links, "u long, v long"))
+    held = texts_of(busy, texts)
+    links = write_scratch(busy.join(held.select("id", "t"), "id").select(*busy.columns, "t")
+                          .repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_tile_links, "u long, v long"), "mh-links")
+    drop_scratch(busy, held)
+    return links
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, th, n_shingles, component_id, kept), one row per input row."""
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), text_key(F.col(text)).alias("th"),
                         F.col(text).cast("binary").alias("t"))
-    signed = write_scratch(signatures(docs, doc_id, text), "mh-signed")
-    reps = write_scratch(signed.filter((F.col("n") > 0) & F.col("id").isNotNull())
+    full = write_scratch(signatures(docs, doc_id, text), "mh-full")
+    reps = write_scratch(full.filter((F.col("n") > 0) & F.col("id").isNotNull())
                          .groupBy("fp", "n", "sig").agg(F.min("id").alias("id")), "mh-reps")
+    signed = write_scratch(full.drop("sig"), "mh-signed")
+    drop_scratch(full)
     bands = write_scratch(reps.select("id", "sig").mapInArrow(_bands, "band long, k int, id long"), "mh-bands")
     buckets = write_scratch(bands.groupBy("band").agg(F.min("id").alias("lead"), F.max("id").alias("end"),
                                                       F.count("*").alias("size"))
@@ -319,8 +326,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     two = reps.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
     likely = write_scratch(starred.join(two, "b").join(one, "a").filter(_possible(F.col("na"), F.col("nb")))
                            .select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long"), "mh-likely")
-    first = connected_components(verify(likely, texts)).select("id", "component")
-    more = write_scratch(_mixed_links(bands, buckets, reps, first, texts), "mh-links")
+    similar = verify(likely, texts)
+    first = connected_components(similar).select("id", "component")
+    drop_scratch(likely, similar)
+    more = _mixed_links(bands, buckets, reps, first, texts)
+    drop_scratch(bands, buckets)
     label = first.select(F.col("id").alias("x"), "component")
     links = (more.join(label, more["u"] == label["x"], "left").select(F.coalesce("component", "u").alias("u"), "v")
              .join(label, F.col("v") == label["x"], "left").select("u", F.coalesce("component", "v").alias("v")))
@@ -337,13 +347,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents of which one per group of near duplicates stays; repeated rows once."""
-    kept = near_duplicates(docs, doc_id, text).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("th").alias("__kept_th")).distinct()
-    keyed = docs.withColumn("__th", text_key(F.col(text)))
-    stay = keyed.join(kept, keyed[doc_id].cast("long").eqNullSafe(kept["__id"]) & (keyed["__th"] == kept["__kept_th"]),
-                      "left_semi")
-    return stay.dropDuplicates([doc_id, "__th"]).select(*docs.columns)
+    """The documents of which one per group of near duplicates stays; repeated rows once.
+
+    Whole texts are shuffled once, to meet the keys that stay. Only rows whose
+    key (id and text) repeats are shuffled again, to leave one of each.
+    """
+    p = unused_prefix(docs.columns)
+    verdicts = write_scratch(near_duplicates(docs, doc_id, text).filter("kept").groupBy("doc_id", "th")
+                             .agg((F.count("*") > 1).alias("many")), "mh-verdicts")
+    keyed = docs.withColumn(f"{p}id", F.col(doc_id).cast("long")).withColumn(f"{p}th", text_key(F.col(text)))
+
+    def having(keys: DataFrame) -> DataFrame:
+        return keyed.join(keys, keyed[f"{p}id"].eqNullSafe(keys[f"{p}k"]) & (keyed[f"{p}th"] == keys[f"{p}t"]), "left_semi")
+
+    keys = verdicts.select(F.col("doc_id").alias(f"{p}k"), F.col("th").alias(f"{p}t"), F.col("many").alias(f"{p}many"))
+    repeated = keys.filter(f"{p}many")
+    if repeated.isEmpty():
+        return having(keys).select(*docs.columns)
+    once = having(keys.filter(~F.col(f"{p}many")))
+    twice = having(repeated).dropDuplicates([f"{p}id", f"{p}th"])
+    return once.unionByName(twice).select(*docs.columns)
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

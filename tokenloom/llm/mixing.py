@@ -28,7 +28,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tokenloom.llm.common import table, word_count, write_scratch
+from tokenloom.llm.common import table, unused_prefix, word_count, write_scratch
 
 CYCLE = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -148,23 +148,26 @@ def mix(docs: DataFrame, targets=source_targets, text: str = "text", doc_id: str
             whole = math.floor(e + 1e-12)
             p = max(0.0, e - whole)
             rows.append((s, lv, whole, p if p > 1e-9 else 0.0, sizes[s], float(wanted[s])))
-    schema = ("__s string, __lv double, __whole int, __p double, source_size long, target double")
+    schema = "__s string, __lv double, __whole int, __p double, source_size long, target double"
     plan = spark.createDataFrame(rows, schema)
     cuts = _cuts(narrow, plan, need) if rows else {}
     full = spark.createDataFrame([(*r, cuts.get(r[0], -1)) for r in rows], schema + ", __cut long")
     others = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    base = docs.select(*others, word_count(F.col(text)).alias("size"), w.alias("__w"), u.alias("__u"),
-                       F.col(source).cast("string").alias("__source"))
-    drawn = (F.col("__p") > 0) & (_rank_key(F.col("__u"), F.col("__p")) <= F.col("__cut"))
-    joined = base.join(F.broadcast(full), base["__source"].eqNullSafe(full["__s"]) & (base["__w"] == full["__lv"]))
-    return joined.select(*others, "size", "source_size", "target",
-                         (F.col("__whole") + drawn.cast("int")).cast("long").alias("copies"))
+    x = unused_prefix(docs.columns)
+    full = full.select(*[F.col(c).alias(f"{x}{c.strip('_')}") for c in full.columns])
+    base = docs.select(*others, word_count(F.col(text)).alias("size"), w.alias(f"{x}w"), u.alias(f"{x}u"),
+                       F.col(source).cast("string").alias(f"{x}source"))
+    drawn = (F.col(f"{x}p") > 0) & (_rank_key(F.col(f"{x}u"), F.col(f"{x}p")) <= F.col(f"{x}cut"))
+    joined = base.join(F.broadcast(full), base[f"{x}source"].eqNullSafe(full[f"{x}s"]) & (base[f"{x}w"] == full[f"{x}lv"]))
+    return joined.select(*others, "size", F.col(f"{x}source_size").alias("source_size"), F.col(f"{x}target").alias("target"),
+                         (F.col(f"{x}whole") + drawn.cast("int")).cast("long").alias("copies"))
 
 
 def repeat_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """One row per copy taken, with ``columns`` only."""
+    copy = unused_prefix(mixed.columns) + "copy"
     return (mixed.filter(F.col("copies") > 0)
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("copies"))))
             .select(*columns))
 
 
