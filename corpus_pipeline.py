@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a frame; ``run`` writes each
 result as Parquet in the shared checkpoint folder and reads it as the next
 stage's documents. All stages but the last return the columns they were given.
+
+Defined results: null, empty or blank texts fail the quality rules; repeated rows
+are judged alike and near-dedup keeps one of them; rows without id are judged by
+their text; ties and very long texts are nothing special; an empty table gives an
+empty result; extra columns go along, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,31 +15,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenloom.llm import minhash, mixing, packing, quality_classifier, quality_rules
-from tokenloom.llm.common import table, write_scratch
-
-
-def _kept(judged: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """The rows that are kept. The verdicts are written first: a filter on them would be
-    pushed below the measures, which would copy and compute these many times over."""
-    own = [f"__own_{c}" for c in columns]
-    return write_scratch(judged.select(*own, "kept"), name).filter("kept").select(*own).toDF(*columns)
+from tokenloom.llm.common import drop_scratch, scratch_paths, table, unused_prefix, write_scratch
 
 
 def _own(docs: DataFrame) -> DataFrame:
     """The documents and, under names that no operator uses, all their columns once more."""
+    p = unused_prefix(docs.columns)
     return docs.select(*[F.col(c) for c in ("doc_id", "text", "lang", "source", "n_chars") if c in docs.columns],
-                       *[F.col(c).alias(f"__own_{c}") for c in docs.columns])
+                       *[F.col(c).alias(f"{p}own_{i}") for i, c in enumerate(docs.columns)])
+
+
+def _kept(judged: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, in one pass and with nothing written.
+
+    The verdict goes through an expression that the optimizer takes for
+    non-deterministic (it always holds): a filter on it stays above the measures,
+    instead of being pushed below them with a copy of each."""
+    p = unused_prefix(docs.columns)
+    own = [f"{p}own_{i}" for i in range(len(docs.columns))]
+    verdict = F.when(F.rand(0) >= 0, F.col("kept")).alias(f"{p}kept")
+    return judged.select(*own, verdict).filter(f"{p}kept").select(*own).toDF(*docs.columns)
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
-    return _kept(quality_classifier.score_quality(_own(docs), model), docs.columns, "scored")
+    return _kept(quality_classifier.score_quality(_own(docs), model), docs)
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that break no rule."""
-    return _kept(quality_rules.quality_rules(_own(docs)), docs.columns, "ruled")
+    return _kept(quality_rules.quality_rules(_own(docs)), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +77,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after another; a stage's scratch tables and input go as soon as its output is written."""
+    docs, before = table(spark, sf_dir, "documents"), set(scratch_paths())
     for name, stage in STAGES:
         docs = write_scratch(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_scratch(*(set(scratch_paths()) - before - {docs._scratch_path}))
     return docs
