@@ -33,7 +33,7 @@ def _kept(judged: DataFrame, docs: DataFrame) -> DataFrame:
     instead of being pushed below them with a copy of each."""
     p = unused_prefix(docs.columns)
     own = [f"{p}own_{i}" for i in range(len(docs.columns))]
-    verdict = F.when(F.rand(0) >= 0, F.col("kept")).alias(f"{p}kept")
+    verdict = (F.col("kept").cast("int") + F.floor(F.rand(0)) > 0).alias(f"{p}kept")  # rand is below 1
     return judged.select(*own, verdict).filter(f"{p}kept").select(*own).toDF(*docs.columns)
 
 
