@@ -86,7 +86,7 @@ def naive_encode(text, merges):
 @pytest.fixture(scope="module")
 def model(spark):
     counts = bpe.pretoken_counts(docs(spark))
-    return bpe.train_bpe(spark, counts, 256 + 12 + 1, checkpoint_every=5)
+    return bpe.train_bpe(spark, counts, 256 + 12 + 1, batch=5)
 
 
 def test_train_equals_naive_bpe(spark, model):
@@ -197,8 +197,9 @@ def test_many_merges_in_few_jobs_equal_naive(spark):
     rnd = random.Random(21)
     texts = [" ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(1, 6))) for _ in range(40))
              for _ in range(12)]
-    for look_ahead in (128, 3):
-        m = bpe.train_bpe(spark, bpe.pretoken_counts(docs(spark, texts)), 256 + 40 + 1, look_ahead=look_ahead)
+    for batch, head_words in ((1024, 1 << 17), (64, 5), (3, 0)):
+        m = bpe.train_bpe(spark, bpe.pretoken_counts(docs(spark, texts)), 256 + 40 + 1,
+                          batch=batch, head_words=head_words)
         got = [(r.l, r.r, r.id, r.freq) for r in m.merges.orderBy("rank").collect()]
         assert got == naive_train(texts, 40)
 
@@ -233,7 +234,7 @@ def test_train_random_corpora_equal_naive(spark):
     for trial in range(3):
         texts = [" ".join("".join(rnd.choice("abc") for _ in range(rnd.randint(1, 5)))
                           for _ in range(rnd.randint(1, 8))) for _ in range(rnd.randint(2, 6))]
-        m = bpe.train_bpe(spark, bpe.pretoken_counts(docs(spark, texts)), 256 + 8 + 1, checkpoint_every=3)
+        m = bpe.train_bpe(spark, bpe.pretoken_counts(docs(spark, texts)), 256 + 8 + 1, batch=3, head_words=7)
         got = [(r.l, r.r, r.id, r.freq) for r in m.merges.orderBy("rank").collect()]
         assert got == naive_train(texts, 8), (trial, texts)
 
@@ -248,3 +249,112 @@ def test_pretokens_random_strings_equal_python(spark):
     got = {r.doc_id: r.w for r in df.select("doc_id", bpe.pretokens("text").alias("w")).collect()}
     for i, t in enumerate(texts):
         assert got[i] == PY_PAT.findall(t), t
+
+
+def test_every_character_survives_encoding_with_specials(spark, model):
+    """Random Unicode, the highest BMP characters and U+FFFF among it, with and without special tokens."""
+    import random
+    rnd = random.Random(77)
+    pool = ["￿", "￾", "﻿", "\U0010ffff", "\U0001F600", " ", "\u0000", "\n", " ", "a", "<", "|", "endoftext",
+            bpe.END_OF_TEXT, "é", "中"]
+    texts = ["a ￿ b", "", bpe.END_OF_TEXT] + ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 60))) for _ in range(150)]
+    texts += ["x" * 200_000 + bpe.END_OF_TEXT + "y" * 200_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    specials = {bpe.END_OF_TEXT: 300}
+    merges = bpe.merges_list(model)
+    with_specials = bpe.encode_documents(df, merges, specials=specials)
+    vocab = model.vocab.filter("not special").unionByName(
+        spark.createDataFrame([(300, bytearray(bpe.END_OF_TEXT.encode()), True)], "id INT, token BINARY, special BOOLEAN"))
+    back = {r.doc_id: r.text for r in bpe.decode_ids(with_specials, vocab, skip_special=False).collect()}
+    assert back == dict(enumerate(texts))
+    plain = {r.doc_id: r.ids for r in bpe.encode_documents(df, merges).collect()}
+    special = {r.doc_id: r.ids for r in with_specials.collect()}
+    for i, t in enumerate(texts):
+        if bpe.END_OF_TEXT not in t:
+            assert plain[i] == special[i]
+
+
+def test_long_word_in_n_log_n():
+    """A word of a million letters takes seconds; on short words the same code equals the plain loop."""
+    import random
+    import time
+    rnd = random.Random(3)
+    ranks, ids = {}, list(range(97, 101))
+    for k in range(400):
+        ranks.setdefault((rnd.choice(ids), rnd.choice(ids)), 256 + k)
+        ids.append(256 + k)
+    word = [97 + rnd.randrange(4) for _ in range(1_000_000)]
+    began = time.time()
+    merged = bpe.merge_word(word, ranks)
+    assert time.time() - began < 60 and len(merged) < len(word)
+    parts = {new: pair for pair, new in ranks.items()}
+
+    def spelt(t):
+        return [t] if t < 256 else spelt(parts[t][0]) + spelt(parts[t][1])
+
+    assert [b for t in merged for b in spelt(t)] == word
+
+
+def test_changes_of_a_merge_are_those_of_a_recount():
+    import random
+    from collections import Counter
+    rnd = random.Random(12)
+    for _ in range(300):
+        word = [97 + rnd.randrange(2) for _ in range(rnd.randint(0, 14))]
+        pair = (97 + rnd.randrange(2), 97 + rnd.randrange(2))
+        changes = Counter()
+        merged = bpe.merge_word(word, {pair: 256}, lambda step, p, by: changes.update({p: by}))
+        want = Counter(zip(merged, merged[1:]))
+        want.subtract(Counter(zip(word, word[1:])))
+        assert {p: n for p, n in changes.items() if n} == {p: n for p, n in want.items() if n}
+
+
+def test_queries_with_few_merges_equal_sql(spark, monkeypatch):
+    """The tokenizer queries against DuckDB, which unrolls 16 merges (the registered tokenizer has more)."""
+    import duckdb
+    from tokenloom.plans import fixtures as fx, oracle, queries as Q
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(fx, "BPE_MERGES", 16)
+    monkeypatch.setattr(Q, "BPE_VOCAB", 256 + 16 + 1)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for name, sql in oracle.bpe_oracle_sql(16).items():
+        want = con.execute(sql)
+        columns = [d[0] for d in want.description]
+        got = Q.QUERIES[name](spark, sf).select(*columns).collect()
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall())), name
+
+
+def test_a_thousand_merges_equal_an_incremental_python_bpe(spark):
+    """All merges of a real corpus, batched and checked by Spark, against plain counting of the words that hold a pair."""
+    from collections import Counter, defaultdict
+    from tokenloom.plans import queries as Q
+    sf = "/root/testdata/sf0.001"
+    counts = bpe.pretoken_counts(Q._train_text(spark, sf))
+    words = [(list(r.word.encode()), r.n) for r in counts.collect()]
+    pairs, held = Counter(), defaultdict(set)
+    for w, (ids, n) in enumerate(words):
+        for p in zip(ids, ids[1:]):
+            pairs[p] += n
+            held[p].add(w)
+    want = []
+    for k in range(1000):
+        (l, r), n = min(pairs.items(), key=lambda x: (-x[1], x[0]))
+        want.append((l, r, 256 + k, n))
+        for w in held.pop((l, r)):
+            ids, times = words[w]
+            for p in zip(ids, ids[1:]):
+                pairs[p] -= times
+            out, i = [], 0
+            while i < len(ids):
+                two = ids[i:i + 2] == [l, r]
+                out.append(256 + k if two else ids[i])
+                i += 2 if two else 1
+            words[w] = out, times
+            for p in zip(out, out[1:]):
+                pairs[p] += times
+                held[p].add(w)
+    for head_words in (1 << 19, 3000):  # the forecast sees all words, or a few of them only
+        m = bpe.train_bpe(spark, counts, 256 + (1000 if head_words > 3000 else 150) + 1, head_words=head_words)
+        got = [(r.l, r.r, r.id, r.freq) for r in m.merges.orderBy("rank").collect()]
+        assert got == want[:len(got)] and len(got) in (1000, 150)

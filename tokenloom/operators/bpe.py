@@ -8,24 +8,31 @@ Token sequences are strings with one code point per token: a byte is its
 ISO-8859-1 character (U+0000-00FF) and merge ``k`` is U+0100+k, i.e. the
 code point equals the token id. A merge of ``(l, r)`` into ``n`` is then the
 literal, left-to-right, non-overlapping ``replace(chr(l)+chr(r), chr(n))`` —
-exactly BPE's merge rule. Training runs in the JVM. Encoding and decoding are
-Arrow-batched functions: a word's merges are a loop that SQL functions can only
-express as one pass per merge over the whole text.
+exactly BPE's merge rule. Pair counts of a fresh word table are made of these
+strings in the JVM. Merging a word (in training and encoding) and decoding are
+Arrow-batched functions: :func:`merge_word` does it in ``n log n`` steps, where
+SQL functions need one pass per merge.
+
+Training makes many merges per Spark job and stays exact: see :func:`train_bpe`.
 """
 
 from __future__ import annotations
 
+import heapq
 import struct
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import WS_CLASS
 from ..functions.tokens import bytes_to_ids, utf8_bytes
-from ..session import checkpoint_dir
+from ..session import ScratchTables
 
 # ---- fixed values -----------------------------------------------------------
 # Pre-token pattern: the published GPT-2 pattern
@@ -40,15 +47,11 @@ MIN_FREQUENCY = 2
 # -----------------------------------------------------------------------------
 
 _LATIN1 = "ISO-8859-1"
-SEP = "\uffff"
 MAX_ID = 0xD7FF          # training: ids must be BMP code points below the surrogates
 MAX_STREAM_ID = 0xFFFF   # uint16 streams
-
-
-def _tok(i: int) -> str:
-    if not 0 <= i <= MAX_ID:
-        raise ValueError(f"token id {i} outside 0..{MAX_ID}")
-    return chr(i)
+MEMO_WORDS = 1 << 18     # distinct words an encoding task remembers; beyond it the memory starts anew
+HEAD_WORDS = 1 << 19     # words from which training forecasts its merges
+FLUSH_CHANGES = 1 << 18  # changes of pair counts a training task holds
 
 
 def pretokens(text) -> Column:
@@ -75,6 +78,11 @@ def words_table(counts: DataFrame) -> DataFrame:
     return counts.select("word", "n", byte_chars(F.col("word")).alias("s"))
 
 
+def _widened(raw: Column) -> Column:
+    """Bytes -> little-endian uint16 ids."""
+    return F.unhex(F.regexp_replace(F.hex(raw), "(..)", "$100"))
+
+
 def pair_counts(words: DataFrame, min_frequency: int = MIN_FREQUENCY) -> DataFrame:
     """K1: adjacent-pair frequency weighted by word count, ``n >= min_frequency``.
 
@@ -102,129 +110,315 @@ class BpeModel:
     vocab: DataFrame       # (id INT, token BINARY, special BOOLEAN)
 
 
-def _merge_expr(s: Column, l: int, r: int, new: int) -> Column:
-    return F.replace(s, F.lit(_tok(l) + _tok(r)), F.lit(_tok(new)))
+def merge_word(ids: list[int], ranks: dict[tuple[int, int], int], changes=None) -> list[int]:
+    """BPE of one word: the pair of the lowest new id is merged, leftmost first, until none is left.
 
-
-def independent_merges(pairs: list[tuple[int, int, int]], complete: bool) -> int:
-    """How many of the first ``pairs`` (l, r, n; best first) can be merged from one count.
-
-    Merging ``(a, b)`` only changes pairs that end in ``a`` or begin with
-    ``b``, and a pair it creates is no more frequent than the one of these that
-    it replaces. So the next pair is still the best one, with its count
-    unchanged, as long as no pair that is at least as frequent ends in such an
-    ``a`` or begins with such a ``b``. ``complete``: there are no pairs beyond
-    these; otherwise a pair as rare as the last one may have unseen equals.
+    ``ranks``: pair -> new id, rising in the order of the merges. The word is a
+    linked list and its mergeable pairs a heap of (new id, place), so a merge
+    touches its neighbours only: ``n log n`` steps for ``n`` bytes.
+    ``changes(step, pair, by)`` is told how every merge changes the pair counts.
+    """
+    heap = [(new, i) for i, pair in enumerate(zip(ids, ids[1:])) if (new := ranks.get(pair)) is not None]
+    if not heap:
+        return ids
+    heapq.heapify(heap)
+    ids, n = list(ids), len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    while heap:
+        new, i = heapq.heappop(heap)
+        j = after[i]
+        if ids[i] < 0 or j >= n or ranks.get((ids[i], ids[j])) != new:
+            continue  # an earlier merge took one of the two
+        h, k = before[i], after[j]
+        if changes:
+            changes(new, (ids[i], ids[j]), -1)
+            if h >= 0:
+                changes(new, (ids[h], ids[i]), -1)
+                changes(new, (ids[h], new), 1)
+            if k < n:
+                changes(new, (ids[j], ids[k]), -1)
+                changes(new, (new, ids[k]), 1)
+        ids[i], ids[j], after[i] = new, -1, k
+        if k < n:
+            before[k] = i
+            if (more := ranks.get((new, ids[k]))) is not None:
+                heapq.heappush(heap, (more, i))
+        if h >= 0 and (more := ranks.get((ids[h], new))) is not None:
+            heapq.heappush(heap, (more, h))
+    return [t for t in ids if t >= 0]
+
+
+def merge_ranks(merges) -> dict[tuple[int, int], int]:
+    """(l, r, id) in order -> {pair: id}; the first merge of a pair counts."""
+    ranks: dict = {}
+    for l, r, new in merges:
+        ranks.setdefault((l, r), new)
+    return ranks
+
+
+class Forecast:
+    """Which merges come next, as the most frequent words tell.
+
+    BPE over a bounded number of words with an index from pairs to the words
+    that hold them: a merge touches only these and changes counts by difference.
+    Unless these are all words, the counts start from exact ones of the whole
+    corpus. What it says is never trusted: Spark checks it on all words.
     """
-    ends, starts, seen = set(), set(), 0
-    for i, (l, r, n) in enumerate(pairs):
-        if i and not complete and n == pairs[-1][2]:
-            return i
-        seen = max(seen, i)
-        while seen < len(pairs) and pairs[seen][2] >= n:
-            seen += 1
-        if i and any(p[1] in ends or p[0] in starts for p in pairs[:seen]):
-            return i
-        ends.add(l)
-        starts.add(r)
-    return len(pairs)
+
+    def __init__(self, words: list[tuple[int, list[int]]]):
+        self.n = [n for n, _ in words]
+        self.ids = [ids for _, ids in words]
+        self.counts: dict = defaultdict(int)
+        self.held: dict = defaultdict(set)
+        for w, ids in enumerate(self.ids):
+            for pair in zip(ids, ids[1:]):
+                self.counts[pair] += self.n[w]
+                self.held[pair].add(w)
+        self.heap: list = []
+        self._push(self.counts)
+
+    def _push(self, pairs) -> None:
+        for pair in pairs:
+            if self.counts[pair] > 0:
+                heapq.heappush(self.heap, (-self.counts[pair], *pair))
+
+    def correct(self, exact: list[tuple[int, int, int]]) -> None:
+        """The best pairs of the whole corpus take the place of all counts so far."""
+        self.counts, self.heap = defaultdict(int, {(l, r): n for l, r, n in exact}), []
+        self._push(list(self.counts))
+
+    def next_merges(self, first_id: int, most: int, min_frequency: int) -> list[tuple[int, int, int]]:
+        out = []
+        while len(out) < most and self.heap:
+            n, l, r = heapq.heappop(self.heap)
+            if self.counts[l, r] != -n:
+                continue  # changed since; its present count is in the heap too
+            if -n < min_frequency:
+                break
+            new, changed = first_id + len(out), set()
+            for w in list(self.held.pop((l, r), ())):
+
+                def change(_step, pair, by):
+                    self.counts[pair] += by * self.n[w]  # noqa: B023 (called before the loop goes on)
+                    changed.add(pair)
+                    if by > 0:
+                        self.held[pair].add(w)  # noqa: B023
+
+                self.ids[w] = merge_word(self.ids[w], {(l, r): new}, change)
+            self.counts[l, r] = 0
+            self._push(changed)
+            out.append((l, r, new))
+        return out
+
+
+def _apply(made: dict, tried: dict):
+    """(n, ids) -> the words after the merges ``made``, and how each merge ``tried`` on them would change the pair counts."""
+    def run(batches):
+        change: dict = defaultdict(int)
+
+        def flush():
+            keys = list(change)
+            cols = [[k[1][0] for k in keys], [k[1][1] for k in keys], [k[0] for k in keys], [change[k] for k in keys]]
+            change.clear()
+            size = len(keys)
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary()), *(pa.array(c, pa.int64()) for c in cols)], names=names)
+
+        names = ["n", "ids", "l", "r", "step", "d"]
+        for b in batches:
+            n, out = b.column(0).to_pylist(), []
+            for times, raw in zip(n, b.column(1).to_pylist()):
+                ids = np.frombuffer(raw, dtype="<u2").tolist()
+                merged = merge_word(ids, made) if made else ids
+                out.append(raw if merged is ids else np.array(merged, dtype="<u2").tobytes())
+
+                def told(step, pair, by):
+                    change[step, pair] += by * times  # noqa: B023 (called before the loop goes on)
+
+                merge_word(merged, tried, told)
+                if len(change) >= FLUSH_CHANGES:
+                    yield flush()
+            empty = pa.nulls(b.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), empty, empty, empty, empty], names=names)
+        if change:
+            yield flush()
+    return run
+
+
+def _first_wrong(steps: list[tuple[int, int, int, int]]):
+    """(l, r, changes) of pairs -> the first step at which such a pair was better than the merge tried.
+
+    ``steps``: (l, r, id, count), counts not rising. A pair's count is constant
+    between its changes; in such a stretch, the first step of a lower count, or
+    of an equal count and a later pair, is found by bisection."""
+    ids, down, tried = [m[2] for m in steps], [-m[3] for m in steps], [m[:2] for m in steps]
+    latest: list = []  # the latest pair tried so far among those of equal count
+    for i, pair in enumerate(tried):
+        latest.append(max(pair, latest[-1]) if i and down[i] == down[i - 1] else pair)
+
+    def beaten(pair, n: int, start: int, end: int) -> int:
+        equal, lower = bisect_left(down, -n), bisect_right(down, -n)
+        first = max(start, lower)
+        if start <= equal:
+            tie = bisect_right(latest, pair, equal, lower)
+        else:
+            tie = next((i for i in range(start, lower) if tried[i] > pair), lower)
+        return min(first, tie if tie < lower else first, end)
+
+    def run(batches):
+        wrong = len(ids)
+        for b in batches:
+            for l, r, changes in zip(*(c.to_pylist() for c in b.columns)):
+                n, start = 0, 0
+                for i, change in enumerate(changes):
+                    n += change["d"]
+                    start = bisect_right(ids, change["step"])
+                    end = bisect_right(ids, changes[i + 1]["step"]) if i + 1 < len(changes) else len(ids)
+                    at = beaten((l, r), n, start, end) if n > 0 else end
+                    if at < end:
+                        wrong = min(wrong, at)
+                        break
+        yield pa.RecordBatch.from_arrays([pa.array(ids[wrong:wrong + 1], pa.int64())], names=["step"])
+    return run
 
 
 def train_bpe(spark: SparkSession, counts: DataFrame, vocab_size: int,
               min_frequency: int = MIN_FREQUENCY, specials=(END_OF_TEXT,),
-              checkpoint_every: int = 8, look_ahead: int = 128) -> BpeModel:
+              batch: int = 1024, head_words: int = HEAD_WORDS) -> BpeModel:
     """K2: repeat (best pair -> merge everywhere) until the vocabulary is full
-    or no pair reaches ``min_frequency``.
-
-    Each Spark job counts the pairs of the distinct-word table (map-side
-    combined); the best ``look_ahead`` reach the driver, and as many merges are
-    made of them as would provably be made one by one
-    (:func:`independent_merges`).
-    Merges made since the last checkpoint are applied as a chain of literal
-    ``replace`` calls that Catalyst collapses into one projection; every
-    ``checkpoint_every`` merges the merged words are written as a reliable
-    checkpoint in the shared folder, which cuts the lineage and resets the
-    chain.
+    or no pair reaches ``min_frequency``. The merges are exactly those that are
+    made one by one from the counts of all words; each round of Spark jobs makes up
+    to ``batch`` of them:
+
+    1. a :class:`Forecast` over the ``head_words`` most frequent words names the
+       next merges; it starts from the exact best pairs, so its first one is right;
+    2. one pass over the distinct words applies the merges of the last round and
+       tries the new ones: a word without any of their pairs is passed on, others
+       report by how much each step changes which pair count;
+    3. the changes meet the pair table, kept from round to round, in one grouped
+       sum. From it the exact count of every tried pair at its step is read, and
+       the first step is found at which some other pair was better;
+    4. the merges before that step are made; the changes up to it give the pair
+       table of the next round. Nothing is counted anew.
+
+    Words, pairs and changes stay in tables in the shared folder, which cuts
+    lineage; the driver holds the merges, the head words and one count per tried
+    merge.
     """
     n_merges = vocab_size - 256 - len(specials)
     if n_merges < 0:
         raise ValueError("vocab_size too small for bytes and special tokens")
     if vocab_size - 1 > MAX_ID:
         raise ValueError(f"vocab_size above {MAX_ID + 1} is not supported")
-    checkpoint_dir(spark)
-    # scanned once per merge: one partition per core, so each round is one task wave
-    base = (words_table(counts).select("n", "s")
-            .repartition(spark.sparkContext.defaultParallelism)
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    held = [base]
-    s = F.col("s")
-    merges, tokens = [], {i: bytes([i]) for i in range(256)}
-    pending = 0
+    tables = ScratchTables(spark, "bpe")
+    words = tables.write(words_table(counts).select("n", F.encode("s", _LATIN1).alias("raw")).select(
+        "n", _widened(F.col("raw")).alias("ids")), "words")
+    # pairs: (l, r, changes array<struct<step, d>>), the count being the sum of the changes
+    pairs = tables.write(pair_counts(words_table(counts), min_frequency).select(
+        F.col("l").cast("long").alias("l"), F.col("r").cast("long").alias("r"),
+        F.array(F.struct(F.lit(0).cast("long").alias("step"), F.col("n").alias("d"))).alias("changes")), "pairs")
+    whole = words.count() <= head_words
+    head = [(r["n"], np.frombuffer(r["ids"], dtype="<u2").tolist()) for r in
+            words.orderBy(F.desc("n"), "ids").limit(head_words).collect()]
+    merges: list[tuple[int, int, int]] = []
+    freqs: list[int] = []
+    made: list[tuple[int, int, int]] = []     # merges not yet in ``words``
+    forecast, step = None, 256                 # changes of steps below ``step`` count
+    size = batch if whole else 32
     while len(merges) < n_merges:
-        words = base.select("n", s.alias("s"))
-        best = [(r["l"], r["r"], int(r["n"])) for r in
-                pair_counts(words, min_frequency).orderBy(F.desc("n"), "l", "r").limit(look_ahead).collect()]
-        if not best:
+        now = F.aggregate(F.filter("changes", lambda c: c["step"] < step), F.lit(0).cast("long"), lambda a, c: a + c["d"])
+        left = pairs.select("l", "r", now.alias("n")).filter(F.col("n") >= min_frequency)
+        if forecast is None:
+            ranks = merge_ranks(merges)
+            forecast = Forecast([(n, merge_word(ids, ranks)) for n, ids in head])
+        if not whole:
+            forecast.correct(top_pairs(left, 8 * size))
+        tried = forecast.next_merges(256 + len(merges), min(size, n_merges - len(merges)), min_frequency)
+        if not tried:
             break
-        take = min(independent_merges(best, len(best) < look_ahead), n_merges - len(merges))
-        for l, r, freq in best[:take]:
-            new = 256 + len(merges)
-            merges.append((len(merges), l, r, new, freq))
-            tokens[new] = tokens[l] + tokens[r]
-            s = _merge_expr(s, l, r, new)
-        pending += take
-        if pending >= checkpoint_every and len(merges) < n_merges:
-            base = base.select("n", s.alias("s")).checkpoint()
-            held.append(base)
-            s, pending = F.col("s"), 0
-    for h in held:
-        h.unpersist()
+        tried_now = merge_ranks(tried)
+        words_next = tables.write(words.select("n", "ids").mapInArrow(
+            _apply(merge_ranks(made), tried_now), "n long, ids binary, l long, r long, step long, d long"), "words")
+        base = left.select("l", "r", F.lit(0).cast("long").alias("step"), F.col("n").alias("d"))
+        changes = words_next.filter(F.col("ids").isNull()).select("l", "r", "step", "d")
+        pairs_next = tables.write(
+            base.unionByName(changes).groupBy("l", "r", "step").agg(F.sum("d").alias("d")).groupBy("l", "r")
+            .agg(F.sort_array(F.collect_list(F.struct("step", "d"))).alias("changes"),
+                 F.sum(F.when(F.col("d") > 0, F.col("d"))).alias("most"))
+            .filter(F.col("most") >= min_frequency), "pairs")
+        right = _verified(pairs_next, tried, min_frequency)
+        tables.drop(words, pairs)
+        words, pairs = words_next.filter(F.col("ids").isNotNull()), pairs_next.drop("most")
+        words._path, pairs._path = words_next._path, pairs_next._path
+        made = [m[:3] for m in right]
+        merges += made
+        freqs += [m[3] for m in right]
+        step = 256 + len(merges)
+        if len(right) < len(tried):
+            forecast = None
+            if not right:
+                break  # no pair is frequent enough
+        size = min(batch, max(32, 2 * len(right))) if not whole else batch
+    tables.drop(words, pairs)
+    tokens = {i: bytes([i]) for i in range(256)}
+    for l, r, new in merges:
+        tokens[new] = tokens[l] + tokens[r]
     n_done = len(merges)
     for i, sp in enumerate(specials):
         tokens[256 + n_done + i] = sp.encode("utf-8")
     # Both tables are bounded by vocab_size (a parameter), not by the data.
-    mdf = spark.createDataFrame(merges, "rank INT, l INT, r INT, id INT, freq BIGINT")
+    mdf = spark.createDataFrame([(k, *m, f) for k, (m, f) in enumerate(zip(merges, freqs))],
+                                "rank INT, l INT, r INT, id INT, freq BIGINT")
     vdf = spark.createDataFrame(
         [(i, tokens[i], i >= 256 + n_done) for i in sorted(tokens)],
         "id INT, token BINARY, special BOOLEAN")
     return BpeModel(mdf, vdf)
 
 
-def merges_list(model: BpeModel) -> list[tuple[int, int, int]]:
-    """The ordered merge list (bounded by the vocabulary size)."""
-    return [(r["l"], r["r"], r["id"]) for r in model.merges.orderBy("rank").collect()]
+def top_pairs(pairs: DataFrame, most: int) -> list[tuple[int, int, int]]:
+    """The best pairs (l, r, n), in order; ``most`` bounds what the driver gets."""
+    return [(r["l"], r["r"], r["n"]) for r in pairs.orderBy(F.desc("n"), "l", "r").limit(most).collect()]
 
 
-MEMO_WORDS = 1 << 18     # distinct words a task remembers; beyond it the memory starts anew
+def _verified(pairs: DataFrame, tried: list[tuple[int, int, int]], min_frequency: int) -> list[tuple[int, int, int, int]]:
+    """The merges tried that one-by-one training would make, as (l, r, id, count at that time)."""
+    spark = pairs.sparkSession
+    steps = spark.createDataFrame(tried, "l long, r long, id long")  # bounded by the batch
+    before = F.aggregate(F.filter("changes", lambda c: c["step"] < F.col("id")), F.lit(0).cast("long"), lambda a, c: a + c["d"])
+    count = {r["id"]: r["n"] for r in pairs.join(F.broadcast(steps), ["l", "r"]).select("id", before.alias("n")).collect()}
+    sure = []
+    for l, r, new in tried:
+        if count.get(new, 0) < min_frequency:
+            break
+        if sure and count[new] > sure[-1][3]:
+            sure.pop()  # this pair was the better one a step before already
+            break
+        sure.append((l, r, new, count[new]))
+    if not sure:
+        return []
+    least = min(m[3] for m in sure)
+    wrong = (pairs.filter(F.col("most") >= least).select("l", "r", "changes")
+             .mapInArrow(_first_wrong(sure), "step long").agg(F.min("step").alias("step")).first()["step"])
+    return sure if wrong is None else [m for m in sure if m[2] < wrong]
 
 
-def merge_word(ids: list[int], ranks: dict[tuple[int, int], int]) -> list[int]:
-    """BPE of one word: merge the pair of the lowest id until none is left."""
-    while len(ids) > 1:
-        pair = min(zip(ids, ids[1:]), key=lambda p: ranks.get(p, MAX_STREAM_ID + 1))
-        new = ranks.get(pair)
-        if new is None:
-            break
-        out, i = [], 0
-        while i < len(ids):
-            if ids[i] == pair[0] and i + 1 < len(ids) and ids[i + 1] == pair[1]:
-                out.append(new)
-                i += 2
-            else:
-                out.append(ids[i])
-                i += 1
-        ids = out
-    return ids
+def merges_list(model: BpeModel) -> list[tuple[int, int, int]]:
+    """The ordered merge list (bounded by the vocabulary size)."""
+    return [(r["l"], r["r"], r["id"]) for r in model.merges.orderBy("rank").collect()]
 
 
 def _word_pieces(text, specials: dict[str, int]) -> Column:
-    """Pre-tokens of a text; a special token's string is a piece of its own."""
+    """Pre-tokens of a text; a special token's string is a piece of its own.
+
+    One pattern cuts both: a special token, or the pre-tokens of what lies
+    before the next one. No character is set apart as a separator, so every text
+    keeps all its characters."""
     if not specials:
         return pretokens(text)
     t = text if isinstance(text, Column) else F.col(text)
     names = list(specials)
     either = "|".join(r"\Q" + n + r"\E" for n in sorted(names, key=len, reverse=True))
-    parts = F.split(F.regexp_replace(t, f"({either})", SEP + "$1" + SEP), SEP, -1)
+    parts = F.regexp_extract_all(t, F.lit(rf"(?s)(?:{either})|.+?(?={either}|\z)"), 0)
     return F.flatten(F.transform(parts, lambda p: F.when(p.isin(names), F.array(p)).otherwise(pretokens(p))))
 
 
@@ -236,9 +430,7 @@ def encode_stream(text, merges: list[tuple[int, int, int]], specials: dict[str,
     number of merges and nothing is shuffled. The merges and ``specials``
     (string -> id) are bounded by the vocabulary.
     """
-    ranks, fixed = {}, {k: struct.pack("<H", v) for k, v in (specials or {}).items()}
-    for l, r, n in merges:
-        ranks.setdefault((l, r), n)
+    ranks, fixed = merge_ranks(merges), {k: struct.pack("<H", v) for k, v in (specials or {}).items()}
 
     @F.pandas_udf("binary")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -60,3 +61,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for written intermediate tables, inside the checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+class ScratchTables:
+    """Intermediate tables in the shared folder: written, read back (which cuts lineage and lets the planner
+    know their size), and removed by the job that made them once they are used."""
+
+    def __init__(self, spark: SparkSession, kind: str):
+        self.spark, self.base = spark, scratch_path(spark, f"{kind}-{uuid.uuid4().hex[:12]}")
+        self.made = 0
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.made += 1
+        path = f"{self.base}/{name}-{self.made}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._path = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(t._path)
+            path.getFileSystem(self.spark._jsparkSession.sparkContext().hadoopConfiguration()).delete(path, True)
