@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tokenloom.operators import stream
 from tokenloom.operators.prefix import prefix_aggregates
 from tokenloom.functions.tokens import bytes_to_ids
+from tokenloom.sources.corpus import corpus_from_documents, with_split
 
 from helpers import brute_streams, tiny_corpus
 
@@ -251,3 +252,54 @@ def test_stream_chunks_random(spark):
         want = {k: (min(size, total - k * size), min((k + 1) * size, total))
                 for k in range((total + size - 1) // size)}
         assert got == want, size
+
+
+def test_positions_by_rank_with_sparse_null_and_repeated_ids(spark):
+    """Random 63-bit ids, null ids and repeated rows: each row once, offsets as in a sorted list."""
+    import random
+    rnd = random.Random(31)
+    rows = [(rnd.randrange(-2 ** 62, 2 ** 62), "t" * rnd.randrange(0, 9), f"src{rnd.randrange(3)}") for _ in range(2000)]
+    rows += [(None, "no id " * i, "src1") for i in range(6)] + [(None, "same", "src0")] * 5
+    rows += [(7, "seven", "src2")] * 4 + [(7, "other seven", "src2")]
+    c = with_split(corpus_from_documents(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")), 3, 34, 3)
+    for keep in (False, True):
+        got = stream.positions(c, keep_data=keep).collect()
+        assert len(got) == len(rows)
+        at = 0
+        order = sorted(got, key=lambda r: (r.pos, r.n_tok))
+        for r in order:
+            assert r.pos == at
+            at += r.n_tok
+        full = [r for r in order if r.n_tok]
+        keys = [(r.shard_id, r.doc_id is not None, r.doc_id or 0) for r in full]
+        assert keys == sorted(keys)
+    assert sorted(((r.doc_id is None, r.doc_id or 0, bytes(r.data).decode()) for r in got)) == sorted(
+        (d is None, d or 0, t) for d, t, _ in rows)
+
+
+def test_rank_ranges_are_even(spark):
+    import random
+    from tokenloom.operators.prefix import ranked_prefix
+    rnd = random.Random(1)
+    rows = [("a", rnd.getrandbits(62), 1) for _ in range(20_000)] + [("a", None, 1)] * 10_000  # a third without id
+    out = ranked_prefix(spark.createDataFrame(rows, "g STRING, k BIGINT, v BIGINT"), "v", ["g"], ["k"], "at")
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sorted(r["at"] for r in out.collect()) == list(range(30_000))
+    assert out.filter("k IS NULL AND at >= 10000").isEmpty()
+    files = out.inputFiles()
+    per_range = [spark.read.parquet(f).count() for f in files]
+    assert max(per_range) <= 2 * sum(per_range) / len(per_range), (per_range, sizes)
+
+
+def test_packing_moves_only_edges(spark):
+    """Whole inner blocks are cut where documents are read: the exchange carries edges only."""
+    import random
+    rnd = random.Random(4)
+    rows = [(i, "".join(rnd.choice("abc de") for _ in range(rnd.choice([0, 1, 5, 900, 3000]))), f"src{i % 3}") for i in range(60)]
+    c = with_split(corpus_from_documents(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")), 3, 34, 3)
+    data = "".join(t for _, t, _ in sorted(rows, key=lambda r: (int(r[2][3:]), r[0]))).encode()
+    for block, shift in ((16, 1), (64, 0), (256, 1), (5000, 1)):
+        got = {r.block: (bytes(r.x), bytes(r.y)) for r in stream.pack_sequences(stream.positions(c), block, shift=shift).collect()}
+        want = {k: (data[k * block:(k + 1) * block], data[k * block + shift:(k + 1) * block + shift])
+                for k in range(len(data) // block + 1) if len(data[k * block:(k + 1) * block + shift]) == block + shift}
+        assert got == want

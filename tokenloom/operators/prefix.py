@@ -30,6 +30,15 @@ def _combine(agg: str, a: Column, b: Column) -> Column:
     return F.greatest(a, b)  # max, last (struct order = key order)
 
 
+def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on equal keys, null being equal to null: rows without a group keep each other company."""
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        right = right.withColumnRenamed(k, f"_r{i}")
+        same = same & left[k].eqNullSafe(right[f"_r{i}"])
+    return left.join(right, same).drop(*[f"_r{i}" for i in range(len(keys))])
+
+
 def prefix_aggregates(df: DataFrame, specs: list[tuple[str, str, Column | str]],
                       group: list[str], major: list[str], key: str,
                       fanout: int = FANOUT, materialize: bool = False) -> DataFrame:
@@ -73,10 +82,10 @@ def prefix_aggregates(df: DataFrame, specs: list[tuple[str, str, Column | str]],
     t2 = t2.select(*g, *m, "_b2", *[_AGG[agg](f"_t2_{i}").over(w3).alias(f"_e3_{i}")
                                     for i, _, agg in vals])
 
-    boff = t1.join(t2, on=[*g, *m, "_b2"]).select(
+    boff = _join(t1, t2, [*g, *m, "_b2"]).select(
         *g, *m, "_b1",
         *[_combine(agg, F.col(f"_e3_{i}"), F.col(f"_e2_{i}")).alias(f"_o_{i}") for i, _, agg in vals])
-    out = d.join(boff, on=[*g, *m, "_b1"])
+    out = _join(d, boff, [*g, *m, "_b1"])
     for i, name, agg in vals:
         r = _combine(agg, F.col(f"_o_{i}"), F.col(f"_e1_{i}"))
         if agg == "last":
@@ -94,3 +103,33 @@ def exclusive_prefix(df: DataFrame, value: str, group: list[str], major: list[st
                      materialize: bool = False) -> DataFrame:
     """Sum of ``value`` over the preceding rows (0 for the first row)."""
     return prefix_aggregates(df, [(out, "sum", value)], group, major, key, fanout, materialize)
+
+
+def ranked_prefix(df: DataFrame, value: str, group: list[str], order: list, out: str = "offset") -> DataFrame:
+    """Sum of ``value`` over the rows of the same ``group`` that come before in ``order``; no arithmetic on the keys.
+
+    Rows are range-sorted by group and order and written once. A row's prefix is
+    the sum of the ranges before its own (one row per group and range) and of the
+    rows before it in its range, so no window holds more than a range, whatever
+    the keys are: sparse, null, repeated, or strings. Rows equal in group and
+    order are spread by a random last key; their order among each other is that of
+    the written table. The result is read from that table, one row per input row.
+    """
+    from ..session import ScratchTables
+    tables = ScratchTables(df.sparkSession, "ranked")
+    keys = [*group, *order]
+    placed = tables.write(
+        df.withColumn("_spread", F.rand(11)).repartitionByRange(*keys, "_spread").sortWithinPartitions(*keys, "_spread")
+        .withColumn("_place", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id()).drop("_spread"), "placed")
+    before = (Window.unboundedPreceding, -1)
+    names = [f"_g{i}" for i in range(len(group))]
+    spans = (placed.groupBy(*group, "_part").agg(F.sum(value).alias("_sum"))
+             .withColumn("_ahead", F.sum("_sum").over(Window.partitionBy(*group).orderBy("_part").rowsBetween(*before)))
+             .select(*[F.col(g).alias(n) for g, n in zip(group, names)], F.col("_part").alias("_p"), "_ahead"))
+    inside = F.sum(value).over(Window.partitionBy("_part", *group).orderBy("_place").rowsBetween(*before))
+    same = placed["_part"] == spans["_p"]
+    for g, n in zip(group, names):
+        same = same & placed[g].eqNullSafe(spans[n])
+    return (placed.withColumn("_inside", inside).join(spans, same)
+            .withColumn(out, (F.coalesce("_ahead", F.lit(0)) + F.coalesce("_inside", F.lit(0))).cast("long"))
+            .drop("_place", "_part", "_p", "_sum", "_ahead", "_inside", *names))

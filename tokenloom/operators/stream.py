@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.hashing import md5_int60
 from ..functions.tokens import bytes_to_ids, token_count
 from ..sources.corpus import DEFAULT_CHUNK_SIZE
-from .prefix import exclusive_prefix
+from .prefix import exclusive_prefix, ranked_prefix
 
 _LATIN1 = "ISO-8859-1"
 
@@ -47,54 +47,48 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 
 def doc_offsets(corpus: DataFrame, width: int = 1) -> DataFrame:
-    """T2 on metadata: ``(split, shard_id, doc_id, n_tok, pos)``.
+    """T2 on metadata: ``(split, shard_id, doc_id, th, n_tok, pos)``, one row per document row.
 
-    The per-document lengths are computed in one scan and written as a
-    reliable checkpoint (one small row per document) in the shared folder;
-    the bucketed prefix sum then reads that instead of rescanning the texts
-    for each of its levels, and a lost executor does not force a rescan.
+    The lengths are computed in one scan; the ranks of the documents, not their
+    ids, give the offsets (:func:`ranked_prefix`). Null ids come first in their
+    shard; rows that share an id follow each other by ``th``, a hash of the data.
     """
-    from ..session import checkpoint_dir
-    checkpoint_dir(corpus.sparkSession)
-    meta = corpus.select("split", "shard_id", "doc_id",
-                         token_count("data", width).alias("n_tok")).checkpoint()
-    return exclusive_prefix(meta, "n_tok", group=["split"], major=["shard_id"],
-                            key="doc_id", out="pos")
+    meta = corpus.select("split", "shard_id", "doc_id", F.xxhash64("data").alias("th"),
+                         token_count("data", width).alias("n_tok"))
+    return ranked_prefix(meta, "n_tok", ["split"], ["shard_id", "doc_id", "th"], "pos")
+
+
+_DOC = ("split", "shard_id", "doc_id", "th")
+
+
+def _of_keys(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``df`` joined with ``keys`` (columns k0..k3) on the document key; null ids are equal."""
+    same = df[_DOC[0]].eqNullSafe(keys["k0"])
+    for i, c in enumerate(_DOC[1:], 1):
+        same = same & df[c].eqNullSafe(keys[f"k{i}"])
+    return df.join(keys, same, how)
 
 
 def positions(corpus: DataFrame, width: int = 1, keep_data: bool = True) -> DataFrame:
     """Each document's start offset ``pos`` and length ``n_tok`` in its split stream.
 
     Offsets come from :func:`doc_offsets`; with ``keep_data`` they are written
-    and joined back to the documents by their unique key (no hot key). The
+    and joined back to the documents by id and data hash (no hot key). The
     planner knows the size of the written table and broadcasts it only below
-    ``spark.sql.autoBroadcastJoinThreshold``.
+    ``spark.sql.autoBroadcastJoinThreshold``. Each row comes out once: of rows
+    that are equal in all, one meets the offsets of all of them.
     """
     off = doc_offsets(corpus, width)
     if not keep_data:
-        return off
-    return corpus.select("split", "shard_id", "doc_id", "data").join(
-        _written(off, "offsets"), ["split", "shard_id", "doc_id"])
-
-
-def _pieces(pos_df: DataFrame, unit: int, need: int, width: int, key: str) -> DataFrame:
-    """Cut each document into the pieces that fall into windows ``[k*unit, k*unit+need)``.
-
-    Emits ``(split, <key>, lo, piece)``; ``lo`` is the piece's first global position.
-    """
-    pos, n = F.col("pos"), F.col("n_tok")
-    first = F.when(pos - need + 1 <= 0, F.lit(0)).otherwise(
-        F.expr(f"(pos - {need} + 1 + {unit} - 1) div {unit}"))
-    last = F.expr(f"(pos + n_tok - 1) div {unit}")
-    d = (pos_df.filter(n > 0)
-         .select("split", "pos", "n_tok", "data",
-                 F.explode(F.sequence(first.cast("long"), last.cast("long"))).alias(key)))
-    lo = F.greatest(pos, F.col(key) * unit)
-    hi = F.least(pos + n, F.col(key) * unit + need)
-    return d.select(
-        "split", key, lo.alias("lo"),
-        F.col("data").substr(((lo - pos) * width + 1).cast("int"),
-                             ((hi - lo) * width).cast("int")).alias("piece"))
+        return off.drop("th")
+    off = _written(off, "offsets")
+    keys = [F.col(c).alias(f"k{i}") for i, c in enumerate(_DOC)]
+    repeated = _written(off.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated")
+    docs = corpus.select("split", "shard_id", "doc_id", "data", F.xxhash64("data").alias("th"))
+    if not repeated.isEmpty():
+        docs = _of_keys(docs, repeated, "left_anti").unionByName(
+            _of_keys(docs, repeated, "left_semi").dropDuplicates(list(_DOC)))
+    return _of_keys(docs, off.select(*keys, "n_tok", "pos"), "inner").select("split", "shard_id", "doc_id", "data", "n_tok", "pos")
 
 
 def _assemble(pieces: DataFrame, keys: list[str]) -> DataFrame:
@@ -112,15 +106,39 @@ def pack_sequences(pos_df: DataFrame, block_size: int, shift: int = 1, width: in
     ``y`` the B starting at ``shift`` (``shift=0``: targets equal inputs). An
     incomplete tail is dropped unless ``keep_partial``. Output ``(split,
     block, x, y)`` with BINARY streams, or ARRAY<INT> when ``as_arrays``.
+
+    A block that lies in one document is cut from it where it is read. Only the
+    edges of documents, less than two blocks each, are exchanged and stitched.
     """
     B = block_size
     need = B + shift
-    blocks = _assemble(_pieces(pos_df, B, need, width, "block"), ["split", "block"])
+    pos, n = F.col("pos"), F.col("n_tok")
+    # blocks that a document touches, and those of them that it holds whole
+    first = F.greatest(F.lit(0), F.expr(f"(pos - {need} + {B}) div {B}"))
+    last = F.expr(f"(pos + n_tok - 1) div {B}")
+    whole_from, whole_to = F.expr(f"(pos + {B} - 1) div {B}"), F.when(n >= need, F.expr(f"(pos + n_tok - {need}) div {B}")).otherwise(-1)
+
+    def blocks(a, b):
+        return F.when(a <= b, F.sequence(a.cast("long"), b.cast("long"))).otherwise(F.array().cast("array<bigint>"))
+
+    docs = pos_df.filter(n > 0).select("split", "pos", "n_tok", "data", first.alias("f"), last.alias("l"),
+                                       whole_from.alias("wf"), whole_to.alias("wt"))
+    f, l, wf, wt = (F.col(c) for c in ("f", "l", "wf", "wt"))
+    inner = docs.filter(wf <= wt).select("split", "pos", "data", F.explode(blocks(wf, wt)).alias("block"))
+    at = ((F.col("block") * B - pos) * width).cast("int")
+    inner = inner.select("split", "block", F.col("data").substr(at + 1, F.lit(need * width)).alias("buf"))
+    touched = F.when(wf <= wt, F.concat(blocks(f, wf - 1), blocks(wt + 1, l))).otherwise(blocks(f, l))
+    edges = docs.select("split", "pos", "n_tok", "data", F.explode(touched).alias("block"))
+    lo = F.greatest(pos, F.col("block") * B)
+    hi = F.least(pos + n, F.col("block") * B + need)
+    edges = edges.select("split", "block", lo.alias("lo"), F.col("data").substr(
+        ((lo - pos) * width + 1).cast("int"), ((hi - lo) * width).cast("int")).alias("piece"))
+    stitched = _assemble(edges, ["split", "block"])
     if not keep_partial:
-        blocks = blocks.filter(F.octet_length("buf") == need * width)
+        stitched = stitched.filter(F.octet_length("buf") == need * width)
     x = F.col("buf").substr(1, B * width)
     y = F.col("buf").substr(shift * width + 1, B * width)
-    out = blocks.select("split", "block", x.alias("x"), y.alias("y"))
+    out = inner.unionByName(stitched).select("split", "block", x.alias("x"), y.alias("y"))
     if as_arrays:
         out = out.select("split", "block", bytes_to_ids("x", width).alias("x"),
                          bytes_to_ids("y", width).alias("y"))

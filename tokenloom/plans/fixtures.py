@@ -38,6 +38,7 @@ EVAL_INTERVAL = 200
 STOP_BYTE = 10             # newline ends a generated sequence
 TEMPERATURE = 0.8
 USABLE_BELOW = 1.0
+BPE_MERGES = 1024         # merges of the registered tokenizer
 MISSING_MOD, MISSING_REM = 7, 3
 SHORT_MOD, SHORT_REM = 5, 4
 
@@ -59,19 +60,19 @@ def expected_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(shard_name("shard_id").alias("file"), "size"))
 
 
-def existing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def existing_files(spark: SparkSession, sf_dir: str, expected: DataFrame | None = None) -> DataFrame:
     """*existing* directory listing ``(file, size)`` derived from *expected*."""
-    e = expected_sizes(spark, sf_dir)
+    e = expected_sizes(spark, sf_dir) if expected is None else expected
     sid = F.regexp_extract("file", r"(\d+)", 1).cast("int")
     return (e.filter(sid % MISSING_MOD != MISSING_REM)
              .select("file", F.when(sid % SHORT_MOD == SHORT_REM, F.col("size") - 1)
                      .otherwise(F.col("size")).alias("size")))
 
 
-def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_lines(spark: SparkSession, sf_dir: str, expected: DataFrame | None = None) -> DataFrame:
     """Archive listing text ``(line_no, line)`` in ``tar -tvf`` layout, made from
     *expected*, plus one directory entry and one non-shard member."""
-    e = expected_sizes(spark, sf_dir)
+    e = expected_sizes(spark, sf_dir) if expected is None else expected
     sid = F.regexp_extract("file", r"(\d+)", 1).cast("long")
     lines = e.select(
         (sid + 2).alias("line_no"),

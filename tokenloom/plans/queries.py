@@ -21,6 +21,7 @@ from ..operators import bigram, bpe, clean, logs, manifest as M, sampling, strea
 from ..sources import files as FS
 from ..sources.corpus import (MEMBER_PREFIX, MEMBER_SUFFIX, corpus_from_documents, split_of,
                               with_split)
+from ..session import ScratchTables
 from ..streaming import ingest as X
 from . import fixtures as fx
 
@@ -102,8 +103,12 @@ def _expected(spark, sf_dir):
 
 
 def _verified(spark, sf_dir):
-    return M.verify_shards(_required(spark), fx.existing_files(spark, sf_dir),
-                           _expected(spark, sf_dir))
+    """The verified manifest, with one scan of the documents: sizes per shard are written (one row per shard) before
+    both listings are made of them, and so is the verdict (one row per required file), which some queries read twice."""
+    tables = ScratchTables(spark, "manifest")
+    sizes = tables.write(fx.expected_sizes(spark, sf_dir), "sizes")
+    expected = M.parse_listing(fx.listing_lines(spark, sf_dir, sizes))
+    return tables.write(M.verify_shards(_required(spark), fx.existing_files(spark, sf_dir, sizes), expected), "verified")
 
 
 @query
@@ -129,7 +134,10 @@ def required_shards(spark, sf_dir):
 
 @query
 def union_required(spark, sf_dir):
-    return _required(spark)
+    """The required files (train ++ val), and which of them the given tables' archive and folder lack (missing ++ short)."""
+    v = _verified(spark, sf_dir).select("file", "status")
+    return _required(spark).join(v, "file", "left").select(
+        "file", "shard_id", "split", "ordinal", F.when(F.col("status") != "verified", F.col("status")).alias("to_extract"))
 
 
 @query
@@ -405,8 +413,7 @@ def corpus_loss(spark, sf_dir):
 
 # --- tokenizer ------------------------------------------------------------------
 
-BPE_MERGES = 16
-BPE_VOCAB = 256 + BPE_MERGES + 1
+BPE_VOCAB = 256 + fx.BPE_MERGES + 1
 
 
 def _train_text(spark, sf_dir):
@@ -482,7 +489,8 @@ def encode_corpus(spark, sf_dir):
     stream2 = c.select("split", "shard_id", F.col("shard_id").cast("string").alias("shard"), "doc_id",
                        bpe.encode_stream(decode_utf8(F.col("data")), bpe.merges_list(model),
                                          _specials(model)).alias("data"))
-    return stream.shard_token_counts(stream2, width=2)
+    digest = stream2.groupBy("split", "shard_id").agg(F.bit_xor(F.xxhash64("doc_id", "data")).alias("ids_hash"))
+    return stream.shard_token_counts(stream2, width=2).join(digest, ["split", "shard_id"])
 
 
 @query
