@@ -102,3 +102,30 @@ def test_running_best_random_logs(spark):
                 if is_best:
                     best = l
                 assert got[(run, s)] == (is_best, best)
+
+
+def test_rows_without_a_run_are_a_run(spark):
+    import datetime
+    t0 = datetime.datetime(2024, 1, 1)
+    rows = [(run, s, float(10 - s if s % 2 else 10 + s), t0 + datetime.timedelta(seconds=s)) for run in ("a", None) for s in range(6)]
+    log = spark.createDataFrame(rows, "run STRING, step BIGINT, loss DOUBLE, ts TIMESTAMP")
+    for op, col in ((logs.running_best, "is_best"), (logs.running_avg_loss, "running_avg"), (logs.step_timing, "elapsed_s")):
+        got = {(r.run, r.step): r[col] for r in op(log).collect()}
+        assert len(got) == len(rows)
+        assert all(got["a", s] == got[None, s] for s in range(6))
+    picks = spark.createDataFrame([(None, "f0", 0, False), (None, "f1", 1, True), ("a", "f0", 0, False)],
+                                  "run STRING, file STRING, priority INT, usable BOOLEAN")
+    assert {(r.run, r.file) for r in logs.checkpoint_pick(picks).collect()} == {(None, "f1"), ("a", None)}
+
+
+def test_softmax_of_odd_scores(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(None, 1, 1.0), (None, 2, nan), (1, 1, inf), (1, 2, 5.0), (1, 3, inf), (2, 1, nan), (2, 2, None),
+            (3, 1, -inf), (3, 2, 0.0), (4, 1, -inf), (4, 2, -inf)]
+    c = spark.createDataFrame(rows, "grp BIGINT, item BIGINT, score DOUBLE")
+    seen = {}
+    for seed in range(4):
+        for r in sampling.softmax_sample(c, 0.8, seed).collect():
+            seen.setdefault(r.grp, set()).add((r.item, r.prob))
+    assert seen[None] == {(1, 1.0)} and seen[3] == {(2, 1.0)}
+    assert seen[1] <= {(1, 0.5), (3, 0.5)} and seen[2] <= {(1, 0.5), (2, 0.5)} and seen[4] <= {(1, 0.5), (2, 0.5)}

@@ -30,7 +30,7 @@ def bigram_counts(corpus: DataFrame, width: int = 1) -> DataFrame:
             F.count(F.lit(1)).alias("n"))
         return agg.select("split", F.ascii("ca").alias("a"), F.ascii("cb").alias("b"), "n")
     a = bytes_to_ids("data", width)
-    pairs = corpus.select("split", a.alias("ids")).select(
+    pairs = corpus.filter(F.octet_length("data") >= 2 * width).select("split", a.alias("ids")).select(
         "split", F.explode(F.zip_with(F.slice("ids", 1, F.size("ids") - 1),
                                       F.slice("ids", 2, F.size("ids") - 1),
                                       lambda x, y: F.struct(x.alias("a"), y.alias("b")))).alias("p"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .prefix import prefix_aggregates
+from .prefix import _join, prefix_aggregates
 
 INF = float("inf")
 
@@ -80,7 +80,7 @@ def step_timing(log: DataFrame, max_steps: int | None = None) -> DataFrame:
                           group=["run"], major=[], key="step")
     runs = log.groupBy("run").agg(F.min("ts").alias("_t0"), F.max("step").alias("_smax"))
     total = F.lit(max_steps) if max_steps else F.col("_smax")
-    return (d.join(runs, "run")
+    return (_join(d, runs, ["run"])
              .withColumn("elapsed_s", _seconds_between(F.col("_t0"), F.col("ts")))
              .withColumn("dt_s", _seconds_between(F.col("_prev_ts"), F.col("ts")))
              .withColumn("pct_done", F.when(total > 0, F.col("step") * 100.0 / total))
@@ -89,10 +89,9 @@ def step_timing(log: DataFrame, max_steps: int | None = None) -> DataFrame:
 
 def checkpoint_pick(cands: DataFrame, order_col: str = "priority") -> DataFrame:
     """Per run, the first usable file by fixed priority (NULL if none)."""
-    usable = cands.filter(F.col("usable"))
-    picked = usable.groupBy("run").agg(F.min_by("file", order_col).alias("file"),
-                                       F.min(order_col).alias(order_col))
-    return cands.select("run").distinct().join(picked, "run", "left")
+    return (cands.groupBy("run").agg(
+        F.min_by(F.when(F.col("usable"), F.col("file")), F.when(F.col("usable"), F.col(order_col))).alias("file"),
+        F.min(F.when(F.col("usable"), F.col(order_col))).alias(order_col)))
 
 
 # Fixed priority of checkpoint files (first usable wins).
