@@ -448,3 +448,37 @@ def test_chat_digest_matches_python(spark):
     df = spark.createDataFrame([(1, 0, "user", "hé"), (1, 1, "assistant", "ok")], "conv_id long, turn long, role string, text string")
     out = chat.format_turns(chat.canonical_turns(df)).select(chat.F.sha2(chat.loss_text(chat.F.col("pieces")), 256).alias("h")).first()
     assert out.h == hashlib.sha256(b"ok").hexdigest()
+
+
+def test_toxic_texts_of_any_length_are_learnt(spark):
+    """Very long labelled texts are not left out of the fit; null ones hold nothing to learn."""
+    rng = random.Random(3)
+    rows = [(i, ("hateful slurword " if i % 2 else "kindly garden ") * 3 + sentence(rng, 30)) for i in range(200)]
+    rows = [(i, t + (" " + t) * 400 if i % 2 else t) for i, t in rows] + [(900, None)]
+    assert min(len(t) for i, t in rows if i % 2) > toxicity.MAX_CHARS
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    got = toxicity.labelled_rows(docs, labels)
+    fold = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5}
+    assert sum(y for _, y, _ in got) == sum(i % 2 for i in fold)
+    assert all("slurword" in t for t, y, _ in got if y)
+
+
+def test_chat_with_columns_of_other_layouts(spark):
+    """prompt, system and the like beside role, text and turn change nothing."""
+    plain = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (None, 0, None, None)],
+                                  "conv_id long, turn long, role string, text string")
+    clash = plain.selectExpr("*", "'p' AS prompt", "'s' AS system", "'r' AS response", "'i' AS instruction")
+    want = sorted(map(str, chat.canonical_turns(plain).collect()))
+    assert sorted(map(str, chat.canonical_turns(clash).collect())) == want
+    assert chat.canonical_turns(plain.limit(0)).collect() == []
+
+
+def test_mix_with_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, f"word {i} " * 3, f"s{i % 2}", "x", "y") for i in range(40)],
+                                 "doc_id long, text string, source string, __w string, __p string")
+    mixed = mixing.mix(docs)
+    plain = mixing.mix(docs.select("doc_id", "text", "source"))
+    columns = ["doc_id", "size", "source_size", "target", "copies"]
+    assert sorted(map(tuple, mixed.select(columns).collect())) == sorted(map(tuple, plain.select(columns).collect()))
+    assert {"__w", "__p"} <= set(mixing.repeat_copies(mixed, docs.columns).columns)

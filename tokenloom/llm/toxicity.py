@@ -13,8 +13,9 @@ times as often as in ordinary ones, lengthened as far as most of these agree.
 (The library's own trainer fills a dictionary with the rare words of its
 samples: its gains separate the classes with an AUC of 0.75, these with 0.99.)
 
-Fitting takes at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled documents of
-at most ``MAX_CHARS`` characters, chosen by a hash of their id; every document
+Fitting takes at most ``MAX_TOXIC`` and ``MAX_ORDINARY`` labelled documents,
+chosen by a hash of their id, of any length; of a text above ``MAX_CHARS``
+characters it takes as many in pieces spread over the whole of it. Every document
 is scored over its whole text. Labels are learned only from rows whose id is
 not held out; labels, lang, source and id are no input of a score.
 
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tokenloom.llm.common import small, table
 from tokenloom.llm.logistic import Logistic
 
-MAX_TOXIC, MAX_ORDINARY, MAX_CHARS = 3000, 6000, 50_000
+MAX_TOXIC, MAX_ORDINARY, MAX_CHARS, PIECE_CHARS = 3000, 6000, 50_000, 1_000
 SHARE, LIFT, AGREE = 0.02, 6.0, 0.6
 SHORTEST, LONGEST = 4, 12
 COMMON = 1500
@@ -135,7 +136,10 @@ class Model:
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   label: str = "toxic") -> list[tuple]:
-    """A bounded sample of labelled rows that are not held out: (text, label, weight)."""
+    """A bounded sample of labelled rows that are not held out: (text, label, weight).
+
+    Their number is bounded, not their length: of a text above MAX_CHARS the driver
+    gets pieces from all over it."""
     y = labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("y")).filter(
         F.col("y").isin(0, 1) & ~held_out(F.col("__id")))
     count = {r["y"]: r["count"] for r in y.groupBy("y").count().collect()}
@@ -144,8 +148,12 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
         share = int(1_000_000 * min(1.0, 0.95 * most / max(1, count.get(value, 0)))) + 1
         picks = picks | ((F.col("y") == value) & (F.pmod(F.xxhash64("__id", F.lit(11)), F.lit(1_000_000)) < share))
     chosen = y.filter(picks).limit(MAX_ORDINARY + MAX_TOXIC)
-    got = (docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("t"))
-           .filter(F.length("t") <= MAX_CHARS).join(F.broadcast(chosen), "__id")  # bounded by MAX_ORDINARY + MAX_TOXIC
+    size = F.length(F.col(text))
+    pieces = MAX_CHARS // PIECE_CHARS  # of a longer text: as many, evenly from its beginning to its end
+    spread = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: F.substring(
+        F.col(text), (F.lit(1) + i * (size - PIECE_CHARS) / (pieces - 1)).cast("int"), F.lit(PIECE_CHARS))), " ")
+    got = (docs.select(F.col(doc_id).alias("__id"), F.when(size > MAX_CHARS, spread).otherwise(F.col(text)).alias("t"))
+           .filter(F.col("t").isNotNull()).join(F.broadcast(chosen), "__id")  # bounded by MAX_ORDINARY + MAX_TOXIC
            .select("t", "y", F.xxhash64("__id").alias("h")).limit(MAX_ORDINARY + MAX_TOXIC).collect())
     seen = Counter(r["y"] for r in got)
     got.sort(key=lambda r: (r["h"], r["t"]))
