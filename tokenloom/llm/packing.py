@@ -36,7 +36,7 @@ LENGTH = 2048
 END_ID = 1
 DIMS, BITS = 4, 8
 SAMPLE = 5_000
-MEMO = 1 << 18
+MEMO = 1 << 17
 SEED = 77
 _END = np.array([END_ID], dtype="<u4").tobytes()
 
@@ -60,15 +60,20 @@ class WordIds(dict):
     _latin = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\x9e\xa0-\xb6\xb8-\xbf])+")
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
-        self.ordinary = type(tokenizer).from_str(tokenizer.to_str())
-        self.ordinary.encode_special_tokens = True
+        self.tokenizer, self.model, self.old, self._ordinary = tokenizer, tokenizer.model, {}, None
         added = {t.content.encode(): i for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.added = {t: np.array([i], dtype="<u4").tobytes() for t, i in added.items()}
         self.cut = re.compile(b"(" + b"|".join(map(re.escape, sorted(added, key=len, reverse=True))) + b")") if added else None
         letters = [chr(c) for c in range(0xE0, 0x100) if c != 0xF7]
         self.spelt = {ord(c): tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}  # as the model sees it
 
+    def ordinary(self):
+        """A second tokenizer, made when first asked for, to which the added strings are ordinary text."""
+        if self._ordinary is None:
+            self._ordinary = type(self.tokenizer).from_str(self.tokenizer.to_str())
+            self._ordinary.encode_special_tokens = True
+        return self._ordinary
+
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= MEMO:  # the words of this generation stay at hand during the next
             self.old = dict(self)
@@ -85,7 +90,8 @@ class WordIds(dict):
         elif self._latin.fullmatch(word):
             raw = [t.id for t in self.model.tokenize(word.decode().lower().translate(self.spelt))]
         else:
-            raw = self.ordinary.encode(word.decode("utf-8"), add_special_tokens=False).ids
+            tokenizer = self.ordinary() if any(t in word for t in self.added) else self.tokenizer
+            raw = tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
         self[word] = ids = np.array(raw, dtype="<u4").tobytes()
         return ids
 
