@@ -358,3 +358,74 @@ def test_a_thousand_merges_equal_an_incremental_python_bpe(spark):
         m = bpe.train_bpe(spark, counts, 256 + (1000 if head_words > 3000 else 150) + 1, head_words=head_words)
         got = [(r.l, r.r, r.id, r.freq) for r in m.merges.orderBy("rank").collect()]
         assert got == want[:len(got)] and len(got) in (1000, 150)
+
+
+# --- tokenizer files --------------------------------------------------------------
+
+FILE_TEXTS = ["the cat's hat, the fat cat  sat. \n\n It isn't 42!", "caf\u00e9 na\u00efve \U0001F600 the the the", "", "x",
+              "a\uffffb \u00a0 tabs\tand  spaces   ", "\u4f60\u597d the \u4f60\u597d"]
+
+
+def _encoded(spark, model, texts):
+    merges, ids = bpe.encoder_tables(model)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    rows = bpe.encode_documents(docs, merges, ids_of_file=ids).collect()
+    return [list(r.ids) for r in sorted(rows, key=lambda r: r.doc_id)]
+
+
+def test_tokenizer_files_round_trip_and_agree_with_another_reader(spark, tmp_path):
+    from tokenizers import ByteLevelBPETokenizer
+    from tokenloom.sources import tokenizer_files as TF
+    docs = spark.createDataFrame([(t,) for t in FILE_TEXTS * 3], "text STRING")
+    model = bpe.train_bpe(spark, bpe.pretoken_counts(docs), 256 + 40 + 1)
+    out = str(tmp_path / "tok")
+    TF.save_tokenizer_files(spark, model, out)
+    back = TF.load_tokenizer_files(spark, out)
+
+    def rows(df, *cols):
+        return sorted(tuple(bytes(r[c]) if c == "token" else r[c] for c in cols) for r in df.collect())
+
+    assert rows(back.vocab, "id", "token", "special") == rows(model.vocab, "id", "token", "special")
+    assert rows(back.merges, "rank", "l", "r", "id") == rows(model.merges, "rank", "l", "r", "id")
+    other = ByteLevelBPETokenizer(f"{out}/vocab.json", f"{out}/merges.txt")
+    plain = [t for t in FILE_TEXTS if "\u00a0" not in t]
+    assert _encoded(spark, back, plain) == [other.encode(t).ids for t in plain]
+
+
+def test_hand_made_tokenizer_files_with_ids_in_any_order(spark, tmp_path):
+    import json
+    from tokenizers import ByteLevelBPETokenizer
+    from tokenloom.sources import tokenizer_files as TF
+    # a special first, bytes in reverse, and two merges that make one token
+    tokens = ["<|endoftext|>", *(TF.CHAR_OF[b] for b in reversed(range(256))), "abc", "ab", "bc", "abcd", "\u0120a"]
+    (tmp_path / "vocab.json").write_text(json.dumps({t: i for i, t in enumerate(tokens)}, ensure_ascii=False), "utf-8")
+    (tmp_path / "merges.txt").write_text("#version: 0.2\nb c\na bc\na b\nab c\nabc d\n\u0120 a\n", "utf-8")
+    model = TF.load_tokenizer_files(spark, str(tmp_path))
+    assert [(r.id, bytes(r.token)) for r in model.vocab.filter("special").collect()] == [(0, b"<|endoftext|>")]
+    other = ByteLevelBPETokenizer(str(tmp_path / "vocab.json"), str(tmp_path / "merges.txt"))
+    texts = ["abcd abc ab bc a", "cab abcdabcd", "\u00e9 \n abx", ""]
+    got = _encoded(spark, model, texts)
+    assert got == [other.encode(t).ids for t in texts]
+    assert [other.decode(i) for i in got] == texts
+    (tmp_path / "merges.txt").write_text("#version: 0.2\nq q\n", "utf-8")
+    with pytest.raises(ValueError, match="no id"):
+        TF.load_tokenizer_files(spark, str(tmp_path))
+
+
+def test_corpus_loss_over_bpe_ids_equals_plain_python(spark):
+    import math
+    from collections import Counter
+    from tokenloom.operators import bigram
+    docs = [("train", t) for t in FILE_TEXTS] + [("val", FILE_TEXTS[1]), ("val", ""), ("val", "the unseen cat")]
+    df = spark.createDataFrame(docs, "split STRING, text STRING")
+    model = bpe.train_bpe(spark, bpe.pretoken_counts(df.filter("split = 'train'")), 256 + 20 + 1)
+    merges = bpe.merges_list(model)
+    got = bigram.corpus_loss(bigram.bigram_counts(
+        df.select("split", bpe.encode_stream(F.col("text"), merges).alias("data")), width=2), 277).first()
+    ids = {t: x for t, x in zip([d[1] for d in docs], _encoded(spark, model, [d[1] for d in docs]))}
+    pairs = [(s, a, b) for s, t in docs for a, b in zip(ids[t], ids[t][1:])]
+    ab = Counter((a, b) for s, a, b in pairs if s == "train")
+    row = Counter(a for s, a, _ in pairs if s == "train")
+    val = [(a, b) for s, a, b in pairs if s == "val"]
+    assert got.n_targets == len(val)
+    assert math.isclose(got.loss, sum(-math.log((ab[p] + 1) / (row[p[0]] + 277)) for p in val) / len(val), rel_tol=1e-12)

@@ -129,3 +129,22 @@ def test_softmax_of_odd_scores(spark):
             seen.setdefault(r.grp, set()).add((r.item, r.prob))
     assert seen[None] == {(1, 1.0)} and seen[3] == {(2, 1.0)}
     assert seen[1] <= {(1, 0.5), (3, 0.5)} and seen[2] <= {(1, 0.5), (2, 0.5)} and seen[4] <= {(1, 0.5), (2, 0.5)}
+
+
+def test_eval_losses_by_split(spark):
+    nan = float("nan")
+    rows = [("a", 0, "train", 3.0), ("a", 0, "train", 1.0), ("a", 0, "val", 4.0), ("a", 200, "val", 4.0),
+            ("a", 400, "train", 1.0), ("a", 600, "val", nan), ("a", 800, "val", 3.0), (None, 0, "val", 9.0)]
+    log = spark.createDataFrame(rows, "run STRING, step BIGINT, split STRING, loss DOUBLE")
+    got = {(r.run, r.step): (r.train_loss, str(r.val_loss), r.train_batches, r.val_batches, r.is_best)
+           for r in logs.eval_losses(log).collect()}
+    assert got == {("a", 0): (2.0, "4.0", 2, 1, True), ("a", 200): (None, "4.0", 0, 1, False),
+                   ("a", 400): (1.0, "None", 1, 0, False), ("a", 600): (None, "nan", 0, 1, False),
+                   ("a", 800): (None, "3.0", 0, 1, True), (None, 0): (None, "9.0", 0, 1, True)}
+
+
+def test_step_timing_shows_the_time(spark):
+    import datetime as dt
+    log = spark.createDataFrame([("a", 1, 1.0, dt.datetime(2024, 2, 3, 4, 5, 6, 700000))],
+                                "run STRING, step BIGINT, loss DOUBLE, ts TIMESTAMP_NTZ")
+    assert logs.step_timing(log).first()["at"] == "2024-02-03 04:05:06"

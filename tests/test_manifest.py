@@ -149,3 +149,24 @@ def test_listing_and_verify_random_against_python(spark):
             assert got[f] == "not_in_archive"
         else:
             assert got[f] == ("verified" if existing[f] == expected[f] else "size_mismatch")
+
+
+def test_archive_is_read_again_once_then_an_error(spark):
+    good = ["-rw-r--r-- u/g 5 2024-01-01 00:00 tok105/data00.bin"]
+    listings, read = [], []
+
+    def fetch():
+        read.append(len(read))
+        return spark.createDataFrame([(x,) for x in listings[len(read) - 1]], "line STRING")
+
+    listings[:] = [["cut off"], good]
+    assert tuple(M.verify_archive(fetch, "a").first()) == ("a", 1, 1, True, 2)
+    read.clear()
+    listings[:] = [[], ["cut off"], good]   # a count of 0 fails too
+    with pytest.raises(RuntimeError, match="not valid after 2 attempts: 1 lines, 0 members"):
+        M.verify_archive(fetch, "a")
+
+    def unreadable():
+        return spark.read.text("/nonexistent/listing")
+    with pytest.raises(RuntimeError, match="not valid"):
+        M.verify_archive(unreadable)

@@ -407,6 +407,24 @@ def merges_list(model: BpeModel) -> list[tuple[int, int, int]]:
     return [(r["l"], r["r"], r["id"]) for r in model.merges.orderBy("rank").collect()]
 
 
+def encoder_tables(model: BpeModel) -> tuple[list[tuple[int, int, int]], dict[int, int]]:
+    """What encodes with a tokenizer whose ids are in any order: merges over ids
+    that are bytes or 256 + rank, and the tokenizer's id of each of these.
+
+    Where several merges make one token, a merge of that token counts for each."""
+    known = {r["id"]: bytes(r["token"]) for r in model.vocab.filter(~F.col("special")).collect()}
+    own: dict[int, list[int]] = {i: [t[0]] for i, t in known.items() if len(t) == 1}
+    ids = {b[0]: i for i, b in own.items()}
+    if absent := sorted(set(range(256)) - set(ids)):
+        raise ValueError(f"the vocabulary lacks {len(absent)} bytes, first {absent[0]}")
+    merges = []
+    for new, (l, r, made) in enumerate(merges_list(model), 256):
+        merges += [(a, b, new) for a in own[l] for b in own[r]]
+        own.setdefault(made, []).append(new)
+        ids[new] = made
+    return merges, ids
+
+
 def _word_pieces(text, specials: dict[str, int]) -> Column:
     """Pre-tokens of a text; a special token's string is a piece of its own.
 
@@ -422,14 +440,19 @@ def _word_pieces(text, specials: dict[str, int]) -> Column:
     return F.flatten(F.transform(parts, lambda p: F.when(p.isin(names), F.array(p)).otherwise(pretokens(p))))
 
 
-def encode_stream(text, merges: list[tuple[int, int, int]], specials: dict[str, int] | None = None) -> Column:
+def encode_stream(text, merges: list[tuple[int, int, int]], specials: dict[str, int] | None = None,
+                  ids_of_file: dict[int, int] | None = None) -> Column:
     """K3 as one column: text -> BINARY little-endian uint16 ids; null stays null.
 
     Pre-tokens are cut in the JVM. The words arrive in Arrow batches, and each
     distinct word is merged once per task, so the time hardly grows with the
     number of merges and nothing is shuffled. The merges and ``specials``
-    (string -> id) are bounded by the vocabulary.
+    (string -> id) are bounded by the vocabulary. ``ids_of_file`` renames the
+    merges' ids (:func:`encoder_tables`).
     """
+    top = max([*(ids_of_file or {}).values(), *(specials or {}).values()], default=0)
+    if top > MAX_STREAM_ID:
+        raise ValueError(f"id {top} does not fit a uint16 stream")
     ranks, fixed = merge_ranks(merges), {k: struct.pack("<H", v) for k, v in (specials or {}).items()}
 
     @F.pandas_udf("binary")
@@ -443,6 +466,8 @@ def encode_stream(text, merges: list[tuple[int, int, int]], specials: dict[str,
                     memo.clear()
                     memo.update(fixed)
                 ids = merge_word(list(word.encode("utf-8")), ranks)
+                if ids_of_file:
+                    ids = [ids_of_file[i] for i in ids]
                 got = memo[word] = struct.pack(f"<{len(ids)}H", *ids)
             return got
 
@@ -454,12 +479,13 @@ def encode_stream(text, merges: list[tuple[int, int, int]], specials: dict[str,
 
 def encode_documents(docs: DataFrame, merges: list[tuple[int, int, int]], key: str = "doc_id",
                      text: str = "text", as_arrays: bool = True,
-                     specials: dict[str, int] | None = None) -> DataFrame:
+                     specials: dict[str, int] | None = None,
+                     ids_of_file: dict[int, int] | None = None) -> DataFrame:
     """K3: text -> ids per document, row by row (no shuffle).
 
     ``as_arrays`` gives ``ids ARRAY<INT>``; otherwise ``data`` is the uint16
     little-endian stream (the format a training loader reads)."""
-    enc = encode_stream(F.col(text), merges, specials)
+    enc = encode_stream(F.col(text), merges, specials, ids_of_file)
     if as_arrays:
         return docs.select(key, enc.alias("data")).select(key, bytes_to_ids("data", 2).alias("ids"))
     return docs.select(key, enc.alias("data"))

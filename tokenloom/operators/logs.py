@@ -7,11 +7,13 @@ still spread over many tasks; per-run totals are plain partial aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .prefix import _join, prefix_aggregates
 
 INF = float("inf")
+# Fixed value: how the log shows a time.
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def _seconds_between(start, end):
@@ -37,6 +39,19 @@ def eval_loss(log: DataFrame, eval_interval: int) -> DataFrame:
                .agg(F.avg("loss").alias("mean_loss"), F.count(F.lit(1)).alias("n_batches")))
 
 
+def eval_losses(log: DataFrame) -> DataFrame:
+    """A6 over evaluation rows: per run and step, mean loss and number of batches
+    of the ``train`` and of the ``val`` split side by side, and whether the
+    validation loss is the run's best so far (W3). A split without rows at a
+    step has a null mean and no batches; such a step is never best."""
+    split = F.col("split")
+    per = log.groupBy("run", "step").agg(
+        *[F.avg(F.when(split == s, F.col("loss"))).alias(f"{s}_loss") for s in ("train", "val")],
+        *[F.count_if(split == s).alias(f"{s}_batches") for s in ("train", "val")])
+    best = running_best(per.withColumnRenamed("val_loss", "loss"))
+    return best.withColumnRenamed("loss", "val_loss").drop("best_so_far")
+
+
 def best_summary(log: DataFrame) -> DataFrame:
     """Per run final step and loss, best (non-NaN) loss, wall-clock span."""
     return log.groupBy("run").agg(
@@ -48,13 +63,15 @@ def best_summary(log: DataFrame) -> DataFrame:
     )
 
 
-def running_best(log: DataFrame, init_best: float = INF) -> DataFrame:
+def running_best(log: DataFrame, init_best: float | Column = INF) -> DataFrame:
     """``is_best = loss < best so far`` (strict: a tie is not best; NaN never
-    is); best starts at ``init_best`` (+inf, or a resumed value)."""
+    is); best starts at ``init_best`` (+inf, or a resumed value; a column of the
+    log where every run resumes from its own)."""
     d = prefix_aggregates(log,
                           [("_prev_min", "min", _finite_or_null(F.col("loss")))],
                           group=["run"], major=[], key="step", materialize=True)
-    prev = F.least(F.coalesce(F.col("_prev_min"), F.lit(INF)), F.lit(init_best))
+    init = init_best if isinstance(init_best, Column) else F.lit(init_best)
+    prev = F.least(F.coalesce(F.col("_prev_min"), F.lit(INF)), init)
     is_best = F.coalesce(F.col("loss") < prev, F.lit(False))
     return (d.withColumn("is_best", is_best)
              .withColumn("best_so_far", F.when(is_best, F.col("loss")).otherwise(prev))
@@ -71,8 +88,9 @@ def running_avg_loss(log: DataFrame) -> DataFrame:
 
 
 def step_timing(log: DataFrame, max_steps: int | None = None) -> DataFrame:
-    """Seconds since the run's first row, since the previous row, and
-    percent of ``max_steps`` (default: the run's last step)."""
+    """Seconds since the run's first row, since the previous row,
+    percent of ``max_steps`` (default: the run's last step), and the time as
+    text (``at``)."""
     from ..session import checkpoint_dir
     checkpoint_dir(log.sparkSession)
     log = log.checkpoint()     # read by the prefix levels and the per-run totals
@@ -84,6 +102,7 @@ def step_timing(log: DataFrame, max_steps: int | None = None) -> DataFrame:
              .withColumn("elapsed_s", _seconds_between(F.col("_t0"), F.col("ts")))
              .withColumn("dt_s", _seconds_between(F.col("_prev_ts"), F.col("ts")))
              .withColumn("pct_done", F.when(total > 0, F.col("step") * 100.0 / total))
+             .withColumn("at", F.date_format("ts", TIME_FORMAT))
              .drop("_t0", "_smax", "_prev_ts"))
 
 

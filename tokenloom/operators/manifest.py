@@ -10,6 +10,9 @@ Tables:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.numeric import round6
@@ -58,6 +61,27 @@ def parse_listing(lines: DataFrame, prefix: str = MEMBER_PREFIX,
                 .groupBy("file").agg(F.max_by("size", "line_no").alias("size")))
 
 
+def verify_archive(read_listing: Callable[[], DataFrame], archive: str = "archive",
+                   attempts: int = 2) -> DataFrame:
+    """A5 with its retry: the listing is read (fetched anew) and counted until
+    the counts agree, ``attempts`` times at most; then it is an error. A
+    listing that cannot be read counts as a failed attempt. Returns the one-row
+    report of the attempt that passed, with its number."""
+    last = "no attempt was made"
+    for attempt in range(1, attempts + 1):
+        try:
+            lines = read_listing()
+            report = archive_count_check(lines, archive).first()
+        except PySparkException as e:
+            last = str(e).split("\n")[0]
+            continue
+        if report["ok"]:
+            return lines.sparkSession.createDataFrame(
+                [(*report, attempt)], "archive STRING, n_listed BIGINT, n_members BIGINT, ok BOOLEAN, attempt INT")
+        last = f"{report['n_listed']} lines, {report['n_members']} members"
+    raise RuntimeError(f"{archive} is not valid after {attempts} attempts: {last}")
+
+
 def archive_count_check(lines: DataFrame, archive: str = "archive") -> DataFrame:
     """A5: two independent counts of one archive listing must agree and be > 0.
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.logs import CHECKPOINT_FILES
-from ..sources.corpus import MEMBER_PREFIX, corpus_from_documents, shard_name, with_split
+from ..sources.corpus import MEMBER_PREFIX, corpus_from_documents, shard_name, with_split, write_corpus
 from ..sources.tables import read_table
 
 # Fixed parameters of the registered queries.
@@ -96,6 +96,16 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("value").alias("loss"), "ts")
 
 
+def eval_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(run, step, split, loss)``: evaluation rows; an event belongs to the
+    evaluation at the start of its interval, every tenth user is validation."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "user_id", "value"])
+    return ev.select(F.col("event_type").alias("run"),
+                     (F.col("event_id") - F.col("event_id") % EVAL_INTERVAL).alias("step"),
+                     F.when(F.col("user_id") % 10 == 0, "val").otherwise("train").alias("split"),
+                     F.col("value").alias("loss"))
+
+
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(grp, item, score)`` from events."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "value"])
@@ -161,10 +171,10 @@ def shard_text_files(spark: SparkSession, sf_dir: str, docs_per_file: int = 4096
     return out
 
 
-def corpus_files(spark: SparkSession, sf_dir: str) -> str:
+def corpus_files(spark: SparkSession, sf_dir: str, keep_unused: bool = False) -> str:
     """The split corpus written as Parquet partitioned by shard (stream input)."""
     out = _scratch(spark, "corpus")
-    corpus(spark, sf_dir).write.partitionBy("shard_id").parquet(out)
+    write_corpus(corpus(spark, sf_dir, keep_unused), out)
     return out
 
 

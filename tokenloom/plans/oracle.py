@@ -294,6 +294,19 @@ ORACLE["eval_loss"] = "WITH " + LOG + f"""
 SELECT run, step - step % {fx.EVAL_INTERVAL} AS eval_step, {R6('avg(loss)')} AS mean_loss,
        count(*) AS n_batches
 FROM log GROUP BY run, step - step % {fx.EVAL_INTERVAL}"""
+ORACLE["eval_losses"] = f"""
+WITH per AS (
+  SELECT event_type AS run, event_id - event_id % {fx.EVAL_INTERVAL} AS step,
+         avg(value) FILTER (WHERE user_id % 10 <> 0) AS train,
+         avg(value) FILTER (WHERE user_id % 10 = 0) AS val,
+         count(*) FILTER (WHERE user_id % 10 <> 0) AS train_batches,
+         count(*) FILTER (WHERE user_id % 10 = 0) AS val_batches
+  FROM events GROUP BY 1, 2)
+SELECT run, step, {R6("train")} AS train_loss, {R6("val")} AS val_loss, train_batches, val_batches,
+       coalesce(val < coalesce(min(CASE WHEN isnan(val) THEN NULL ELSE val END) OVER (
+         PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         'inf'::DOUBLE), false) AS is_best
+FROM per"""
 ORACLE["best_summary"] = "WITH " + LOG + """
 SELECT run, max(step) AS final_step, arg_max(loss, step) AS final_loss,
        min(CASE WHEN isnan(loss) THEN NULL ELSE loss END) AS best_loss, count(*) AS n_steps,
@@ -313,7 +326,8 @@ SELECT run, step,
        (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY run))) / 1e6 AS elapsed_s,
        (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY run ORDER BY step))) / 1e6 AS dt_s,
        """ + R6("""CASE WHEN max(step) OVER (PARTITION BY run) > 0
-             THEN step * 100.0 / max(step) OVER (PARTITION BY run) END""") + """ AS pct_done
+             THEN step * 100.0 / max(step) OVER (PARTITION BY run) END""") + """ AS pct_done,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS at
 FROM log"""
 ORACLE["checkpoint_pick"] = f"""
 WITH c AS (
@@ -558,3 +572,6 @@ ORACLE["stream_token_totals"] = ORACLE["token_sink"].replace(
 ORACLE["stream_best_loss"] = """
 SELECT event_type AS run, min(CASE WHEN isnan(value) THEN NULL ELSE value END) AS best_loss,
        count(*) AS n_rows FROM events GROUP BY event_type"""
+ORACLE["stream_best_flags"] = ORACLE["running_best"]
+ORACLE["stream_ingest_files"] = ORACLE["shard_files_scan"]
+ORACLE["limit_shards_pruned"] = ORACLE["limit_shards"]

@@ -19,10 +19,11 @@ from ..functions.tokens import (bytes_to_ids, decode_utf8, ids_csv, ids_to_bytes
                                 token_sum, utf8_bytes)
 from ..operators import bigram, bpe, clean, logs, manifest as M, sampling, stream
 from ..sources import files as FS
-from ..sources.corpus import (MEMBER_PREFIX, MEMBER_SUFFIX, corpus_from_documents, split_of,
+from ..sources import tokenizer_files as TF
+from ..sources.corpus import (MEMBER_PREFIX, MEMBER_SUFFIX, corpus_from_documents, read_required, split_of,
                               with_split)
 from ..session import ScratchTables
-from ..streaming import ingest as X
+from ..streaming import ingest as X, ledger as L
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,6 +156,16 @@ def limit_shards(spark, sf_dir):
                                   F.sum(F.octet_length("data")).cast("long").alias("n_tokens"))
 
 
+@query
+def limit_shards_pruned(spark, sf_dir):
+    """O2 on a corpus written by shard: folders of other shards are not read."""
+    path = fx.corpus_files(spark, sf_dir, keep_unused=True)
+    required = M.required_shards(spark, 4, 25, fx.VAL_START)
+    c = read_required(spark.read.parquet(path), required)
+    return c.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"),
+                                  F.sum(F.octet_length("data")).cast("long").alias("n_tokens"))
+
+
 @query
 def ordered_shards(spark, sf_dir):
     per = fx.corpus(spark, sf_dir).groupBy("shard", "shard_id").agg(
@@ -305,6 +316,14 @@ def eval_loss(spark, sf_dir):
         "run", "eval_step", round6("mean_loss").alias("mean_loss"), "n_batches")
 
 
+@query
+def eval_losses(spark, sf_dir):
+    """A6 over evaluation rows by split, with the best validation loss so far."""
+    return logs.eval_losses(fx.eval_log(spark, sf_dir)).select(
+        "run", "step", round6("train_loss").alias("train_loss"), round6("val_loss").alias("val_loss"),
+        "train_batches", "val_batches", "is_best")
+
+
 @query
 def best_summary(spark, sf_dir):
     return logs.best_summary(fx.train_log(spark, sf_dir))
@@ -325,7 +344,7 @@ def running_avg_loss(spark, sf_dir):
 @query
 def step_timing(spark, sf_dir):
     return logs.step_timing(fx.train_log(spark, sf_dir)).select(
-        "run", "step", "elapsed_s", "dt_s", round6("pct_done").alias("pct_done"))
+        "run", "step", "elapsed_s", "dt_s", round6("pct_done").alias("pct_done"), "at")
 
 
 @query
@@ -493,6 +512,16 @@ def encode_corpus(spark, sf_dir):
     return stream.shard_token_counts(stream2, width=2).join(digest, ["split", "shard_id"])
 
 
+@query
+def corpus_loss_bpe(spark, sf_dir):
+    """A9 over the trained tokenizer's ids."""
+    model = _model(spark, sf_dir)
+    c = fx.corpus(spark, sf_dir).select(
+        "split", bpe.encode_stream(decode_utf8(F.col("data")), bpe.merges_list(model), _specials(model)).alias("data"))
+    l = bigram.corpus_loss(bigram.bigram_counts(c, width=2), BPE_VOCAB)
+    return l.select("n_targets", round6("loss").alias("loss"))
+
+
 @query
 def token_to_id(spark, sf_dir):
     model = _model(spark, sf_dir)
@@ -521,11 +550,10 @@ def _shard_of_path(path_col):
 
 @query
 def shard_files_scan(spark, sf_dir):
-    """S1 through real files: every file under ``shard=srcN/`` read as binary."""
+    """S1 through real files: every file under ``shard=srcN/`` read as binary, in byte ranges."""
     root = fx.shard_text_files(spark, sf_dir)
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt")
-          .option("recursiveFileLookup", "true").load(root)
-          .select(_shard_of_path(F.col("path")).alias("shard"), F.col("content").alias("data")))
+    df = (FS.read_shard_ranges(spark, root, "*.txt", recursive=True)
+          .select(_shard_of_path(F.col("path")).alias("shard"), "data"))
     return df.groupBy("shard").agg(F.sum(F.octet_length("data")).cast("long").alias("n_tokens"),
                                    F.sum(token_sum("data")).cast("long").alias("token_sum"))
 
@@ -534,19 +562,17 @@ def shard_files_scan(spark, sf_dir):
 def text_scan(spark, sf_dir):
     """Whole-file text records."""
     root = fx.shard_text_files(spark, sf_dir)
-    df = (spark.read.option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", "*.txt").text(root, wholetext=True)
-          .select(_shard_of_path(F.input_file_name()).alias("shard"), F.col("value").alias("text")))
+    df = (FS.read_texts(spark, root, recursive=True)
+          .select(_shard_of_path(F.col("path")).alias("shard"), "text"))
     return df.groupBy("shard").agg(F.sum(F.length("text")).cast("long").alias("n_chars"))
 
 
 @query
 def list_dir(spark, sf_dir):
-    """Listing with sizes, content never read."""
+    """Listing with sizes, no file opened."""
     root = fx.shard_text_files(spark, sf_dir)
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", "*.txt").load(root)
-          .select(_shard_of_path(F.col("path")).alias("shard"), "length"))
+    df = (FS.list_dir(spark, root, "*.txt", recursive=True)
+          .select(_shard_of_path(F.col("path")).alias("shard"), F.col("size").alias("length")))
     return df.groupBy("shard").agg(F.sum("length").cast("long").alias("size"))
 
 
@@ -570,6 +596,16 @@ def tokenizer_tables(spark, sf_dir):
         "id", F.hex("token").alias("token_hex"), "special", "rank", "l", "r")
 
 
+@query
+def tokenizer_files(spark, sf_dir):
+    """The tokenizer through ``vocab.json`` and ``merges.txt``."""
+    out = fx._scratch(spark, "tokenizer-files")
+    TF.save_tokenizer_files(spark, _model(spark, sf_dir), out)
+    m = TF.load_tokenizer_files(spark, out)
+    return m.vocab.join(m.merges.select("id", "rank", "l", "r"), "id", "left").select(
+        "id", F.hex("token").alias("token_hex"), "special", "rank", "l", "r")
+
+
 # --- streaming --------------------------------------------------------------------
 
 def _stream_name(kind):
@@ -579,19 +615,32 @@ def _stream_name(kind):
 
 @query
 def stream_ingest_shards(spark, sf_dir):
-    """Each new shard file decoded once into a Parquet sink."""
+    """Documents of each new file of a written corpus once, by the ledger; the second run finds nothing new."""
     src = fx.corpus_files(spark, sf_dir)
     sink, ck = fx._scratch(spark, "ingested"), fx._scratch(spark, "ingest-ck")
     schema = spark.read.parquet(src).schema
-    s = (spark.readStream.schema(schema).parquet(src)
-         .withColumn("n_tok", F.octet_length("data").cast("long")))
-    q = (s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return (spark.read.parquet(sink).groupBy("shard_id")
+    s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(src)
+         .select("*", F.octet_length("data").cast("long").alias("n_tok"), F.col("_metadata.file_path").alias("path")))
+    for _ in range(2):
+        X.ingest_files(s, sink, ck).awaitTermination()
+    return (L.read_sink(spark, sink).groupBy("shard_id")
             .agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tok").cast("long").alias("n_tokens")))
 
 
+@query
+def stream_ingest_files(spark, sf_dir):
+    """X1 through real files: each shard file decoded once, in several batches; then, as if the checkpoint were
+    lost, a new stream over the same files, which writes nothing."""
+    src = fx.shard_text_files(spark, sf_dir)
+    sink = fx._scratch(spark, "ingested")
+    for _ in range(2):
+        X.ingest_shards(spark, src, sink, fx._scratch(spark, "ingest-ck"), "*.txt", recursive=True,
+                        max_files_per_trigger=64).awaitTermination()
+    return (L.read_sink(spark, sink).groupBy(_shard_of_path(F.col("path")).alias("shard"))
+            .agg(F.sum("n_tok").cast("long").alias("n_tokens"),
+                 F.sum(token_sum("data")).cast("long").alias("token_sum")))
+
+
 @query
 def stream_token_totals(spark, sf_dir):
     """Token totals per split as shard files arrive (complete mode)."""
@@ -616,5 +665,18 @@ def stream_best_loss(spark, sf_dir):
     return spark.table(name)
 
 
+@query
+def stream_best_flags(spark, sf_dir):
+    """X3 per row: the log arrives in four parts, steps in order; every row's flag as in W3."""
+    src, sink, ck = fx._scratch(spark, "trainlog"), fx._scratch(spark, "flags"), fx._scratch(spark, "flags-ck")
+    log = fx.train_log(spark, sf_dir).select("run", "step", "loss")
+    last = log.agg(F.max("step")).first()[0]
+    part = F.floor(F.col("step") * 4 / ((last or 0) + 1))
+    for i in range(4):
+        log.filter(part == i).write.mode("append").parquet(src)
+        X.best_flags(spark.readStream.schema(log.schema).parquet(src), sink, ck).awaitTermination()
+    return L.read_sink(spark, sink).select("run", "step", "is_best", "best_so_far")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

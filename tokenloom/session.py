@@ -63,6 +63,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The Hadoop path of a file or folder, and its file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsparkSession.sparkContext().hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
 class ScratchTables:
     """Intermediate tables in the shared folder: written, read back (which cuts lineage and lets the planner
     know their size), and removed by the job that made them once they are used."""
@@ -81,5 +92,5 @@ class ScratchTables:
 
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(t._path)
-            path.getFileSystem(self.spark._jsparkSession.sparkContext().hadoopConfiguration()).delete(path, True)
+            path, fs = hadoop_path(self.spark, t._path)
+            fs.delete(path, True)

@@ -69,6 +69,21 @@ def num_val_files(num_train: int, val_percent: float) -> int:
     return max(1, round(num_train * val_percent / 100))
 
 
+def write_corpus(corpus: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The corpus in one folder per shard, so that shards are left out before they are read."""
+    corpus.write.mode(mode).partitionBy("shard_id").parquet(path)
+
+
+def read_required(corpus: DataFrame, required: DataFrame) -> DataFrame:
+    """O2: the rows of a written corpus whose shard is in ``required``
+    ``(shard_id, split)``, with that split. The list is bounded by the split
+    parameters: its ids become a filter on the folders (other shards are not
+    even opened), and it is broadcast for the split."""
+    names = required.select("shard_id", "split")
+    ids = [r["shard_id"] for r in names.select("shard_id").distinct().collect()]
+    return corpus.drop("split").filter(F.col("shard_id").isin(ids)).join(F.broadcast(names), "shard_id")
+
+
 def with_split(corpus: DataFrame, num_train: int, val_percent: float,
                val_start: int = DEFAULT_VAL_START, keep_unused: bool = False) -> DataFrame:
     """Label each document's split from its shard id (no join, prunable)."""

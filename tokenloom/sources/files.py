@@ -7,20 +7,33 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import file_basename
 from .corpus import shard_id_of
+from .shard_ranges import RANGE_BYTES, ROW_BYTES, scan_ranges
 
 
-def list_dir(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``(file, size)`` of the files in a folder. Only metadata is read:
-    ``content`` is pruned, so files of any size are listed.
+def list_dir(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
+    """``(path, file, size)`` of the files in a folder, zero-length ones
+    included (an empty shard is short, not missing). No file is opened."""
+    return scan_ranges(spark, path, glob, recursive, content=False).select("path", "file", "size")
 
-    Spark's file scan skips zero-length files, so an empty file is not listed
-    (for verification it then counts as missing rather than short; both mean
-    "extract again")."""
-    r = spark.read.format("binaryFile")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.load(path).select(file_basename(F.col("path")).alias("file"),
-                               F.col("length").alias("size"))
+
+def read_shard_ranges(spark: SparkSession, path: str, glob: str = "data*.bin", width: int = 1,
+                      recursive: bool = False, range_bytes: int = RANGE_BYTES, row_bytes: int = ROW_BYTES,
+                      required: DataFrame | None = None) -> DataFrame:
+    """Token shards of any size -> ``(path, shard, shard_id, size, start,
+    data)``, in pieces of at most ``row_bytes`` that end between tokens;
+    ``start`` is the piece's place in its file. Many tasks read one long
+    shard. With ``required`` (a ``file`` column), a required file that is
+    absent fails the job."""
+    df = scan_ranges(spark, path, glob, recursive, width=width, range_bytes=range_bytes, row_bytes=row_bytes)
+    df = df.select("path", F.col("file").alias("shard"), shard_id_of("file").alias("shard_id"), "size", "start", "data")
+    return df if required is None else df.unionByName(_missing(spark, path, glob, required, recursive), allowMissingColumns=True)
+
+
+def _missing(spark: SparkSession, path: str, glob: str, required: DataFrame, recursive: bool = False) -> DataFrame:
+    """A row per required file that is absent, whose reading is an error."""
+    present = list_dir(spark, path, glob, recursive).select("file")
+    return required.select("file").join(present, "file", "left_anti").select(
+        F.raise_error(F.concat(F.lit("missing shard file: "), F.col("file"))).cast("string").alias("shard"))
 
 
 def read_shards(spark: SparkSession, path: str, glob: str = "data*.bin",
@@ -29,31 +42,28 @@ def read_shards(spark: SparkSession, path: str, glob: str = "data*.bin",
     file is one document (``doc_id = 0``) of its shard. With ``required``
     (a ``file`` column), a required file that is absent fails the job.
 
-    A file is read whole into one row (binaryFile's per-file limit applies);
-    zero-length files are skipped by the scan (they hold no tokens).
+    A file is read whole into one row (binaryFile's per-file limit applies;
+    :func:`read_shard_ranges` has none); zero-length files are skipped by the
+    scan (they hold no tokens).
     """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
           .select(file_basename(F.col("path")).alias("shard"), F.col("content").alias("data")))
     df = df.select("shard", shard_id_of(F.col("shard")).alias("shard_id"),
                    F.lit(0).cast("long").alias("doc_id"), "data")
     if required is not None:
-        present = list_dir(spark, path, glob).select("file")
-        missing = required.select("file").join(present, "file", "left_anti")
-        df = df.unionByName(missing.select(
-            F.raise_error(F.concat(F.lit("missing shard file: "), F.col("file"))).cast("string").alias("shard"),
-            F.lit(None).cast("int").alias("shard_id"), F.lit(None).cast("long").alias("doc_id"),
-            F.lit(None).cast("binary").alias("data")))
+        df = df.unionByName(_missing(spark, path, glob, required), allowMissingColumns=True)
     return df
 
 
 def read_texts(spark: SparkSession, path: str, glob: str = "*.txt",
-               exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Every matching file in a folder as one record ``(file, text)``,
+               exclude: tuple[str, ...] = (), recursive: bool = False) -> DataFrame:
+    """Every matching file in a folder as one record ``(path, file, text)``,
     whole file, minus an explicit exclude list (no accidental inputs such as
     a tokenizer's own ``merges.txt``)."""
     # wholetext must be the keyword: text() resets an earlier .option("wholetext")
-    df = (spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
-          .select(file_basename(F.input_file_name()).alias("file"), F.col("value").alias("text")))
+    df = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).text(path, wholetext=True)
+          .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
+    df = df.select("path", file_basename(F.col("path")).alias("file"), "text")
     if exclude:
         df = df.filter(~F.col("file").isin(list(exclude)))
     return df
