@@ -1,3 +1,4 @@
+import glob
 import hashlib
 import random
 from collections import Counter
@@ -303,3 +304,41 @@ def test_packing_moves_only_edges(spark):
         want = {k: (data[k * block:(k + 1) * block], data[k * block + shift:(k + 1) * block + shift])
                 for k in range(len(data) // block + 1) if len(data[k * block:(k + 1) * block + shift]) == block + shift}
         assert got == want
+
+
+@pytest.mark.parametrize("width", [1, 2])
+def test_stored_windows_equal_sampled_ones_and_open_few_files(spark, tmp_path, width):
+    from tokenloom.operators import block_sink
+    c = tiny_corpus(spark).withColumn("data", F.concat("data", "data"))   # even lengths
+    path = str(tmp_path / "stream")
+    block_sink.write_blocks_by_position(c, path, 6, width=width, blocks_per_part=2)
+
+    def rows(df):
+        return sorted((r.step, r.b, r.start, bytes(r.x), bytes(r.y)) for r in df.collect())
+
+    for split in ("train", "val"):
+        got = rows(block_sink.sample_stored_windows(spark, path, 4, 30, seed=5, split=split))
+        assert got == rows(stream.sample_windows(c, 6, 4, 30, seed=5, split=split, width=width)) and len(got) == 120
+    # files of folders that no window touches are not opened
+    few = rows(block_sink.sample_stored_windows(spark, path, 2, 1, split="train"))
+    touched = {k // 2 for _, _, start, _, _ in few for k in (start // 6, start // 6 + 1)}
+    others = [f for f in glob.glob(f"{path}/blocks/split=train/part=*/*.parquet") if int(f.split("part=")[1].split("/")[0]) not in touched]
+    assert len(others) > 10 and len(touched) <= 4
+    for f in others:
+        with open(f, "wb") as out:
+            out.write(b"broken")
+    assert rows(block_sink.sample_stored_windows(spark, path, 2, 1, split="train")) == few
+    arrays = block_sink.sample_stored_windows(spark, path, 1, 1, split="val", as_arrays=True).first()
+    assert len(arrays.x) == 6 and arrays.y[:-1] == arrays.x[1:]
+    with pytest.raises(ValueError, match="no stream"):
+        block_sink.sample_stored_windows(spark, path, 1, 1, split="other")
+
+
+def test_stored_windows_of_a_short_stream_are_an_error(spark, tmp_path):
+    from tokenloom.operators import block_sink
+    path = str(tmp_path / "stream")
+    block_sink.write_blocks_by_position(tiny_corpus(spark, [(1, "abcd", "src0"), (2, "efghi", "src3")]), path, 4)
+    with pytest.raises(Exception, match="sample space is empty"):
+        block_sink.sample_stored_windows(spark, path, 1, 1, split="train").collect()
+    r = block_sink.sample_stored_windows(spark, path, 1, 1, split="val").first()
+    assert (bytes(r.x), bytes(r.y)) == (b"efgh", b"fghi")

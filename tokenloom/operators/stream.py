@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.hashing import md5_int60
 from ..functions.tokens import bytes_to_ids, token_count
@@ -169,6 +169,17 @@ def split_totals(pos_df: DataFrame) -> DataFrame:
     return pos_df.groupBy("split").agg(F.sum("n_tok").cast("long").alias("n_total"))
 
 
+def window_starts(spark: SparkSession, split: str, n_total: Column, block_size: int, batch_size: int,
+                  steps: int, seed: int) -> DataFrame:
+    """``(split, step, b, start)``: ``batch_size`` starts per step, uniform with
+    replacement in ``[0, N - B)``; an empty sample space is an error."""
+    step, b = F.expr(f"id div {batch_size}"), F.expr(f"id % {batch_size}")
+    start = F.when(n_total > block_size, md5_int60(F.lit(seed), F.lit(split), step, b) % (n_total - block_size)).otherwise(
+        F.raise_error(F.lit("sample space is empty: N <= block_size")))
+    return spark.range(steps * batch_size).select(
+        F.lit(split).alias("split"), step.alias("step"), b.alias("b"), start.alias("start"))
+
+
 def sample_windows(corpus: DataFrame, block_size: int, batch_size: int, steps: int,
                    seed: int = 0, split: str = "train", width: int = 1,
                    as_arrays: bool = False, bucket: int = 1 << 16) -> DataFrame:
@@ -191,13 +202,7 @@ def sample_windows(corpus: DataFrame, block_size: int, batch_size: int, steps: i
     corpus = corpus.filter(F.col("split") == split)
     meta = positions(corpus, width, keep_data=False)
     n_total = split_totals(meta).select("n_total").scalar()
-    starts = spark.range(steps * batch_size).select(
-        F.lit(split).alias("split"),
-        F.expr(f"id div {batch_size}").alias("step"),
-        F.expr(f"id % {batch_size}").alias("b"),
-        F.when(n_total > B, md5_int60(F.lit(seed), F.lit(split), F.expr(f"id div {batch_size}"),
-                                      F.expr(f"id % {batch_size}")) % (n_total - B))
-         .otherwise(F.raise_error(F.lit("sample space is empty: N <= block_size"))).alias("start"))
+    starts = window_starts(spark, split, n_total, B, batch_size, steps, seed)
     # at most two buckets per window (bucket > B): bounded by 2 * steps * batch_size rows
     wins = _written(starts.select("*", F.explode(F.sequence(
         F.expr(f"start div {bucket}"), F.expr(f"(start + {B}) div {bucket}"))).alias("bk")), "windows")

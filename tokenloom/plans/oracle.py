@@ -575,3 +575,4 @@ SELECT event_type AS run, min(CASE WHEN isnan(value) THEN NULL ELSE value END) A
 ORACLE["stream_best_flags"] = ORACLE["running_best"]
 ORACLE["stream_ingest_files"] = ORACLE["shard_files_scan"]
 ORACLE["limit_shards_pruned"] = ORACLE["limit_shards"]
+ORACLE["sample_windows_stored"] = ORACLE["sample_windows"]

@@ -17,7 +17,7 @@ from ..functions import tokens as tk
 from ..functions.numeric import round6
 from ..functions.tokens import (bytes_to_ids, decode_utf8, ids_csv, ids_to_bytes, out_of_range,
                                 token_sum, utf8_bytes)
-from ..operators import bigram, bpe, clean, logs, manifest as M, sampling, stream
+from ..operators import bigram, block_sink, bpe, clean, logs, manifest as M, sampling, stream
 from ..sources import files as FS
 from ..sources import tokenizer_files as TF
 from ..sources.corpus import (MEMBER_PREFIX, MEMBER_SUFFIX, corpus_from_documents, read_required, split_of,
@@ -93,6 +93,15 @@ def sample_windows(spark, sf_dir):
                     F.hex("y").alias("y_hex"))
 
 
+@query
+def sample_windows_stored(spark, sf_dir):
+    """T6 from the stream stored by position."""
+    out = fx._scratch(spark, "stream")
+    block_sink.write_blocks_by_position(fx.corpus(spark, sf_dir), out, fx.BLOCK_SIZE)
+    w = block_sink.sample_stored_windows(spark, out, fx.BATCH_SIZE, fx.SAMPLE_STEPS, seed=fx.SEED, split="train")
+    return w.select("split", "step", "b", "start", F.hex("x").alias("x_hex"), F.hex("y").alias("y_hex"))
+
+
 # --- manifest ---------------------------------------------------------------
 
 def _required(spark, num_train=fx.NUM_TRAIN, val_percent=fx.VAL_PERCENT, val_start=fx.VAL_START):
