@@ -201,8 +201,34 @@ def test_url_rules(spark):
         return host, path, best and best[1] + best[2], best[0] if best else "allow"
 
     df = spark.createDataFrame([(i, u, "q") for i, u in enumerate(urls)], "page_id long, url string, host string")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.url_verdicts(df).collect()}
-    assert got == {i: brute(u) for i, u in enumerate(urls)}
+    want = {i: brute(u) for i, u in enumerate(urls)}
+    for most in (url_filter.MAX_BROADCAST, 0):  # broadcast rules, salted join
+        judged = url_filter.url_verdicts(df, max_broadcast=most)
+        assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judged.collect()} == want
+
+
+def test_url_rules_from_a_table(spark):
+    """Many rules against plain Python; repeated rows and rules, a null rule, clashing columns, a dot in a name."""
+    hosts = ["org", "a.org", "b.a.org", "com", "x.com"]
+    rules = [("block" if (i * j) % 3 else "allow", h, f"/{'ab' * j}{i}" if j else "/") for i in range(9) for j in range(4)
+             for h in hosts] + [("block", "org", None)]
+    table = spark.createDataFrame(rules + rules[:7], "verdict string, host string, path string")
+    urls = [f"http://{s}{h}{p}{k}" for s in ("", "q.") for h in hosts for p in ("/", "/ab", "/abab", "/c") for k in range(5)] * 2
+    columns = ["page_id", "url", "rule", "Verdict", "__h", "d.o", "prefix", "digest"]
+    df = spark.createDataFrame([(i, u, "r", "v", 1, 2, 3, "x") for i, u in enumerate(urls)], columns)
+
+    def brute(u):
+        host, _, path = u[7:].partition("/")
+        fit = [r for r in rules[:-1] if (host == r[1] or host.endswith("." + r[1])) and ("/" + path).startswith(r[2])]
+        best = max(fit, key=lambda r: (len(r[1] + r[2]), len(r[1]), r[0] == "block", r[1] + r[2]), default=None)
+        return (best[1] + best[2], best[0]) if best else (None, "allow")
+
+    for most in (url_filter.MAX_BROADCAST, 0):
+        judged = url_filter.url_verdicts(df, table, max_broadcast=most)
+        assert judged.columns == ["page_id", "url", "__h", "d.o", "prefix", "digest", "host", "path", "rule", "verdict"]
+        assert {r.page_id: (r.rule, r.verdict) for r in judged.collect()} == {i: brute(u) for i, u in enumerate(urls)}
+    assert {r.verdict for r in url_filter.url_verdicts(df, table.limit(0)).collect()} == {"allow"}
+    assert url_filter.url_verdicts(df.limit(0), table).count() == 0
 
 
 def test_chat_round_trip_of_every_layout(spark):

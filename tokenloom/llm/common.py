@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -18,6 +19,9 @@ from tokenloom.session import checkpoint_dir
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
+#: Places of the filter that ``might_hold`` makes: 1 MB.
+FILTER_BITS = 23
+
 _written: list[str] = []
 
 
@@ -99,6 +103,22 @@ def unused_prefix(columns: list[str]) -> str:
     return prefix
 
 
+def might_hold(keys: DataFrame, column: str) -> Column:
+    """A filter of fixed size on a column of this name: all values in ``keys`` pass, and few others while they are few."""
+    place = F.pmod(F.xxhash64(column, F.lit(99)), F.lit(1 << FILTER_BITS))
+    got = (keys.select(place.alias("h")).groupBy(F.shiftright("h", 6).alias("at"))
+           .agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63 AS INT))")).alias("bits")).toPandas())  # at most 2^FILTER_BITS / 64 rows
+    held = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    held[got["at"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+
+    @F.pandas_udf("boolean")
+    def holds(h: pd.Series) -> pd.Series:
+        x = h.to_numpy()
+        return pd.Series((held[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return holds(place)
+
+
 def per_process(name: str, make):
     """What ``make`` returns, kept in this Python worker for the tasks that follow."""
     kept = sys.__dict__.setdefault("_tokenloom_kept", {})

@@ -33,12 +33,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tokenloom.llm.common import drop_scratch, small, sorted_groups, table, unused_prefix, write_scratch
+from tokenloom.llm.common import drop_scratch, might_hold, small, sorted_groups, table, unused_prefix, write_scratch
 from tokenloom.llm.components import connected_components
 
 WORDS = 5
@@ -47,7 +46,6 @@ MINIMA, ROWS = 128, 4
 BANDS = MINIMA // ROWS
 SURE = 0.55  # pairs with a lower estimate are not compared on full sets (its loss: see above)
 BLOCK = 512
-FILTER_BITS = 23
 CHUNK = 1 << 15
 
 _rng = np.random.default_rng(20240601)
@@ -181,26 +179,10 @@ def _edges(pairs: list) -> pa.RecordBatch:
                                       names=["u", "v"])
 
 
-def _might_hold(ids: DataFrame):
-    """A filter of fixed size that every one of the ids passes, and few others while they are few."""
-    place = F.pmod(F.xxhash64("id", F.lit(99)), F.lit(1 << FILTER_BITS))
-    got = (ids.select(place.alias("h")).groupBy(F.shiftright("h", 6).alias("at"))
-           .agg(F.bit_or(F.expr("shiftleft(1L, CAST(h & 63 AS INT))")).alias("bits")).toPandas())  # at most 2^FILTER_BITS / 64 rows
-    held = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
-    held[got["at"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.int64).view(np.uint64)
-
-    @F.pandas_udf("boolean")
-    def holds(h: pd.Series) -> pd.Series:
-        x = h.to_numpy()
-        return pd.Series((held[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) == 1)
-
-    return holds(place)
-
-
 def texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
     """The texts (id, th, t) of some ids; most others are dropped before the shuffle."""
     need = ids.select("id").distinct()
-    return write_scratch(texts.filter(_might_hold(need)).join(need, "id", "left_semi"), "mh-texts")
+    return write_scratch(texts.filter(might_hold(need, "id")).join(need, "id", "left_semi"), "mh-texts")
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -9,19 +9,29 @@ The expansion is bounded by the rules: host suffixes have no more labels than
 any rule's host, path prefixes only the lengths of rule paths, so a URL makes
 at most (labels x lengths) expressions however long it is, and none is lost.
 
+Up to ``MAX_BROADCAST`` rules are broadcast: expressions are joined where they
+are made, and only those that a rule confirms are exchanged. Of more rules a
+filter of fixed size drops most expressions that no rule begins like; the rest
+meet the rules by (prefix, salt), with ``SALT`` copies of each rule, so that a
+prefix that most URLs share (``org`` and ``/``) is spread over tasks.
+
 Defined results: a null URL or one without ``://`` has an empty host and path;
 URLs that no rule fits get ``DEFAULT``; equal URLs are expanded once but every
 row is returned; of rules of one length the one with the longer host wins, then
-``block``.
+``block``; rules with a null are ignored, repeated ones count once; without
+rules or pages the result is all ``DEFAULT`` or empty; columns host, path, rule
+and verdict of the pages are replaced, others go along whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tokenloom.llm.common import table
+from tokenloom.llm.common import might_hold, table, unused_prefix
 
 DEFAULT = "allow"
+MAX_BROADCAST = 50_000
+SALT = 16
 
 #: (verdict, host, path): fixed rules of the query.
 RULES = (
@@ -43,12 +53,13 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"(?s)\A[^/?#]*([^?#]*)", 1)
 
 
-def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
-    """Rules as rows (verdict, rule, rank, digest, prefix)."""
-    df = spark.createDataFrame([tuple(r) for r in rules], "verdict string, host string, path string")
-    return with_digest(df.withColumn("rule", F.concat("host", "path")), F.col("host"), F.col("path")).withColumn(
-        "rank", F.struct(F.length("rule").alias("n"), F.length("host").alias("h"),
-                         (F.col("verdict") == "block").alias("b"), F.col("rule").alias("r")))
+def rule_table(rules: DataFrame) -> DataFrame:
+    """Rules as rows (prefix, rule_digest, rank, rule, verdict)."""
+    named = rules.withColumn("rule", F.concat("host", "path"))
+    rank = F.struct(F.length("rule").alias("n"), F.length("host").alias("h"),
+                    (F.col("verdict") == "block").alias("b"), F.col("rule").alias("r"))
+    return (with_digest(named, F.col("host"), F.col("path"))
+            .select("prefix", F.col("digest").alias("rule_digest"), rank.alias("rank"), "rule", "verdict"))
 
 
 def with_digest(df: DataFrame, host: Column, path: Column) -> DataFrame:
@@ -71,28 +82,42 @@ def expressions(urls: DataFrame, labels: int, lengths: list[int]) -> DataFrame:
     return with_digest(df, F.col("__s"), F.col("__p")).select("host", "path", "digest", "prefix")
 
 
-def url_verdicts(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
-    """Add host, path, rule (null if none fits) and verdict to every page."""
+def proposed(made: DataFrame, rules: DataFrame, few: bool) -> DataFrame:
+    """Expressions with the rules of their prefix."""
+    if few:
+        return made.join(F.broadcast(rules), "prefix")  # at most MAX_BROADCAST rules
+    salted = rules.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return (made.filter(might_hold(rules, "prefix"))
+            .withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALT)).cast("int"))
+            .join(salted, ["prefix", "salt"]))
+
+
+def url_verdicts(pages: DataFrame, rules=RULES, url: str = "url", max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """Add host, path, rule (null if none fits) and verdict to every page.
+
+    ``rules``: (verdict, host, path) tuples, or a DataFrame of these columns.
+    """
     spark = pages.sparkSession
-    keep = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    keep = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     host, path = split_url(F.col(url))
     named = pages.select(*keep, host.alias("host"), path.alias("path"))
-    if not rules:
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame([tuple(r) for r in rules], "verdict string, host string, path string")
+    rules = rules.select("verdict", "host", "path").dropna()
+    shape = rules.agg(F.count("*").alias("n"), F.max(F.size(F.split("host", r"\.", -1))).alias("labels"),
+                      F.sort_array(F.collect_set(F.length("path"))).alias("lengths")).first()
+    if not shape["n"]:
         return named.select("*", F.lit(None).cast("string").alias("rule"), F.lit(DEFAULT).alias("verdict"))
-    labels = max(r[1].count(".") + 1 for r in rules)
-    lengths = sorted({len(r[2]) for r in rules})
-    table_ = rule_table(spark, rules).select(
-        F.col("prefix"), F.col("digest").alias("rule_digest"), "rank", "rule", "verdict")
+    x = unused_prefix(named.columns)
     urls = named.select("host", "path").distinct()
-    hit = (expressions(urls, labels, lengths).join(table_, "prefix")
+    hit = (proposed(expressions(urls, shape["labels"], shape["lengths"]), rule_table(rules), shape["n"] <= max_broadcast)
            .filter(F.col("digest") == F.col("rule_digest"))
            .groupBy("host", "path")
            .agg(F.max(F.struct("rank", "rule", "verdict")).alias("best"))
-           .select(F.col("host").alias("__h"), F.col("path").alias("__p"),
+           .select(F.col("host").alias(f"{x}h"), F.col("path").alias(f"{x}p"),
                    F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict")))
-    return (named.join(hit, (named["host"] == hit["__h"]) & (named["path"] == hit["__p"]), "left")
-            .select(*[named[c] for c in named.columns], "rule",
-                    F.coalesce("verdict", F.lit(DEFAULT)).alias("verdict")))
+    return (named.join(hit, (F.col("host") == F.col(f"{x}h")) & (F.col("path") == F.col(f"{x}p")), "left")
+            .withColumn("verdict", F.coalesce("verdict", F.lit(DEFAULT))).drop(f"{x}h", f"{x}p"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
