@@ -9,10 +9,12 @@ over all ranges is a document's place on the curve, and a sequence is every
 2,048 tokens of it. So only the last sequence is padded, pieces are cut where a
 sequence ends, and each token id lies in one piece.
 
-Texts are tokenised once and exchanged once, as token ids. Range bounds come
-from a sample of at most ``SAMPLE`` documents (by hash of id and text); they
-only decide how even the tasks are. Copies share a Hilbert key, so the key is
-followed by a hash of the id: a hot text is spread over ranges.
+Texts are tokenised once and exchanged once, as token ids. There is a range for
+every ``RANGE_BYTES`` of text (and one per shuffle partition at least), so what
+a task sorts does not grow with the corpus. Range bounds come from a sample of
+at most ``SAMPLE`` documents or ``SAMPLE_PER_RANGE`` a range (by hash of id and
+text); they only decide how even the tasks are. Copies share a Hilbert key, so
+the key is followed by a hash of the id: a hot text is spread over ranges.
 
 Defined results: null or empty text is the end id alone; repeated rows are
 packed each; rows without id are packed too; an empty table gives an empty
@@ -35,7 +37,8 @@ TOKENIZER = "word_bpe_49k.json"
 LENGTH = 2048
 END_ID = 1
 DIMS, BITS = 4, 8
-SAMPLE = 5_000
+SAMPLE, SAMPLE_PER_RANGE = 5_000, 10
+RANGE_BYTES = 128 << 20
 MEMO = 1 << 17
 SEED = 77
 _END = np.array([END_ID], dtype="<u4").tobytes()
@@ -232,19 +235,24 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None, do
     ``tokenizer``: path of a tokenizer file that every executor can open.
     """
     spark = docs.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _ids_of(docs, doc_id, text)
-    count = docs.count()
-    share = min(1.0, 0.9 * SAMPLE / max(count, 1))
+    whole = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(F.col(text))), F.lit(0)).alias("size")).first()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or max(partitions, -(-whole["size"] // RANGE_BYTES))
+    most = max(SAMPLE, ranges * SAMPLE_PER_RANGE)
+    share = min(1.0, 0.9 * most / max(whole["n"], 1))
     near = "h long, " + ", ".join(f"x{d} float" for d in range(DIMS))
-    sample = (rows.filter(F.pmod(F.xxhash64("h", F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-              .mapInArrow(_projector(tokenizer), near).limit(SAMPLE).toPandas())
+    pick = F.xxhash64("h", F.lit(SEED))
+    sample = (rows.filter(F.pmod(pick, F.lit(1 << 40)) < int(share * (1 << 40)) + 1)
+              .mapInArrow(_projector(tokenizer), near).orderBy(pick, "h").limit(most).toPandas())
     points = sample[[f"x{d}" for d in range(DIMS)]].to_numpy(dtype=np.float32).reshape(-1, DIMS)
     shares = np.arange(1, 1 << BITS) / (1 << BITS)
     cuts = np.quantile(points, shares, axis=0).T if len(points) else np.zeros((DIMS, len(shares)))
     keys = np.sort((hilbert(cell(points, cuts)) << 31) | (sample["h"].to_numpy(dtype=np.int64) & 0x7FFFFFFF))
     ends = keys[np.arange(1, ranges) * len(keys) // ranges] if len(keys) else np.zeros(0, dtype=np.int64)
     keyed = rows.mapInArrow(_keyer(tokenizer, cuts, ends), "range int, key long, doc_id long, n long, ids binary")
+    if ranges > partitions:
+        keyed = keyed.repartition(ranges, "range")
     order = Window.partitionBy("range").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = write_scratch(keyed.withColumn("upto", F.sum("n").over(order)), "pack-ids")
     before, at = [], 0
