@@ -281,6 +281,22 @@ def test_mixing_weights_are_unequal_probabilities(spark):
     assert taken.sum() == pytest.approx(4000, abs=8) and taken[3.0] / taken[1.0] == pytest.approx(3, rel=0.15)
 
 
+def test_mixing_prefers_longer_documents(spark, none):
+    size = [1, mixing.LONG - 1, mixing.LONG, mixing.LONGER - 1, mixing.LONGER, 5 * mixing.LONGER, 0]
+    df = spark.createDataFrame([(i, "w " * size[i % 7] if i % 7 < 6 else None, "s") for i in range(4200)],
+                               "doc_id long, text string, source string")
+    odds = mixing.length_odds(mixing.F.col("text"))
+    whole = 600 * sum(size)
+    got = mixing.mix(df, targets=lambda sizes: {"s": 0.3 * whole}, weight=odds).toPandas()
+    assert (got.copies * got["size"]).sum() == pytest.approx(0.3 * whole, abs=5 * mixing.LONGER)
+    mean = got[got["size"] > 0].groupby("size").copies.mean()
+    by = [mean[[1, mixing.LONG - 1]].mean(), mean[[mixing.LONG, mixing.LONGER - 1]].mean(), mean[[mixing.LONGER, 5 * mixing.LONGER]].mean()]
+    assert by[1] / by[0] == pytest.approx(2, rel=0.35) and by[2] / by[0] == pytest.approx(3, rel=0.35)
+    full = mixing.mix(df, targets=lambda sizes: {"s": 2.0 * whole}, weight=odds).toPandas()
+    assert set(full[full["size"] > 0].copies) == {2}
+    assert mixing.mix(none, weight=odds).count() == 0
+
+
 def test_sharding_bytes_and_slots(docs, rows, none):
     got = sharding.shard_documents(docs, shards=4, ranges=6).collect()
     size = lambda t: len((t or "").encode()) + 1
@@ -304,12 +320,13 @@ def test_sharding_splits_a_hot_text_only_when_it_must(spark):
     assert (got[got.doc_id >= 1000].groupby("text").shard.nunique() == 1).all()
 
 
-def test_packing_round_trip(docs, rows, none):
+@pytest.mark.parametrize("ranges", [5, 40])  # fewer and more than shuffle partitions
+def test_packing_round_trip(docs, rows, none, ranges):
     from tokenizers import Tokenizer
     import public_tokenizers
     t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
     want = sorted(tuple(t.encode(r[1] or "", add_special_tokens=False).ids + [1]) for r in rows)
-    got = packing.pack(docs, length=256, ranges=5).toPandas()
+    got = packing.pack(docs, length=256, ranges=ranges).toPandas()
     seqs = got.sort_values(["sequence_id", "offset"])
     assert (seqs.groupby("sequence_id").length.cumsum() - seqs.length == seqs.offset).all()
     assert (seqs.groupby("sequence_id").length.sum().iloc[:-1] == 256).all()

@@ -15,7 +15,8 @@ falls; the result is then a map-side comparison, so no source, however large,
 meets in one task and no text is shuffled.
 
 Bounds: one row per source and weight level comes to the driver
-(``MAX_GROUPS``); weights are rounded to ``WEIGHT_DIGITS`` digits.
+(``MAX_GROUPS``); weights are rounded to ``WEIGHT_DIGITS`` digits. The query
+and the pipeline prefer longer documents (``length_odds``), in three levels.
 
 Defined results: null text has size 0; a null source is a source of its own,
 ordered last; rows equal in id and text are taken or left together; documents
@@ -35,6 +36,7 @@ SHARE = 1.5
 MAX_COPIES = 2.0
 MAX_GROUPS = 200_000
 WEIGHT_DIGITS = 2
+LONG, LONGER = 64, 512
 KEY_BITS = 50
 STEP_BITS = 10
 
@@ -70,6 +72,12 @@ def scale_for(levels: list[tuple[float, float]], target: float, cap: float) -> f
     return high
 
 
+def length_odds(text: Column) -> Column:
+    """Relative weight by number of words: 1, from ``LONG`` 2, from ``LONGER`` 3."""
+    n = word_count(text)
+    return F.when(n >= LONGER, 3.0).when(n >= LONG, 2.0).otherwise(1.0)
+
+
 def _uniform(*cols: Column) -> Column:
     """In (0, 1), from a hash of the columns."""
     return (F.shiftrightunsigned(F.xxhash64(*cols), 12).cast("double") + 0.5) / float(1 << 52)
@@ -117,16 +125,17 @@ def _cuts(narrow: DataFrame, plan: DataFrame, need: dict) -> dict:
 
 
 def mix(docs: DataFrame, targets=source_targets, text: str = "text", doc_id: str = "doc_id",
-        source: str = "source", weight: str | None = None, max_copies: float = MAX_COPIES,
+        source: str = "source", weight: str | Column | None = None, max_copies: float = MAX_COPIES,
         seed: int = 17) -> DataFrame:
     """Add size, source_size, target and copies to every document.
 
     ``targets`` maps {source: words} to {source: target words}. ``weight``
-    names an optional column of relative weights (null: 1); such documents are
-    taken in proportion, up to ``max_copies`` each.
+    is an optional column (or its name) of relative weights (null: 1); such
+    documents are taken in proportion, up to ``max_copies`` each.
     """
     spark = docs.sparkSession
-    w = F.lit(1.0) if weight is None else F.round(F.coalesce(F.col(weight).cast("double"), F.lit(1.0)), WEIGHT_DIGITS)
+    given = F.lit(1.0) if weight is None else F.col(weight) if isinstance(weight, str) else weight
+    w = F.round(F.coalesce(given.cast("double"), F.lit(1.0)), WEIGHT_DIGITS)
     u = _uniform(F.col(doc_id), F.col(text), F.lit(seed))
     narrow = write_scratch(docs.select(F.col(source).cast("string").alias("source"), w.alias("level"),
                                        word_count(F.col(text)).alias("size"), u.alias("u")), "mix-sizes")
@@ -173,5 +182,5 @@ def repeat_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
 
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs).select("doc_id", "size", "source_size", "target",
+    return mix(docs, weight=length_odds(F.col("text"))).select("doc_id", "size", "source_size", "target",
                             (F.col("copies") * F.col("size")).alias("taken"))
