@@ -54,8 +54,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    return mixing.repeat_copies(mixing.mix(docs), docs.columns)
+    """Each document as often as the mix takes it, longer ones with greater odds."""
+    return mixing.repeat_copies(mixing.mix(docs, weight=mixing.length_odds(F.col("text"))), docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
