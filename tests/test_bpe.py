@@ -429,3 +429,16 @@ def test_corpus_loss_over_bpe_ids_equals_plain_python(spark):
     val = [(a, b) for s, a, b in pairs if s == "val"]
     assert got.n_targets == len(val)
     assert math.isclose(got.loss, sum(-math.log((ab[p] + 1) / (row[p[0]] + 277)) for p in val) / len(val), rel_tol=1e-12)
+
+
+def test_rounds_of_training_are_few_where_the_driver_holds_few_parts(spark, monkeypatch):
+    """300 merges of a corpus with more distinct words than the driver holds: a round ends where parts get too many, not at a wrong guess."""
+    from tokenloom.plans import queries as Q
+    from tokenloom.session import ScratchTables
+    written = []
+    write = ScratchTables.write
+    monkeypatch.setattr(ScratchTables, "write", lambda self, df, name: written.append(name) or write(self, df, name))
+    counts = bpe.pretoken_counts(Q._train_text(spark, "/root/testdata/sf0.001"))
+    few = bpe.train_bpe(spark, counts, 256 + 300 + 1, head_words=2000).merges.orderBy("rank").collect()
+    assert written.count("words") <= 8
+    assert few == bpe.train_bpe(spark, counts, 256 + 300 + 1).merges.orderBy("rank").collect()
