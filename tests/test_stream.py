@@ -342,3 +342,20 @@ def test_stored_windows_of_a_short_stream_are_an_error(spark, tmp_path):
         block_sink.sample_stored_windows(spark, path, 1, 1, split="train").collect()
     r = block_sink.sample_stored_windows(spark, path, 1, 1, split="val").first()
     assert (bytes(r.x), bytes(r.y)) == (b"efgh", b"fghi")
+
+
+def test_pairs_are_counted_in_the_tasks_and_the_exchange_has_no_row_per_token(spark):
+    """A stream longer than what is counted at once, for both widths, against plain Python; no generator of a row per token."""
+    rnd = random.Random(4)
+    from tokenloom.operators import bigram
+    docs = [bytes(rnd.randrange(6) for _ in range(n)) for n in (0, 2, 4, (1 << 21) + 6, 10, (1 << 20) + 2)]
+    rows = [("train", 0, d, bytearray(b)) for d, b in enumerate(docs)]
+    c = spark.createDataFrame(rows, "split STRING, shard_id INT, doc_id BIGINT, data BINARY").repartition(1)
+    for width in (1, 2):
+        ids = [[int.from_bytes(b[i:i + width], "little") for i in range(0, len(b), width)] for b in docs]
+        inner = Counter(p for a in ids for p in zip(a, a[1:]))
+        assert {(r.a, r.b): r.n for r in bigram.bigram_counts(c, width).collect()} == inner
+        whole = [t for a in ids for t in a]
+        pairs = stream.next_token_pairs(stream.positions(c, width), width)
+        assert {(r.tok, r.next_tok): r.n for r in pairs.collect()} == Counter(zip(whole, whole[1:]))
+        assert "Generate" not in pairs._jdf.queryExecution().executedPlan().toString()

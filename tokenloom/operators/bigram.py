@@ -8,34 +8,69 @@ table here is bounded by ``V**2`` rows, so the joins are small.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.tokens import bytes_to_ids
+COUNT_TOKENS = 1 << 20   # tokens whose pairs a task counts at once
 
 
-def bigram_counts(corpus: DataFrame, width: int = 1) -> DataFrame:
-    """``(split, a, b, n)``: adjacent id pairs inside documents (map-side combined).
+def _runs(streams, width: int) -> Iterator[tuple[object, np.ndarray]]:
+    """(split, tokens) of at most ``COUNT_TOKENS``; the last token of a run is the first of the next of the same stream."""
+    for split, raw in streams:
+        if raw is None or len(raw) < 2 * width:
+            continue
+        if len(raw) % width:
+            raise ValueError("a uint16 token stream has an odd number of bytes")
+        ids = np.frombuffer(raw, dtype=f"<u{width}")
+        for at in range(0, len(ids) - 1, COUNT_TOKENS):
+            yield split, ids[at:at + COUNT_TOKENS + 1]
+
 
-    For byte tokens the pairs are formed on the Latin-1 view of the bytes
-    (one character per byte) with native ``split``/``arrays_zip`` only, and
-    turned into ids on the aggregated table (at most 65,536 rows per split).
-    """
+def _counted(runs: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs in the runs as one number each, and how often they are there."""
+    bits = 8 * width
+    key = np.concatenate([(r[:-1].astype(f"<u{2 * width}") << bits) | r[1:] for r in runs])
     if width == 1:
-        ch = F.split(F.decode("data", "ISO-8859-1"), "")
-        n = F.size("c")
-        pairs = corpus.select("split", ch.alias("c")).select(
-            "split", F.explode(F.arrays_zip(F.slice("c", 1, n - 1).alias("a"),
-                                            F.slice("c", 2, n - 1).alias("b"))).alias("p"))
-        agg = pairs.groupBy("split", F.col("p.a").alias("ca"), F.col("p.b").alias("cb")).agg(
-            F.count(F.lit(1)).alias("n"))
-        return agg.select("split", F.ascii("ca").alias("a"), F.ascii("cb").alias("b"), "n")
-    a = bytes_to_ids("data", width)
-    pairs = corpus.filter(F.octet_length("data") >= 2 * width).select("split", a.alias("ids")).select(
-        "split", F.explode(F.zip_with(F.slice("ids", 1, F.size("ids") - 1),
-                                      F.slice("ids", 2, F.size("ids") - 1),
-                                      lambda x, y: F.struct(x.alias("a"), y.alias("b")))).alias("p"))
-    return pairs.groupBy("split", F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(
-        F.count(F.lit(1)).alias("n"))
+        n = np.bincount(key, minlength=1 << 16)
+        return np.flatnonzero(n), n[n > 0]
+    return np.unique(key, return_counts=True)
+
+
+def inner_pairs(width: int):
+    """Batches that begin with (split, data) -> (split, a, b, n): the adjacent pairs inside the streams, counted for
+    every ``COUNT_TOKENS`` tokens or so."""
+    names = ["split", "a", "b", "n"]
+
+    def out(held: dict) -> Iterator[pa.RecordBatch]:
+        for split, runs in held.items():
+            key, n = _counted(runs, width)
+            a, b = key >> (8 * width), key & ((1 << (8 * width)) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array([split] * len(n), pa.string()), pa.array(a.astype(np.int32)),
+                                              pa.array(b.astype(np.int32)), pa.array(n.astype(np.int64))], names=names)
+
+    def run(batches):
+        held, size = {}, 0
+        for batch in batches:
+            streams = ((s.as_py(), memoryview(d.as_buffer()) if d.is_valid else None)
+                       for s, d in zip(batch.column(0), batch.column(1)))
+            for split, ids in _runs(streams, width):
+                held.setdefault(split, []).append(ids)
+                size += len(ids)
+                if size >= COUNT_TOKENS:
+                    yield from out(held)
+                    held, size = {}, 0
+        yield from out(held)
+    return run
+
+
+def bigram_counts(corpus: DataFrame, width: int = 1) -> DataFrame:
+    """``(split, a, b, n)``: adjacent id pairs inside documents, counted per task in
+    Arrow batches; what is exchanged is bounded by the pairs, not by the tokens."""
+    pairs = corpus.select("split", "data").mapInArrow(inner_pairs(width), "split string, a int, b int, n long")
+    return pairs.groupBy("split", "a", "b").agg(F.sum("n").alias("n"))
 
 
 def corpus_loss(counts: DataFrame, vocab_size: int = 256, train: str = "train",

@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.hashing import md5_int60
 from ..functions.tokens import bytes_to_ids, token_count
 from ..sources.corpus import DEFAULT_CHUNK_SIZE
+from .bigram import inner_pairs
 from .prefix import exclusive_prefix, ranked_prefix
 
 _LATIN1 = "ISO-8859-1"
@@ -261,33 +264,55 @@ def explode_tokens(pos_df: DataFrame, width: int = 1) -> DataFrame:
     ).select("split", (F.col("pos") + F.col("i")).alias("pos"), "tok")
 
 
+def _pairs_and_halves(width: int):
+    """(split, data, pos, n_tok) -> counted inner pairs (k1, k2 >= 0), and the first and last token of every row."""
+    names = ["split", "k1", "k2", "last", "first", "c"]
+
+    def ends(b):
+        dtype = f"<u{width}"
+        data = [memoryview(d.as_buffer()) for d in b.column(1)]
+        if any(len(d) % width for d in data):
+            raise ValueError("a uint16 token stream has an odd number of bytes")
+        first = pa.array([int(np.frombuffer(d, dtype, 1)[0]) for d in data], pa.int32())
+        last = pa.array([int(np.frombuffer(d[-width:], dtype)[0]) for d in data], pa.int32())
+        pos, n, none = np.asarray(b.column(2)), np.asarray(b.column(3)), pa.nulls(b.num_rows, pa.int32())
+        one = pa.array(np.ones(b.num_rows, np.int64))
+        for key, tokens in ((-(pos + n) - 1, (last, none)), (-pos - 1, (none, first))):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key), pa.nulls(b.num_rows, pa.int64()), *tokens, one], names=names)
+
+    def run(batches):
+        halves: list[pa.RecordBatch] = []
+
+        def told():
+            for b in batches:
+                if b.num_rows:
+                    halves.extend(ends(b))
+                    yield b
+
+        for p in inner_pairs(width)(told()):
+            yield from halves
+            halves.clear()
+            none = pa.nulls(p.num_rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([p.column(0), p.column(1).cast(pa.int64()), p.column(2).cast(pa.int64()),
+                                              none, none, p.column(3)], names=names)
+        yield from halves
+    return run
+
+
 def next_token_pairs(pos_df: DataFrame, width: int = 1) -> DataFrame:
     """Counts of (token, following token) over each split stream, in one
     pass over the documents and without a join.
 
-    Each document emits its inner pairs plus two boundary halves: its last
-    token keyed by its end position and its first token keyed by its start
-    position (keys stored negative so they never clash with token ids). A
-    first aggregation counts inner pairs and pairs up the halves of each
-    boundary; a second one adds the completed boundary pairs to the counts.
+    Each task counts the inner pairs of its documents in Arrow batches; of a
+    document itself two boundary halves go on: its last token keyed by its end
+    position and its first token keyed by its start position (keys stored
+    negative so they never clash with token ids). A first aggregation adds up
+    inner pairs and pairs up the halves of each boundary; a second one adds the
+    completed boundary pairs to the counts.
     """
-    ids = bytes_to_ids("data", width)
-    n = F.col("n_tok").cast("int")
-    def row(k1, k2, tok):
-        return F.struct(k1.cast("long").alias("k1"), k2.cast("long").alias("k2"),
-                        tok.cast("int").alias("t"))
-    inner = F.zip_with(F.slice("a", 1, n - 1), F.slice("a", 2, n - 1),
-                       lambda x, y: row(x, y, F.lit(None)))
-    halves = F.array(row(-(F.col("pos") + F.col("n_tok")) - 1, F.lit(-1), F.element_at("a", -1)),
-                     row(-F.col("pos") - 1, F.lit(-2), F.element_at("a", 1)))
-    rows = (pos_df.filter(F.col("n_tok") > 0)
-            .select("split", "pos", "n_tok", ids.alias("a"))
-            .select("split", F.explode(F.concat(inner, halves)).alias("r")))
-    first = (rows.groupBy("split", F.col("r.k1").alias("k1"),
-                          F.when(F.col("r.k1") >= 0, F.col("r.k2")).alias("k2"))
-             .agg(F.count(F.lit(1)).alias("c"),
-                  F.max(F.when(F.col("r.k2") == -1, F.col("r.t"))).alias("last"),
-                  F.max(F.when(F.col("r.k2") == -2, F.col("r.t"))).alias("first")))
+    first = (pos_df.filter(F.col("n_tok") > 0).select("split", "data", "pos", "n_tok")
+             .mapInArrow(_pairs_and_halves(width), "split string, k1 long, k2 long, last int, first int, c long")
+             .groupBy("split", "k1", "k2").agg(F.sum("c").alias("c"), F.max("last").alias("last"), F.max("first").alias("first")))
     inner_row = F.col("k1") >= 0
     paired = first.select(
         "split",
