@@ -525,3 +525,16 @@ def test_mix_with_clashing_columns(spark):
     columns = ["doc_id", "size", "source_size", "target", "copies"]
     assert sorted(map(tuple, mixed.select(columns).collect())) == sorted(map(tuple, plain.select(columns).collect()))
     assert {"__w", "__p"} <= set(mixing.repeat_copies(mixed, docs.columns).columns)
+
+
+def test_punctuated_words_take_no_room_among_remembered_ones():
+    """A word is remembered once, not once for every mark after it; the ids stay those of whole texts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(packing.TOKENIZER)
+    memo, whole = packing.WordIds(Tokenizer.from_file(path)), Tokenizer.from_file(path)
+    text = "Alpha, alpha; alpha. alpha!? Beta) café, café. 12, a, ÷, ×. 你, it's, ... x|y| (alpha) É. ß;"
+    ids = packing.token_ids(text.encode(), memo).tolist()
+    assert ids == [*whole.encode(text, add_special_tokens=False).ids, packing.END_ID]
+    assert {b"alpha", "café".encode(), b",", b"."} <= set(memo)
+    assert not {b"alpha,", b"alpha;", b"alpha.", b"alpha!?", b"beta)", "café,".encode()} & set(memo)

@@ -56,8 +56,9 @@ class WordIds(dict):
     of them in lower case is ordinary text, so words are encoded by ``ordinary``.
     """
 
-    # a word that ends in a letter (ASCII or Latin-1), then punctuation other than the apostrophe
-    _tail = re.compile(rb"(.*(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf]))([.,;:!?#$%&*|)]+)", re.DOTALL)
+    # punctuation other than the apostrophe, and the end of a word before it that is cut there: a letter (ASCII or Latin-1)
+    _marks = b".,;:!?#$%&*|)"
+    _letter = re.compile(rb"[a-z]|\xc3[\xa0-\xb6\xb8-\xbf]")
 
     # a word of ASCII and Latin-1 letters, composed: one piece, which only has to be put in lower case
     _latin = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\x9e\xa0-\xb6\xb8-\xbf])+")
@@ -78,6 +79,10 @@ class WordIds(dict):
         return self._ordinary
 
     def __missing__(self, word: bytes) -> bytes:
+        if word[-1] in self._marks:  # not remembered itself: its two parts are
+            stem = word.rstrip(self._marks)
+            if 97 <= (stem[-1] if stem else 0) <= 122 or self._letter.fullmatch(stem[-2:]):
+                return self[stem] + self[word[len(stem):]]
         if len(self) >= MEMO:  # the words of this generation stay at hand during the next
             self.old = dict(self)
             self.clear()
@@ -87,9 +92,6 @@ class WordIds(dict):
             return ids
         if word.isalpha():  # of ASCII letters: neither normalizer nor pre-tokenizer has anything to do
             raw = [t.id for t in self.model.tokenize(word.decode())]
-        elif m := self._tail.fullmatch(word):
-            self[word] = ids = self[m[1]] + self[m[2]]
-            return ids
         elif self._latin.fullmatch(word):
             raw = [t.id for t in self.model.tokenize(word.decode().lower().translate(self.spelt))]
         else:
