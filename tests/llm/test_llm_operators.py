@@ -538,3 +538,53 @@ def test_punctuated_words_take_no_room_among_remembered_ones():
     assert ids == [*whole.encode(text, add_special_tokens=False).ids, packing.END_ID]
     assert {b"alpha", "café".encode(), b",", b"."} <= set(memo)
     assert not {b"alpha,", b"alpha;", b"alpha.", b"alpha!?", b"beta)", "café,".encode()} & set(memo)
+
+
+def test_many_texts_are_tokenised_at_once(monkeypatch):
+    """The ids are those of whole texts, with few words remembered; new words of letters reach the model in one call."""
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(packing.TOKENIZER)
+    whole = Tokenizer.from_file(path)
+    rng = random.Random(9)
+    bits = ["a", "B", "é", "É", "'s", "'", "<|endoftext|>", "1", " ", "  ", "\n", "\x0b", ".", "!?", ",*", "|", "ß", "İ", "Ç", "×", "÷", "Ÿ",
+            "ς", "中", "\x85", "\xa0", "\u2003", "́", "x)", "😀", "</w>", "Wort", "q, ", "7. "]
+    texts = [None, "", " ", "x " * 3000, " a", "a\x00b c."] + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    want = [[*whole.encode(t or "", add_special_tokens=False).ids, packing.END_ID] for t in texts]
+    column = pa.array([t if t is None else t.encode() for t in texts], pa.binary())
+    for most, size in ((1 << 15, 1 << 21), (50, 1000)):
+        monkeypatch.setattr(packing, "MEMO", most)
+        monkeypatch.setattr(packing, "TEXT_BYTES", size)
+        memo = packing.WordIds(Tokenizer.from_file(path))
+        got = packing.all_token_ids(column, memo)
+        assert [g.tolist() for g in got] == want and {g.dtype for g in got} == {np.dtype("uint32")}
+        assert len(memo) <= most and len(memo.old) <= most
+        assert [g.tolist() for g in packing.all_token_ids(column.slice(5, 100), memo)] == want[5:105]
+    assert packing.all_token_ids(column.slice(0, 0), memo) == []
+
+    class Calls:
+        def __init__(self, to):
+            self.to, self.n = to, 0
+
+        def __getattr__(self, name):
+            self.n += 1
+            return getattr(self.to, name)
+
+    memo = packing.WordIds(Tokenizer.from_file(path))
+    memo.model, memo.tokenizer, memo.letters = Calls(memo.model), Calls(memo.tokenizer), Calls(memo.letters)
+    column = pa.array([f"Word{chr(97 + i)} again, wörd{chr(97 + i)}".encode() for i in range(26)] * 2, pa.binary())
+    assert [g.tolist() for g in packing.all_token_ids(column, memo)] == [
+        [*whole.encode(t.decode(), add_special_tokens=False).ids, packing.END_ID] for t in column.to_pylist()]
+    assert (memo.letters.n, memo.tokenizer.n) == (1, 1) and memo.model.n == 0  # the comma is not of letters
+
+
+def test_models_that_do_not_mark_word_ends_are_asked_word_by_word():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    memo = packing.WordIds(Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER)))
+    memo.last = np.zeros_like(memo.last)
+    texts = ["anew wörds, 12 anew", "other"]
+    want = [[*memo.tokenizer.encode(t, add_special_tokens=False).ids, packing.END_ID] for t in texts]
+    assert [g.tolist() for g in packing.all_token_ids(pa.array([t.encode() for t in texts], pa.binary()), memo)] == want

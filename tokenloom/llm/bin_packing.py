@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tokenloom.llm.common import small, table, write_scratch
-from tokenloom.llm.packing import load_tokenizer, token_ids
+from tokenloom.llm.packing import all_token_ids, load_tokenizer
 
 LENGTH = 4096
 CUT = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long, ids binary"
@@ -116,8 +116,7 @@ def _cutter(tokenizer: str | None, length: int, with_ids: bool):
         seen = np.zeros(length + 1, dtype=np.int64).tolist()
         for b in small(batches):
             rows = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = token_ids(text.as_py(), memo)
+            for doc, ids in zip(b.column(0).to_pylist(), all_token_ids(b.column(1), memo)):
                 for piece, start in enumerate(range(0, len(ids), length)):
                     raw = ids[start:start + length].tobytes()
                     size = len(raw) // 4
