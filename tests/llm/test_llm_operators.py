@@ -588,3 +588,62 @@ def test_models_that_do_not_mark_word_ends_are_asked_word_by_word():
     texts = ["anew wörds, 12 anew", "other"]
     want = [[*memo.tokenizer.encode(t, add_special_tokens=False).ids, packing.END_ID] for t in texts]
     assert [g.tolist() for g in packing.all_token_ids(pa.array([t.encode() for t in texts], pa.binary()), memo)] == want
+
+
+def test_packing_hands_python_small_batches(spark, tmp_path, monkeypatch):
+    seen, keyer = str(tmp_path), packing._keyer
+
+    def noting(*args):
+        inner = keyer(*args)
+
+        def run(batches):
+            def noted():
+                for b in batches:
+                    with open(f"{seen}/sizes", "a") as f:
+                        f.write(f"{b.nbytes}\n")
+                    yield b
+            return inner(noted())
+        return run
+
+    monkeypatch.setattr(packing, "_keyer", noting)
+    monkeypatch.setattr(packing, "BATCH", "64k")
+    docs = spark.range(600, numPartitions=1).selectExpr("id AS doc_id", "repeat(concat('word', id % 7, ' '), 300) AS text")
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    assert spark.conf.get(key, None) is None
+    got = packing.pack(docs, with_ids=False)
+    assert spark.conf.get(key, None) is None
+    sizes = list(map(int, open(f"{seen}/sizes").read().split()))
+    assert sum(sizes) > 600 * 1800 and max(sizes) < 100_000  # one batch before
+    assert got.select("doc_id").distinct().count() == 600
+
+
+def test_batches_of_leaves_the_sessions_own_size(spark):
+    from tokenloom.llm.common import batches_of
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, "1m")
+    try:
+        before = spark.conf.get(key)
+        with batches_of(spark, "4m"):
+            assert spark.conf.get(key) == before
+        assert spark.conf.get(key) == before
+    finally:
+        spark.conf.unset(key)
+    with pytest.raises(KeyError), batches_of(spark, "4m"):
+        raise KeyError
+    assert spark.conf.get(key, None) is None
+
+
+def test_released_gives_freed_memory_back():
+    from tokenloom.llm.common import released
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    batch, own = pa.RecordBatch.from_pydict({"a": [1, 2]}), pa.default_memory_pool().backend_name
+    held = [b"x" * 5000 for _ in range(20_000)]
+    held = held[-1]  # 100 MB are freed below what is still in use
+    before = resident()
+    assert list(released(iter([batch, batch]))) == [batch, batch]
+    assert before - resident() > 50e6
+    assert pa.default_memory_pool().backend_name == own and len(held) == 5000

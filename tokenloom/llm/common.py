@@ -6,6 +6,7 @@ import atexit
 import sys
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -134,6 +135,30 @@ def small(batches, rows: int = 512) -> Iterator[pa.RecordBatch]:
             yield b.slice(at, rows)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: str) -> Iterator[None]:
+    """Actions in it hand Python Arrow batches of about ``size`` at most, or of one row; a size that the session sets stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(key, None)
+    if own is None:
+        spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(key)
+
+
+def released(batches) -> Iterator[pa.RecordBatch]:
+    """The same batches; after the last, what this worker holds but no longer uses goes back to the system."""
+    yield from batches
+    own = pa.default_memory_pool()
+    for pool in (own, pa.system_memory_pool()):
+        pa.set_memory_pool(pool)  # release_unused is about the pool that is set; the system's is also numpy's
+        pool.release_unused()
+    pa.set_memory_pool(own)
+
+
 def sorted_groups(batches, n_keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
     """(key, rows) per run of equal values in the first ``n_keys`` integer columns.
 

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from tokenloom.llm.common import per_process, small, table, write_scratch
+from tokenloom.llm.common import batches_of, per_process, released, small, table, write_scratch
 
 TOKENIZER = "word_bpe_49k.json"
 LENGTH = 2048
@@ -44,6 +44,7 @@ SAMPLE, SAMPLE_PER_RANGE = 5_000, 10
 RANGE_BYTES = 128 << 20
 MEMO = 1 << 15
 TEXT_BYTES = 2 << 20
+BATCH = "4m"
 SEED = 77
 _END = np.array([END_ID], dtype="<u4").tobytes()
 
@@ -286,7 +287,7 @@ def _keyer(path: str | None, cuts: np.ndarray, ends: np.ndarray):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(where), pa.array(key), b.column(0), pa.array([len(i) for i in ids], pa.int64()),
                  pa.array([_pack(i) for i in ids], pa.binary())], names=["range", "key", "doc_id", "n", "ids"])
-    return run
+    return lambda batches: released(run(batches))
 
 
 def _pack(ids: np.ndarray) -> bytes:
@@ -315,7 +316,7 @@ def _pieces(length: int, with_ids: bool):
                     start += size
             yield pa.RecordBatch.from_arrays([*(pa.array(o, pa.int64()) for o in out[:7]), pa.array(out[7], pa.binary())],
                                              names=[c.split()[0] for c in PIECES.split(", ")])
-    return run
+    return lambda batches: released(run(batches))
 
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -348,7 +349,8 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None, do
     if ranges > partitions:
         keyed = keyed.repartition(ranges, "range")
     order = Window.partitionBy("range").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = write_scratch(keyed.withColumn("upto", F.sum("n").over(order)), "pack-ids")
+    with batches_of(spark, BATCH):
+        placed = write_scratch(keyed.withColumn("upto", F.sum("n").over(order)), "pack-ids")
     before, at = [], 0
     for r in placed.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect():
         before.append((r["range"], at))
