@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tokenloom.llm.common import small, table, write_scratch
-from tokenloom.llm.packing import all_token_ids, load_tokenizer
+from tokenloom.llm.common import table, write_scratch
+from tokenloom.llm.packing import all_token_ids, in_runs, load_tokenizer
 
 LENGTH = 4096
 CUT = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long, ids binary"
@@ -114,7 +114,7 @@ def _cutter(tokenizer: str | None, length: int, with_ids: bool):
     def run(batches):
         memo, part = load_tokenizer(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(length + 1, dtype=np.int64).tolist()
-        for b in small(batches):
+        for b in in_runs(batches, 1):
             rows = []
             for doc, ids in zip(b.column(0).to_pylist(), all_token_ids(b.column(1), memo)):
                 for piece, start in enumerate(range(0, len(ids), length)):
